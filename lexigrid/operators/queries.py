@@ -270,6 +270,37 @@ def on(field: str) -> Column:
     return F.col("field") == field
 
 
+def typed(value: str) -> object:
+    """A criterion's text as number, bool or string, tried in this order."""
+    for cast in (int, float):
+        try:
+            return cast(value)
+        except ValueError:
+            pass
+    return {"true": True, "false": False}.get(value.lower(), value)
+
+
+def criteria(docs: DataFrame, triples: list[tuple[str, str, str]]) -> Column:
+    """All of (field, operation, value text); a missing value never passes.
+
+    Operations: equals, gt, lt, contains, regex.
+    """
+    tests = []
+    for name, operation, text in triples:
+        column, value = known(docs, name), F.lit(typed(text))
+        table = {
+            "equals": lambda: column == value,
+            "gt": lambda: column > value,
+            "lt": lambda: column < value,
+            "contains": lambda: column.cast("string").contains(text),
+            "regex": lambda: column.cast("string").rlike(text),
+        }
+        if operation not in table:
+            raise ValueError(f"unknown operation: {operation}")
+        tests.append(F.coalesce(table[operation](), F.lit(False)))
+    return functools.reduce(operator.and_, tests, F.lit(True))
+
+
 def known(docs: DataFrame, name: str) -> Column:
     if name not in docs.columns:
         raise ValueError(f"unknown field: {name}")
@@ -390,23 +421,87 @@ def match(corpus: Corpus, query: Query, scored: bool = True) -> DataFrame:
     """(key, score) of every document a query matches."""
     plan = _Plan(corpus, scored=scored)
     found, score, alone = plan.walk(query)
+    rows = _rows(plan, alone)
+    return rows.where(found).select("key", score.alias("score"))
+
+
+def match_many(corpus: Corpus, queries: dict[str, Query], scored: bool = True) -> DataFrame:
+    """(query_id, key, score) of several query objects, still one scan and one shuffle."""
+    plan = _Plan(corpus, scored=scored)
+    walked = {name: plan.walk(query) for name, query in queries.items()}
+    rows = _rows(plan, any(alone for _, _, alone in walked.values()))
+    results = F.array_compact(
+        F.array(
+            *[
+                F.when(found, F.struct(F.lit(name).alias("query_id"), score.alias("score")))
+                for name, (found, score, _) in walked.items()
+            ]
+        )
+    )
+    return rows.select("key", F.inline(results)).select("query_id", "key", "score")
+
+
+def _rows(plan: _Plan, alone: bool) -> DataFrame:
+    """One row per candidate document with what the clauses of the plan need."""
+    corpus = plan.corpus
     docs = corpus.docs.select(
         F.col(corpus.key).alias("key"), *[p.alias(n) for n, p in plan.predicates.items()]
     )
     if not plan.aggregates:
-        return docs.where(found).select("key", score.alias("score"))
+        return docs
     grouped = (
         corpus.occurrences.where(functools.reduce(operator.or_, plan.conditions))
         .groupBy("key")
         .agg(*[a.alias(n) for n, a in plan.aggregates.items()])
     )
-    rows = grouped
-    if plan.predicates or alone:
-        rows = docs.join(grouped, "key", "left")
-    if scored and plan.frequencies:
+    rows = docs.join(grouped, "key", "left") if plan.predicates or alone else grouped
+    if plan.scored and plan.frequencies:
         counts = grouped.agg(
             F.struct(*[c.alias(n) for n, c in plan.frequencies.items()]).alias("found")
         )
-        rows = rows.where(found).withColumn("found", counts.scalar())
-        return rows.select("key", score.alias("score"))
-    return rows.where(found).select("key", score.alias("score"))
+        rows = rows.withColumn("found", counts.scalar())
+    return rows
+
+
+def column_filter(docs: DataFrame, query: Query) -> Column:
+    """A tree of column queries as one predicate, which the scan can take over."""
+    plan = _Plan(Corpus(docs, "", docs, docs), scored=False)
+    found, _, _ = plan.walk(query)
+    if plan.aggregates:
+        raise ValueError("text clauses need match()")
+
+    def test(node: Query) -> Column:
+        if isinstance(node, ColumnQuery):
+            return node.predicate(docs)
+        if isinstance(node, Boost):
+            return test(node.query)
+        needed = [test(q) for q in node.must]
+        if not needed:
+            if not node.should:
+                return F.lit(False)
+            needed = [functools.reduce(operator.or_, [test(q) for q in node.should])]
+        return functools.reduce(operator.and_, needed + [~test(q) for q in node.must_not])
+
+    return test(query)
+
+
+def first_non_empty(corpus: Corpus, tiers: dict[str, list[tuple[str, Query]]]) -> DataFrame:
+    """(query_id, strategy, key, score): hits of the first strategy that finds anything.
+
+    All strategies of all queries are matched in the same pass.
+    """
+    flat = {
+        f"{name}\t{rank}\t{strategy}": query
+        for name, steps in tiers.items()
+        for rank, (strategy, query) in enumerate(steps)
+    }
+    parts = F.split("query_id", "\t")
+    hits = match_many(corpus, flat).select(
+        parts[0].alias("query_id"),
+        parts[1].cast("int").alias("tier"),
+        parts[2].alias("strategy"),
+        "key",
+        "score",
+    )
+    best = hits.groupBy("query_id").agg(F.min("tier").alias("tier"))
+    return hits.join(best, ["query_id", "tier"]).select("query_id", "strategy", "key", "score")

@@ -50,6 +50,19 @@ def combine_scores(parts: list[tuple[DataFrame, float]]) -> DataFrame:
     )
 
 
+def best_first() -> list[Column]:
+    """Best score first, ties by key.
+
+    Sums of doubles depend on the order rows arrive in; scores equal to 9 decimals tie, so
+    that ranks do not depend on it.
+    """
+    return [F.desc(F.round("score", 9)), F.asc("key")]
+
+
+def worst_first() -> list[Column]:
+    return [F.asc(F.round("score", 9)), F.asc("key")]
+
+
 def top_k(matches: DataFrame, k: int = 10, by: str | None = None) -> DataFrame:
     """Best k by score, ties by key, with a rank from 1.
 
@@ -57,10 +70,9 @@ def top_k(matches: DataFrame, k: int = 10, by: str | None = None) -> DataFrame:
     and task before the shuffle, so a hot group never moves whole.
     """
     if by is None:
-        best = matches.orderBy(F.desc("score"), "key").limit(k)
-        order = Window.orderBy(F.desc("score"), "key")
-        return best.withColumn("rank", F.row_number().over(order))
-    order = Window.partitionBy(by).orderBy(F.desc("score"), "key")
+        best = matches.orderBy(*best_first()).limit(k)
+        return best.withColumn("rank", F.row_number().over(Window.orderBy(*best_first())))
+    order = Window.partitionBy(by).orderBy(*best_first())
     return matches.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
@@ -77,9 +89,8 @@ def merge_shards(shards: dict[str, DataFrame], strategy: str, limit: int, offset
     want = limit + offset
     parts = []
     for number, (name, hits) in enumerate(shards.items()):
-        best = hits.orderBy(F.desc("score"), "key").limit(want) if strategy != "score_asc" else (
-            hits.orderBy("score", "key").limit(want)
-        )
+        order = worst_first() if strategy == "score_asc" else best_first()
+        best = hits.orderBy(*order).limit(want)
         parts.append(
             best.select("key", "score", F.lit(name).alias("shard"), F.lit(number).alias("shard_no"))
         )
@@ -89,14 +100,14 @@ def merge_shards(shards: dict[str, DataFrame], strategy: str, limit: int, offset
 def merge_sharded(hits: DataFrame, strategy: str, limit: int, offset: int = 0) -> DataFrame:
     """The same for hits already in one table with ``shard`` and ``shard_no`` columns."""
     want = limit + offset
-    inner = "score" if strategy == "score_asc" else F.desc("score")
-    per_shard = Window.partitionBy("shard").orderBy(inner, "key")
+    inner = worst_first() if strategy == "score_asc" else best_first()
+    per_shard = Window.partitionBy("shard").orderBy(*inner)
     best = hits.withColumn("shard_rank", F.row_number().over(per_shard)).where(
         F.col("shard_rank") <= want
     )
     orders = {
-        "score_desc": [F.desc("score"), "key"],
-        "score_asc": ["score", "key"],
+        "score_desc": best_first(),
+        "score_asc": worst_first(),
         "node_order": ["shard_no", "shard_rank"],
         "round_robin": ["shard_rank", "shard_no"],
     }
@@ -150,7 +161,7 @@ def batch_search(
         "n_terms",
         "terms",
         F.col("rarest.term").alias("term"),
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint").alias("salt"),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")).alias("salt"),
     )
     proposals = drivers.join(salted.select("term", "salt", "key"), ["term", "salt"]).select(
         "words", "n_terms", "key", F.explode("terms").alias("t")
@@ -206,7 +217,7 @@ def more_like_this(
         "field",
         "term",
         "idf",
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint").alias("salt"),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")).alias("salt"),
     )
     salted = postings.select(
         "key", "field", "term", F.col("tf").alias("doc_tf"), "dl",
@@ -245,3 +256,46 @@ def sort_hits(hits: DataFrame, by: str, descending: bool = True, key: str = "key
     if dict(hits.dtypes)[by].startswith("timestamp"):
         column = F.coalesce(column, F.lit("1970-01-01").cast(dict(hits.dtypes)[by]))
     return hits.orderBy(F.desc(column) if descending else F.asc(column), key)
+
+
+def freshness_points(published: str, now: str) -> Column:
+    """100 minus the age in days, never below 0; 0 without a date.  ``now`` is given."""
+    age = F.timestamp_diff("SECOND", F.col(published), F.lit(now).cast("timestamp_ntz"))
+    days = F.floor(age / 86400)
+    return F.coalesce(F.greatest(F.lit(0).cast("bigint"), 100 - days), F.lit(0).cast("bigint"))
+
+
+def engagement_points(views: str, comments: str, shares: str) -> Column:
+    def count(name: str) -> Column:
+        return F.coalesce(F.col(name), F.lit(0))
+
+    return count(views) + 5 * count(comments) + 10 * count(shares)
+
+
+def storefront_rank(products: DataFrame, limit: int) -> DataFrame:
+    """Products (key, stock, rating, price, featured) with status, shipping, tags and rank."""
+    stock = F.coalesce("stock", F.lit(0))
+    status = F.when(stock > 10, "in_stock").when(stock > 0, "low_stock").otherwise("out_of_stock")
+    points = F.when(stock > 10, 1000).when(stock > 0, 500).otherwise(0)
+    shipping = (
+        F.when(stock > 10, "1-2 days").when(stock > 0, "3-5 days").otherwise("Not available")
+    )
+    tags = F.array_compact(
+        F.array(
+            F.when(F.col("price") < 25, "budget_friendly"),
+            F.when(stock > 10, "available"),
+            F.when(F.col("rating") > 4.5, "top_rated"),
+        )
+    )
+    rows = products.withColumns(
+        {
+            "status": status,
+            "shipping": shipping,
+            "tags": tags,
+            "points": points + F.coalesce("rating", F.lit(0)) * 100,
+            "first": F.coalesce("featured", F.lit(False)),
+        }
+    )
+    order = [F.desc("first"), F.desc("points"), F.asc("key")]
+    best = rows.orderBy(*order).limit(limit)
+    return best.withColumn("rank", F.row_number().over(Window.orderBy(*order)))

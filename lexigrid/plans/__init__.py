@@ -4,6 +4,7 @@ from lexigrid.plans import (  # noqa: F401
     text_plans,
     query_plans,
     ranking_plans,
+    result_plans,
 )
 from lexigrid.plans.catalog import PLANS
 
