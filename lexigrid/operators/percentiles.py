@@ -2,68 +2,106 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BANDS = 200
+ACCURACY = 10_000
 
 
 def exact_percentiles(
-    df: DataFrame, groups: list[str], value: Column, percents: list[float]
+    df: DataFrame, groups: list[str], value: Column, percents: list[float], accuracy: int = ACCURACY
 ) -> DataFrame:
     """(groups, p) with ``p`` an array of (percent, value), linear between neighbours.
 
-    Equal values are counted first, so repeated values cost one row.  Approximate
-    percentiles only cut the distinct values of a group into bands; running counts over
-    the bands then say which band holds each wanted rank, and ranks are exact within it.
-    No task sees more than one band of a group.
+    A sketch brackets each wanted rank: its rank error is at most 1/accuracy of the rows, so
+    values between the sketched percentiles two errors below and above hold the rank.  The
+    bracket ends cut the value range into zones.  One pass counts rows per zone, and per
+    value inside brackets, which are about 4/accuracy of the rows each; both fold before the
+    shuffle.  Running counts over the few zones and over the values of a bracket then give
+    exact ranks.  Groups too small for the margin, at most 4 * accuracy rows, are one bracket.
     """
-    counts = (
-        df.where(value.isNotNull())
-        .groupBy(*groups, value.cast("double").alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
+    margin = 2.0 / accuracy
+    lows = [max(p / 100 - margin, 0.0) for p in percents]
+    highs = [min(p / 100 + margin, 1.0) for p in percents]
+    rows = df.select(*groups, value.cast("double").alias("v")).where(F.col("v").isNotNull())
+    sketch = rows.groupBy(*groups).agg(
+        F.percentile_approx("v", lows + highs, accuracy).alias("edges"),
+        F.min("v").alias("least"),
+        F.max("v").alias("most"),
+        F.count(F.lit(1)).alias("total"),
     )
-    if not groups:
-        counts = counts.withColumn("_all", F.lit(1))
-    by = groups or ["_all"]
-    steps = [i / BANDS for i in range(1, BANDS)]
-    edges = counts.groupBy(*by).agg(
-        F.percentile_approx("v", steps, BANDS * 20).alias("edges"), F.sum("n").alias("total")
+    small = F.col("total") <= 4 * accuracy
+    edges = F.col("edges")
+    sketch = sketch.select(
+        *groups,
+        "total",
+        F.array(
+            *[
+                F.when(small | F.lit(low <= 0.0), F.col("least")).otherwise(edges[i])
+                for i, low in enumerate(lows)
+            ]
+        ).alias("lo"),
+        F.array(
+            *[
+                F.when(small | F.lit(high >= 1.0), F.col("most")).otherwise(edges[len(lows) + i])
+                for i, high in enumerate(highs)
+            ]
+        ).alias("hi"),
     )
     if groups:
-        edged = counts.join(edges, by)
+        edged = rows.join(sketch, groups)
     else:
-        one = edges.select(F.struct("edges", "total")).scalar()
-        edged = counts.withColumns({"edges": one["edges"], "total": one["total"]})
-    banded = edged.withColumn(
-        "band", F.size(F.filter(F.array_distinct("edges"), lambda e: e <= F.col("v")))
-    )
-    per_band = banded.groupBy(*by, "band").agg(F.sum("n").alias("band_n"))
-    earlier = Window.partitionBy(*by).orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_band.withColumn("before", F.coalesce(F.sum("band_n").over(earlier), F.lit(0)))
-    placed = banded.join(offsets, [*by, "band"])
+        one = sketch.select(F.struct("lo", "hi")).scalar()
+        edged = rows.withColumn("s", one).select("v", "s.lo", "s.hi")
 
-    def wanted(percent: float) -> tuple[Column, Column, Column]:
-        at = F.lit(percent / 100.0) * (F.col("total") - 1)
-        return F.floor(at), F.ceil(at), at - F.floor(at)
+    each = range(len(percents))
+    v, lo, hi = F.col("v"), F.col("lo"), F.col("hi")
+    passed = [(v >= lo[i]).cast("int") for i in each] + [(v > hi[i]).cast("int") for i in each]
+    bracketed = functools.reduce(operator.or_, [v.between(lo[i], hi[i]) for i in each])
+    counts = (
+        edged.select(
+            *groups,
+            functools.reduce(operator.add, passed).alias("zone"),
+            F.when(bracketed, v).alias("v"),
+        )
+        .groupBy(*groups, "zone", "v")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    by_zone = Window.partitionBy(*groups).orderBy("zone")
+    zones = (
+        counts.groupBy(*groups, "zone")
+        .agg(F.sum("n").alias("zone_n"))
+        .select(
+            *groups,
+            "zone",
+            (F.sum("zone_n").over(by_zone) - F.col("zone_n")).alias("before"),
+            F.sum("zone_n").over(Window.partitionBy(*groups)).alias("total"),
+        )
+    )
+    in_zone = Window.partitionBy(*groups, "zone").orderBy("v")
+    ranked = counts.where(F.col("v").isNotNull()).withColumn("upto", F.sum("n").over(in_zone))
+    placed = ranked.join(zones, [*groups, "zone"]).select(
+        *groups,
+        "v",
+        "total",
+        (F.col("before") + F.col("upto") - F.col("n")).alias("first"),
+        (F.col("before") + F.col("upto") - 1).alias("last"),
+    )
 
-    first, last = F.col("before"), F.col("before") + F.col("band_n") - 1
-    useful = F.lit(False)
-    for percent in percents:
-        low, high, _ = wanted(percent)
-        useful = useful | (low.between(first, last)) | (high.between(first, last))
-    inside = Window.partitionBy(*by, "band").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = placed.where(useful).withColumn("upto", F.col("before") + F.sum("n").over(inside))
-    held_from, held_to = F.col("upto") - F.col("n"), F.col("upto") - 1
-    aggregates, values = [], []
+    aggregates, values = [F.max("total").alias("total")], []
     for i, percent in enumerate(percents):
-        low, high, part = wanted(percent)
+        at = F.lit(percent / 100.0) * (F.col("total") - 1)
+        low, high, part = F.floor(at), F.ceil(at), at - F.floor(at)
         aggregates += [
-            F.max(F.when(low.between(held_from, held_to), F.col("v"))).alias(f"lo{i}"),
-            F.max(F.when(high.between(held_from, held_to), F.col("v"))).alias(f"hi{i}"),
-            F.max(part).alias(f"part{i}"),
+            F.max(F.when(low.between(F.col("first"), F.col("last")), v)).alias(f"lo{i}"),
+            F.max(F.when(high.between(F.col("first"), F.col("last")), v)).alias(f"hi{i}"),
         ]
-        between = F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"part{i}")
-        values.append(F.struct(F.lit(float(percent)).alias("percent"), between.alias("value")))
-    found = ranked.groupBy(*by).agg(*aggregates)
+        exact = F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * part
+        missed = F.raise_error(F.lit("the sketch missed a wanted rank")).cast("double")
+        known = F.coalesce(exact, missed)
+        values.append(F.struct(F.lit(float(percent)).alias("percent"), known.alias("value")))
+    found = placed.groupBy(*groups).agg(*aggregates).where(F.col("total").isNotNull())
     return found.select(*groups, F.array(*values).alias("p"))

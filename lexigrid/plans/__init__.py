@@ -3,6 +3,7 @@
 from lexigrid.plans import (  # noqa: F401
     text_plans,
     query_plans,
+    aggregation_plans,
     ranking_plans,
     result_plans,
 )
