@@ -4,7 +4,9 @@ from lexigrid.plans import (  # noqa: F401
     text_plans,
     query_plans,
     aggregation_plans,
+    log_plans,
     ranking_plans,
+    source_plans,
     result_plans,
 )
 from lexigrid.plans.catalog import PLANS
