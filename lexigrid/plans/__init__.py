@@ -7,6 +7,7 @@ from lexigrid.plans import (  # noqa: F401
     log_plans,
     ranking_plans,
     source_plans,
+    stream_plans,
     result_plans,
 )
 from lexigrid.plans.catalog import PLANS
