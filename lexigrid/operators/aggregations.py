@@ -20,12 +20,13 @@ from lexigrid.operators.postings import Corpus
 from lexigrid.operators.queries import Query, match
 from lexigrid.operators.ranking import top_k
 
-# Request vocabulary and default percentiles.
+# Request vocabulary, default percentiles and the bucket ceiling.
 BUCKETS = {"terms": ["field"], "histogram": ["field", "interval"], "date_histogram": ["field"], "range": ["field", "ranges"]}
 METRICS = ["avg", "min", "max", "sum", "count", "value_count", "stats", "percentiles"]
 PERCENTS = [1.0, 5.0, 25.0, 50.0, 75.0, 95.0, 99.0]
 CALENDAR = ["minute", "hour", "day", "week", "month", "quarter", "year"]
 UNITS = {"ms": "milliseconds", "s": "seconds", "m": "minutes", "h": "hours", "d": "days"}
+MAX_BUCKETS = 65_535
 DATE_KEY = "yyyy-MM-dd'T'HH:mm:ss"
 
 
@@ -171,11 +172,11 @@ def keep_size(table: DataFrame, parents: list[str], key: str, settings: dict, me
 
 
 def fill_gaps(table: DataFrame, parents: list[str], key: str) -> DataFrame:
-    """Empty histogram buckets between the first and the last."""
+    """Empty histogram buckets between the first and the last; too many are an error."""
     ends = table.groupBy(*parents).agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
-    grid = ends.where(F.col("_lo").isNotNull()).select(
-        *parents, F.explode(F.sequence("_lo", "_hi")).alias(key)
-    )
+    error = F.raise_error(F.lit(f"more than {MAX_BUCKETS} buckets")).cast("array<bigint>")
+    steps = F.when(F.col("_hi") - F.col("_lo") >= MAX_BUCKETS, error).otherwise(F.sequence("_lo", "_hi"))
+    grid = ends.where(F.col("_lo").isNotNull()).select(*parents, F.explode(steps).alias(key))
     return grid.join(table, [*parents, key], "left").fillna(0, ["doc_count"])
 
 

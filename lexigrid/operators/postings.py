@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field as dataclass_field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexigrid.functions.tokens import SEARCH, WORD_BREAK, Analyzer
@@ -50,8 +50,6 @@ def token_offsets(docs: DataFrame, key: str, text: str) -> DataFrame:
             F.regexp_extract_all(F.col(text), F.lit(r"[^\p{L}\p{N}]*[\p{L}\p{N}]+"), F.lit(0))
         ).alias("pos", "piece"),
     )
-    from pyspark.sql import Window
-
     upto = Window.partitionBy("key").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     ends = pieces.withColumn("end", F.sum(F.length("piece")).over(upto))
     term = F.regexp_replace("piece", "^" + WORD_BREAK, "")
@@ -146,9 +144,12 @@ class Corpus:
         )
         return cls(docs, key, occurrences, lengths, analyzer)
 
-    def stats(self, name: str) -> tuple[Column, Column]:
-        """Number of documents and mean length of a field, as scalar subqueries."""
-        one = self.lengths.agg(
+    def stats_row(self, name: str) -> Column:
+        """struct(n, avgdl) of a field: number of documents and mean length, as one scalar subquery."""
+        return self.lengths.agg(
             F.struct(F.count(F.lit(1)).alias("n"), F.avg(F.col(name)).alias("avgdl")).alias("s")
         ).scalar()
-        return one["n"], one["avgdl"]
+
+    def stats(self, name: str) -> tuple[Column, Column]:
+        row = self.stats_row(name)
+        return row["n"], row["avgdl"]

@@ -340,6 +340,7 @@ class _Plan:
     frequencies: dict[str, Column] = dataclass_field(default_factory=dict)
     predicates: dict[str, Column] = dataclass_field(default_factory=dict)
     leaves: dict[Query, tuple[Column, Column]] = dataclass_field(default_factory=dict)
+    scored_fields: set[str] = dataclass_field(default_factory=set)
     scored: bool = True
 
     def leaf(self, query: Query) -> tuple[Column, Column]:
@@ -386,10 +387,9 @@ class _Plan:
         return tf, names
 
     def _bm25(self, field: str, tf: Column, names: list[str]) -> Column:
-        total, mean = self.corpus.stats(field)
-        rarity = sum(
-            (idf(total, F.col("found")[name]) for name in names[1:]), idf(total, F.col("found")[names[0]])
-        )
+        self.scored_fields.add(field)
+        total, mean = F.col(f"coll_{field}")["n"], F.col(f"coll_{field}")["avgdl"]
+        rarity = functools.reduce(operator.add, [idf(total, F.col("found")[n]) for n in names])
         return rarity * bm25_weight(tf, F.col(f"dl_{field}"), mean)
 
     def walk(self, query: Query) -> tuple[Column, Column, bool]:
@@ -459,7 +459,8 @@ def _rows(plan: _Plan, alone: bool) -> DataFrame:
         counts = grouped.agg(
             F.struct(*[c.alias(n) for n, c in plan.frequencies.items()]).alias("found")
         )
-        rows = rows.withColumn("found", counts.scalar())
+        stats = {f"coll_{name}": corpus.stats_row(name) for name in sorted(plan.scored_fields)}
+        rows = rows.withColumns({"found": counts.scalar(), **stats})
     return rows
 
 

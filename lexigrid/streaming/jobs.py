@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lexigrid.functions.tokens import SEARCH, Analyzer
 from lexigrid.operators.postings import build_postings, token_table
+from lexigrid.session import spread
 from lexigrid.sources.schema import SearchSchema, validate
 
 
@@ -46,7 +47,7 @@ def stream_ingest(
         marked.write.mode("overwrite").partitionBy("verdict").parquet(f"{root}/docs/batch={number}")
         # Index what was written: a replayed source can then not differ between the two.
         stored = batch.sparkSession.read.parquet(f"{root}/docs/batch={number}")
-        good = stored.where(F.col("verdict") == "accepted")
+        good = spread(stored.where(F.col("verdict") == "accepted"), key)
         index = build_postings(token_table(good, key, {text: text}, analyzer))
         index.write.mode("overwrite").parquet(f"{root}/postings/batch={number}")
 
