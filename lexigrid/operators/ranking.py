@@ -193,12 +193,21 @@ def more_like_this(
     min_length: int = 0,
     max_length: int | None = None,
     boost: float = 1.0,
+    hot_share: float = 0.1,
     salts: int = 8,
 ) -> DataFrame:
     """(seed, key, score, rank) for a table of seed postings (seed, field, term, tf).
 
-    The best ``max_terms`` terms of a seed by tf * idf make an OR query.  The join by term
-    is salted by document, and scores are added up per task before they move.
+    The best ``max_terms`` terms of a seed by tf * idf make an OR query.  Terms held by more
+    than ``hot_share`` of the documents are not paired with every seed that holds them:
+
+    * the other terms propose documents, and only these look up the seed's hot terms;
+    * a document holding hot terms alone scores at most 2.2 * idf for each of them, so a seed
+      whose k-th proposal beats that sum is finished;
+    * remaining seeds share one ranking per set of hot terms.  Its best k are enough: every
+      document behind them has k documents ahead of it whose full scores are no lower.
+
+    The result is the exact top k.
     """
     picked = seeds.join(stats, ["field", "term"]).where(
         (F.col("tf") >= min_tf)
@@ -207,29 +216,65 @@ def more_like_this(
         & (F.lit(True) if max_df is None else F.col("df") <= max_df)
         & (F.lit(True) if max_length is None else F.length("term") <= max_length)
     )
-    weighted = picked.withColumn("idf", idf(n_docs, F.col("df")))
-    order = Window.partitionBy("seed").orderBy(
-        F.desc(F.round(F.col("tf") * F.col("idf"), 9)), "field", "term"
-    )
-    chosen = weighted.withColumn("n", F.row_number().over(order)).where(F.col("n") <= max_terms)
-    spread = chosen.select(
+    weighted = picked.select(
         "seed",
         "field",
         "term",
-        "idf",
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")).alias("salt"),
+        "tf",
+        (idf(n_docs, F.col("df")) * F.lit(float(boost))).alias("idf"),
+        (F.col("df") > n_docs * hot_share).alias("hot"),
+    )
+    order = Window.partitionBy("seed").orderBy(
+        F.desc(F.round(F.col("tf") * F.col("idf"), 9)), "field", "term"
     )
+    chosen = (
+        weighted.withColumn("n", F.row_number().over(order))
+        .where(F.col("n") <= max_terms)
+        .select("seed", "field", "term", "idf", "hot")
+    )
+    weight = F.col("idf") * bm25_weight(F.col("tf"), F.col("dl"), avgdl)
     salted = postings.select(
-        "key", "field", "term", F.col("tf").alias("doc_tf"), "dl",
-        F.pmod(F.xxhash64("key"), F.lit(salts)).alias("salt"),
+        "key", "field", "term", "tf", "dl", F.pmod(F.xxhash64("key"), F.lit(salts)).alias("salt")
     )
-    weight = F.col("idf") * bm25_weight(F.col("doc_tf"), F.col("dl"), avgdl) * F.lit(float(boost))
-    scored = (
-        spread.join(salted, ["field", "term", "salt"])
-        .groupBy("seed", "key")
-        .agg(F.sum(weight).alias("score"))
+
+    def pair_up(terms: DataFrame) -> DataFrame:
+        every_salt = F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")
+        spread = terms.withColumn("salt", F.explode(every_salt))
+        return spread.join(salted, ["field", "term", "salt"]).withColumn("w", weight)
+
+    cold = chosen.where(~F.col("hot"))
+    hot = (
+        chosen.where("hot")
+        .groupBy("seed")
+        .agg(F.array_sort(F.collect_list(F.struct("field", "term", "idf"))).alias("hot_terms"))
+    )
+    proposed = pair_up(cold).groupBy("seed", "key").agg(F.sum("w").alias("w"))
+    looked_up = (
+        proposed.select("seed", "key")
+        .join(hot, "seed")
+        .select("seed", "key", F.inline("hot_terms"))
+        .join(postings.select("key", "field", "term", "tf", "dl"), ["key", "field", "term"])
+        .select("seed", "key", weight.alias("w"))
+    )
+    full = (
+        proposed.unionByName(looked_up).groupBy("seed", "key").agg(F.sum("w").alias("score"))
+    )
+    best = top_k(full, k, by="seed").drop("rank")
+
+    reached = best.groupBy("seed").agg(F.min("score").alias("kth"), F.count(F.lit(1)).alias("n"))
+    ceiling = F.aggregate("hot_terms", F.lit(0.0), lambda total, t: total + t["idf"] * (K1 + 1))
+    open_seeds = hot.join(reached, "seed", "left").where(
+        F.col("n").isNull() | (F.col("n") < k) | (ceiling >= F.col("kth") - 1e-9)
+    )
+    shared = open_seeds.select("hot_terms").distinct().select("hot_terms", F.inline("hot_terms"))
+    by_set = pair_up(shared).groupBy("hot_terms", "key").agg(F.sum("w").alias("score"))
+    hot_best = (
+        open_seeds.select("seed", "hot_terms")
+        .join(top_k(by_set, k, by="hot_terms"), "hot_terms")
+        .select("seed", "key", "score")
     )
-    return top_k(scored, k, by="seed")
+    merged = best.unionByName(hot_best).groupBy("seed", "key").agg(F.max("score").alias("score"))
+    return top_k(merged, k, by="seed")
 
 
 def term_frequency_score(fields: dict[str, float], terms: list[str]) -> Column:
