@@ -396,30 +396,44 @@ def fallback_tiers(text: str) -> list[tuple[str, q.Query]]:
     ]
 
 
-@plan(
-    "fallback_search",
-    rf"""
+FALLBACK_TEXTS = {
+    "found as phrase": "of thing",
+    "found by all words": "thing with of from",
+    "found by any word": "thing qqqqqqqqqq",
+    "found by spelling": "thethher",
+    "found nowhere": "qqqqqqqqqqqq",
+}
+
+
+def fallback_sql() -> str:
+    """Every strategy of every text, then the first that found something."""
+    tried = []
+    for name, text in FALLBACK_TEXTS.items():
+        words = [f"line LIKE '% {w} %'" for w in text.split()]
+        near = " OR ".join(f"levenshtein({ASCII_TERM}, '{w}') <= 2" for w in text.split())
+        steps = {
+            "phrase": f"SELECT doc_id FROM lines WHERE line LIKE '% {text} %'",
+            "and": f"SELECT doc_id FROM lines WHERE {' AND '.join(words)}",
+            "or": f"SELECT doc_id FROM lines WHERE {' OR '.join(words)}",
+            "fuzzy": f"SELECT DISTINCT doc_id FROM toks WHERE {near}",
+        }
+        tried += [
+            f"SELECT '{name}' AS query_id, {tier} AS tier, '{strategy}' AS strategy, doc_id FROM ({sql})"
+            for tier, (strategy, sql) in enumerate(steps.items())
+        ]
+    return f"""
     WITH {SQL_TOKENS},
     lines AS (SELECT doc_id, ' ' || string_agg(term, ' ' ORDER BY pos) || ' ' AS line FROM toks GROUP BY doc_id),
-    tried AS (
-        SELECT 'found as phrase' AS query_id, 1 AS tier, 'phrase' AS strategy, doc_id FROM lines WHERE line LIKE '% of thing %'
-        UNION ALL SELECT 'found by all words', 2, 'and', doc_id FROM lines
-            WHERE line LIKE '% thing %' AND line LIKE '% with %' AND line LIKE '% of %' AND line LIKE '% from %'
-        UNION ALL SELECT 'found by any word', 3, 'or', doc_id FROM lines WHERE line LIKE '% thing %'
-        UNION ALL SELECT DISTINCT 'found by spelling', 4, 'fuzzy', doc_id FROM toks
-            WHERE levenshtein({ASCII_TERM}, 'thethher') <= 2)
-    SELECT query_id, strategy, count(*) AS n_hits, sum(doc_id)::BIGINT AS id_sum FROM tried GROUP BY 1, 2""",
-)
+    tried AS ({' UNION ALL '.join(tried)}),
+    first AS (SELECT query_id, min(tier) AS tier FROM tried GROUP BY query_id)
+    SELECT query_id, strategy, count(*) AS n_hits, sum(doc_id)::BIGINT AS id_sum
+    FROM tried JOIN first USING (query_id, tier) GROUP BY 1, 2"""
+
+
+@plan("fallback_search", fallback_sql())
 def fallback_search(spark, d):
-    """First strategy with hits for each query; all four queries in one pass."""
-    texts = {
-        "found as phrase": "of thing",
-        "found by all words": "thing with of from",
-        "found by any word": "thing qqqqqqqqqq",
-        "found by spelling": "thethher",
-        "found nowhere": "qqqqqqqqqqqq",
-    }
-    tiers = {name: fallback_tiers(text) for name, text in texts.items()}
+    """First strategy with hits for each query; all queries in one pass."""
+    tiers = {name: fallback_tiers(text) for name, text in FALLBACK_TEXTS.items()}
     found = q.first_non_empty(corpus(spark, d), tiers)
     return found.groupBy("query_id", "strategy").agg(
         F.count(F.lit(1)).alias("n_hits"), F.sum("key").alias("id_sum")
