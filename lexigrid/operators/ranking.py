@@ -8,6 +8,8 @@ import operator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexigrid.session import stored
+
 # BM25 constants.
 K1 = 1.2
 B = 0.75
@@ -194,20 +196,24 @@ def more_like_this(
     max_length: int | None = None,
     boost: float = 1.0,
     hot_share: float = 0.1,
+    direct_pairs: int = 20_000_000,
     salts: int = 8,
 ) -> DataFrame:
     """(seed, key, score, rank) for a table of seed postings (seed, field, term, tf).
 
-    The best ``max_terms`` terms of a seed by tf * idf make an OR query.  Terms held by more
-    than ``hot_share`` of the documents are not paired with every seed that holds them:
+    The best ``max_terms`` terms of a seed by tf * idf make an OR query.  Document
+    frequencies tell how many (seed, document) contributions that makes; up to
+    ``direct_pairs`` they are simply added up.  Beyond it, terms held by more than
+    ``hot_share`` of the documents are not paired with every seed that holds them:
 
-    * the other terms propose documents, and only these look up the seed's hot terms;
+    * the other terms propose documents; those that hot terms could still lift to the k-th
+      best proposal look up the seed's hot terms;
     * a document holding hot terms alone scores at most 2.2 * idf for each of them, so a seed
       whose k-th proposal beats that sum is finished;
     * remaining seeds share one ranking per set of hot terms.  Its best k are enough: every
       document behind them has k documents ahead of it whose full scores are no lower.
 
-    The result is the exact top k.
+    Both ways give the exact top k.
     """
     picked = seeds.join(stats, ["field", "term"]).where(
         (F.col("tf") >= min_tf)
@@ -223,6 +229,7 @@ def more_like_this(
         "tf",
         (idf(n_docs, F.col("df")) * F.lit(float(boost))).alias("idf"),
         (F.col("df") > n_docs * hot_share).alias("hot"),
+        "df",
     )
     order = Window.partitionBy("seed").orderBy(
         F.desc(F.round(F.col("tf") * F.col("idf"), 9)), "field", "term"
@@ -230,9 +237,11 @@ def more_like_this(
     chosen = (
         weighted.withColumn("n", F.row_number().over(order))
         .where(F.col("n") <= max_terms)
-        .select("seed", "field", "term", "idf", "hot")
+        .select("seed", "field", "term", "idf", "hot", "df")
     )
+    chosen = stored(chosen, "seed-terms")
     weight = F.col("idf") * bm25_weight(F.col("tf"), F.col("dl"), avgdl)
+    postings = postings.join(chosen.select("field", "term").distinct(), ["field", "term"], "left_semi")
     salted = postings.select(
         "key", "field", "term", "tf", "dl", F.pmod(F.xxhash64("key"), F.lit(salts)).alias("salt")
     )
@@ -242,6 +251,11 @@ def more_like_this(
         spread = terms.withColumn("salt", F.explode(every_salt))
         return spread.join(salted, ["field", "term", "salt"]).withColumn("w", weight)
 
+    contributions = chosen.agg(F.sum("df")).first()[0] or 0
+    if contributions <= direct_pairs:
+        added = pair_up(chosen).groupBy("seed", "key").agg(F.sum("w").alias("score"))
+        return top_k(added, k, by="seed")
+
     cold = chosen.where(~F.col("hot"))
     hot = (
         chosen.where("hot")
@@ -249,9 +263,15 @@ def more_like_this(
         .agg(F.array_sort(F.collect_list(F.struct("field", "term", "idf"))).alias("hot_terms"))
     )
     proposed = pair_up(cold).groupBy("seed", "key").agg(F.sum("w").alias("w"))
+    ceiling = F.aggregate("hot_terms", F.lit(0.0), lambda total, t: total + t["idf"] * (K1 + 1))
+    lowest = (
+        top_k(proposed.withColumnRenamed("w", "score"), k, by="seed")
+        .groupBy("seed")
+        .agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).otherwise(0.0).alias("floor"))
+    )
     looked_up = (
-        proposed.select("seed", "key")
-        .join(hot, "seed")
+        proposed.join(hot.join(lowest, "seed"), "seed")
+        .where(F.col("w") + ceiling >= F.col("floor") - 1e-9)
         .select("seed", "key", F.inline("hot_terms"))
         .join(postings.select("key", "field", "term", "tf", "dl"), ["key", "field", "term"])
         .select("seed", "key", weight.alias("w"))
@@ -259,10 +279,9 @@ def more_like_this(
     full = (
         proposed.unionByName(looked_up).groupBy("seed", "key").agg(F.sum("w").alias("score"))
     )
-    best = top_k(full, k, by="seed").drop("rank")
+    best = stored(top_k(full, k, by="seed").drop("rank"), "proposals")
 
     reached = best.groupBy("seed").agg(F.min("score").alias("kth"), F.count(F.lit(1)).alias("n"))
-    ceiling = F.aggregate("hot_terms", F.lit(0.0), lambda total, t: total + t["idf"] * (K1 + 1))
     open_seeds = hot.join(reached, "seed", "left").where(
         F.col("n").isNull() | (F.col("n") < k) | (ceiling >= F.col("kth") - 1e-9)
     )

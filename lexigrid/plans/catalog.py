@@ -6,10 +6,17 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lexigrid.functions.tokens import SEARCH, Analyzer
-from lexigrid.operators.postings import Corpus, build_postings, token_table
-from lexigrid.session import spread
+from lexigrid.operators.postings import (
+    Corpus,
+    build_postings,
+    read_postings,
+    token_table,
+    write_postings,
+)
+from lexigrid.session import shared_folder, spread
 
 
 @dataclass(frozen=True)
@@ -47,6 +54,21 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_postings(token_table(documents(spark, sf_dir), "doc_id", {"text": "text"}))
 
 
+def stored_postings(spark: SparkSession, sf_dir: str, buckets: int = 8) -> DataFrame:
+    """(key, field, term, tf, dl) of all documents from an index written once.
+
+    Jobs that read postings several times would analyse every text as often; a written table
+    ends that, and survives lost executors.
+    """
+    occurrences = corpus(spark, sf_dir).occurrences
+    index = occurrences.groupBy("key", "field", "term").agg(
+        F.sum("tf").alias("tf"), F.max("dl").alias("dl")
+    )
+    path = shared_folder(spark, "postings")
+    write_postings(index, path, buckets=buckets, salts=1)
+    return read_postings(spark, path)
+
+
 # SQL the plans share.  Words are split by the same rule but everything after that -
 # matching, counting, scoring - is stated in plain SQL.
 WORDS = r"string_split_regex(lower(text), '[^\p{L}\p{N}]+')"

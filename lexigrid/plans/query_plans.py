@@ -17,6 +17,7 @@ from lexigrid.plans.catalog import (
     documents,
     plan,
     sql_bm25,
+    stored_postings,
     table,
 )
 
@@ -280,14 +281,11 @@ def exists(spark, d):
 def more_like_this(spark, d):
     """Documents like each benchmark passage, all passages at once."""
     docs = corpus(spark, d)
-    index = docs.occurrences.groupBy("key", "field", "term").agg(
-        F.sum("tf").alias("tf"), F.max("dl").alias("dl")
-    )
+    index = stored_postings(spark, d)
     seeds = ps.build_postings(ps.token_table(table(spark, d, "benchmark"), "item_id", {"text": "text"}))
     seeds = seeds.select(F.col("key").alias("seed"), "field", "term", "tf")
-    wanted = index.join(seeds.select("term").distinct(), "term", "left_semi")
     similar = rk.more_like_this(
-        seeds, wanted, ps.term_stats(wanted), *docs.stats("text"), k=5, min_tf=1, min_length=3
+        seeds, index, ps.term_stats(index), *docs.stats("text"), k=5, min_tf=1, min_length=3
     )
     return similar.select(
         F.col("seed").alias("item_id"),

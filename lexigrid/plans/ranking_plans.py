@@ -16,6 +16,7 @@ from lexigrid.plans.catalog import (
     documents,
     plan,
     sql_bm25,
+    stored_postings,
     table,
 )
 from lexigrid.plans.query_plans import hits, term_cte
@@ -181,9 +182,7 @@ def query_table(spark, d) -> DataFrame:
 def batch_search(spark, d):
     """All passages and user turns as AND queries over all documents in one job."""
     docs = corpus(spark, d)
-    index = docs.occurrences.groupBy("key", "field", "term").agg(
-        F.sum("tf").alias("tf"), F.max("dl").alias("dl")
-    )
+    index = stored_postings(spark, d)
     found = rk.batch_search(query_table(spark, d), index, *docs.stats("text"), k=10)
     return found.select(
         "query_id", F.col("key").alias("doc_id"), "rank", F.round("score", 6).alias("score")

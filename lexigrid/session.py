@@ -43,6 +43,17 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written to the shared folder and read back.
+
+    Cuts the lineage of a result that several later steps read, so it is worked out once and
+    survives lost executors.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame, key: str, small_bytes: int = 1 << 30) -> DataFrame:
     """Use all cores on an input with fewer splits than cores.
 

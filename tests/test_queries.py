@@ -178,10 +178,11 @@ def test_more_like_this(spark):
     seeds = {1: ["the", "w1"], 2: ["the", "of"], 3: ["w2", "w3", "of"], 4: ["the"], 5: ["nowhere"]}
     table = spark.createDataFrame([(i, "text", t, 1) for i, ts in seeds.items() for t in ts], "seed long, field string, term string, tf long")
     postings = build_postings(token_table(df, "id", {"text": "text"}))
-    for hot_share in (0.0, 0.2, 1.0):
+    for hot_share, direct in ((0.0, 0), (0.2, 0), (1.0, 0), (0.1, 1000)):
         found = {}
         similar = rk.more_like_this(
-            table, postings, term_stats(postings), *corpus.stats("text"), k=4, min_df=1, min_tf=1, hot_share=hot_share
+            table, postings, term_stats(postings), *corpus.stats("text"), k=4, min_df=1, min_tf=1, hot_share=hot_share,
+            direct_pairs=direct,
         )
         for r in similar.orderBy("rank").collect():
             found.setdefault(r.seed, []).append(r.key)
