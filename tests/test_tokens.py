@@ -94,6 +94,11 @@ def test_stop_words():
         ("cries", "en", "cri"), ("by", "en", "by"), ("national", "en", "nation"), ("caresses", "en", "caress"),
         ("aufeinander", "de", "aufeinand"), ("häuser", "de", "haus"), ("kategorischen", "de", "kategor"),
         ("jährlich", "de", "jahrlich"), ("verheiratung", "de", "verheirat"), ("tages", "de", "tag"),
+        ("continu", "fr", "continu"), ("continuait", "fr", "continu"), ("continuation", "fr", "continu"),
+        ("majestueusement", "fr", "majestu"), ("majesté", "fr", "majest"), ("maintenant", "fr", "mainten"),
+        ("chevaux", "fr", "cheval"), ("nationalité", "fr", "national"), ("quand", "fr", "quand"),
+        ("chicas", "es", "chic"), ("chico", "es", "chic"), ("torneos", "es", "torne"), ("tormentas", "es", "torment"),
+        ("cheques", "es", "chequ"), ("rápidamente", "es", "rapid"), ("toreado", "es", "tor"), ("logías", "es", "log"),
     ],
 )
 def test_stems(word, language, stem):
