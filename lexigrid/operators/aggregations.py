@@ -19,6 +19,7 @@ from lexigrid.operators.percentiles import exact_percentiles
 from lexigrid.operators.postings import Corpus
 from lexigrid.operators.queries import Query, match
 from lexigrid.operators.ranking import top_k
+from lexigrid.session import stored
 
 # Request vocabulary, default percentiles and the bucket ceiling.
 BUCKETS = {"terms": ["field"], "histogram": ["field", "interval"], "date_histogram": ["field"], "range": ["field", "ranges"]}
@@ -292,8 +293,12 @@ def aggregate(df: DataFrame, request: dict) -> DataFrame:
 def search_with_aggregations(
     corpus: Corpus, query: Query, request: dict, k: int = 10
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(hits, aggregations, total) of one match set; the total counts all matches."""
-    found = match(corpus, query)
+    """(hits, aggregations, total) of one match set; the total counts all matches.
+
+    The matches are written once, so the texts are searched once however many aggregations
+    read the result.
+    """
+    found = stored(match(corpus, query), "matches")
     matched = corpus.docs.join(found.select(F.col("key").alias(corpus.key)), corpus.key, "left_semi")
     total = found.agg(F.count(F.lit(1)).alias("total"))
     return top_k(found, k), aggregate(matched, request), total

@@ -153,3 +153,34 @@ class Corpus:
     def stats(self, name: str) -> tuple[Column, Column]:
         row = self.stats_row(name)
         return row["n"], row["avgdl"]
+
+
+def save_index(corpus: Corpus, path: str, buckets: int = BUCKETS, salts: int = 8) -> None:
+    """Postings by term bucket and document lengths, written once for many searches."""
+    postings = corpus.occurrences.groupBy("key", "field", "term").agg(
+        F.sum("tf").alias("tf"),
+        F.sort_array(F.flatten(F.collect_list("positions"))).alias("positions"),
+        F.max("dl").alias("dl"),
+    )
+    write_postings(postings, f"{path}/postings", buckets, salts)
+    corpus.lengths.write.mode("errorifexists").parquet(f"{path}/lengths")
+
+
+def load_index(
+    docs: DataFrame,
+    key: str,
+    path: str,
+    terms: list[str] | None = None,
+    buckets: int = BUCKETS,
+    analyzer: Analyzer = SEARCH,
+) -> Corpus:
+    """A corpus over a saved index: no text is analysed, and with ``terms`` only their
+    buckets are read.  Queries on prefixes, patterns or spellings need all terms."""
+    spark = docs.sparkSession
+    return Corpus(
+        docs,
+        key,
+        read_postings(spark, f"{path}/postings", terms, buckets),
+        spark.read.parquet(f"{path}/lengths"),
+        analyzer,
+    )

@@ -78,9 +78,28 @@ def top_k(matches: DataFrame, k: int = 10, by: str | None = None) -> DataFrame:
     return matches.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def with_documents(hits: DataFrame, docs: DataFrame, key: str, stored: list[str]) -> DataFrame:
-    """Stored columns joined after the top-k, so only k rows ask for them."""
-    return hits.join(docs.select(F.col(key).alias("key"), *stored), "key")
+def with_documents(
+    hits: DataFrame, docs: DataFrame, key: str, columns: list[str], known: list | None = None
+) -> DataFrame:
+    """Stored columns joined after the top-k, so only hits ask for them.
+
+    ``known`` keys, at most a page of them, reach the scan as a filter: row groups whose key
+    range holds none of them are skipped before any text is read.
+    """
+    rows = docs.select(F.col(key).alias("key"), *columns)
+    if known is not None:
+        rows = rows.where(F.col("key").isin(*known))
+    return hits.join(rows, "key")
+
+
+def fetch_top(matches: DataFrame, docs: DataFrame, key: str, columns: list[str], k: int = 10) -> DataFrame:
+    """Best k hits with stored columns, for tables too large to scan for them.
+
+    The k hits are written first; their keys, no more than k, prune the document scan.
+    """
+    best = stored(top_k(matches, k), "top-hits")
+    known = [row["key"] for row in best.select("key").limit(k).collect()]
+    return with_documents(best, docs, key, columns, known)
 
 
 def merge_shards(shards: dict[str, DataFrame], strategy: str, limit: int, offset: int = 0) -> DataFrame:

@@ -20,6 +20,7 @@ from lexigrid.plans.catalog import (
     table,
 )
 from lexigrid.plans.query_plans import hits, term_cte
+from lexigrid.session import shared_folder
 
 TERMS = "thing with from"
 SQL_ANY = f"""
@@ -138,14 +139,23 @@ def search_ids(spark, d):
     FROM best JOIN documents d USING (doc_id)""",
 )
 def search_documents(spark, d):
-    best = rk.top_k(found_by_any(spark, d), 10)
-    stored = ["lang", "source", "n_chars", "text"]
-    full = rk.with_documents(best, table(spark, d, "documents"), "doc_id", stored)
+    columns = ["lang", "source", "n_chars", "text"]
+    full = rk.fetch_top(found_by_any(spark, d), table(spark, d, "documents"), "doc_id", columns, 10)
     return full.select(
-        F.col("key").alias("doc_id"), "rank", F.round("score", 6).alias("score"), *stored
+        F.col("key").alias("doc_id"), "rank", F.round("score", 6).alias("score"), *columns
     )
 
 
+@plan("indexed_search", f"{SQL_TOP} SELECT doc_id, round(score, 6) AS score, rank::INT AS rank FROM best")
+def indexed_search(spark, d):
+    """The same top ten from an index on disk, reading only the buckets of the three terms."""
+    path = shared_folder(spark, "index")
+    ps.save_index(corpus(spark, d), path, buckets=16, salts=1)
+    docs = ps.load_index(table(spark, d, "documents"), "doc_id", path, TERMS.split(), buckets=16)
+    best = rk.top_k(q.match(docs, q.any_terms("text", TERMS)), 10)
+    return best.select(F.col("key").alias("doc_id"), F.round("score", 6).alias("score"), "rank")
+
+
 def query_table(spark, d) -> DataFrame:
     """(query_id, term): every benchmark passage and every user turn as a query."""
     items = table(spark, d, "benchmark").select(

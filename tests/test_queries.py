@@ -6,7 +6,15 @@ from pyspark.sql import functions as F
 from lexigrid.operators import facets as fc
 from lexigrid.operators import queries as q
 from lexigrid.operators import ranking as rk
-from lexigrid.operators.postings import Corpus, build_postings, term_stats, token_table
+from lexigrid.operators.postings import (
+    Corpus,
+    build_postings,
+    load_index,
+    save_index,
+    term_stats,
+    token_table,
+)
+from lexigrid.session import shared_folder
 
 
 @pytest.fixture(scope="module")
@@ -112,6 +120,24 @@ def test_stored_postings_answer_like_tokens(index, guides):
         assert left == {r.key: round(r.score, 9) for r in q.match(stored, query).collect()}
 
 
+def test_saved_index(index, guides, spark):
+    path = shared_folder(spark, "index")
+    save_index(index, path, buckets=4, salts=2)
+    query = q.Bool(must=(q.Term("content", "programming"),), should=(q.phrase("title", ["rust", "programming"]),))
+    left = {r.key: round(r.score, 9) for r in q.match(index, query).collect()}
+    for terms in (None, ["programming", "rust"]):
+        saved = load_index(guides, "id", path, terms, buckets=4)
+        assert left == {r.key: round(r.score, 9) for r in q.match(saved, query).collect()}
+
+
+def test_fetch_top_prunes_the_scan(spark, guides, index):
+    path = shared_folder(spark, "docs")
+    guides.write.parquet(path)
+    found = rk.fetch_top(q.match(index, q.Term("title", "rust")), spark.read.parquet(path), "id", ["title"], 5)
+    assert [(r.key, r.title) for r in found.collect()] == [(1, "Rust Programming Guide")]
+    assert "PushedFilters: [IsNotNull(id), EqualTo(id,1)]" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_top_k_ties_by_key(spark):
     df = spark.createDataFrame([(3, 1.0), (1, 1.0), (2, 2.0)], "key long, score double")
     assert [(r.key, r["rank"]) for r in rk.top_k(df, 2).orderBy("rank").collect()] == [(2, 1), (1, 2)]
