@@ -82,13 +82,14 @@ def term_stats(postings: DataFrame) -> DataFrame:
 def write_postings(postings: DataFrame, path: str, buckets: int = BUCKETS, salts: int = 8) -> None:
     """Postings as Parquet split by term bucket, so a term reads one folder.
 
-    The salt spreads the rows of a hot term over several tasks and files.
+    The salt spreads the rows of a hot term over several tasks and files; every task writes
+    one file of one bucket.
     """
     bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
-    salt = F.pmod(F.xxhash64("key"), F.lit(salts))
+    salt = F.pmod(F.xxhash64("key"), F.lit(salts)).cast("int")
     (
         postings.withColumn("bucket", bucket)
-        .repartition(buckets * salts, F.col("bucket"), salt)
+        .repartitionById(buckets * salts, F.col("bucket") * salts + salt)
         .sortWithinPartitions("bucket", "term")
         .write.mode("errorifexists")
         .partitionBy("bucket")
