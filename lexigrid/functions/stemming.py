@@ -8,9 +8,10 @@ worked out and a repeated word costs one lookup.  Nothing is shuffled for it.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -396,11 +397,20 @@ def supported_languages() -> list[str]:
     return sorted(STEMMERS)
 
 
-@lru_cache(maxsize=1_000_000)
+KNOWN: dict[tuple[str, str], str] = {}
+KNOWN_LIMIT = 1_000_000
+
+
 def stem_word(word: str, language: str) -> str:
     """Stem of one lower-case word; a language without rules keeps the word."""
-    rule = STEMMERS.get(LANGUAGES.get(language, language))
-    return rule(word) if rule else word
+    stem = KNOWN.get((word, language))
+    if stem is None:
+        rule = STEMMERS.get(LANGUAGES.get(language, language))
+        stem = rule(word) if rule else word
+        if len(KNOWN) >= KNOWN_LIMIT:
+            KNOWN.clear()
+        KNOWN[(word, language)] = stem
+    return stem
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -413,5 +423,9 @@ def _stem_arrays(tokens: pd.Series, language: pd.Series) -> pd.Series:
     )
 
 
+# The rules travel with the function, so workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def stem_tokens(tokens: Column, language: Column) -> Column:
     return _stem_arrays(tokens, F.coalesce(language, F.lit("none")))
