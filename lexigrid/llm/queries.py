@@ -5,6 +5,9 @@ from lexigrid.llm import (  # noqa: F401
     warc,
     chat,
     line_cleaning,
+    line_dedup,
+    bm25_packing,
+    weak_toxicity,
 )
 from lexigrid.llm.registry import QUERIES, SQL
 

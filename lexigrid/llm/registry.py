@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable
+from functools import wraps
 
+import lexigrid
 from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -12,7 +17,12 @@ SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(build: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = build
+        @wraps(build)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return build(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             SQL[name] = sql
         return build
@@ -20,5 +30,23 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers, once, unless their Python path has it already."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(lexigrid.__file__)))
+    paths = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    context = spark.sparkContext
+    if context.master.startswith("local") and not context.master.startswith("local-"):
+        paths.append(os.getcwd())
+    app = context.applicationId
+    if app in _shipped or root in map(os.path.abspath, paths):
+        return
+    folder = tempfile.mkdtemp(prefix="lexigrid-code-")
+    context.addPyFile(shutil.make_archive(f"{folder}/lexigrid", "zip", root, "lexigrid"))
+    _shipped.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
