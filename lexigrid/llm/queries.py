@@ -8,6 +8,7 @@ from lexigrid.llm import (  # noqa: F401
     line_dedup,
     bm25_packing,
     weak_toxicity,
+    decontaminate,
 )
 from lexigrid.llm.registry import QUERIES, SQL
 
