@@ -9,6 +9,7 @@ from lexigrid.llm import (  # noqa: F401
     bm25_packing,
     weak_toxicity,
     decontaminate,
+    trie_join,
 )
 from lexigrid.llm.registry import QUERIES, SQL
 
