@@ -472,7 +472,7 @@ def remaining_pairs(entries: DataFrame, sets: DataFrame, roots: DataFrame, share
 
 
 def ngram_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_shingles, component_id) of every row.
+    """(key, n_shingles, component_id, text_hash) of every row.
 
     Rows link when their sets of five-word shingles have a Jaccard similarity of 0.75 or more;
     A-Z count as a-z.  With fewer words the whole sequence is the one shingle.  A null text or
@@ -500,20 +500,24 @@ def ngram_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     return sets.join(classes, "set_id", "left").select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"),
+        "text_hash",
     )
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each class of near copies: the one with the smallest key.
 
-    Texts without words are in no class, and their rows stay.  Rows equal in key and text are
-    one document, which stays once; rows with a null key stay.
+    Texts without words are in no class, and their rows stay.  A key stands for a document:
+    rows with the key that stays and a text of its class all stay, and so do null keys.
     """
-    classes = ngram_classes(docs, key, text).where(F.col(key).isNotNull() & (F.col(key) != F.col("component_id")))
-    copies = classes.select(key).distinct()
-    return docs.join(copies, key, "left_anti")
+    classes = ngram_classes(docs, key, text)
+    copies = classes.where(F.col(key) != F.col("component_id")).select(
+        F.col(key).alias("key_"), F.col("text_hash").alias("hash_")
+    ).distinct()
+    on = (F.col(key) == F.col("key_")) & (F.xxhash64(F.col(text)) == F.col("hash_"))
+    return docs.join(copies, on, "left_anti")
 
 
 @query("op2_trie_jaccard_join")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return ngram_classes(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text_hash")
