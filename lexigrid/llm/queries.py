@@ -10,6 +10,7 @@ from lexigrid.llm import (  # noqa: F401
     weak_toxicity,
     decontaminate,
     trie_join,
+    attention_lm,
 )
 from lexigrid.llm.registry import QUERIES, SQL
 
