@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexigrid.llm.registry import query, table
-from lexigrid.llm.textbatch import slices, text_bytes
+from lexigrid.llm.subwords import subword_ids
+from lexigrid.llm.textbatch import batch_words
 from lexigrid.session import stored
 
 WINDOW = 2048
@@ -28,39 +29,6 @@ END = 1
 K1, B = 1.2, 0.75
 
 
-class SubwordIds(dict):
-    """Packed 16-bit ids of a word.  The tokenizer splits at white space, so the ids of a text
-    are the ids of its words one after another.  At most ``most`` words are remembered."""
-
-    def __init__(self, path: str, most: int = 400_000):
-        from tokenizers import Tokenizer
-
-        super().__init__()
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        packed = np.array(ids, "<u2").tobytes()
-        if len(self) >= self.most:
-            self.clear()
-        if len(word) <= 64:
-            self[word] = packed
-        return packed
-
-    def encode(self, text: bytes) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.__getitem__, text.split())), "<u2")
-
-
-_known: dict[str, SubwordIds] = {}
-
-
-def subword_ids(path: str) -> SubwordIds:
-    """One memory of words for each worker process."""
-    if path not in _known:
-        _known[path] = SubwordIds(path)
-    return _known[path]
-
-
 def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
@@ -84,12 +52,10 @@ def tokenize(docs: DataFrame, key: str, text: str, tokenizer: str, with_ids: boo
         known = subword_ids(tokenizer)
         base, whole, unit = TaskContext.get().partitionId() << 36, 0, 0
         for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
             keys = batch.column(0).to_pylist()
-            for a, b in slices(offsets):
+            for a, b, words in batch_words(batch.column(1)):
                 rows = []
-                for k in range(a, b):
-                    ids = known.encode(data[offsets[k] : offsets[k + 1]].tobytes())
+                for k, ids in zip(range(a, b), known.encode_words(words)):
                     ids = np.append(ids, np.uint16(END))
                     n = len(ids)
                     for at in range(0, n, WINDOW):
