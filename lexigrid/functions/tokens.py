@@ -6,10 +6,9 @@ shuffles; ``operators.postings`` explodes the arrays into token tables.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from lexigrid.functions.stemming import stem_tokens
@@ -34,12 +33,17 @@ def whitespace_tokens(text: Column) -> Column:
     return F.coalesce(F.array_remove(F.split(text, BLANK), ""), no_tokens())
 
 
+def check_pattern(pattern: str) -> None:
+    """An error unless the engine that will run the pattern can compile it."""
+    try:
+        SparkSession.active().sql("SELECT '' RLIKE :pattern", {"pattern": pattern}).collect()
+    except Exception as problem:
+        raise ValueError(f"invalid pattern {pattern!r}: {str(problem).splitlines()[0]}") from problem
+
+
 def regex_tokens(text: Column, pattern: str) -> Column:
     """Every match of ``pattern``; a pattern that cannot compile is an error right away."""
-    try:
-        re.compile(pattern)
-    except re.error as problem:
-        raise ValueError(f"invalid pattern {pattern!r}: {problem}") from problem
+    check_pattern(pattern)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     return F.coalesce(F.array_remove(found, ""), no_tokens())
 

@@ -156,6 +156,26 @@ def date_key(column: Column, settings: dict) -> Column:
     return F.date_format(start, settings.get("format", DATE_KEY))
 
 
+def fill_dates(table: DataFrame, parents: list[str], key: str, settings: dict) -> DataFrame:
+    """Empty date buckets between the first and the last, a step of the interval apart.
+
+    Labels are read back as moments, so a format must tell the whole bucket; with one that
+    does not, such as hours of the day, there is no first and last bucket to fill between.
+    """
+    form = settings.get("format", DATE_KEY)
+    moment = F.try_to_timestamp(F.col(key), F.lit(form)).cast("timestamp_ntz")
+    ends = table.groupBy(*parents).agg(F.min(moment).alias("_lo"), F.max(moment).alias("_hi"))
+    interval = (
+        settings.get("calendar_interval") or settings.get("fixed_interval") or settings.get("interval")
+    )
+    found = re.fullmatch(r"(\d+)(ms|s|m|h|d)", interval)
+    step = f"{found[1]} {UNITS[found[2]]}" if found else "3 months" if interval == "quarter" else f"1 {interval}"
+    moments = F.sequence("_lo", "_hi", F.expr(f"INTERVAL {step}"))
+    grid = ends.where("_lo IS NOT NULL").select(*parents, F.explode(moments).alias("_at"))
+    grid = grid.select(*parents, F.date_format("_at", form).alias(key)).distinct()
+    return grid.join(table, [*parents, key], "full").fillna(0, ["doc_count"])
+
+
 def keep_size(table: DataFrame, parents: list[str], key: str, settings: dict, metrics: list[str]) -> DataFrame:
     """Terms buckets that survive size and min_doc_count under the wanted order."""
     (by, direction), = settings.get("order", {"_count": "desc"}).items()
@@ -258,6 +278,8 @@ class Runner:
             table = all_ranges(every, parent_rows, keys, key, settings)
         elif settings.get("min_doc_count", 1) == 0 and kind == "histogram":
             table = fill_gaps(every, keys, key)
+        elif settings.get("min_doc_count", 1) == 0 and kind == "date_histogram":
+            table = fill_dates(every, keys, key, settings)
         else:
             table = every.where(F.col("doc_count") >= settings.get("min_doc_count", 1))
         label = step.label if step.label is not None else F.col(key)

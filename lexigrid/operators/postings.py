@@ -83,29 +83,30 @@ def write_postings(postings: DataFrame, path: str, buckets: int = BUCKETS, salts
     """Postings as Parquet split by term bucket, so a term reads one folder.
 
     The salt spreads the rows of a hot term over several tasks and files; every task writes
-    one file of one bucket.
+    one file of one bucket.  The number of buckets is part of the path, so that a reader
+    cannot assume another.
     """
     bucket = F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int")
     salt = F.pmod(F.xxhash64("key"), F.lit(salts)).cast("int")
     (
-        postings.withColumn("bucket", bucket)
+        postings.withColumn("bucket", bucket).withColumn("buckets", F.lit(buckets))
         .repartitionById(buckets * salts, F.col("bucket") * salts + salt)
         .sortWithinPartitions("bucket", "term")
         .write.mode("errorifexists")
-        .partitionBy("bucket")
+        .partitionBy("buckets", "bucket")
         .parquet(path)
     )
 
 
-def read_postings(
-    spark: SparkSession, path: str, terms: list[str] | None = None, buckets: int = BUCKETS
-) -> DataFrame:
+def read_postings(spark: SparkSession, path: str, terms: list[str] | None = None) -> DataFrame:
     """Postings written by ``write_postings``; naming terms prunes the scan to their buckets."""
     postings = spark.read.parquet(path)
     if terms is not None:
+        one = postings.select("buckets").first()
+        buckets = one.buckets if one else 1
         wanted = [F.pmod(F.xxhash64(F.lit(t)), F.lit(buckets)).cast("int") for t in terms]
         postings = postings.where(F.col("bucket").isin(*wanted) & F.col("term").isin(*terms))
-    return postings.drop("bucket")
+    return postings.drop("buckets", "bucket")
 
 
 @dataclass(frozen=True)
@@ -121,6 +122,8 @@ class Corpus:
     occurrences: DataFrame
     lengths: DataFrame
     analyzer: Analyzer = dataclass_field(default=SEARCH)
+    written_stats: DataFrame | None = None
+    buckets: int | None = None
 
     @classmethod
     def analyze(
@@ -146,7 +149,13 @@ class Corpus:
         return cls(docs, key, occurrences, lengths, analyzer)
 
     def stats_row(self, name: str) -> Column:
-        """struct(n, avgdl) of a field: number of documents and mean length, as one scalar subquery."""
+        """struct(n, avgdl) of a field: number of documents and mean length, as one scalar subquery.
+
+        A saved index has them in a file of one row a field.
+        """
+        if self.written_stats is not None:
+            row = self.written_stats.where(F.col("field") == name)
+            return row.select(F.struct("n", "avgdl").alias("s")).scalar()
         return self.lengths.agg(
             F.struct(F.count(F.lit(1)).alias("n"), F.avg(F.col(name)).alias("avgdl")).alias("s")
         ).scalar()
@@ -156,32 +165,48 @@ class Corpus:
         return row["n"], row["avgdl"]
 
 
-def save_index(corpus: Corpus, path: str, buckets: int = BUCKETS, salts: int = 8) -> None:
-    """Postings by term bucket and document lengths, written once for many searches."""
+def save_index(corpus: Corpus, path: str, tokens_per_bucket: int = 4_000_000) -> None:
+    """Postings by term bucket, document lengths and their statistics, written once for many
+    searches.  The number of buckets follows from the tokens, and that of salts from the
+    documents, which bound the rows of a term."""
+    spark = corpus.docs.sparkSession
+    corpus.lengths.write.mode("errorifexists").parquet(f"{path}/lengths")
+    lengths = spark.read.parquet(f"{path}/lengths")
+    fields = [c for c in lengths.columns if c != "key"]
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("field"),
+                F.count(F.lit(1)).alias("n"),
+                F.avg(c).alias("avgdl"),
+                F.sum(F.col(c).cast("bigint")).alias("tokens"),
+            )
+            for c in fields
+        ]
+    )
+    lengths.agg(rows.alias("rows")).select(F.inline("rows")).write.parquet(f"{path}/stats")
+    total, n = spark.read.parquet(f"{path}/stats").agg(F.sum("tokens"), F.max("n")).first()
     postings = corpus.occurrences.groupBy("key", "field", "term").agg(
         F.sum("tf").alias("tf"),
         F.sort_array(F.flatten(F.collect_list("positions"))).alias("positions"),
         F.max("dl").alias("dl"),
     )
-    write_postings(postings, f"{path}/postings", buckets, salts)
-    corpus.lengths.write.mode("errorifexists").parquet(f"{path}/lengths")
+    buckets = max(8, -(-(total or 0) // tokens_per_bucket))
+    write_postings(postings, f"{path}/postings", buckets, salts=1 + (n or 0) // tokens_per_bucket)
 
 
-def load_index(
-    docs: DataFrame,
-    key: str,
-    path: str,
-    terms: list[str] | None = None,
-    buckets: int = BUCKETS,
-    analyzer: Analyzer = SEARCH,
-) -> Corpus:
-    """A corpus over a saved index: no text is analysed, and with ``terms`` only their
-    buckets are read.  Queries on prefixes, patterns or spellings need all terms."""
+def load_index(docs: DataFrame, key: str, path: str, analyzer: Analyzer = SEARCH) -> Corpus:
+    """A corpus over a saved index: no text is analysed.  Queries on named terms read only
+    their buckets; those on prefixes, patterns or spellings read all."""
     spark = docs.sparkSession
+    postings = spark.read.parquet(f"{path}/postings")
+    one = postings.select("buckets").first()
     return Corpus(
         docs,
         key,
-        read_postings(spark, f"{path}/postings", terms, buckets),
+        postings.drop("buckets"),
         spark.read.parquet(f"{path}/lengths"),
         analyzer,
+        spark.read.parquet(f"{path}/stats"),
+        one.buckets if one else 1,
     )

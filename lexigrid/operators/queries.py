@@ -1,8 +1,9 @@
 """Query objects and how they become DataFrame plans.
 
-A whole query tree costs one scan of the occurrences and one shuffle by document: every
-text clause turns into conditional aggregates of a single ``groupBy(key)``, and the tree
-above them is a boolean expression over that row.  Clauses on document columns are
+A whole query tree is one ``groupBy(key)`` of the occurrences: every text clause turns into
+its conditional aggregates, and the tree above them is a boolean expression over that row.
+Over a saved index only the buckets of the named terms are read; scores read them a second
+time for the document frequencies, unless Spark reuses the first shuffle.  Clauses on document columns are
 predicates, so Catalyst pushes them to the scan.
 """
 
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexigrid.functions.tokens import check_pattern
 from lexigrid.operators.postings import Corpus
 from lexigrid.operators.ranking import bm25_weight, idf
 
@@ -45,6 +47,10 @@ class TextQuery(Query):
         """One condition on (field, term) per slot."""
         raise NotImplementedError
 
+    def words(self) -> list[str] | None:
+        """The terms the query can match, or none if only a look at the terms tells."""
+        return None
+
 
 @dataclass(frozen=True)
 class All(ColumnQuery):
@@ -136,6 +142,9 @@ class Term(TextQuery):
     def slots(self, corpus: Corpus) -> list[Column]:
         return [on(self.field) & (F.col("term") == self.text.lower())]
 
+    def words(self) -> list[str] | None:
+        return [self.text.lower()]
+
 
 @dataclass(frozen=True)
 class Phrase(TextQuery):
@@ -149,16 +158,24 @@ class Phrase(TextQuery):
             raise ValueError("a phrase needs a term")
         return [on(self.field) & (F.col("term") == t.lower()) for t in self.terms]
 
+    def words(self) -> list[str] | None:
+        return [t.lower() for t in self.terms]
+
 
 @dataclass(frozen=True)
 class PhrasePrefix(Phrase):
-    """A phrase whose last term is a prefix of at most ``max_expansions`` terms."""
+    """A phrase whose last term is a prefix; of any terms, or of the first ``max_expansions``."""
 
-    max_expansions: int = 50
+    max_expansions: int | None = None
+
+    def words(self) -> list[str] | None:
+        return None
 
     def slots(self, corpus: Corpus) -> list[Column]:
         *head, last = super().slots(corpus)
         prefix = self.terms[-1].lower()
+        if self.max_expansions is None:
+            return [*head, on(self.field) & F.col("term").startswith(prefix)]
         expansions = (
             corpus.occurrences.where(on(self.field) & F.col("term").startswith(prefix))
             .select("term")
@@ -190,7 +207,7 @@ class Fuzzy(TermSet):
     field: str
     text: str
     distance: int = 2
-    transpositions: bool = False
+    transpositions: bool = True
 
     def slots(self, corpus: Corpus) -> list[Column]:
         return [on(self.field) & within(F.col("term"), self.text.lower(), self.distance, self.transpositions)]
@@ -216,10 +233,7 @@ class Regex(TermSet):
     pattern: str
 
     def slots(self, corpus: Corpus) -> list[Column]:
-        try:
-            re.compile(self.pattern)
-        except re.error as problem:
-            raise ValueError(f"invalid pattern {self.pattern!r}: {problem}") from problem
+        check_pattern(self.pattern)
         return [on(self.field) & F.col("term").rlike(f"^(?:{self.pattern})$")]
 
 
@@ -311,23 +325,42 @@ def within(term: Column, text: str, distance: int, transpositions: bool = False)
     """Edit distance test.
 
     Lengths are compared first, which spares most terms the distance itself.  With
-    transpositions, one swap leaves ``distance - 1`` edits from a swapped spelling.
+    transpositions a swap of neighbours is one edit and no letter is edited twice (optimal
+    string alignment); it is at least half the plain distance, so few terms need it.
     """
     near = F.length(term).between(len(text) - distance, len(text) + distance)
-    spellings = {text: 0}
-    if transpositions:
-        frontier = [text]
-        for used in range(1, distance + 1):
-            swapped = [
-                s[:i] + s[i + 1] + s[i] + s[i + 2 :] for s in frontier for i in range(len(s) - 1)
-            ]
-            frontier = [s for s in dict.fromkeys(swapped) if s not in spellings]
-            spellings.update((s, used) for s in frontier)
-    tests = [
-        term == s if used == distance else F.levenshtein(term, F.lit(s), distance - used) >= 0
-        for s, used in spellings.items()
-    ]
-    return near & functools.reduce(operator.or_, tests)
+    plain = F.levenshtein(term, F.lit(text), 2 * distance if transpositions else distance) >= 0
+    return near & plain & (alignment_distance(term, text) <= distance) if transpositions else near & plain
+
+
+def alignment_distance(term: Column, text: str) -> Column:
+    """Optimal string alignment distance of a column's words to one word.
+
+    A fold over the letters of the term keeps the last two rows of the distance table.
+    """
+    if not text:
+        return F.length(term)
+    letters = F.array(*[F.lit(c) for c in text])
+    width = len(text)
+
+    def next_row(state: Column, letter: Column) -> Column:
+        def cell(row: Column, j: Column) -> Column:
+            same = F.get(letters, j - 1) == letter
+            swapped = (j > 1) & (F.get(letters, j - 2) == letter) & (F.get(letters, j - 1) == state["letter"])
+            best = F.least(
+                F.get(row, j - 1) + 1,
+                F.get(state["row"], j) + 1,
+                F.get(state["row"], j - 1) + F.when(same, 0).otherwise(1),
+                F.when(swapped, F.get(state["before"], j - 2) + 1),
+            )
+            return F.concat(row, F.array(best))
+
+        row = F.aggregate(F.sequence(F.lit(1), F.lit(width)), F.array(F.get(state["row"], F.lit(0)) + 1), cell)
+        return F.struct(row.alias("row"), state["row"].alias("before"), letter.alias("letter"))
+
+    first = F.sequence(F.lit(0), F.lit(width))
+    start = F.struct(first.alias("row"), first.alias("before"), F.lit("").alias("letter"))
+    return F.aggregate(F.split(term, ""), start, next_row, lambda state: F.get(state["row"], F.lit(width)))
 
 
 @dataclass
@@ -336,6 +369,7 @@ class _Plan:
 
     corpus: Corpus
     conditions: list[Column] = dataclass_field(default_factory=list)
+    words: list[list[str] | None] = dataclass_field(default_factory=list)
     aggregates: dict[str, Column] = dataclass_field(default_factory=dict)
     frequencies: dict[str, Column] = dataclass_field(default_factory=dict)
     predicates: dict[str, Column] = dataclass_field(default_factory=dict)
@@ -367,6 +401,7 @@ class _Plan:
     def _slots(self, query: TextQuery) -> list[Column]:
         conditions = query.slots(self.corpus)
         self.conditions.extend(conditions)
+        self.words.append(query.words())
         return conditions
 
     def _frequency(self, number: str, query: TextQuery) -> tuple[Column, list[str]]:
@@ -449,8 +484,13 @@ def _rows(plan: _Plan, alone: bool) -> DataFrame:
     )
     if not plan.aggregates:
         return docs
+    occurrences = corpus.occurrences
+    if corpus.buckets and all(w is not None for w in plan.words):
+        words = sorted({w for some in plan.words for w in some})
+        wanted = [F.pmod(F.xxhash64(F.lit(w)), F.lit(corpus.buckets)).cast("int") for w in words]
+        occurrences = occurrences.where(F.col("bucket").isin(*wanted))
     grouped = (
-        corpus.occurrences.where(functools.reduce(operator.or_, plan.conditions))
+        occurrences.where(functools.reduce(operator.or_, plan.conditions))
         .groupBy("key")
         .agg(*[a.alias(n) for n, a in plan.aggregates.items()])
     )

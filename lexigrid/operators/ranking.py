@@ -24,19 +24,26 @@ def bm25_weight(tf: Column, dl: Column, avgdl: Column, k1: float = K1, b: float
     return tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl))
 
 
-def tfidf(postings: DataFrame, stats: DataFrame, n_docs: Column, normalize: bool = True) -> DataFrame:
-    """(key, score): sum of tf * ln(N / df) over the given postings.
+def tfidf(
+    postings: DataFrame, stats: DataFrame, n_docs: Column, terms: list[str], normalize: bool = True
+) -> DataFrame:
+    """(key, score): sum of tf * ln(N / df) over the terms, of documents that hold one.
 
-    Normalised scores are divided by the length of the document's weight vector.
+    Normalised scores are divided by the length of the document's weight vector, which takes
+    the postings of all its terms.
     """
+    wanted = F.col("term").isin(*terms)
+    if not normalize:
+        postings = postings.where(wanted)
     weighted = postings.join(stats, ["field", "term"]).withColumn(
         "w", F.col("tf") * F.log(n_docs / F.col("df"))
     )
-    total = F.sum("w")
+    total = F.sum(F.when(wanted, F.col("w")))
     if normalize:
         norm = F.sqrt(F.sum(F.col("w") * F.col("w")))
         total = F.when(norm > 0, total / norm).otherwise(0.0)
-    return weighted.groupBy("key").agg(total.alias("score"))
+    found = weighted.groupBy("key").agg(total.alias("score"), F.bool_or(wanted).alias("found"))
+    return found.where("found").select("key", "score")
 
 
 def combine_scores(parts: list[tuple[DataFrame, float]]) -> DataFrame:

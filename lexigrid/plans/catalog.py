@@ -8,15 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrid.functions.tokens import SEARCH, Analyzer
-from lexigrid.operators.postings import (
-    Corpus,
-    build_postings,
-    read_postings,
-    token_table,
-    write_postings,
-)
-from lexigrid.session import shared_folder, spread
+from lexigrid.operators.postings import Corpus, load_index, save_index
+from lexigrid.session import shared_folder
 
 
 @dataclass(frozen=True)
@@ -43,30 +36,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
-def corpus(spark: SparkSession, sf_dir: str, analyzer: Analyzer = SEARCH) -> Corpus:
-    return Corpus.analyze(documents(spark, sf_dir), "doc_id", {"text": "text"}, analyzer)
+_indexes: dict[tuple[str, str], str] = {}
 
 
-def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_postings(token_table(documents(spark, sf_dir), "doc_id", {"text": "text"}))
+def corpus(spark: SparkSession, sf_dir: str) -> Corpus:
+    """The documents with their saved index, which a session writes once for each folder."""
+    place = spark.sparkContext.applicationId, sf_dir
+    if place not in _indexes:
+        path = shared_folder(spark, "index")
+        save_index(Corpus.analyze(documents(spark, sf_dir), "doc_id", {"text": "text"}), path)
+        _indexes[place] = path
+    return load_index(documents(spark, sf_dir), "doc_id", _indexes[place])
 
 
-def stored_postings(spark: SparkSession, sf_dir: str, buckets: int = 8) -> DataFrame:
-    """(key, field, term, tf, dl) of all documents from an index written once.
-
-    Jobs that read postings several times would analyse every text as often; a written table
-    ends that, and survives lost executors.
-    """
-    occurrences = corpus(spark, sf_dir).occurrences
-    index = occurrences.groupBy("key", "field", "term").agg(
-        F.sum("tf").alias("tf"), F.max("dl").alias("dl")
-    )
-    path = shared_folder(spark, "postings")
-    write_postings(index, path, buckets=buckets, salts=1)
-    return read_postings(spark, path)
+def stored_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(key, field, term, tf, dl) of all documents from the saved index."""
+    return corpus(spark, sf_dir).occurrences.select("key", "field", "term", "tf", "dl")
 
 
 # SQL the plans share.  Words are split by the same rule but everything after that -

@@ -147,7 +147,7 @@ def phrase(spark, d):
 
 @plan("phrase_prefix", phrase_sql(["of"], "thi"))
 def phrase_prefix(spark, d):
-    return hits(q.match(corpus(spark, d), q.PhrasePrefix("text", ("of", "thi"))))
+    return hits(q.match(corpus(spark, d), q.PhrasePrefix("text", ("of", "thi"), max_expansions=50)))
 
 
 @plan(
@@ -232,7 +232,7 @@ ASCII_TERM = r"regexp_replace(term, '[^\x00-\x7F]', '#', 'g')"
 
 @plan("fuzzy", vocabulary_sql(f"levenshtein({ASCII_TERM}, 'thether') <= 2"))
 def fuzzy(spark, d):
-    return hits(q.match(corpus(spark, d), q.Fuzzy("text", "Thether", 2)))
+    return hits(q.match(corpus(spark, d), q.Fuzzy("text", "Thether", 2, transpositions=False)))
 
 
 @plan("fuzzy_transpositions", vocabulary_sql(f"damerau_levenshtein({ASCII_TERM}, 'htinging') <= 2"))
@@ -390,7 +390,7 @@ def fallback_tiers(text: str) -> list[tuple[str, q.Query]]:
         ("phrase", q.phrase("text", words)),
         ("and", q.all_terms("text", text)),
         ("or", q.any_terms("text", text)),
-        ("fuzzy", q.Bool(should=tuple(q.Fuzzy("text", w, 2) for w in words))),
+        ("fuzzy", q.Bool(should=tuple(q.Fuzzy("text", w, 2, transpositions=False) for w in words))),
     ]
 
 

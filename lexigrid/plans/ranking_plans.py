@@ -43,20 +43,19 @@ def bm25(spark, d):
     "tfidf",
     f"""
     WITH {SQL_TOKENS},
-    post AS (SELECT doc_id, term, count(*) AS tf FROM toks WHERE term IN ('thing', 'with', 'from', 'tion')
-             GROUP BY doc_id, term),
+    post AS (SELECT doc_id, term, count(*) AS tf FROM toks GROUP BY doc_id, term),
     freq AS (SELECT term, count(*) AS df FROM post GROUP BY term),
-    w AS (SELECT doc_id, tf * ln((SELECT count(*) FROM documents) / df) AS w FROM post JOIN freq USING (term))
-    SELECT doc_id, round(sum(w), 6) AS raw, round(sum(w) / sqrt(sum(w * w)), 6) AS score FROM w GROUP BY doc_id""",
+    weights AS (SELECT doc_id, term, tf * ln((SELECT count(*) FROM documents) / df) AS w FROM post JOIN freq USING (term)),
+    normed AS (SELECT *, sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS norm FROM weights)
+    SELECT doc_id, round(sum(w), 6) AS raw, round(sum(w) / max(norm), 6) AS score FROM normed
+    WHERE term IN ('thing', 'with', 'from', 'tion') GROUP BY doc_id""",
 )
 def tfidf(spark, d):
-    docs = corpus(spark, d)
-    wanted = docs.occurrences.where(F.col("term").isin("thing", "with", "from", "tion"))
-    index = wanted.groupBy("key", "field", "term").agg(F.sum("tf").alias("tf"))
-    stats = ps.term_stats(index)
-    n_docs, _ = docs.stats("text")
-    raw = rk.tfidf(index, stats, n_docs, normalize=False).withColumnRenamed("score", "raw")
-    normal = rk.tfidf(index, stats, n_docs)
+    index = stored_postings(spark, d)
+    n_docs, _ = corpus(spark, d).stats("text")
+    terms = ["thing", "with", "from", "tion"]
+    raw = rk.tfidf(index, ps.term_stats(index), n_docs, terms, normalize=False).withColumnRenamed("score", "raw")
+    normal = rk.tfidf(index, ps.term_stats(index), n_docs, terms)
     return raw.join(normal, "key").select(
         F.col("key").alias("doc_id"), F.round("raw", 6).alias("raw"), F.round("score", 6).alias("score")
     )
@@ -150,8 +149,9 @@ def search_documents(spark, d):
 def indexed_search(spark, d):
     """The same top ten from an index on disk, reading only the buckets of the three terms."""
     path = shared_folder(spark, "index")
-    ps.save_index(corpus(spark, d), path, buckets=16, salts=1)
-    docs = ps.load_index(table(spark, d, "documents"), "doc_id", path, TERMS.split(), buckets=16)
+    texts = table(spark, d, "documents")
+    ps.save_index(ps.Corpus.analyze(texts, "doc_id", {"text": "text"}), path, tokens_per_bucket=100_000)
+    docs = ps.load_index(texts, "doc_id", path)
     best = rk.top_k(q.match(docs, q.any_terms("text", TERMS)), 10)
     return best.select(F.col("key").alias("doc_id"), F.round("score", 6).alias("score"), "rank")
 

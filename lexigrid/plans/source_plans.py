@@ -282,26 +282,31 @@ def upsert_documents(spark, d):
 @plan(
     "verified_rebuild",
     """
-    SELECT 1::INT AS version, count(*) AS n, true AS enough, true AS no_nulls, true AS finds_thing, false AS second_published
-    FROM documents WHERE lang = 'en'""",
+    SELECT 1::INT AS version, count(*) AS n, true AS enough, true AS no_nulls, true AS finds_thing,
+           false AS second_published, false AS third_published
+    FROM documents""",
 )
 def verified_rebuild(spark, d):
     """A version that passes its checks becomes current; one that fails stays invisible."""
-    docs = documents(spark, d).where("lang = 'en'")
+    docs = table(spark, d, "documents")
     root = shared_folder(spark, "versions")
     checks = {"enough": F.count(F.lit(1)) > 10, "no_nulls": F.count_if(F.col("text").isNull()) == 0}
     good = tb.write_version(
         docs, root, 1, checks,
-        {"finds_thing": (Corpus.analyze(docs, "doc_id", {"text": "text"}), q.Term("text", "thing"))},
+        {"finds_thing": q.Term("text", "thing")},
     )
     empty = docs.where(F.lit(False))
     bad = tb.write_version(empty, root, 2, checks, {})
+    # rows enough, but the searched word was lost on the way: only a search tells
+    broken = docs.withColumn("text", F.regexp_replace("text", "(?i)thing", ""))
+    worse = tb.write_version(broken, root, 3, checks, {"finds_thing": q.Term("text", "thing")})
     current = tb.read_current(spark, root)
     return current.agg(F.count(F.lit(1)).alias("n")).withColumns(
         {
             "version": F.lit(tb.current_version(spark, root)),
             **{name: F.lit(value) for name, value in good.items()},
             "second_published": F.lit(all(bad.values())),
+            "third_published": F.lit(all(worse.values())),
         }
     )
 

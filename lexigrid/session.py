@@ -52,17 +52,3 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_folder(df.sparkSession, purpose)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, key: str, small_bytes: int = 1 << 30) -> DataFrame:
-    """Use all cores on an input with fewer splits than cores.
-
-    A Parquet file with one row group is one task however many cores are idle.  Below
-    ``small_bytes`` a hash partitioning by ``key`` costs next to nothing and every later
-    grouping by the key reuses it.  Above it the scan has splits enough, and the text is
-    never shuffled.
-    """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size >= small_bytes:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, F.col(key))

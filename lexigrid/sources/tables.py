@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexigrid.operators.postings import Corpus
-from lexigrid.operators.queries import Query, Term, all_terms, match, phrase
+from lexigrid.operators.queries import Query, Term, TypedTerm, all_terms, match, phrase
 from lexigrid.sources.schema import SearchSchema, validate
 
 # When a space profile gives advice.
@@ -95,15 +95,27 @@ def delete_by_query(docs: DataFrame, key: str, corpus: Corpus, query: Query) ->
 def delete_by_term(
     docs: DataFrame, key: str, corpus: Corpus, field: str, text: str, positions: bool = True
 ) -> DataFrame:
-    """One word deletes by term; several by phrase, or by all words without positions."""
+    """One word deletes by term; several by phrase, or by all words without positions.
+
+    On a number, bool or date column the text is a value of the column's type.
+    """
     words = text.split()
-    if len(words) == 1:
-        query: Query = Term(field, words[0])
+    if field in docs.columns and not isinstance(docs.schema[field].dataType, T.StringType):
+        query: Query = TypedTerm(field, text)
+    elif len(words) == 1:
+        query = Term(field, words[0])
     else:
         query = phrase(field, words) if positions else all_terms(field, text)
     return delete_by_query(docs, key, corpus, query)
 
 
+def update_by_term(
+    docs: DataFrame, key: str, corpus: Corpus, field: str, text: str, replacement: DataFrame
+) -> DataFrame:
+    """Documents that a term of any field finds go, and the replacement comes."""
+    return delete_by_term(docs, key, corpus, field, text).unionByName(replacement.select(*docs.columns))
+
+
 def upsert(docs: DataFrame, changes: DataFrame, key: str, sequence: str) -> DataFrame:
     """Changed and new documents over the old ones; the highest sequence of a key wins.
 
@@ -121,11 +133,18 @@ def upsert(docs: DataFrame, changes: DataFrame, key: str, sequence: str) -> Data
 
 
 def write_version(
-    docs: DataFrame, root: str, version: int, checks: dict[str, Column], queries: dict[str, tuple[Corpus, Query]]
+    docs: DataFrame,
+    root: str,
+    version: int,
+    checks: dict[str, Column],
+    queries: dict[str, Query],
+    key: str = "doc_id",
+    fields: dict[str, str] = {"text": "text"},
 ) -> dict[str, bool]:
     """Write a version beside the live one and publish it only if all checks hold.
 
-    ``checks`` are boolean aggregates over the written rows; ``queries`` must find something.
+    ``checks`` are boolean aggregates over the written rows; ``queries`` must find something
+    in the index of the written rows.
     Without its marker a version is invisible, which is also how a rollback works.
     """
     spark = docs.sparkSession
@@ -133,7 +152,8 @@ def write_version(
     written = spark.read.parquet(f"{root}/data/v={version}")
     row = written.agg(F.lit(True).alias("_"), *[c.alias(n) for n, c in checks.items()]).first()
     verdict = {name: bool(row[name]) for name in checks}
-    for name, (corpus, query) in queries.items():
+    corpus = Corpus.analyze(written, key, fields) if queries else None
+    for name, query in queries.items():
         verdict[name] = not match(corpus, query, scored=False).isEmpty()
     if all(verdict.values()):
         marker = spark.range(1).select(F.lit(version).alias("version"))

@@ -14,7 +14,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lexigrid.functions.tokens import SEARCH, Analyzer
 from lexigrid.operators.postings import build_postings, token_table
-from lexigrid.session import spread
 from lexigrid.sources.schema import SearchSchema, validate
 
 
@@ -37,17 +36,30 @@ def stream_ingest(
     text: str,
     root: str,
     analyzer: Analyzer = SEARCH,
+    sequence: str | None = None,
 ) -> StreamingQuery:
-    """Validate arriving documents, keep good and bad rows apart and index the good ones."""
+    """Validate arriving documents, keep good and bad rows apart and index the good ones.
+
+    Of a key's good rows in one batch the one with the highest ``sequence`` counts, or without
+    that column the greatest row, so that document and postings are of the same row.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
         checked = validate(batch, schema)
         bad = F.size("errors") > 0
         marked = checked.withColumn("verdict", F.when(bad, "rejected").otherwise("accepted"))
+        others = [c for c in marked.columns if c not in (key, "verdict", "errors")]
+        order = F.struct(*([F.col(sequence)] if sequence else []), *others)
+        good = marked.where("verdict = 'accepted'").groupBy(key).agg(
+            F.max_by(F.struct(*[c for c in marked.columns if c != key]), order).alias("row")
+        )
+        marked = marked.where("verdict <> 'accepted'").unionByName(
+            good.select(key, "row.*").select(*marked.columns)
+        )
         marked.write.mode("overwrite").partitionBy("verdict").parquet(f"{root}/docs/batch={number}")
         # Index what was written: a replayed source can then not differ between the two.
         stored = batch.sparkSession.read.parquet(f"{root}/docs/batch={number}")
-        good = spread(stored.where(F.col("verdict") == "accepted"), key)
+        good = stored.where(F.col("verdict") == "accepted")
         index = build_postings(token_table(good, key, {text: text}, analyzer))
         index.write.mode("overwrite").parquet(f"{root}/postings/batch={number}")
 

@@ -62,6 +62,8 @@ def test_date_histograms(products):
     assert buckets(products, month, "d") == {"2024-01": 3, "2024-02": 2, "2024-03": 1}
     fixed = {"d": {"date_histogram": {"field": "published_date", "fixed_interval": "30d"}}}
     assert sum(buckets(products, fixed, "d").values()) == 6
+    gaps = {"d": {"date_histogram": {"field": "published_date", "calendar_interval": "month", "format": "yyyy-MM", "min_doc_count": 0}}}
+    assert buckets(products.where("id in (1, 4)"), gaps, "d") == {"2024-01": 1, "2024-02": 0, "2024-03": 1}
 
 
 def test_percentiles(products, spark):

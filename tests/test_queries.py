@@ -65,8 +65,9 @@ CASES = [
     (q.Bool(must=(q.Bool(should=(q.Term("title", "web"), q.Range("price", low=399))), q.TypedTerm("active", "t"))), [3, 4]),
     (q.Bool(must=(q.All(),), must_not=(q.Term("title", "rust"),)), [2, 3, 4]),
     (q.Fuzzy("title", "programing", 1), [1, 3]),
-    (q.Fuzzy("title", "rsut", 1), []),
-    (q.Fuzzy("title", "rsut", 1, transpositions=True), [1]),
+    (q.Fuzzy("title", "rsut", 1, transpositions=False), []),
+    (q.Fuzzy("title", "rsut", 1), [1]),
+    (q.Fuzzy("title", "rusxt", 1), [1]),
     (q.Wildcard("title", "prog*"), [1, 3]),
     (q.Wildcard("title", "r?st"), [1]),
     (q.Wildcard("title", "r.st"), []),
@@ -122,12 +123,16 @@ def test_stored_postings_answer_like_tokens(index, guides):
 
 def test_saved_index(index, guides, spark):
     path = shared_folder(spark, "index")
-    save_index(index, path, buckets=4, salts=2)
+    save_index(index, path, tokens_per_bucket=5)
     query = q.Bool(must=(q.Term("content", "programming"),), should=(q.phrase("title", ["rust", "programming"]),))
     left = {r.key: round(r.score, 9) for r in q.match(index, query).collect()}
-    for terms in (None, ["programming", "rust"]):
-        saved = load_index(guides, "id", path, terms, buckets=4)
-        assert left == {r.key: round(r.score, 9) for r in q.match(saved, query).collect()}
+    saved = load_index(guides, "id", path)
+    assert left == {r.key: round(r.score, 9) for r in q.match(saved, query).collect()}
+    plan = q.match(saved, query)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [bucket" in plan or "bucket#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert {r.key for r in q.match(saved, q.Prefix("content", "program")).collect()} == {
+        r.key for r in q.match(index, q.Prefix("content", "program")).collect()
+    }
 
 
 def test_fetch_top_prunes_the_scan(spark, guides, index):
@@ -248,3 +253,28 @@ def test_fallback(index):
     }
     found = {(r.query_id, r.strategy, r.key) for r in q.first_non_empty(index, tiers).collect()}
     assert found == {("a", "phrase", 1), ("b", "or", 1), ("b", "or", 4)}
+
+
+def test_alignment_distance(spark):
+    """A swap is one edit, and no letter is edited twice: the distance is symmetric."""
+
+    def distance(a, b):
+        d = {(i, 0): i for i in range(len(a) + 1)} | {(0, j): j for j in range(len(b) + 1)}
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (a[i - 1] != b[j - 1]))
+                if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                    d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
+        return d[len(a), len(b)]
+
+    words = ["abc", "ca", "ac", "abdc", "bacd", "", "thing", "htign", "thnig", "xthnig", "a"]
+    terms = spark.createDataFrame([(w,) for w in words], "term string")
+    for word in words:
+        rows = terms.select("term", q.alignment_distance(F.col("term"), word).alias("d")).collect()
+        assert {r.term: r.d for r in rows} == {w: distance(w, word) for w in words}
+
+
+def test_patterns_of_the_engine(index):
+    assert {r.key for r in q.match(index, q.Regex("title", r"\p{L}+k")).collect()} == {2}
+    with pytest.raises(ValueError):
+        q.match(index, q.Regex("title", "(?P<a>b)ook"))

@@ -115,6 +115,21 @@ def test_deletes(spark, guides):
     assert left(tb.delete_by_term(guides, "id", corpus, "content", "recipes programming", positions=False)) == [1, 3, 4]
 
 
+def test_typed_deletes_and_updates(spark, guides):
+    corpus = Corpus.analyze(guides, "id", {"title": "title", "content": "content"})
+    assert sorted(r.id for r in tb.delete_by_term(guides, "id", corpus, "price", "199").collect()) == [1, 3, 4]
+    assert sorted(r.id for r in tb.delete_by_term(guides, "id", corpus, "active", "false").collect()) == [1, 3, 4]
+    new = guides.where("id = 3").withColumn("id", F.lit(9).cast("long"))
+    assert sorted(r.id for r in tb.update_by_term(guides, "id", corpus, "title", "rust", new).collect()) == [2, 3, 4, 9]
+
+
+def test_a_version_is_searched_before_it_counts(spark, guides):
+    root = shared_folder(spark, "versions")
+    lost = guides.where("id <> 1")
+    found = tb.write_version(lost, root, 1, {}, {"rust": q.Term("title", "rust")}, "id", {"title": "title"})
+    assert found == {"rust": False}
+
+
 def test_versions(spark, guides):
     root = shared_folder(spark, "versions")
     checks = {"some": F.count(F.lit(1)) > 0}
@@ -137,6 +152,18 @@ def test_stream_ingest_keeps_the_latest_document(spark):
     assert terms == {"new", "text", "stay"}
 
 
+def test_a_key_twice_in_a_batch(spark):
+    folder, root = shared_folder(spark, "in"), shared_folder(spark, "out")
+    declared = sc.SearchSchema((sc.Field("id", "u64"), sc.Field("t", "text"), sc.Field("at", "u64")))
+    rows = [("1", "new text", "2"), ("1", "old words", "1"), ("1", "old words", "1")]
+    first = spark.createDataFrame(rows, "id string, t string, at string")
+    first.write.parquet(folder)
+    stream = jobs.read_stream(spark, folder, first.schema)
+    jobs.stream_ingest(stream, declared, "id", "t", root, sequence="at").awaitTermination()
+    assert [(r.id, r.t) for r in jobs.ingested(spark, root, "id").collect()] == [(1, "new text")]
+    assert {r.term: r.tf for r in jobs.ingested_postings(spark, root, "id").collect()} == {"new": 1, "text": 1}
+
+
 def test_sliding_windows(spark):
     folder, root = shared_folder(spark, "in"), shared_folder(spark, "out")
     rows = [("2024-01-01 00:10:00", True, False, 0), ("2024-01-01 00:50:00", True, False, 4), ("2024-01-01 01:10:00", False, True, None)]
