@@ -168,33 +168,34 @@ def vote(hits: list[np.ndarray], bits: np.ndarray, labels: np.ndarray, odds: np.
     return np.column_stack([lexicons, *halves, *more, labels])
 
 
-def label_model(votes: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def label_model(votes: np.ndarray, rounds: int = 50, apart: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Posterior of the toxic class for each row, and each voter's rates and weight.
 
     Rates are P(vote | class), with abstaining as a vote, estimated by expectation
     maximisation from the votes' majority.  A voter's evidence is divided by one plus its
     correlations, within the classes, with the others that agree with it: voters that repeat
-    one another count as little more than one.
+    one another count as little more than one.  The last ``apart`` voters do not read the text
+    and are taken as independent of the others.
     """
     n, m = votes.shape
     shown = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)
     posterior = np.clip((votes == 1).sum(1) - (votes == 0).sum(1), -2, 2) / 8 + 0.5
-    weight = np.ones(m)
-    for step in range(rounds):
+    signed = np.where(votes == 1, 1.0, np.where(votes == 0, -1.0, 0.0))
+    for _ in range(rounds):
         both = np.stack([1 - posterior, posterior], axis=1)
         prior = (both.sum(0) + 1) / (n + 2)
         rates = (np.einsum("nc,nmv->cmv", both, shown) + 0.1) / (both.sum(0)[:, None, None] + 0.3)
         evidence = np.einsum("nmv,mv->nm", shown, np.log(rates[1] / rates[0]))
-        if step >= 5:
-            spread = np.zeros((m, m))
-            active = (votes != -1).astype(float)
-            for c in range(2):
-                centred = (active - active.T @ both[:, c] / both[:, c].sum()) * np.sqrt(both[:, c])[:, None]
-                spread += centred.T @ centred
-            scale = np.sqrt(np.maximum(np.diag(spread), 1e-9))
-            related = np.abs(spread / np.outer(scale, scale))
-            np.fill_diagonal(related, 0)
-            weight = 1 / (1 + np.where(related > 0.2, related, 0).sum(1))
+        spread = np.zeros((m, m))
+        for c in range(2):
+            mean = signed.T @ both[:, c] / both[:, c].sum()
+            centred = (signed - mean) * np.sqrt(both[:, c])[:, None]
+            spread += centred.T @ centred
+        scale = np.sqrt(np.maximum(np.diag(spread), 1e-9))
+        related = np.abs(spread / np.outer(scale, scale))
+        np.fill_diagonal(related, 0)
+        related[m - apart :] = related[:, m - apart :] = 0
+        weight = 1 / (1 + np.where(related > 0.2, related, 0).sum(1))
         logit = np.log(prior[1] / prior[0]) + evidence @ weight
         posterior = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
     return posterior, rates, weight
@@ -224,7 +225,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, settings: Set
         return dict.fromkeys(sorted(SEEDS), 4.0), -3.0
     terms, odds = [t for t, _ in mined], np.array([o for _, o in mined])
     hits, bits, gold = hit_lists(sample, terms)
-    posterior, _, _ = label_model(vote(hits, bits, gold, odds, settings.groups))
+    posterior, _, _ = label_model(vote(hits, bits, gold, odds, settings.groups), apart=1)
     weights = fit_linear(hits, posterior, len(terms))
     return dict(zip(terms, weights[:-1].tolist())), float(weights[-1])
 
