@@ -18,12 +18,12 @@ def spark():
 @pytest.fixture(scope="session")
 def products(spark):
     rows = [
-        (1, "Laptop Computer", "electronics", 999, 4.5, "2024-01-15 10:00:00", True),
-        (2, "Programming Book", "books", 49, 4.8, "2024-02-01 12:00:00", True),
-        (3, "Smartphone", "electronics", 699, 4.2, "2024-01-20 14:00:00", False),
-        (4, "Fiction Novel", "books", 15, 3.9, "2024-03-10 09:00:00", True),
-        (5, "Tablet", "electronics", 399, 4.0, "2024-02-15 16:00:00", True),
-        (6, "Cookbook", "books", 29, 4.6, "2024-01-25 11:00:00", True),
+        (1, "Copper watering can", "tools", 62, 4.7, "2023-05-03 08:15:00", True),
+        (2, "Tomato seeds", "seeds", 4, 4.1, "2023-05-19 17:40:00", True),
+        (3, "Hand trowel", "tools", 18, 3.8, "2023-06-07 11:05:00", False),
+        (4, "Basil seeds", "seeds", 3, 4.6, "2023-07-22 06:30:00", True),
+        (5, "Steel rake", "tools", 41, 4.3, "2023-06-30 21:10:00", True),
+        (6, "Sunflower seeds", "seeds", 5, 4.9, "2023-05-11 13:55:00", True),
     ]
     df = spark.createDataFrame(
         rows, "id long, title string, category string, price long, rating double, published string, in_stock boolean"
@@ -34,10 +34,10 @@ def products(spark):
 @pytest.fixture(scope="session")
 def guides(spark):
     rows = [
-        (1, "Rust Programming Guide", "Learn Rust programming language with examples", 299, 95, 4.8, True, 1640995200),
-        (2, "Elixir Cookbook", "Functional programming recipes using Elixir", 199, -10, 4.2, False, 1640908800),
-        (3, "Systems Programming", "Low-level programming concepts and techniques", 399, 88, 4.5, True, 1641081600),
-        (4, "Web Development", "Building modern web applications", 249, 75, 3.9, True, 1641168000),
+        (1, "Sourdough Bread Handbook", "Mix flour and water then bake bread slowly", 24, 71, 4.4, True, 1577934245),
+        (2, "Pasta Notes", "Fresh bread crumbs and pasta by hand", 12, -3, 3.6, False, 1580601600),
+        (3, "Bread Ovens", "How stone ovens hold heat for bread", 38, 64, 4.1, True, 1583107200),
+        (4, "Garden Herbs", "Growing thyme and sage in small pots", 17, 50, 3.2, True, 1585699200),
     ]
     df = spark.createDataFrame(
         rows,

@@ -37,7 +37,7 @@ def test_presets(spark, name, text, expected):
 
 
 def test_accents_stay_in_words(spark):
-    assert tokens_of(spark, "café naïve résumé", tk.simple_tokens) == ["café", "naïve", "résumé"]
+    assert tokens_of(spark, "Crème brûlée à Zürich", tk.simple_tokens) == ["Crème", "brûlée", "à", "Zürich"]
 
 
 def test_long_tokens_are_dropped_by_bytes(spark):
@@ -47,9 +47,9 @@ def test_long_tokens_are_dropped_by_bytes(spark):
 
 
 def test_regex(spark):
-    text = "Contact us at support@example.com or admin@test.org for help"
+    text = "Orders: rosa.m@garden.example, complaints (ovens@bakery.example) by Friday"
     found = tokens_of(spark, text, lambda c: tk.regex_tokens(c, r"[\w.]+@[\w.]+\.\w+"))
-    assert found == ["support@example.com", "admin@test.org"]
+    assert found == ["rosa.m@garden.example", "ovens@bakery.example"]
     with pytest.raises(ValueError):
         tk.regex_tokens(F.lit("x"), "[unclosed")
 
@@ -111,7 +111,7 @@ def test_index_round_trip(spark, guides):
     built = ps.build_postings(ps.token_table(guides, "id", {"content": "content"}))
     path = shared_folder(spark, "postings")
     ps.write_postings(built, path, buckets=8, salts=2)
-    found = ps.read_postings(spark, path, ["programming"])
+    found = ps.read_postings(spark, path, ["bread"])
     assert sorted((r.key, r.tf) for r in found.collect()) == [(1, 1), (2, 1), (3, 1)]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[.*bucket#\d+ = ", plan)
