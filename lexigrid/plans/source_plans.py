@@ -298,7 +298,7 @@ def verified_rebuild(spark, d):
     empty = docs.where(F.lit(False))
     bad = tb.write_version(empty, root, 2, checks, {})
     # rows enough, but the searched word was lost on the way: only a search tells
-    broken = docs.withColumn("text", F.regexp_replace("text", "(?i)thing", ""))
+    broken = docs.withColumn("text", F.regexp_replace("text", "(?i)thing", "q"))
     worse = tb.write_version(broken, root, 3, checks, {"finds_thing": q.Term("text", "thing")})
     current = tb.read_current(spark, root)
     return current.agg(F.count(F.lit(1)).alias("n")).withColumns(
