@@ -147,7 +147,7 @@ def write_archives(
     response and the others revisit it; null ids come last.  A null html is an empty payload.
     Rows equal in id and payload are one capture and get the same type.  Other columns are
     ignored; an empty table gives no archives.  The dictionary learns from at most
-    ``samples`` records of at most ``sample_bytes`` each, the ones with the smallest digests.
+    ``samples`` different records of at most ``sample_bytes`` each, drawn by a hash.
     A task writes under a name of its own and renames the whole archive, so one that runs
     again or twice leaves the same file.
     """
@@ -157,9 +157,11 @@ def write_archives(
     firsts = rows.groupBy("sha").agg(
         F.min("page_id").alias("first_page"), F.count("*").alias("copies")
     )
+    n_rows = max(1, rows.count())
     learned = (
-        rows.select("sha", F.substring("payload", 1, sample_bytes).alias("payload"))
-        .orderBy("sha").limit(samples).select("payload").collect()
+        rows.where(F.pmod(F.xxhash64("sha"), F.lit(n_rows)) < 2 * samples)
+        .select("sha", F.substring("payload", 1, sample_bytes).alias("payload"))
+        .dropDuplicates(["sha"]).limit(samples).select("payload").collect()
     )
     dictionary = train_dictionary([bytes(r.payload) for r in learned])
     target, base = arrow_fs.FileSystem.from_uri(path)
