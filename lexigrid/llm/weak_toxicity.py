@@ -75,8 +75,12 @@ def may_learn(key: str):
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
     """(toxic, text) of a bounded set of labelled rows outside the held-out quarter, stored."""
+    usable = labels.where(F.col(key).isNotNull() & F.col("toxic").isNotNull() & may_learn(key))
+    n_labels = max(1, usable.count())
+    # about twice the bound come by hash, so that no task hands the driver more than its share
+    drawn = F.pmod(F.xxhash64(key), F.lit(n_labels)) < 2 * settings.sample_rows
     chosen = (
-        labels.where(F.col(key).isNotNull() & F.col("toxic").isNotNull() & may_learn(key))
+        usable.where(drawn)
         .groupBy(key).agg(F.max(F.col("toxic").cast("int")).alias("toxic_"))
         .orderBy(F.xxhash64(key), key).limit(settings.sample_rows)
     )
