@@ -67,7 +67,7 @@ def hilbert_index(cells: list[Column], bits: int = BITS) -> Column:
         *[F.struct(F.lit(b).alias("b"), F.lit(i).alias("i")) for b in range(bits - 1, -1, -1) for i in range(d)]
     )
     cell = F.array(*[c.cast("int") for c in cells])
-    turned = F.aggregate(steps, cell, undo, gray) if bits > 1 else cell
+    turned = F.aggregate(steps, cell, undo, gray) if bits > 1 else gray(cell)
     # one step of a fold hands the array on as a variable, so it is worked out once
     return F.aggregate(
         F.array(F.struct(turned.alias("x"))),

@@ -5,6 +5,7 @@ import binascii
 import hashlib
 import io
 import os
+import random
 
 import pytest
 from hypothesis import given, settings
@@ -95,7 +96,9 @@ def test_archives_round_trip(spark):
 
 
 def test_archive_begins_with_its_dictionary():
-    samples = [(HTML.format(k) + str(k * 7919)).encode() for k in range(200)]
+    rng = random.Random(1)
+    words = [f"w{rng.randrange(10**9)}" for _ in range(400)]
+    samples = [" ".join(rng.choices(words, k=80)).encode() for _ in range(300)]
     dictionary = warc.train_dictionary(samples)
     data = warc.archive_bytes([(k, "u", s, None) for k, s in enumerate(samples)], dictionary)
     plain = warc.archive_bytes([(k, "u", s, None) for k, s in enumerate(samples)])
