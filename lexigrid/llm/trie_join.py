@@ -2,13 +2,13 @@
 
 A document is its set of five-word shingles, put in one global order: rare shingles first.
 Linked sets share a shingle among their first ones, so each such shingle is a branch of the
-tree, and branches are what is dealt out.  Within a branch the sets form a trie; a walk with
-one set carries the overlap of each shared path on, and leaves a subtree as soon as the
-overlap so far and the greatest remaining length below cannot reach the threshold.  Pairs
-that survive are compared shingle by shingle.
+tree.  Sets that share a branch, and may link as far as sizes and places tell, form a trie,
+once for all branches of the same sets: a walk with one set carries the overlap of each shared path on,
+and leaves a subtree as soon as the overlap so far and the greatest remaining length below
+cannot reach the threshold.  The overlap at the end of a path is exact.
 
-Groups of near copies would survive by the square.  So neighbours by length in each branch
-are compared first; sets that these links already join are not paired again.
+Groups of near copies would link by the square.  So neighbours by length in each branch are
+compared first, and sets that links already join are not paired again.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ SKETCH_BITS = 20
 CHUNK = 4096
 TOKEN_BITS = 48
 TOKEN_MASK = np.int64((1 << TOKEN_BITS) - 1)
-BLOCK = 1024
-FEW = 8
+BLOCK = 512
+FEW = 24  # so many sets are compared pair by pair sooner than by a trie
 
 
 def need(a, b):
@@ -98,9 +98,9 @@ def frequency_sketch(docs: DataFrame, text: str) -> np.ndarray:
     return out
 
 
-SETS = "key long, text_hash long, n long, set_id long, last_count long, last_token long, slots array<long>"
+SETS = "key long, text_hash long, n long, set_id long, slots array<long>"
 SETS_ARROW = pa.schema(
-    [(c, pa.int64()) for c in "key text_hash n set_id last_count last_token".split()]
+    [(c, pa.int64()) for c in "key text_hash n set_id".split()]
     + [("slots", pa.list_(pa.int64()))]
 )
 
@@ -122,11 +122,11 @@ def ordered_sets(docs: DataFrame, key: str, text: str, shared) -> DataFrame:
             for key_, text_hash, s in zip(keys, texts, shingle_sets(batch.column(2))):
                 n = len(s)
                 if n == 0:
-                    rows.append((key_, text_hash, 0, None, None, None, None))
+                    rows.append((key_, text_hash, 0, None, None))
                     continue
                 set_id = int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
                 if set_id in given:
-                    rows.append((key_, text_hash, n, set_id, None, None, None))
+                    rows.append((key_, text_hash, n, set_id, None))
                     continue
                 if len(given) < 1_000_000:
                     given.add(set_id)
@@ -134,7 +134,7 @@ def ordered_sets(docs: DataFrame, key: str, text: str, shared) -> DataFrame:
                 first = np.argsort(c, kind="stable")[: prefix_size(n)]
                 c, tokens = c[first], (s[first] >> np.uint64(64 - TOKEN_BITS)).astype(np.int64)
                 salts = np.where(c > hot, 1 + abs(set_id) % np.minimum(1 + c // hot, (1 << 14) - 1), 0)
-                rows.append((key_, text_hash, n, set_id, int(c[-1]), int(tokens[-1]), tokens | salts << TOKEN_BITS))
+                rows.append((key_, text_hash, n, set_id, tokens | salts << TOKEN_BITS))
                 if len(rows) >= 500:
                     yield to_batch(rows)
                     rows = []
@@ -152,7 +152,7 @@ def ordered_sets(docs: DataFrame, key: str, text: str, shared) -> DataFrame:
     )
 
 
-ENTRIES = "slot long, set_id long, n long, pos long, p long, before long"
+ENTRIES = "slot long, set_id long, n long, pos long, before long"
 ENTRY_NAMES = [c.split()[0] for c in ENTRIES.split(", ")]
 
 
@@ -164,7 +164,7 @@ def branches(sets: DataFrame) -> DataFrame:
     """
 
     def judged(rows: np.ndarray, start: int, stop: int) -> pa.RecordBatch:
-        slot, set_id, n, pos, _ = rows.T
+        slot, set_id, n, pos = rows.T
         same = slot[1:] == slot[:-1]
         back, forth = np.append(False, same), np.append(same, False)
         room = 1 + np.minimum(n[:-1] - pos[:-1], n[1:] - pos[1:]) - 1
@@ -177,7 +177,7 @@ def branches(sets: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # the last row waits for its successor, and the row before it stays as its neighbour
-        rows, start = np.zeros((0, 5), np.int64), 0
+        rows, start = np.zeros((0, 4), np.int64), 0
         for batch in batches:
             more = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
             rows = np.concatenate([rows, more])
@@ -191,10 +191,10 @@ def branches(sets: DataFrame) -> DataFrame:
             yield judged(rows, start, len(rows))
 
     entries = sets.where(F.col("slots").isNotNull()).select(
-        F.posexplode("slots").alias("pos", "slot"), "set_id", "n", F.size("slots").alias("p")
+        F.posexplode("slots").alias("pos", "slot"), "set_id", "n"
     )
     return (
-        entries.select("slot", "set_id", "n", F.col("pos").cast("long"), F.col("p").cast("long"))
+        entries.select("slot", "set_id", "n", F.col("pos").cast("long"))
         .repartition("slot").sortWithinPartitions("slot", "n", "set_id")
         .mapInArrow(run, ENTRIES)
     )
@@ -207,15 +207,7 @@ def compare(pairs: DataFrame, sets: DataFrame, docs: DataFrame, key: str, text:
     first set pass one by one behind it, so a set with very many partners takes no memory.
     """
     ids = pairs.select(F.col("u").alias("set_id")).unionByName(pairs.select(F.col("v").alias("set_id"))).distinct()
-    rows = sets.where(F.col("slots").isNotNull()).join(ids, "set_id")
-    one = rows.groupBy("set_id").agg(F.min(F.struct("key", "text_hash")).alias("row"))
-    wanted = one.select("set_id", F.col("row.key").alias("key_"), F.col("row.text_hash").alias("hash_"))
-    on = F.col("key").eqNullSafe(F.col("key_")) & (F.col("hash_") == F.xxhash64("text"))
-    texts = stored(
-        docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-        .join(wanted, on).select("set_id", "text").dropDuplicates(["set_id"]),
-        "join-texts",
-    )
+    texts = texts_of(ids, sets, docs, key, text)
     firsts = pairs.select("u").distinct().join(texts, F.col("u") == F.col("set_id")).select(
         "u", F.lit(None).cast("long").alias("v"), "text"
     )
@@ -243,128 +235,128 @@ def compare(pairs: DataFrame, sets: DataFrame, docs: DataFrame, key: str, text:
 
 
 class Trie:
-    """Sets of one branch as a trie, level by level.
+    """Ordered sets as a trie, level by level.
 
-    Each set is the places of its tokens in the branch's order, which is the global one.
-    ``token`` and ``parent`` describe the nodes of a level, ``leaf`` says at which node of
-    which level a set ends, and ``rest`` bounds what any set below a node can still share.
+    ``levels`` has, for each node of a level, its token and parent and, over the sets below
+    it, the most tokens still to come, the smallest size and the highest number; ``leaf`` says
+    which sets end at which nodes.  Sets are numbered by size, the smallest first.
     """
 
-    def __init__(self, lists: list[np.ndarray], beyond: np.ndarray, sizes: np.ndarray):
-        length = np.array([len(x) for x in lists])
-        node = np.zeros(len(lists), np.int64)
-        alive = np.arange(len(lists))
-        self.levels, self.leaf = [], [[] for _ in range(int(length.max(initial=0)) + 1)]
-        depth = 0
-        while True:
-            ends = alive[length[alive] == depth]
-            self.leaf[depth] = (ends, node[ends])
-            alive = alive[length[alive] > depth]
-            if not len(alive):
-                break
-            token = np.array([lists[k][depth] for k in alive])
-            pairs, inverse = np.unique(node[alive] * (1 << 32) + token, return_inverse=True)
-            node[alive] = inverse
-            rest = np.zeros(len(pairs), np.int64)
-            np.maximum.at(rest, inverse, length[alive] - depth - 1 + beyond[alive])
-            least = np.full(len(pairs), np.iinfo(np.int64).max)
-            np.minimum.at(least, inverse, sizes[alive])
-            self.levels.append((pairs & ((1 << 32) - 1), pairs >> 32, rest, least))
-            depth += 1
+    def __init__(self, lists: list[np.ndarray], sizes: np.ndarray):
+        self.flat, self.first, self.sizes = np.concatenate(lists), np.cumsum(sizes) - sizes, sizes
+        self.node, self.alive = np.zeros(len(lists), np.int64), np.arange(len(lists))
+        self.levels, self.leaf = [], []
+
+    def grow(self) -> None:
+        """The next level.  Walks that end early leave the rest of the trie unbuilt."""
+        depth = len(self.leaf)
+        done = self.sizes[self.alive] == depth
+        self.leaf.append((self.alive[done], self.node[self.alive[done]]))
+        self.alive = alive = self.alive[~done]
+        if not len(alive):
+            return
+        # a sort by parent first, so a parent's children stand together
+        pairs, inverse = np.unique(self.node[alive] << 32 | self.flat[self.first[alive] + depth], return_inverse=True)
+        self.node[alive] = inverse
+        most, last = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
+        least = np.full(len(pairs), np.iinfo(np.int64).max)
+        np.maximum.at(most, inverse, self.sizes[alive] - depth - 1)
+        np.maximum.at(last, inverse, alive)
+        np.minimum.at(least, inverse, self.sizes[alive])
+        self.levels.append((pairs & ((1 << 32) - 1), pairs >> 32, most, least, last))
 
     def walk(
-        self, has: np.ndarray, sizes: np.ndarray, last: np.ndarray, beyond: np.ndarray
+        self, has: np.ndarray, sizes: np.ndarray, numbers: np.ndarray
     ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(probe, set, overlap) of what is left.  ``has``: probes by tokens, 1 where held.
+        """(probe, set, overlap) of the later sets that no bound rules out.
 
-        Overlaps of a path are worked out once for all sets below it; a node whose bound
-        misses the threshold takes its subtree with it.  Up to ``last``, the end of the
-        probe's prefix, the bound is what a set below has left; past it, a common token could
-        be any of those that the probe has ``beyond`` its prefix.
+        ``has``: probes by tokens, 1 where held.  The overlap of a path is worked out once for
+        all sets below it.  A node goes, with its subtree, if the overlap and the most tokens
+        still to come below miss the least overlap that any set below needs, or if all sets
+        below stand before the probe.
         """
         probe, node, overlap = np.arange(len(has)), np.zeros(len(has), np.int64), np.zeros(len(has), np.int64)
-        for depth in range(len(self.levels) + 1):
+        depth = 0
+        while True:
+            if depth == len(self.leaf):
+                self.grow()
             ends, at = self.leaf[depth]
             if len(ends) and len(probe):
                 order = np.argsort(at, kind="stable")
-                low, high = np.searchsorted(at[order], node), np.searchsorted(at[order], node, side="right")
-                times = high - low
-                if times.any():
-                    which = np.repeat(np.arange(len(probe)), times)
-                    offset = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
-                    yield probe[which], ends[order][low[which] + offset], overlap[which]
+                which, child = below(at[order], node)
+                later = ends[order][child] > numbers[probe[which]]
+                if later.any():
+                    yield probe[which][later], ends[order][child][later], overlap[which][later]
             if depth == len(self.levels) or not len(probe):
                 return
-            token, parent, rest, least = self.levels[depth]
-            order = np.argsort(parent, kind="stable")
-            low, high = np.searchsorted(parent[order], node), np.searchsorted(parent[order], node, side="right")
-            times = high - low
-            which = np.repeat(np.arange(len(probe)), times)
-            offset = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
-            child = order[low[which] + offset]
+            token, parent, most, least, last = self.levels[depth]
+            which, child = below(parent, node)
             probe = probe[which]
             overlap = overlap[which] + has[probe, token[child]]
-            left = np.where(token[child] <= last[probe], rest[child], beyond[probe])
-            live = overlap + left >= need(sizes[probe], least[child])
+            live = (overlap + most[child] >= need(sizes[probe], least[child])) & (last[child] > numbers[probe])
             probe, node, overlap = probe[live], child[live], overlap[live]
+            depth += 1
 
 
-def survivors(members: list[tuple], local: bool, sketch: np.ndarray) -> list[tuple[int, int]]:
-    """Pairs of a branch's sets that no bound rules out.
+def below(parents: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in ``nodes``, place in ``parents``) of every child of every node; sorted parents."""
+    low, high = np.searchsorted(parents, nodes), np.searchsorted(parents, nodes, side="right")
+    times = high - low
+    which = np.repeat(np.arange(len(nodes)), times)
+    return which, low[which] + np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
 
-    A member is (set_id, root, n, p, (bucket count, token) that ends its prefix, side, tokens).  What two
-    sets share is at most the common tokens among their prefixes and, past the one that ends
-    first, all that is left of that set.  Members of equal root are joined already; two sides
-    of a split branch are paired with each other, or each with itself if ``local``.
+
+def block_links(members: list[tuple], local: bool, sketch: np.ndarray) -> list[tuple[int, int]]:
+    """Links between the sets of a block, enough of them to join all that any links join.
+
+    A member is (set_id, root, side, sorted shingle hashes).  Members of equal root are joined
+    already.  Two sides of a split block are paired with each other, or all if ``local``.  A
+    few sets are compared one by one, more by a walk through their trie, where whole sets
+    stand in the global order and the overlap at a set's end is exact.
     """
-    if len({m[1] for m in members}) < 2:
-        return []
-    members = sorted(members, key=lambda m: (m[2], m[0]))
+    joined: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while joined.setdefault(x, x) != x:
+            joined[x] = joined[joined[x]]
+            x = joined[x]
+        return x
+
     out = []
+    members = sorted(members, key=lambda m: (len(m[3]), m[0]))
+    sizes = np.array([len(m[3]) for m in members])
 
-    def fits(x: tuple, y: tuple, common: int) -> bool:
-        short = x if x[4] <= y[4] else y
-        return common + short[2] - short[3] >= need(x[2], y[2])
+    def link(x: tuple, y: tuple) -> None:
+        a, b = find(x[1]), find(y[1])
+        if a != b:
+            joined[a] = b
+            out.append((x[0], y[0]))
 
     if len(members) <= FEW:
-        held = [set(m[6].tolist()) for m in members]
         for j, y in enumerate(members):
-            for i in range(j):
-                x = members[i]
-                if x[1] == y[1] or (not local and x[5] == y[5]):
+            for x in members[:j]:
+                if find(x[1]) == find(y[1]) or (not local and x[2] == y[2]):
                     continue
-                if 100 * x[2] >= SHARE * y[2] and fits(x, y, len(held[i] & held[j])):
-                    out.append((x[0], y[0]))
+                if 100 * len(x[3]) >= SHARE * len(y[3]):
+                    if len(np.intersect1d(x[3], y[3], assume_unique=True)) >= need(len(x[3]), len(y[3])):
+                        link(x, y)
         return out
-    every = np.unique(np.concatenate([m[6] for m in members]))
-    counts = sketch[every >> (TOKEN_BITS - SKETCH_BITS)]
-    order = np.lexsort((every, counts))
-    number = np.argsort(order)
-    counts, ranked = counts[order], every[order]
-    lists = [np.sort(number[np.searchsorted(every, m[6])]) for m in members]
-    sizes = np.array([m[2] for m in members])
-    beyond = np.array([m[2] - m[3] for m in members])
-    roots = np.array([m[1] for m in members])
-    sides = np.array([m[5] for m in members])
-    last = np.zeros(len(members), np.int64)
-    for k, m in enumerate(members):
-        low, high = np.searchsorted(counts, m[4][0]), np.searchsorted(counts, m[4][0], side="right")
-        last[k] = low + np.searchsorted(ranked[low:high], m[4][1], side="right") - 1
-    trie = Trie(lists, beyond, sizes)
-    step = max(1, min(64, 4_000_000 // max(1, len(every))))
+    every = np.unique(np.concatenate([m[3] for m in members]))
+    number = np.empty(len(every), np.int64)
+    number[np.lexsort((every, sketch[bucket(every)]))] = np.arange(len(every))
+    lists = [np.sort(number[np.searchsorted(every, m[3])]) for m in members]
+    trie = Trie(lists, sizes)
+    step = max(1, min(64, 16_000_000 // max(1, len(every))))
     for a in range(0, len(members), step):
         b = min(len(members), a + step)
-        has = np.zeros((b - a, len(every)), np.int64)
+        has = np.zeros((b - a, len(every)), np.uint8)
         for k in range(a, b):
             has[k - a, lists[k]] = 1
-        for probe, other, common in trie.walk(has, sizes[a:b], last[a:b], beyond[a:b]):
-            probe = probe + a
-            ok = (other > probe) & (roots[other] != roots[probe])
-            if not local:
-                ok &= sides[other] != sides[probe]
-            for i, j, c in zip(probe[ok].tolist(), other[ok].tolist(), common[ok].tolist()):
-                if 100 * sizes[i] >= SHARE * sizes[j] and fits(members[i], members[j], c):
-                    out.append((members[i][0], members[j][0]))
+        for probe, other, common in trie.walk(has, sizes[a:b], np.arange(a, b)):
+            linked = common >= need(sizes[probe + a], sizes[other])
+            for i, j in zip((probe[linked] + a).tolist(), other[linked].tolist()):
+                if local or members[i][2] != members[j][2]:
+                    link(members[i], members[j])
     return out
 
 
@@ -382,16 +374,19 @@ def groups_of(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[t
         yield now, rows
 
 
-MEMBERS = "token long, low long, high long, side long, set_id long, root long, n long, p long"
+MEMBERS = "token long, low long, high long, side long, set_id long, root long, members long"
 
 
 def possible_members(members: DataFrame) -> DataFrame:
-    """Members of a branch that have a partner by size, place in the order and root."""
+    """Members of a branch that have a partner by size, place in the order and root.
+
+    ``members`` is a hash of the list of them: branches of equal lists do the same work.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for (token, low, high), rows in groups_of(batches, 3):
-            side, set_id, root, n, p, pos = map(np.array, zip(*rows))
+            side, set_id, root, n, pos = map(np.array, zip(*rows))
             held = np.zeros(len(n), bool)
             for k in range(len(n)):
                 # sizes ascend, so partners of k stand behind it within the length ratio
@@ -403,8 +398,13 @@ def possible_members(members: DataFrame) -> DataFrame:
                 if ok.any():
                     held[k] = True
                     held[o] |= ok
-            for k in np.flatnonzero(held):
-                out.append((token, low, high, *(int(c[k]) for c in (side, set_id, root, n, p))))
+            chosen = np.flatnonzero(held)
+            if not len(chosen):
+                continue
+            listed = np.sort(set_id[chosen]).tobytes() + bytes([low != high])
+            same = int.from_bytes(hashlib.blake2b(listed, digest_size=8).digest(), "little", signed=True)
+            for k in chosen:
+                out.append((token, low, high, int(side[k]), int(set_id[k]), int(root[k]), same))
             if len(out) >= 10_000:
                 yield long_batch(out, MEMBERS)
                 out = []
@@ -413,7 +413,7 @@ def possible_members(members: DataFrame) -> DataFrame:
 
     return (
         members.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high", "n")
-        .select("token", "low", "high", "side", "set_id", "root", "n", "p", "pos").mapInArrow(run, MEMBERS)
+        .select("token", "low", "high", "side", "set_id", "root", "n", "pos").mapInArrow(run, MEMBERS)
     )
 
 
@@ -422,42 +422,50 @@ def long_batch(rows: list[tuple], ddl: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*rows)], names=names)
 
 
-def remaining_pairs(entries: DataFrame, sets: DataFrame, roots: DataFrame, shared) -> DataFrame:
-    """Pairs of different roots that the walk through the branches' tries leaves."""
+def texts_of(ids: DataFrame, sets: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(set_id, text) of one row of each of the sets, stored."""
+    one = (
+        sets.where(F.col("slots").isNotNull()).join(ids, "set_id").groupBy("set_id")
+        .agg(F.min(F.struct("key", "text_hash")).alias("row"))
+        .select("set_id", F.col("row.key").alias("key_"), F.col("row.text_hash").alias("hash_"))
+    )
+    on = F.col("key").eqNullSafe(F.col("key_")) & (F.col("hash_") == F.xxhash64("text"))
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text")).join(one, on)
+    return stored(rows.select("set_id", "text").dropDuplicates(["set_id"]), "join-texts")
+
+
+def remaining_links(
+    entries: DataFrame, sets: DataFrame, roots: DataFrame, docs: DataFrame, key: str, text: str, shared
+) -> DataFrame:
+    """Links between sets of different roots.
+
+    Sets that possibly link share a branch.  Of branches with the same possible members one is
+    compared, with whole texts; a large branch is split, and its parts are paired.
+    """
     rooted = (
-        entries.select(F.col("slot").bitwiseAND(F.lit(int(TOKEN_MASK))).alias("token"), "set_id", "n", "pos", "p")
+        entries.select(F.col("slot").bitwiseAND(F.lit(int(TOKEN_MASK))).alias("token"), "set_id", "n", "pos")
         .join(roots, F.col("set_id") == F.col("node"), "left")
         .withColumn("root", F.coalesce("root", "set_id")).drop("node")
     )
     open_branches = (
         rooted.groupBy("token").agg(F.count("*").alias("size"), F.min("root").alias("a"), F.max("root").alias("b"))
-        .where("a < b").select("token", F.ceil(F.col("size") / BLOCK).alias("blocks"))
-    )
-    side = F.pmod(F.xxhash64("set_id"), F.col("blocks"))
-    members = (
-        rooted.join(open_branches, "token").withColumn("side", side)
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .withColumn("low", F.least("side", "other")).withColumn("high", F.greatest("side", "other"))
-    )
-    ends = sets.where(F.col("slots").isNotNull()).groupBy("set_id").agg(
-        F.max("last_count").alias("last_count"), F.max("last_token").alias("last_token")
-    )
-    possible = stored(possible_members(members), "branch-members")
-    wanted = possible.select("set_id").distinct()
-    lists = (
-        entries.join(wanted, "set_id").groupBy("set_id")
-        .agg(F.collect_set(F.col("slot").bitwiseAND(F.lit(int(TOKEN_MASK)))).alias("tokens"))
-        .join(ends, "set_id")
+        .where("a < b").select("token", F.ceil(F.col("size") / (2 * BLOCK)).alias("parts"))
     )
+    possible = stored(possible_members(split(rooted.join(open_branches, "token"))), "branch-members")
+    block = ["token", "low", "high"]
+    once = possible.groupBy("members").agg(F.min(F.struct(*block)).alias("at")).select("at.*")
+    texts = texts_of(possible.select("set_id").distinct(), sets, docs, key, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, out = shared.value, []
-        for (_, low, high), rows in groups_of(batches, 3):
-            members = [
-                (set_id, root, n, p, (count, token), side, np.sort(np.array(tokens, np.int64)))
-                for side, set_id, root, n, p, count, token, tokens in rows
-            ]
-            out += survivors(members, low == high, sketch)
+        sketch = shared.value
+
+        def linked(now: tuple, rows: list[tuple]) -> list[tuple[int, int]]:
+            found = shingle_sets(pa.array([r[3] for r in rows], pa.string()))
+            return block_links([(r[1], r[2], r[0], s) for r, s in zip(rows, found)], now[1] == now[2], sketch)
+
+        out = []
+        for now, rows in groups_of(batches, 3):
+            out += linked(now, rows)
             if len(out) >= 10_000:
                 yield long_batch(out, "u long, v long")
                 out = []
@@ -465,9 +473,18 @@ def remaining_pairs(entries: DataFrame, sets: DataFrame, roots: DataFrame, share
             yield long_batch(out, "u long, v long")
 
     return (
-        possible.join(lists, "set_id").repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
-        .select("token", "low", "high", "side", "set_id", "root", "n", "p", "last_count", "last_token", "tokens")
-        .mapInArrow(run, "u long, v long").distinct()
+        possible.join(once, block).join(texts, "set_id").repartition(*block).sortWithinPartitions(*block)
+        .select(*block, "side", "set_id", "root", "text").mapInArrow(run, "u long, v long")
+    )
+
+
+def split(members: DataFrame) -> DataFrame:
+    """Each row once for every pair of parts that its part is in: (side, low, high)."""
+    side = F.pmod(F.xxhash64("set_id"), F.col("parts"))
+    return (
+        members.withColumn("side", side)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        .withColumn("low", F.least("side", "other")).withColumn("high", F.greatest("side", "other"))
     )
 
 
@@ -488,8 +505,7 @@ def ngram_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     ).distinct()
     links = stored(compare(near, sets, docs, key, text), "links-near")
     roots = components(links)
-    left = stored(remaining_pairs(entries, sets, roots, shared), "pairs-left")
-    more = stored(compare(left, sets, docs, key, text), "links-left")
+    more = stored(remaining_links(entries, sets, roots, docs, key, text, shared), "links-left")
     roots = components(links.unionByName(more))
     smallest = sets.where("n > 0").groupBy("set_id").agg(F.min("key").alias("least"))
     rooted = smallest.join(roots, F.col("set_id") == F.col("node"), "left").withColumn(
