@@ -224,18 +224,18 @@ def test_more_like_this(spark):
 
 def test_facets(spark):
     rows = [
-        (1, ["/tag/elixir", "/tag/functional"]), (2, ["/tag/python", "/tag/scripting"]),
-        (3, ["/tag/elixir", "/tag/python", "/tag/comparison"]),
+        (1, ["/crop/tomato", "/crop/basil"]), (2, ["/crop/maize", "/crop/squash"]),
+        (3, ["/crop/tomato", "/crop/maize", "/crop/beans"]),
     ]
     docs = spark.createDataFrame(rows, "id long, tags array<string>")
     corpus = Corpus(docs, "id", docs, docs)
-    assert keys(corpus, q.FacetTerm("tags", "/tag/elixir")) == [1, 3]
-    assert keys(corpus, q.FacetTerm("tags", "/tag")) == [1, 2, 3]
-    assert keys(corpus, q.facets("tags", must=["/tag/elixir"], must_not=["/tag/python"])) == [1]
-    counts = fc.facet_counts(docs, "id", "tags", roots=["/tag"])
+    assert keys(corpus, q.FacetTerm("tags", "/crop/tomato")) == [1, 3]
+    assert keys(corpus, q.FacetTerm("tags", "/crop")) == [1, 2, 3]
+    assert keys(corpus, q.facets("tags", must=["/crop/tomato"], must_not=["/crop/maize"])) == [1]
+    counts = fc.facet_counts(docs, "id", "tags", roots=["/crop"])
     found = {r.path: r["count"] for r in counts.collect()}
-    assert found == {"/tag/elixir": 2, "/tag/python": 2, "/tag/comparison": 1, "/tag/functional": 1, "/tag/scripting": 1}
-    assert [r.path for r in fc.top_children(counts, 2).orderBy("rank").collect()] == ["/tag/elixir", "/tag/python"]
+    assert found == {"/crop/tomato": 2, "/crop/maize": 2, "/crop/beans": 1, "/crop/basil": 1, "/crop/squash": 1}
+    assert [r.path for r in fc.top_children(counts, 2).orderBy("rank").collect()] == ["/crop/maize", "/crop/tomato"]
 
 
 def test_facet_paths(spark):
