@@ -36,13 +36,15 @@ ALPHA = 0.1
 @dataclass(frozen=True)
 class Settings:
     """``share``: one of so many runs of ``run_words`` words is a training example, whatever the
-    size of the corpus.  ``runs``: examples of one trainer.  ``table``: words whose counts are
-    sent to every task; the others are joined.
+    size of the corpus.  ``runs``: examples of one trainer.  ``copies``: equal runs that one
+    example may stand for.  ``table``: words whose counts are sent to every task; the others
+    are joined.
     """
 
     share: int = 64
     run_words: int = 64
     runs: int = 4000
+    copies: int = 64
     rounds: int = 2
     batch: int = 256
     rate: float = 0.004
@@ -212,16 +214,21 @@ def gradients(flat: np.ndarray, x: np.ndarray, y: np.ndarray, mask: np.ndarray)
     return grad, float(-(np.log(np.maximum(picked, 1e-12)) * mask).sum() / total)
 
 
-def descend(flat: np.ndarray, texts: list[np.ndarray], classes: Classes, settings: Settings, seed: int) -> np.ndarray:
-    """One pass of Adam over the windows of some runs."""
-    windows, mask, _ = windows_of(texts)
+def descend(
+    flat: np.ndarray, texts: list[np.ndarray], classes: Classes, settings: Settings, seed: int, weights: list[float] | None = None
+) -> np.ndarray:
+    """One pass of Adam over the windows of some runs, each counted ``weights`` times."""
+    windows, mask, owner = windows_of(texts)
+    mask = mask.astype(np.float32)
+    if weights is not None:
+        mask *= np.array(weights, np.float32)[owner][:, None]
     order = np.random.default_rng(seed).permutation(len(windows))
     flat = flat.copy()
     m, v = np.zeros_like(flat), np.zeros_like(flat)
     for step, at in enumerate(range(0, len(order), settings.batch), 1):
         w = order[at : at + settings.batch]
         x, y = classes.inputs[windows[w, :-1]], classes.outputs[windows[w, STEP:]]
-        grad, _ = gradients(flat, x, y, mask[w].astype(np.float32))
+        grad, _ = gradients(flat, x, y, mask[w])
         m = 0.9 * m + 0.1 * grad
         v = 0.99 * v + 0.01 * grad**2
         flat -= settings.rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
@@ -291,36 +298,62 @@ def training_runs(docs: DataFrame, tokenizer: str, settings: Settings) -> DataFr
     return stored(docs.select("text").mapInArrow(run, "place long, ids binary"), "training-runs")
 
 
+def deal(runs: DataFrame, settings: Settings) -> tuple[DataFrame, int]:
+    """(trainer, ids, weight) of the runs, and how many trainers there are.
+
+    Equal runs fold into rows that each stand for up to ``copies`` of them and go to different
+    trainers, so neither a frequent run nor the choice of runs fills one trainer.
+    """
+    folded = stored(runs.groupBy("ids").agg(F.count("*").alias("n")), "folded-runs")
+    rows = F.ceil(F.col("n") / settings.copies)
+    n_rows = folded.agg(F.sum(rows)).first()[0] or 0
+    trainers = max(1, -(-n_rows // settings.runs))
+    dealt = folded.withColumn("rows", F.least(rows, F.lit(trainers))).select(
+        "ids", (F.col("n") / F.col("rows")).alias("weight"),
+        F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))).alias("row"),
+    )
+    trainer = F.pmod(F.pmod(F.xxhash64("ids"), F.lit(trainers)) + F.col("row"), F.lit(trainers))
+    return dealt.select(trainer.alias("trainer"), "ids", "weight"), trainers if n_rows else 0
+
+
 def train(runs: DataFrame, classes: Classes, settings: Settings) -> np.ndarray:
     """Rounds of local descent and averaging; each trainer weighs as much as its ids."""
-    flat, n_runs = fresh(classes), runs.count()
-    trainers = max(1, -(-n_runs // settings.runs))
-    dealt = runs.withColumn("trainer", F.pmod("place", F.lit(trainers)))
-    for turn in range(settings.rounds if n_runs else 0):
+    flat = fresh(classes)
+    dealt, trainers = deal(runs, settings)
+    for turn in range(settings.rounds if trainers else 0):
         start = flat
 
         def run(batches: Iterator[pa.RecordBatch], start=start, turn=turn) -> Iterator[pa.RecordBatch]:
-            def descent(trainer: int, texts: list[np.ndarray]) -> pa.RecordBatch:
-                moved = descend(start, texts, classes, settings, seed=1000 * turn + trainer % 1000)
-                return pa.RecordBatch.from_arrays(
-                    [pa.array([float(sum(map(len, texts)))]), pa.array([moved.tolist()], pa.list_(pa.float64()))],
-                    names=["weight", "flat"],
+            def descent(trainer: int, texts: list[np.ndarray], weights: list[float]) -> tuple[float, np.ndarray]:
+                moved = descend(start, texts, classes, settings, 1000 * turn + trainer % 1000, weights)
+                return sum(len(t) * w for t, w in zip(texts, weights)), moved
+
+            def trainers() -> Iterator[tuple[float, np.ndarray]]:
+                now, texts, weights = None, [], []
+                for batch in batches:
+                    for trainer, ids, weight in zip(*(c.to_pylist() for c in batch.columns)):
+                        if trainer != now and texts:
+                            yield descent(now, texts, weights)
+                            texts, weights = [], []
+                        now = trainer
+                        texts.append(np.frombuffer(ids, "<u2"))
+                        weights.append(weight)
+                if texts:
+                    yield descent(now, texts, weights)
+
+            total, added = 0.0, np.zeros(len(start))
+            for weight, moved in trainers():  # one row a task, however many trainers it has
+                total += weight
+                added += weight * moved
+            if total:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([total]), pa.array([(added / total).tolist()], pa.list_(pa.float64()))], names=["weight", "flat"]
                 )
 
-            now, texts = None, []
-            for batch in batches:
-                for trainer, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    if trainer != now and texts:
-                        yield descent(now, texts)
-                        texts = []
-                    now = trainer
-                    texts.append(np.frombuffer(ids, "<u2"))
-            if texts:
-                yield descent(now, texts)
-
         moved = (
-            dealt.repartition("trainer").sortWithinPartitions("trainer", "place", "ids")
-            .select("trainer", "ids").mapInArrow(run, "weight double, flat array<double>")
+            dealt.repartition("trainer").withColumn("turn", F.xxhash64("ids", F.lit(turn)))
+            .sortWithinPartitions("trainer", "turn", "ids")
+            .select("trainer", "ids", "weight").mapInArrow(run, "weight double, flat array<double>")
             .select("weight", F.posexplode("flat").alias("place", "value"))
             .groupBy("place").agg((F.sum(F.col("weight") * F.col("value")) / F.sum("weight")).alias("value"))
         )

@@ -449,3 +449,13 @@ def test_training_lowers_the_loss():
     before = attention_lm.Model(start, classes).log_probabilities(texts).sum()
     after = attention_lm.Model(end, classes).log_probabilities(texts).sum()
     assert after > 0.8 * before
+
+
+def test_runs_are_dealt_to_all_trainers(spark):
+    runs = spark.range(64 * 96).select(  # as chosen: multiples of 64, and a third of the rows one run
+        (F.col("id") * 64).alias("place"), F.when(F.col("id") % 3 == 0, "same").otherwise(F.col("id").cast("string")).cast("binary").alias("ids")
+    )
+    dealt, trainers = attention_lm.deal(runs, attention_lm.Settings(runs=64))
+    rows = dealt.groupBy("trainer").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).collect()
+    assert trainers >= 64 and len(rows) == trainers and max(r.n for r in rows) < 2 * 64
+    assert sum(r.w for r in rows) == pytest.approx(64 * 96) and max(r.w for r in rows) < 4 * 64
