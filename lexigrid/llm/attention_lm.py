@@ -5,7 +5,8 @@ of the next subword id from up to 31 ids before it, and the counts of all traini
 an id's share of its class; the product is a probability of the id.  Windows overlap by half:
 a window's first half is context, each id of its second half is scored, so that every id of
 a text is scored once.  Training is data-parallel: trainers run the same steps over their own
-windows and their parameters are averaged, so what is learned from grows with the corpus.
+windows and their parameters are averaged.  All training texts are learned from; a trainer
+reads its runs as a stream.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from lexigrid.llm.subwords import subword_ids
 from lexigrid.llm.textbatch import batch_words, mix
 from lexigrid.session import stored
 
+POOL = 16  # minibatches whose windows a trainer holds and mixes
 STEP = 16  # ids that a window scores; as many before them are context
 PAD, END = 49406, 49407
 WORD, SUBWORD, TEXT_END = 0, 1, 2
@@ -35,13 +37,13 @@ ALPHA = 0.1
 
 @dataclass(frozen=True)
 class Settings:
-    """``share``: one of so many runs of ``run_words`` words is a training example, whatever the
-    size of the corpus.  ``runs``: examples of one trainer.  ``copies``: equal runs that one
+    """``share``: one of so many runs of ``run_words`` words is a training example; 1, all are.
+    ``runs``: examples of one trainer.  ``copies``: equal runs that one
     example may stand for.  ``table``: words whose counts are sent to every task; the others
     are joined.
     """
 
-    share: int = 64
+    share: int = 1
     run_words: int = 64
     runs: int = 4000
     copies: int = 64
@@ -214,25 +216,57 @@ def gradients(flat: np.ndarray, x: np.ndarray, y: np.ndarray, mask: np.ndarray)
     return grad, float(-(np.log(np.maximum(picked, 1e-12)) * mask).sum() / total)
 
 
-def descend(
-    flat: np.ndarray, texts: list[np.ndarray], classes: Classes, settings: Settings, seed: int, weights: list[float] | None = None
-) -> np.ndarray:
-    """One pass of Adam over the windows of some runs, each counted ``weights`` times."""
-    windows, mask, owner = windows_of(texts)
-    mask = mask.astype(np.float32)
-    if weights is not None:
-        mask *= np.array(weights, np.float32)[owner][:, None]
-    order = np.random.default_rng(seed).permutation(len(windows))
-    flat = flat.copy()
-    m, v = np.zeros_like(flat), np.zeros_like(flat)
-    for step, at in enumerate(range(0, len(order), settings.batch), 1):
-        w = order[at : at + settings.batch]
-        x, y = classes.inputs[windows[w, :-1]], classes.outputs[windows[w, STEP:]]
-        grad, _ = gradients(flat, x, y, mask[w])
-        m = 0.9 * m + 0.1 * grad
-        v = 0.99 * v + 0.01 * grad**2
-        flat -= settings.rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    return flat.astype(np.float32)
+class Descent:
+    """One pass of Adam over a stream of runs, each counted ``weight`` times.
+
+    Windows wait in a pool of ``POOL`` minibatches, are mixed there and learned from.
+    """
+
+    def __init__(self, flat: np.ndarray, classes: Classes, settings: Settings, seed: int):
+        self.flat, self.classes, self.settings = flat.copy(), classes, settings
+        self.rng, self.step, self.weight = np.random.default_rng(seed), 0, 0.0
+        self.m, self.v = np.zeros_like(flat), np.zeros_like(flat)
+        self.texts, self.weights, self.held = [], [], 0
+        self.left = np.zeros((0, 2 * STEP), np.int64), np.zeros((0, STEP), np.float32)
+
+    def add(self, text: np.ndarray, weight: float = 1.0) -> None:
+        self.texts.append(text)
+        self.weights.append(weight)
+        self.weight += len(text) * weight
+        self.held += -(-len(text) // STEP)
+        if self.held >= POOL * self.settings.batch:
+            self.learn(last=False)
+
+    def learn(self, last: bool) -> None:
+        """Steps over the pool; windows that fill no minibatch wait, unless these are the last."""
+        windows, mask, owner = windows_of(self.texts)
+        mask = mask * np.array(self.weights, np.float32)[owner][:, None]
+        windows, mask = np.concatenate([self.left[0], windows]), np.concatenate([self.left[1], mask])
+        order = self.rng.permutation(len(windows))
+        stop = len(order) if last else len(order) - len(order) % self.settings.batch
+        for at in range(0, stop, self.settings.batch):
+            w = order[at : min(stop, at + self.settings.batch)]
+            x, y = self.classes.inputs[windows[w, :-1]], self.classes.outputs[windows[w, STEP:]]
+            grad, _ = gradients(self.flat, x, y, mask[w])
+            self.step += 1
+            self.m = 0.9 * self.m + 0.1 * grad
+            self.v = 0.99 * self.v + 0.01 * grad**2
+            slope = self.m / (1 - 0.9**self.step)
+            self.flat -= self.settings.rate * slope / (np.sqrt(self.v / (1 - 0.99**self.step)) + 1e-8)
+        self.left = windows[order[stop:]], mask[order[stop:]]
+        self.texts, self.weights, self.held = [], [], 0
+
+    def end(self) -> np.ndarray:
+        self.learn(last=True)
+        return self.flat.astype(np.float32)
+
+
+def descend(flat: np.ndarray, texts: list[np.ndarray], classes: Classes, settings: Settings, seed: int) -> np.ndarray:
+    """One pass of Adam over the windows of some runs."""
+    descent = Descent(flat, classes, settings, seed)
+    for text in texts:
+        descent.add(text)
+    return descent.end()
 
 
 class Model:
@@ -269,33 +303,28 @@ class Model:
 
 
 def training_runs(docs: DataFrame, tokenizer: str, settings: Settings) -> DataFrame:
-    """(place, ids) of the runs of words to train on: all runs of all texts have equal chances."""
+    """(ids) of the runs of words of all texts; a text's last run has its end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = subword_ids(tokenizer)
         for batch in batches:
             for _, _, words in batch_words(batch.column(0)):
-                places, found, ends = [], [], []
-                for k in range(len(words.first) - 1):
-                    a, b = int(words.first[k]), int(words.first[k + 1])
-                    seed = mix(np.array([words.hashes[a:b].sum() + np.uint64(b - a)], np.uint64))
-                    n = max(1, -(-(b - a) // settings.run_words))
-                    chosen = mix(seed + np.arange(n, dtype=np.uint64))
-                    for r in np.flatnonzero(chosen % np.uint64(settings.share) == 0):
-                        low, high = a + r * settings.run_words, min(b, a + (r + 1) * settings.run_words)
-                        text = words.data[words.starts[low] : words.ends[high - 1]].tobytes() if high > low else b""
-                        found.append(text.decode("utf-8", "replace"))
-                        ends.append(high == b)
-                        places.append(chosen[r])
+                size = np.diff(words.first)
+                n = np.maximum(1, -(-size // settings.run_words))
+                stop = np.cumsum(n)
+                number = np.arange(n.sum()) - np.repeat(stop - n, n)
+                last = np.zeros(len(number), bool)
+                last[stop - 1] = True
+                seeds = mix(np.array([words.hashes[a:b].sum() + np.uint64(b - a) for a, b in zip(words.first, words.first[1:])], np.uint64))
+                chosen = mix(np.repeat(seeds, n) + number.astype(np.uint64)) % np.uint64(settings.share) == 0
+                words.first = np.append(np.repeat(words.first[:-1], n) + number * settings.run_words, words.first[-1])
                 found = [
                     (np.append(ids, np.uint16(END)) if end else ids).astype("<u2").tobytes()
-                    for ids, end in zip(known.encode_all(found), ends)
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.array(places, np.uint64).view(np.int64)), pa.array(found, pa.binary())], names=["place", "ids"]
-                )
+                    for ids, end, c in zip(known.encode_words(words), last, chosen) if c
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["ids"])
 
-    return stored(docs.select("text").mapInArrow(run, "place long, ids binary"), "training-runs")
+    return docs.select("text").mapInArrow(run, "ids binary")
 
 
 def deal(runs: DataFrame, settings: Settings) -> tuple[DataFrame, int]:
@@ -324,22 +353,18 @@ def train(runs: DataFrame, classes: Classes, settings: Settings) -> np.ndarray:
         start = flat
 
         def run(batches: Iterator[pa.RecordBatch], start=start, turn=turn) -> Iterator[pa.RecordBatch]:
-            def descent(trainer: int, texts: list[np.ndarray], weights: list[float]) -> tuple[float, np.ndarray]:
-                moved = descend(start, texts, classes, settings, 1000 * turn + trainer % 1000, weights)
-                return sum(len(t) * w for t, w in zip(texts, weights)), moved
-
             def trainers() -> Iterator[tuple[float, np.ndarray]]:
-                now, texts, weights = None, [], []
+                now, descent = None, None
                 for batch in batches:
-                    for trainer, ids, weight in zip(*(c.to_pylist() for c in batch.columns)):
-                        if trainer != now and texts:
-                            yield descent(now, texts, weights)
-                            texts, weights = [], []
-                        now = trainer
-                        texts.append(np.frombuffer(ids, "<u2"))
-                        weights.append(weight)
-                if texts:
-                    yield descent(now, texts, weights)
+                    trainer, weight = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+                    for t, ids, w in zip(trainer, batch.column(1), weight):
+                        if t != now:
+                            if descent:
+                                yield descent.weight, descent.end()
+                            now, descent = t, Descent(start, classes, settings, 1000 * turn + t % 1000)
+                        descent.add(np.frombuffer(ids.as_buffer(), "<u2"), w)
+                if descent:
+                    yield descent.weight, descent.end()
 
             total, added = 0.0, np.zeros(len(start))
             for weight, moved in trainers():  # one row a task, however many trainers it has

@@ -459,3 +459,21 @@ def test_runs_are_dealt_to_all_trainers(spark):
     rows = dealt.groupBy("trainer").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).collect()
     assert trainers >= 64 and len(rows) == trainers and max(r.n for r in rows) < 2 * 64
     assert sum(r.w for r in rows) == pytest.approx(64 * 96) and max(r.w for r in rows) < 4 * 64
+
+
+def test_all_training_texts_are_learned_from(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    known = subwords.subword_ids(path)
+    rows = ODD + [(k, f"short text {k}") for k in range(100, 150)] + [(k, "the same short text") for k in range(200, 400)]
+    runs = attention_lm.training_runs(frame(spark, rows).select("text"), path, attention_lm.Settings())
+    dealt, _ = attention_lm.deal(runs, attention_lm.Settings(runs=50))
+    got, want = Counter(), Counter()
+    for r in dealt.collect():
+        for number in np.frombuffer(r.ids, "<u2").tolist():
+            got[number] += r.weight
+    for _, t in rows:
+        want.update(known.encode(t or "").tolist() + [attention_lm.END])
+    assert set(got) == set(want) and all(got[k] == pytest.approx(want[k]) for k in want)
+    classes = attention_lm.Classes.of(np.bincount(list(want), list(want.values()), attention_lm.VOCABULARY))
+    flat = attention_lm.train(runs.limit(1), classes, attention_lm.Settings())
+    assert not np.array_equal(flat, attention_lm.fresh(classes))
