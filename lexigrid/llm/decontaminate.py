@@ -1,10 +1,11 @@
 """Benchmark decontamination by templates.
 
 Only DataFrame functions run here.  Numbers, their units and names become typed placeholders,
-so a benchmark question with other numbers or names has the same template.  Windows of
-template words are hash-joined; items that a document covers for the most part are
-candidates.  The slots decide: wherever the item repeats a value, the document must repeat
-the value that stands in its place.
+so a benchmark question with other numbers or names has the same template.  Two views are
+matched, each for itself: one with names as placeholders, and one in lower case without names,
+which a copy in another case has too.  Windows of template words are hash-joined; items that a
+document covers for the most part are candidates.  The slots decide: wherever the item repeats
+a value, the document must repeat the value that stands in its place.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from lexigrid.llm.registry import query, table
 from lexigrid.session import stored
 
 NAME, NUMBER, UNIT = "", "", ""
+JOIN = "\ue003"  # between the words of a name
 # Units of measurement, as written after a number.
 UNITS = (
     "mm|cm|dm|m|km|mi|ft|in|yd|inch|inches|feet|miles|metres|meters|kilometres|kilometers|centimetres|centimeters|"
@@ -26,6 +28,7 @@ UNITS = (
     "°c|°f|percent|dollars|euros|cents|kb|mb|gb|tb"
 )
 FIGURE = r"[-+]?[$€£]?\p{Nd}[\p{Nd}.,:/]*%?"
+CAPITALISED = r"\p{Lu}['’]?\p{L}?\p{Ll}[\p{L}'’-]*"
 SPACES = r"[\x20\x09-\x0D]+"
 
 
@@ -42,24 +45,40 @@ class Settings:
     conflicts: float = 0.2
 
 
-def template(text: Column) -> Column:
+def folded(text: Column, named: bool) -> Column:
+    """The text; in the view with names, a run of capitalised words is one word."""
+    if not named:
+        return text
+    return F.regexp_replace(text, rf"(?<![\p{{L}}\p{{N}}'’-])({CAPITALISED}){SPACES}(?={CAPITALISED})", f"$1{JOIN}")
+
+
+def template(text: Column, named: bool) -> Column:
     """The words of a text as an array: lower case, no punctuation, values as placeholders.
 
-    A name is a capitalised word after a lower-case word or a comma; the first word of a
-    sentence is not one.
+    A name is a run of capitalised words, which may begin a sentence; words in capitals alone
+    are not names.
     """
-    named = F.regexp_replace(text, r"(?<=[\p{Ll}\p{Nd},;] )\p{Lu}[\p{L}'’-]*", NAME)
     united = F.regexp_replace(
-        named, rf"(?i)(?<![\p{{L}}\p{{N}}]){FIGURE}(\s?)(?:{UNITS})(?![\p{{L}}\p{{N}}])", f"{NUMBER}$1{UNIT}"
+        folded(text, named), rf"(?i)(?<![\p{{L}}\p{{N}}]){FIGURE}(\s?)(?:{UNITS})(?![\p{{L}}\p{{N}}])", f"{NUMBER}$1{UNIT}"
     )
     counted = F.regexp_replace(united, rf"(?<![\p{{L}}\p{{N}}]){FIGURE}", NUMBER)
+    if named:
+        counted = F.regexp_replace(
+            counted, rf"(?<![\p{{L}}\p{{N}}'’-]){CAPITALISED}(?:{JOIN}{CAPITALISED})*", NAME
+        )
     plain = F.regexp_replace(F.lower(counted), rf"[^\p{{L}}\p{{N}}{NAME}-{UNIT}\s]+", "")
     return F.filter(F.split(plain, SPACES), lambda w: w != "")
 
 
-def raw_words(text: Column) -> Column:
+def raw_words(text: Column, named: bool) -> Column:
     """Words of the text itself, at the places of their template words."""
-    return F.filter(F.split(text, SPACES), lambda w: w.rlike(rf"[\p{{L}}\p{{N}}{NAME}-{UNIT}]"))
+    return F.filter(F.split(folded(text, named), SPACES), lambda w: w.rlike(rf"[\p{{L}}\p{{N}}{NAME}-{UNIT}]"))
+
+
+def views(rows: DataFrame, columns: list[Column | str], of) -> DataFrame:
+    """``columns`` and ``of(named)`` of all rows, once for each view."""
+    parts = [rows.select(*columns, F.lit(named).alias("named"), *of(named)) for named in (True, False)]
+    return parts[0].unionByName(parts[1])
 
 
 def window_hashes(words: Column, width: int) -> Column:
@@ -67,30 +86,37 @@ def window_hashes(words: Column, width: int) -> Column:
     n = F.size(words)
     return F.when(
         n >= width,
-        F.transform(F.sequence(F.lit(1), n - (width - 1)), lambda i: F.xxhash64(F.slice(words, i, width), F.lit(width))),
+        F.transform(
+            F.sequence(F.lit(1), n - (width - 1)),
+            lambda i: F.xxhash64(F.slice(words, i, width), F.lit(width), F.col("named")),
+        ),
     ).otherwise(F.array().cast("array<bigint>"))
 
 
 def item_windows(items: DataFrame, settings: Settings) -> DataFrame:
-    """(item_id, width, n_windows, ipos, window) of every item that is long enough.  An item
-    shorter than a window is one window of its own length; repeated item ids are one item."""
-    worded = items.select("item_id", template(F.col("text")).alias("words")).where(
+    """(item_id, named, width, n_windows, ipos, window) of every item that is long enough.  An
+    item shorter than a window is one window of its own length; repeated item ids are one item.
+    Windows that are placeholders for more than three quarters tell nothing of names."""
+    worded = views(items, ["item_id"], lambda named: [template(F.col("text"), named).alias("words")]).where(
         F.size("words") >= settings.fewest
     )
     width = F.least(F.size("words"), F.lit(settings.width))
     sliced = worded.select(
-        "item_id",
+        "item_id", "named",
         width.alias("width"),
         F.posexplode(
             F.transform(
                 F.sequence(F.lit(1), F.size("words") - width + 1),
-                lambda i: F.xxhash64(F.slice("words", i, width), width),
+                lambda i: F.struct(
+                    F.xxhash64(F.slice("words", i, width), width, F.col("named")).alias("window"),
+                    F.size(F.filter(F.slice("words", i, width), lambda w: ~w.rlike(f"[{NAME}-{UNIT}]"))).alias("literal"),
+                ),
             )
-        ).alias("ipos", "window"),
-    )
-    distinct = sliced.groupBy("item_id", "width", "window").agg(F.min("ipos").alias("ipos"))
-    counts = distinct.groupBy("item_id").agg(F.count("*").alias("n_windows"))
-    return distinct.join(counts, "item_id")
+        ).alias("ipos", "at"),
+    ).where(~F.col("named") | (4 * F.col("at.literal") >= F.col("width")))
+    distinct = sliced.groupBy("item_id", "named", "width", F.col("at.window").alias("window")).agg(F.min("ipos").alias("ipos"))
+    counts = distinct.groupBy("item_id", "named").agg(F.count("*").alias("n_windows"))
+    return distinct.join(counts, ["item_id", "named"])
 
 
 def find_leaks(
@@ -111,33 +137,33 @@ def find_leaks(
     widths = sorted(r.width for r in windows.select("width").distinct().collect())  # at most ``width`` values
     if not widths:
         widths = [settings.width]
-    worded = docs.select(
-        F.col(key), F.xxhash64(F.col(text)).alias("text_hash"), template(F.col(text)).alias("words")
-    ).where(F.size("words") >= settings.fewest)
+    worded = views(
+        docs, [F.col(key), F.xxhash64(F.col(text)).alias("text_hash")],
+        lambda named: [template(F.col(text), named).alias("words")],
+    ).where(F.size("words") >= settings.fewest)
     spans = None
     for width in widths:
         part = worded.select(
-            key, "text_hash", F.posexplode(window_hashes(F.col("words"), width)).alias("dpos", "window")
+            key, "text_hash", "named", F.posexplode(window_hashes(F.col("words"), width)).alias("dpos", "window")
         )
         spans = part if spans is None else spans.unionByName(part)
+    group = [key, "text_hash", "item_id", "named"]
     matched = (
-        spans.join(windows, "window")
-        .groupBy(key, "text_hash", "item_id", "width", "n_windows", "ipos").agg(F.min("dpos").alias("dpos"))
+        spans.join(windows, ["window", "named"])
+        .groupBy(*group, "width", "n_windows", "ipos").agg(F.min("dpos").alias("dpos"))
     )
     candidates = stored(
-        matched.groupBy(key, "text_hash", "item_id", "width", "n_windows")
+        matched.groupBy(*group, "width", "n_windows")
         .agg(F.count("*").alias("n_hits"), F.collect_list(F.struct("ipos", "dpos")).alias("places"))
         .where(F.col("n_hits") >= F.col("n_windows") * settings.coverage),
         "leak-candidates",
     )
     # one row for each slot of an item that lies in a matched window, with both values
-    questions = items.select(
-        "item_id", raw_words(F.col("text")).alias("asked"), template(F.col("text")).alias("pattern")
-    ).dropDuplicates(["item_id"])
+    questions = views(
+        items.dropDuplicates(["item_id"]), ["item_id"],
+        lambda named: [raw_words(F.col("text"), named).alias("asked"), template(F.col("text"), named).alias("pattern")],
+    )
     slot = f"{NAME}|{NUMBER}|{UNIT}"
-    with_slots = candidates.join(
-        questions.where(F.exists("pattern", lambda w: w.rlike(slot))), "item_id"
-    )
     place = F.transform(
         F.col("places"),
         lambda p: F.transform(
@@ -148,39 +174,55 @@ def find_leaks(
     aligned = F.filter(
         F.array_distinct(F.flatten(place)), lambda p: F.get("pattern", p["i"]).rlike(slot)
     )
-    texts = docs.select(F.col(key), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text_"))
-    values = (
-        with_slots.select(key, "text_hash", "item_id", "asked", aligned.alias("slots"))
-        .join(texts, [key, "text_hash"])
-        .withColumn("said", raw_words(F.col("text_")))
-        .select(key, "text_hash", "item_id", "asked", "said", F.explode("slots").alias("slot"))
-        .select(
-            key, "text_hash", "item_id", "slot",
-            bare(F.get("asked", F.col("slot.i"))).alias("a"), bare(F.get("said", F.col("slot.d"))).alias("b"),
+    slots = stored(
+        candidates.withColumnRenamed("item_id", "item_").join(
+            questions.where(F.exists("pattern", lambda w: w.rlike(slot))),
+            F.col("item_").eqNullSafe(F.col("item_id")) & (candidates["named"] == questions["named"]),
         )
-        .distinct()
+        .select(key, "text_hash", "item_id", candidates["named"], "asked", F.explode(aligned).alias("slot"))
+        .select(*group, F.col("slot.d").alias("d"), bare(F.get("asked", F.col("slot.i"))).alias("a"), F.col("slot.i").alias("i")),
+        "leak-slots",
+    )
+    # each text is split once a view, however many slots it has
+    wanted = slots.groupBy("text_hash", "named").agg(F.collect_set("d").alias("places"))
+    texts = (
+        docs.select(F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text_"))
+        .join(slots.select("text_hash").distinct(), "text_hash").dropDuplicates(["text_hash"])
+    )
+    said = (
+        texts.join(wanted, "text_hash")
+        .select("text_hash", "named", "places", F.when(F.col("named"), raw_words(F.col("text_"), True)).otherwise(
+            raw_words(F.col("text_"), False)).alias("said"))
+        .select("text_hash", "named", "said", F.explode("places").alias("d"))
+        .select("text_hash", "named", "d", bare(F.get("said", F.col("d"))).alias("b"))
     )
-    by_value = values.groupBy(key, "text_hash", "item_id", "a").agg(
+    values = slots.join(said, ["text_hash", "named", "d"])
+    by_value = values.groupBy(*group, "a").agg(
         F.count("*").alias("n"),
         F.count_distinct("b").alias("n_values"),
         F.sum((~F.col("a").eqNullSafe(F.col("b"))).cast("long")).alias("changed"),
     )
-    slots = by_value.groupBy(F.col(key).alias("key_"), F.col("text_hash").alias("hash_"), F.col("item_id").alias("item_")).agg(
+    judged = by_value.groupBy(*(F.col(c).alias(f"{c}_") for c in group)).agg(
         F.sum("n").alias("n_slots"), F.sum(F.col("n_values") - 1).alias("broken"), F.sum("changed").alias("n_changed")
     )
-    on = (
-        F.col(key).eqNullSafe(F.col("key_"))
-        & (F.col("text_hash") == F.col("hash_"))
-        & F.col("item_id").eqNullSafe(F.col("item_"))
+    on = F.lit(True)
+    for c in group:
+        on &= F.col(c).eqNullSafe(F.col(f"{c}_"))
+    passed = candidates.join(judged, on, "left").where(
+        F.coalesce(F.col("broken") <= F.col("n_slots") * settings.conflicts, F.lit(True))
     )
-    return (
-        candidates.join(slots, on, "left")
-        .where(F.coalesce(F.col("broken") <= F.col("n_slots") * settings.conflicts, F.lit(True)))
-        .select(
-            key, "text_hash", "item_id", "n_windows", "n_hits",
-            F.coalesce("n_slots", F.lit(0)).alias("n_slots"), F.coalesce("n_changed", F.lit(0)).alias("n_changed"),
+    # of several ways in which an item leaks, the one that covers most of it
+    best = F.max(
+        F.struct(
+            (F.col("n_hits") / F.col("n_windows")).alias("share"), (-F.coalesce("n_changed", F.lit(0))).alias("kept"),
+            "n_windows", "n_hits", F.coalesce("n_slots", F.lit(0)).alias("n_slots"),
+            F.coalesce("n_changed", F.lit(0)).alias("n_changed"),
         )
     )
+    return (
+        passed.groupBy(key, "text_hash", "item_id").agg(best.alias("best"))
+        .select(key, "text_hash", "item_id", "best.n_windows", "best.n_hits", "best.n_slots", "best.n_changed")
+    )
 
 
 def bare(word: Column) -> Column:

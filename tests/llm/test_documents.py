@@ -382,6 +382,19 @@ def test_leaks_of_the_table_against_brute_force(spark):
     assert got == want and want
 
 
+def test_leaks_in_other_case_and_names(spark):
+    apples = "Tom has 12 apples in a box. Anna has 7 pears in a bag. Tom and Anna put all of them on the table."
+    items = spark.createDataFrame([(1, ITEM), (2, apples), (3, "Tom has 12 apples and 5 pears.")], "item_id long, text string")
+    renamed = "Bob Miller has 12 apples in a box. Maria has 7 pears in a bag. Bob Miller and Maria put all of them on the table."
+    mixed = "Bob has 12 apples in a box. Maria has 7 pears in a bag. Carl and Paula put all of them on the table."
+    rows = [(10, ITEM.upper()), (11, ITEM.lower()), (12, renamed), (13, "Bob has 12 apples and 5 pears."), (14, mixed),
+            (15, "THE 5 BIG 6 OLD 7 RED 8 NEW 9 BAD 3 FAR 2 LOW 1 TOP " * 9), (16, "The 5 Big 6 Old 7 Red 8 New 9 Bad 3 Far " * 9)]
+    strict = decontaminate.Settings(conflicts=0.0)
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.find_leaks(frame(spark, rows), items, settings=strict).collect()}
+    assert set(got) == {(10, 1), (11, 1), (12, 2), (13, 3)}
+    assert got[10, 1].n_hits == got[10, 1].n_windows == 17 and got[12, 2].n_changed > 0 and got[11, 1].n_changed == 0
+
+
 # ---- language model ----------------------------------------------------------------------
 
 
