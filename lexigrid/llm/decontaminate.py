@@ -32,6 +32,9 @@ CAPITALISED = r"\p{Lu}['’]?\p{L}?\p{Ll}[\p{L}'’-]*"
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+DRIFT = 16  # words that a copy may have more or fewer than the item, to be judged as one
+
+
 @dataclass(frozen=True)
 class Settings:
     """``width``: words in a window.  ``coverage``: the share of an item's windows that a
@@ -119,6 +122,20 @@ def item_windows(items: DataFrame, settings: Settings) -> DataFrame:
     return distinct.join(counts, ["item_id", "named"])
 
 
+def alignments(shift: Column) -> Column:
+    """Names of the ways to align a document and an item that a match of two windows is in.
+
+    The places themselves, so that a copy word for word stands alone; places within ``DRIFT``
+    words, for copies with words put in or left out, by two rows of bins that overlap by half;
+    and all places of the document together.
+    """
+    half = DRIFT // 2
+    near = [
+        F.concat(F.lit(f"{k}:"), F.floor((shift + k * half) / DRIFT).cast("string")) for k in range(2)
+    ]
+    return F.array(F.lit("all"), F.concat(F.lit("at:"), shift.cast("string")), *near)
+
+
 def find_leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -147,9 +164,10 @@ def find_leaks(
             key, "text_hash", "named", F.posexplode(window_hashes(F.col("words"), width)).alias("dpos", "window")
         )
         spans = part if spans is None else spans.unionByName(part)
-    group = [key, "text_hash", "item_id", "named"]
+    group = [key, "text_hash", "item_id", "named", "line"]
     matched = (
         spans.join(windows, ["window", "named"])
+        .withColumn("line", F.explode(alignments(F.col("dpos") - F.col("ipos"))))
         .groupBy(*group, "width", "n_windows", "ipos").agg(F.min("dpos").alias("dpos"))
     )
     candidates = stored(
@@ -179,7 +197,7 @@ def find_leaks(
             questions.where(F.exists("pattern", lambda w: w.rlike(slot))),
             F.col("item_").eqNullSafe(F.col("item_id")) & (candidates["named"] == questions["named"]),
         )
-        .select(key, "text_hash", "item_id", candidates["named"], "asked", F.explode(aligned).alias("slot"))
+        .select(key, "text_hash", "item_id", candidates["named"], "line", "asked", F.explode(aligned).alias("slot"))
         .select(*group, F.col("slot.d").alias("d"), bare(F.get("asked", F.col("slot.i"))).alias("a"), F.col("slot.i").alias("i")),
         "leak-slots",
     )

@@ -395,6 +395,19 @@ def test_leaks_in_other_case_and_names(spark):
     assert got[10, 1].n_hits == got[10, 1].n_windows == 17 and got[12, 2].n_changed > 0 and got[11, 1].n_changed == 0
 
 
+def test_a_copy_behind_a_variant_is_a_leak(spark):
+    items = spark.createDataFrame([(1, ITEM), (2, "Tom has 12 apples and 12 pears.")], "item_id long, text string")
+    part = "Tom buys 30 apples for 8 dollars, and then Maria buys 30 pears for 9 dollars."
+    worse = "Tom has 4 apples and 9 pears. "
+    longer = ITEM.replace("while Tom waits", "right there while Tom waits")
+    rows = [(10, part + " " + ITEM), (12, worse * 3 + "Tom has 12 apples and 12 pears."), (13, worse * 4),
+            (14, BROKEN + " " + longer), (15, BROKEN)]
+    for strict in (decontaminate.Settings(conflicts=0.0), decontaminate.Settings()):
+        got = {(r.doc_id, r.item_id): r for r in decontaminate.find_leaks(frame(spark, rows), items, settings=strict).collect()}
+        assert {(10, 1), (12, 2), (14, 1)} <= set(got) and (13, 2) not in got
+        assert got[10, 1].n_changed == got[12, 2].n_changed == 0
+
+
 # ---- language model ----------------------------------------------------------------------
 
 
