@@ -32,7 +32,9 @@ SKETCH_BITS = 20
 CHUNK = 4096
 TOKEN_BITS = 48
 TOKEN_MASK = np.int64((1 << TOKEN_BITS) - 1)
-BLOCK = 512
+BLOCK = 1024  # sets of a part of a branch
+LOAD = 1 << 20  # shingles of a part
+LONG = LOAD // 16  # a set of more shingles is in no part: its pairs are streamed
 FEW = 24  # so many sets are compared pair by pair sooner than by a trie
 
 
@@ -447,11 +449,9 @@ def remaining_links(
         .join(roots, F.col("set_id") == F.col("node"), "left")
         .withColumn("root", F.coalesce("root", "set_id")).drop("node")
     )
-    open_branches = (
-        rooted.groupBy("token").agg(F.count("*").alias("size"), F.min("root").alias("a"), F.max("root").alias("b"))
-        .where("a < b").select("token", F.ceil(F.col("size") / (2 * BLOCK)).alias("parts"))
-    )
-    possible = stored(possible_members(split(rooted.join(open_branches, "token"))), "branch-members")
+    long = stored(long_pairs(rooted), "long-pairs")
+    rooted = rooted.where(F.col("n") <= LONG)
+    possible = stored(possible_members(split(rooted.join(open_branches(rooted), "token"))), "branch-members")
     block = ["token", "low", "high"]
     once = possible.groupBy("members").agg(F.min(F.struct(*block)).alias("at")).select("at.*")
     texts = texts_of(possible.select("set_id").distinct(), sets, docs, key, text)
@@ -472,10 +472,37 @@ def remaining_links(
         if out:
             yield long_batch(out, "u long, v long")
 
-    return (
+    blocks = (
         possible.join(once, block).join(texts, "set_id").repartition(*block).sortWithinPartitions(*block)
         .select(*block, "side", "set_id", "root", "text").mapInArrow(run, "u long, v long")
     )
+    return blocks if long.isEmpty() else blocks.unionByName(compare(long, sets, docs, key, text))
+
+
+def open_branches(rooted: DataFrame) -> DataFrame:
+    """(token, parts) of the branches that hold several roots.  A part has about ``BLOCK`` sets
+    or ``LOAD`` shingles, whichever is less."""
+    return (
+        rooted.groupBy("token").agg(
+            F.count("*").alias("size"), F.sum("n").alias("load"), F.min("root").alias("a"), F.max("root").alias("b")
+        )
+        .where("a < b")
+        .select("token", F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("load") / LOAD)).alias("parts"))
+    )
+
+
+def long_pairs(rooted: DataFrame) -> DataFrame:
+    """(u, v) of the sets of different roots, one of them over ``LONG``, that possibly link."""
+    most = rooted.where(F.col("n") > LONG)
+    others = rooted.where(100 * F.col("n") > SHARE * LONG).select(
+        "token", *(F.col(c).alias(f"{c}_") for c in ("set_id", "n", "pos", "root"))
+    )
+    total = F.col("n") + F.col("n_")
+    room = F.least(F.col("n") - F.col("pos"), F.col("n_") - F.col("pos_"))
+    return (
+        most.join(others, "token").where((F.col("root") != F.col("root_")) & ((100 + SHARE) * room >= SHARE * total))
+        .select(F.least("set_id", "set_id_").alias("u"), F.greatest("set_id", "set_id_").alias("v")).distinct()
+    )
 
 
 def split(members: DataFrame) -> DataFrame:

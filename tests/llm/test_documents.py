@@ -163,6 +163,17 @@ def test_the_walk_joins_what_links_join(seed, n, edits, local):
     assert groups(got) == groups(links)
 
 
+def test_blocks_are_bounded_by_shingles(spark, monkeypatch):
+    sets = [(7, k, 20_000, 0, k) for k in range(400)] + [(8, k, 50, 0, k) for k in range(400)]
+    rooted = spark.createDataFrame(sets, "token long, set_id long, n long, pos long, root long")
+    assert {r.token: r.parts for r in trie_join.open_branches(rooted).collect()} == {7: 8, 8: 1}
+    monkeypatch.setattr(trie_join, "LOAD", 200)
+    monkeypatch.setattr(trie_join, "LONG", 50)
+    rows = [(i, t) for i, t in enumerate(near_copies(3, 30, 6) + near_copies(4, 30, 4, 40))]
+    got = trie_join.ngram_classes(frame(spark, rows))
+    assert sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect()), key=str) == classes_by_brute_force(rows)
+
+
 def test_components_of_a_long_path(spark):
     links = spark.range(1, 60).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
     rows = components.components(links.unionByName(spark.createDataFrame([(100, 101), (5, 5)], "u long, v long"))).collect()
