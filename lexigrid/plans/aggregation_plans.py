@@ -440,8 +440,9 @@ def facet_top_k(spark, d):
 def facet_count_path(spark, d):
     """Counts of every brand and type path, with paths that no part has."""
     part = table(spark, d, "part")
-    kinds = part.groupBy().agg(F.collect_set("p_type").alias("t")).select(F.array_append("t", F.lit("NONE")))
-    pairs = part.select("p_brand").distinct().select("p_brand", F.explode(kinds.scalar()).alias("kind"))
+    kinds = part.select(F.col("p_type").alias("kind")).where("kind IS NOT NULL").distinct()
+    kinds = kinds.unionByName(part.sparkSession.range(1).select(F.lit("NONE").alias("kind")))
+    pairs = part.select("p_brand").distinct().crossJoin(kinds)
     paths = pairs.select(F.concat(F.lit("/"), "p_brand", F.lit("/"), "kind").alias("path"))
     counts = fc.facet_counts(part_facets(spark, d), "p_partkey", "facet")
     return fc.count_paths(counts, paths)

@@ -122,3 +122,11 @@ def test_nested(products):
 def test_bad_requests(products, request_):
     with pytest.raises(ag.RequestError):
         ag.aggregate(products, request_)
+
+
+def test_facet_paths_are_not_gathered_in_one_row(spark):
+    from lexigrid.plans import PLANS
+
+    paths = PLANS["facet_count_path"].build(spark, "/root/testdata/sf0.001")
+    assert "collect_set" not in paths._jdf.queryExecution().toString()
+    assert paths.where("count = 0").count() > 0
