@@ -11,6 +11,7 @@ from lexigrid.llm import (  # noqa: F401
     decontaminate,
     trie_join,
     attention_lm,
+    phrase_mining,
 )
 from lexigrid.llm.registry import QUERIES, SQL
 
