@@ -12,6 +12,7 @@ from lexigrid.llm import (  # noqa: F401
     trie_join,
     attention_lm,
     phrase_mining,
+    url_rules,
 )
 from lexigrid.llm.registry import QUERIES, SQL
 
