@@ -13,6 +13,7 @@ from lexigrid.llm import (  # noqa: F401
     attention_lm,
     phrase_mining,
     url_rules,
+    hard_negatives,
 )
 from lexigrid.llm.registry import QUERIES, SQL
 
