@@ -5,7 +5,7 @@ lowered to its share of the words: what is frequent in the corpus is frequent in
 The union of the locally frequent phrases is then counted exactly over the whole corpus.
 
 A shard is as large as the corpus over ``SHARDS``, so it is mined by many tasks: each counts
-runs of its texts, and Spark adds the counts up.  The support is an absolute number, so more
+runs of its texts, and sorted counts of a range of keys meet in one task.  The support is an absolute number, so more
 than nine shards would lower it to one, where every phrase is frequent.  Frequent phrases of a
 level go on to the next one as a bitmap of fixed size.  Shared bits, like shared keys, only
 let more phrases through; the last count is by the phrase's own string.
@@ -28,7 +28,9 @@ from lexigrid.session import stored
 SHARDS = 3
 BITS = 28  # of a bitmap: 32 MB, whatever the input
 CHUNK = 1 << 16  # bytes of a bitmap that travel as one row
-SLICE = 1 << 22  # bytes of text worked on at once
+SLICE = (1 << 20) - 1  # bytes of text worked on at once
+RUN = 1 << 21  # keys that a task counts before it hands them on
+BUCKET = 1 << 24  # bytes of text for each range of keys
 LANG_BITS, SHARD_BITS = 12, 2
 
 BREAK = np.zeros(256, bool)
@@ -145,41 +147,68 @@ def text_slices(batch: pa.RecordBatch) -> Iterator[tuple[PieceWords, np.ndarray,
         yield words, lang_hash[a + words.row], shard[a + words.row], a
 
 
-COUNTED = "key long, n long, lang string, shard int"
+COUNTED = "bucket int, keys binary, counts binary, lang string, shard int, n long"
+COUNTED_ARROW = pa.schema(
+    [("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]
+    + [("lang", pa.string()), ("shard", pa.int32()), ("n", pa.int64())]
+)
 
 
-def word_counts(rows: DataFrame) -> DataFrame:
+def counted(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(c), f.type) for c, f in zip(zip(*rows), COUNTED_ARROW)], schema=COUNTED_ARROW
+    )
+
+
+class Tally:
+    """Counts keys of several slices; a row holds the sorted keys of a bucket and their counts."""
+
+    def __init__(self, buckets: int):
+        self.buckets, self.parts, self.size = buckets, [], 0
+
+    def add(self, keys: np.ndarray, least: int = RUN) -> Iterator[pa.RecordBatch]:
+        self.parts.append(keys)
+        self.size += len(keys)
+        if self.size >= least:
+            key, n = np.unique(np.concatenate(self.parts), return_counts=True)
+            self.parts, self.size = [], 0
+            # keys of equal high halves share a bucket, and buckets ascend with the keys
+            bucket = (key >> np.uint64(32)) * np.uint64(self.buckets) >> np.uint64(32)
+            first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(key) else []
+            rows = [
+                (int(bucket[a]), key[a:b].tobytes(), n[a:b].astype("<u4").tobytes(), None, None, None)
+                for a, b in zip(first, [*first[1:], len(key)])
+            ]
+            for k in range(0, len(rows), 1000):
+                yield counted(rows[k : k + 1000])
+
+
+def word_counts(rows: DataFrame, buckets: int) -> DataFrame:
     """Occurrences of words by local key, and of all words by language and shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = Tally(buckets)
         for batch in batches:
             totals: dict[tuple[str, int], int] = {}
             names, shards = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for words, langs, shard, a in text_slices(batch):
-                key, n = np.unique(local_keys(phrase_keys(words.hashes, langs), langs, shard), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(n.astype(np.int64)),
-                     pa.nulls(len(key), pa.string()), pa.nulls(len(key), pa.int32())],
-                    names=["key", "n", "lang", "shard"],
-                )
+                yield from tally.add(local_keys(phrase_keys(words.hashes, langs), langs, shard))
                 row, n = np.unique(words.row, return_counts=True)
                 for k, c in zip((row + a).tolist(), n.tolist()):
                     totals[names[k], shards[k]] = totals.get((names[k], shards[k]), 0) + c
             if totals:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(totals), pa.int64()), pa.array(totals.values(), pa.int64()),
-                     pa.array([k[0] for k in totals], pa.string()), pa.array([k[1] for k in totals], pa.int32())],
-                    names=["key", "n", "lang", "shard"],
-                )
+                yield counted([(None, None, None, *k, n) for k, n in totals.items()])
+        yield from tally.add(np.zeros(0, np.uint64), 0)
 
     return rows.mapInArrow(run, COUNTED)
 
 
-def grown_counts(rows: DataFrame, size: int, below) -> DataFrame:
+def grown_counts(rows: DataFrame, size: int, below, buckets: int) -> DataFrame:
     """Occurrences, by local key, of phrases of ``size`` words whose parts of one word less are
     frequent in their shard; ``below`` are the broadcast bitmaps of sizes 1 to ``size`` - 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = Tally(buckets)
         for batch in batches:
             for words, langs, shard, _ in text_slices(batch):
                 phrases, at = words.hashes, np.arange(len(words.hashes))
@@ -190,12 +219,10 @@ def grown_counts(rows: DataFrame, size: int, below) -> DataFrame:
                     )
                     on = good[at] & good[at + 1] & words.joined[at + k - 2]
                     phrases, at = longer(phrases[on], at[on], words, k), at[on]
-                key, n = np.unique(local_keys(phrase_keys(phrases, langs[at]), langs[at], shard[at]), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"]
-                )
+                yield from tally.add(local_keys(phrase_keys(phrases, langs[at]), langs[at], shard[at]))
+        yield from tally.add(np.zeros(0, np.uint64), 0)
 
-    return rows.mapInArrow(run, "key long, n long")
+    return rows.mapInArrow(run, COUNTED)
 
 
 def supports(totals: DataFrame, support: int) -> np.ndarray:
@@ -219,12 +246,29 @@ def frequent_bitmaps(counts: DataFrame, least: np.ndarray) -> tuple[np.ndarray,
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maps = np.zeros((2, 1 << (BITS - 3)), np.uint8)
-        for batch in batches:
-            key, n = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+        now, keys, counts = None, [], []
+
+        def close() -> None:
+            key = np.concatenate(keys)
+            order = np.argsort(key, kind="stable")
+            key, n = key[order], np.concatenate(counts)[order].astype(np.int64)
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            key, n = key[first], np.add.reduceat(n, first)
             group = (key & np.uint64((1 << (LANG_BITS + SHARD_BITS)) - 1)).astype(np.int64)
             key = key[n >= least[group]]
             set_bits(maps[0], key)
             set_bits(maps[1], key >> np.uint64(SHARD_BITS))
+
+        for batch in batches:
+            for bucket, key, n in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                if bucket != now:
+                    if keys:
+                        close()
+                    now, keys, counts = bucket, [], []
+                keys.append(np.frombuffer(key.as_buffer(), "<u8").copy())
+                counts.append(np.frombuffer(n.as_buffer(), "<u4").copy())
+        if keys:
+            close()
         for which, bitmap in enumerate(maps):
             for k, part in enumerate(bitmap.reshape(-1, min(CHUNK, len(bitmap)))):
                 if part.any():
@@ -246,7 +290,7 @@ def frequent_bitmaps(counts: DataFrame, least: np.ndarray) -> tuple[np.ndarray,
         )
 
     schema = "which int, chunk int, bits binary"
-    summed = counts.groupBy("key").agg(F.sum("n").alias("n"))
+    summed = counts.select("bucket", "keys", "counts").repartition("bucket").sortWithinPartitions("bucket")
     out = np.zeros((2, 1 << (BITS - 3)), np.uint8)
     # fixed size: two bitmaps
     for r in summed.mapInArrow(mark, schema).repartition("which", "chunk").mapInArrow(merge, schema).collect():
@@ -289,13 +333,15 @@ def frequent_phrases(
     """(lang, size, phrase, f) of all phrases of up to ``most`` words with f >= ``support``,
     and (lang, n) of all languages with words; stored.  A phrase lies within a piece."""
     context, rows = docs.sparkSession.sparkContext, prepared(docs, text, lang)
-    words = stored(word_counts(rows), "word-counts")
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    buckets = 1 + size // BUCKET
+    words = stored(word_counts(rows, buckets), "word-counts")
     totals = words.where(F.col("lang").isNotNull()).groupBy("lang", "shard").agg(F.sum("n").alias("n"))
     least = supports(totals, support)
-    here, anywhere = frequent_bitmaps(words.where(F.col("lang").isNull()).select("key", "n"), least)
+    here, anywhere = frequent_bitmaps(words.where(F.col("bucket").isNotNull()), least)
     shared = [context.broadcast(here)]
     for size in range(2, most + 1):
-        here, also = frequent_bitmaps(grown_counts(rows, size, shared), least)
+        here, also = frequent_bitmaps(grown_counts(rows, size, shared, buckets), least)
         anywhere |= also
         shared.append(context.broadcast(here))
     counts = exact_counts(rows, context.broadcast(anywhere), most)
