@@ -7,8 +7,9 @@ The union of the locally frequent phrases is then counted exactly over the whole
 A shard is as large as the corpus over ``SHARDS``, so it is mined by many tasks: each counts
 runs of its texts, and sorted counts of a range of keys meet in one task.  The support is an absolute number, so more
 than nine shards would lower it to one, where every phrase is frequent.  Frequent phrases of a
-level go on to the next one as a bitmap of fixed size.  Shared bits, like shared keys, only
-let more phrases through; the last count is by the phrase's own string.
+level go on to the next one as a bitmap of fixed size.  Shared bits, like the short keys of a
+shard's phrases, only let more through.  The last count is by 64-bit keys: two phrases share
+one with a chance of 2**-64 a pair.  A phrase is spelled by one of the tasks that hold it.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,7 +33,8 @@ CHUNK = 1 << 16  # bytes of a bitmap that travel as one row
 SLICE = (1 << 20) - 1  # bytes of text worked on at once
 RUN = 1 << 21  # keys that a task counts before it hands them on
 BUCKET = 1 << 24  # bytes of text for each range of keys
-LANG_BITS, SHARD_BITS = 12, 2
+LANG_BITS, SHARD_BITS = 6, 2
+LOCAL, FULL = 6, 8  # bytes of a key within its shard, and in the last count
 
 BREAK = np.zeros(256, bool)
 BREAK[[ord(c) for c in ".,;:!?\n\v\f\r"]] = True
@@ -84,10 +87,22 @@ class PieceWords:
         self.joined = np.zeros(len(self.starts), bool)
         self.joined[:-1] = piece[1:] == piece[:-1]
 
-    def phrase(self, first: int, size: int) -> bytes:
-        return b" ".join(
-            self.data[self.starts[k] : self.ends[k]].tobytes() for k in range(first, first + size)
+    def phrases(self, first: np.ndarray, size: int) -> pa.Array:
+        """The phrases of ``size`` words that begin at the words ``first``, one space between words."""
+        spans = first[:, None] + np.arange(size)
+        length = self.ends[spans] - self.starts[spans]
+        length[:, :-1] += 1  # the byte behind a word is a gap; it is overwritten by a space
+        ends = np.cumsum(length.ravel())
+        total = int(ends[-1]) if len(ends) else 0
+        at = np.arange(total) + np.repeat(self.starts[spans].ravel() - (ends - length.ravel()), length.ravel())
+        out = self.data[at]
+        if size > 1:
+            out[(ends.reshape(-1, size)[:, :-1] - 1).ravel()] = 32
+        offsets = np.append(0, ends.reshape(-1, size)[:, -1]).astype(np.int64)
+        column = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(first), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(out.tobytes())]
         )
+        return column.cast(pa.large_string()).cast(pa.string())
 
 
 def longer(phrases: np.ndarray, at: np.ndarray, words: PieceWords, size: int) -> np.ndarray:
@@ -101,15 +116,26 @@ def phrase_keys(phrases: np.ndarray, langs: np.ndarray) -> np.ndarray:
 
 
 def local_keys(keys: np.ndarray, langs: np.ndarray, shards: np.ndarray) -> np.ndarray:
-    """Keys that hold their language's bucket and their shard in the lowest bits."""
-    bucket = langs & np.uint64((1 << LANG_BITS) - 1)
-    return keys << np.uint64(LANG_BITS + SHARD_BITS) | bucket << np.uint64(SHARD_BITS) | shards
+    """Keys of 8 ``LOCAL`` bits that hold their language's bucket and their shard in the lowest."""
+    keys = keys >> np.uint64(64 - 8 * LOCAL + LANG_BITS + SHARD_BITS) << np.uint64(LANG_BITS + SHARD_BITS)
+    return keys | (langs & np.uint64((1 << LANG_BITS) - 1)) << np.uint64(SHARD_BITS) | shards
 
 
 def shardless(keys: np.ndarray, langs: np.ndarray) -> np.ndarray:
     return local_keys(keys, langs, np.zeros(1, np.uint64)) >> np.uint64(SHARD_BITS)
 
 
+def to_planes(keys: np.ndarray, width: int) -> bytes:
+    """Sorted keys as planes of bytes, the highest first, which compress well."""
+    return keys.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - width :].T.tobytes()
+
+
+def from_planes(raw, width: int) -> np.ndarray:
+    out = np.zeros((len(raw) // width, 8), np.uint8)
+    out[:, 8 - width :] = np.frombuffer(raw, np.uint8).reshape(width, -1).T
+    return out.view(">u8").ravel().astype(np.uint64)
+
+
 def places(keys: np.ndarray) -> np.ndarray:
     return mix(keys) >> np.uint64(64 - BITS)
 
@@ -147,24 +173,17 @@ def text_slices(batch: pa.RecordBatch) -> Iterator[tuple[PieceWords, np.ndarray,
         yield words, lang_hash[a + words.row], shard[a + words.row], a
 
 
-COUNTED = "bucket int, keys binary, counts binary, lang string, shard int, n long"
+COUNTED = "bucket int, task int, keys binary, counts binary"
 COUNTED_ARROW = pa.schema(
-    [("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]
-    + [("lang", pa.string()), ("shard", pa.int32()), ("n", pa.int64())]
+    [("bucket", pa.int32()), ("task", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]
 )
 
 
-def counted(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(c), f.type) for c, f in zip(zip(*rows), COUNTED_ARROW)], schema=COUNTED_ARROW
-    )
-
-
 class Tally:
     """Counts keys of several slices; a row holds the sorted keys of a bucket and their counts."""
 
-    def __init__(self, buckets: int):
-        self.buckets, self.parts, self.size = buckets, [], 0
+    def __init__(self, buckets: int, width: int = LOCAL):
+        self.buckets, self.width, self.parts, self.size = buckets, width, [], 0
 
     def add(self, keys: np.ndarray, least: int = RUN) -> Iterator[pa.RecordBatch]:
         self.parts.append(keys)
@@ -172,32 +191,81 @@ class Tally:
         if self.size >= least:
             key, n = np.unique(np.concatenate(self.parts), return_counts=True)
             self.parts, self.size = [], 0
-            # keys of equal high halves share a bucket, and buckets ascend with the keys
-            bucket = (key >> np.uint64(32)) * np.uint64(self.buckets) >> np.uint64(32)
+            # keys of equal high bits share a bucket, and buckets ascend with the keys
+            high = key >> np.uint64(8 * self.width - 32)
+            bucket = high * np.uint64(self.buckets) >> np.uint64(32)
             first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(key) else []
+            task = TaskContext.get().partitionId()
             rows = [
-                (int(bucket[a]), key[a:b].tobytes(), n[a:b].astype("<u4").tobytes(), None, None, None)
+                (int(bucket[a]), task, to_planes(key[a:b], self.width), to_planes(n[a:b].astype(np.uint64), 4))
                 for a, b in zip(first, [*first[1:], len(key)])
             ]
             for k in range(0, len(rows), 1000):
-                yield counted(rows[k : k + 1000])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(c), f.type) for c, f in zip(zip(*rows[k : k + 1000]), COUNTED_ARROW)],
+                    schema=COUNTED_ARROW,
+                )
+
+
+def tallied(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(keys, counts, a task that holds each) of each bucket of rows that are sorted by it."""
+
+    def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        key = np.concatenate([from_planes(k, width) for k, _, _ in rows])
+        n = np.concatenate([from_planes(c, 4) for _, c, _ in rows]).astype(np.int64)
+        task = np.repeat(np.array([t for _, _, t in rows]), [len(k) // width for k, _, _ in rows])
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        return key[first], np.add.reduceat(n[order], first), np.minimum.reduceat(task[order], first)
+
+    now, rows = None, []
+    for batch in batches:
+        for bucket, task, key, n in zip(*(c.to_pylist() for c in batch.columns)):
+            if bucket != now and rows:
+                yield merged()
+                rows = []
+            now = bucket
+            rows.append((key, n, task))
+    if rows:
+        yield merged()
+
+
+def by_bucket(counts: DataFrame) -> DataFrame:
+    return counts.repartition("bucket").sortWithinPartitions("bucket")
+
+
+def word_totals(rows: DataFrame) -> DataFrame:
+    """(lang, shard, n): words of each language and shard, and the bytes of its texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, size = np.zeros(len(batch), np.int64), 0
+            for words, _, _, a in text_slices(batch):
+                size += len(words.data)
+                np.add.at(n, words.row + a, 1)
+            sums: dict[tuple[str, int], int] = {}
+            for lang, shard, k in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), n.tolist()):
+                sums[lang, shard] = sums.get((lang, shard), 0) + k
+            if sums:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k[0] for k in sums], pa.string()), pa.array([k[1] for k in sums], pa.int32()),
+                     pa.array(sums.values(), pa.int64()), pa.array([size] + [0] * (len(sums) - 1), pa.int64())],
+                    names=["lang", "shard", "n", "size"],
+                )
+
+    parts = rows.mapInArrow(run, "lang string, shard int, n long, size long")
+    return parts.groupBy("lang", "shard").agg(F.sum("n").alias("n"), F.sum("size").alias("size"))
 
 
 def word_counts(rows: DataFrame, buckets: int) -> DataFrame:
-    """Occurrences of words by local key, and of all words by language and shard."""
+    """Occurrences of words by local key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = Tally(buckets)
         for batch in batches:
-            totals: dict[tuple[str, int], int] = {}
-            names, shards = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            for words, langs, shard, a in text_slices(batch):
+            for words, langs, shard, _ in text_slices(batch):
                 yield from tally.add(local_keys(phrase_keys(words.hashes, langs), langs, shard))
-                row, n = np.unique(words.row, return_counts=True)
-                for k, c in zip((row + a).tolist(), n.tolist()):
-                    totals[names[k], shards[k]] = totals.get((names[k], shards[k]), 0) + c
-            if totals:
-                yield counted([(None, None, None, *k, n) for k, n in totals.items()])
         yield from tally.add(np.zeros(0, np.uint64), 0)
 
     return rows.mapInArrow(run, COUNTED)
@@ -227,7 +295,7 @@ def grown_counts(rows: DataFrame, size: int, below, buckets: int) -> DataFrame:
 
 def supports(totals: DataFrame, support: int) -> np.ndarray:
     """The lowered support by (language bucket, shard); languages of a bucket share the lowest."""
-    whole = totals.groupBy("lang").agg(F.sum("n").alias("all"))
+    whole = totals.groupBy("lang").agg(F.sum("n").alias("all")).where("all > 0")
     share = F.ceil(F.lit(support) * F.col("n").cast("decimal(20,0)") / F.col("all"))
     bucket = F.xxhash64("lang").bitwiseAND(F.lit((1 << LANG_BITS) - 1))
     rows = (
@@ -241,34 +309,12 @@ def supports(totals: DataFrame, support: int) -> np.ndarray:
     return out
 
 
-def frequent_bitmaps(counts: DataFrame, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bitmaps of the keys that reach their group's support: with and without the shard."""
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maps = np.zeros((2, 1 << (BITS - 3)), np.uint8)
-        now, keys, counts = None, [], []
+def bitmaps(rows: DataFrame, mark, number: int) -> list[np.ndarray]:
+    """Bitmaps of fixed size that ``mark`` sets for the batches of each partition, put together."""
 
-        def close() -> None:
-            key = np.concatenate(keys)
-            order = np.argsort(key, kind="stable")
-            key, n = key[order], np.concatenate(counts)[order].astype(np.int64)
-            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-            key, n = key[first], np.add.reduceat(n, first)
-            group = (key & np.uint64((1 << (LANG_BITS + SHARD_BITS)) - 1)).astype(np.int64)
-            key = key[n >= least[group]]
-            set_bits(maps[0], key)
-            set_bits(maps[1], key >> np.uint64(SHARD_BITS))
-
-        for batch in batches:
-            for bucket, key, n in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                if bucket != now:
-                    if keys:
-                        close()
-                    now, keys, counts = bucket, [], []
-                keys.append(np.frombuffer(key.as_buffer(), "<u8").copy())
-                counts.append(np.frombuffer(n.as_buffer(), "<u4").copy())
-        if keys:
-            close()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maps = np.zeros((number, 1 << (BITS - 3)), np.uint8)
+        mark(batches, maps)
         for which, bitmap in enumerate(maps):
             for k, part in enumerate(bitmap.reshape(-1, min(CHUNK, len(bitmap)))):
                 if part.any():
@@ -290,41 +336,89 @@ def frequent_bitmaps(counts: DataFrame, least: np.ndarray) -> tuple[np.ndarray,
         )
 
     schema = "which int, chunk int, bits binary"
-    summed = counts.select("bucket", "keys", "counts").repartition("bucket").sortWithinPartitions("bucket")
-    out = np.zeros((2, 1 << (BITS - 3)), np.uint8)
-    # fixed size: two bitmaps
-    for r in summed.mapInArrow(mark, schema).repartition("which", "chunk").mapInArrow(merge, schema).collect():
+    out = np.zeros((number, 1 << (BITS - 3)), np.uint8)
+    for r in rows.mapInArrow(run, schema).repartition("which", "chunk").mapInArrow(merge, schema).collect():
         part = np.frombuffer(zlib.decompress(r.bits), np.uint8)
         out[r.which, r.chunk * len(part) : (r.chunk + 1) * len(part)] = part
-    return out[0], out[1]
+    return list(out)
+
 
+def frequent_bitmaps(counts: DataFrame, least: np.ndarray) -> list[np.ndarray]:
+    """Bitmaps of the keys that reach their group's support: with and without the shard."""
 
-def exact_counts(rows: DataFrame, candidates, most: int) -> DataFrame:
-    """(lang, size, phrase, f) partial counts of all phrases in the candidates' bitmap."""
+    def mark(batches: Iterator[pa.RecordBatch], maps: np.ndarray) -> None:
+        for key, n, _ in tallied(batches, LOCAL):
+            group = (key & np.uint64((1 << (LANG_BITS + SHARD_BITS)) - 1)).astype(np.int64)
+            key = key[n >= least[group]]
+            set_bits(maps[0], key)
+            set_bits(maps[1], key >> np.uint64(SHARD_BITS))
+
+    return bitmaps(by_bucket(counts), mark, 2)
+
+
+def held_phrases(bitmap: np.ndarray, words: PieceWords, langs: np.ndarray, most: int):
+    """(size, first words, keys) of the phrases in the candidates' bitmap."""
+    phrases, at = words.hashes, np.arange(len(words.hashes))
+    for size in range(1, most + 1):
+        if size > 1:
+            on = words.joined[at + size - 2]
+            phrases, at = longer(phrases[on], at[on], words, size), at[on]
+        keys = phrase_keys(phrases, langs[at])
+        good = held(bitmap, shardless(keys, langs[at]))
+        phrases, at, keys = phrases[good], at[good], keys[good]
+        yield size, at, keys
+
+
+def exact_counts(rows: DataFrame, candidates, most: int, support: int, buckets: int) -> DataFrame:
+    """(key, f, task) of the candidates with f >= ``support``; a task that holds the phrase."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = candidates.value
+        tally = Tally(buckets, FULL)
+        for batch in batches:
+            for words, langs, _, _ in text_slices(batch):
+                for _, _, keys in held_phrases(candidates.value, words, langs, most):
+                    yield from tally.add(keys)
+        yield from tally.add(np.zeros(0, np.uint64), 0)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, n, task in tallied(batches, FULL):
+            on = n >= support
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key[on].view(np.int64)), pa.array(n[on]), pa.array(task[on].astype(np.int32))],
+                names=["key", "f", "task"],
+            )
+
+    return by_bucket(rows.mapInArrow(run, COUNTED)).mapInArrow(add, "key long, f long, task int")
+
+
+def spelled(rows: DataFrame, counts: DataFrame, candidates, most: int, by_task: bool) -> DataFrame:
+    """(key, lang, size, phrase) of the keys of ``counts``, from their tasks alone if ``by_task``.
+
+    A bitmap tells the tasks what to spell, so a few other phrases and repeats are among them.
+    """
+
+    def mark(batches: Iterator[pa.RecordBatch], maps: np.ndarray) -> None:
+        for batch in batches:
+            task = batch.column(1).to_numpy().astype(np.uint64) if by_task else np.uint64(0)
+            set_bits(maps[0], batch.column(0).to_numpy().view(np.uint64) + task * ODD)
+
+    asked = rows.sparkSession.sparkContext.broadcast(bitmaps(counts.select("key", "task"), mark, 1)[0])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = np.uint64(TaskContext.get().partitionId() if by_task else 0) * ODD
         for batch in batches:
-            names = batch.column(0)
             for words, langs, _, a in text_slices(batch):
-                phrases, at = words.hashes, np.arange(len(words.hashes))
-                for size in range(1, most + 1):
-                    if size > 1:
-                        on = words.joined[at + size - 2]
-                        phrases, at = longer(phrases[on], at[on], words, size), at[on]
-                    keys = phrase_keys(phrases, langs[at])
-                    good = held(bitmap, shardless(keys, langs[at]))
-                    phrases, at, keys = phrases[good], at[good], keys[good]
-                    _, first, n = np.unique(keys, return_index=True, return_counts=True)
-                    first = at[first]
+                for size, at, keys in held_phrases(candidates.value, words, langs, most):
+                    on = held(asked.value, keys + task)
+                    key, first = np.unique(keys[on], return_index=True)
+                    first = at[on][first]
                     yield pa.RecordBatch.from_arrays(
-                        [names.take(pa.array(words.row[first] + a)), pa.array(np.full(len(first), size, np.int32)),
-                         pa.array([words.phrase(k, size) for k in first.tolist()], pa.binary()).cast(pa.string()),
-                         pa.array(n.astype(np.int64))],
-                        names=["lang", "size", "phrase", "f"],
+                        [pa.array(key.view(np.int64)), batch.column(0).take(pa.array(words.row[first] + a)),
+                         pa.array(np.full(len(key), size, np.int32)), words.phrases(first, size)],
+                        names=["key", "lang", "size", "phrase"],
                     )
 
-    return rows.mapInArrow(run, "lang string, size int, phrase string, f long")
+    return rows.mapInArrow(run, "key long, lang string, size int, phrase string").distinct()
 
 
 def frequent_phrases(
@@ -333,20 +427,25 @@ def frequent_phrases(
     """(lang, size, phrase, f) of all phrases of up to ``most`` words with f >= ``support``,
     and (lang, n) of all languages with words; stored.  A phrase lies within a piece."""
     context, rows = docs.sparkSession.sparkContext, prepared(docs, text, lang)
-    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    buckets = 1 + size // BUCKET
-    words = stored(word_counts(rows, buckets), "word-counts")
-    totals = words.where(F.col("lang").isNotNull()).groupBy("lang", "shard").agg(F.sum("n").alias("n"))
+    totals = stored(word_totals(rows), "word-totals")
     least = supports(totals, support)
-    here, anywhere = frequent_bitmaps(words.where(F.col("bucket").isNotNull()), least)
-    shared = [context.broadcast(here)]
-    for size in range(2, most + 1):
-        here, also = frequent_bitmaps(grown_counts(rows, size, shared, buckets), least)
+    buckets = 1 + (totals.agg(F.sum("size")).first()[0] or 0) // BUCKET
+    shared: list = []
+    anywhere = np.zeros(1 << (BITS - 3), np.uint8)
+    for size in range(1, most + 1):
+        counts = word_counts(rows, buckets) if size == 1 else grown_counts(rows, size, shared, buckets)
+        here, also = frequent_bitmaps(counts, least)
         anywhere |= also
         shared.append(context.broadcast(here))
-    counts = exact_counts(rows, context.broadcast(anywhere), most)
-    counts = counts.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= support)
-    return stored(counts, "phrase-counts"), totals.groupBy("lang").agg(F.sum("n").alias("n"))
+    candidates = context.broadcast(anywhere)
+    counts = stored(exact_counts(rows, candidates, most, support, buckets), "key-counts")
+    found = stored(counts.drop("task").join(spelled(rows, counts, candidates, most, True), "key"), "phrase-counts")
+    # a table whose rows come in other tasks the second time leaves phrases unspelled
+    missing = counts.join(found, "key", "left_anti")
+    if not missing.isEmpty():
+        again = spelled(rows, missing, candidates, most, False)
+        found = found.unionByName(stored(missing.drop("task").join(again, "key"), "phrase-counts"))
+    return found.drop("key"), totals.groupBy("lang").agg(F.sum("n").alias("n"))
 
 
 def part_of(words, first, count):

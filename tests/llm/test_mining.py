@@ -76,9 +76,12 @@ def test_very_long_texts_are_cut_at_breaks_only(spark, monkeypatch):
     data = np.frombuffer(rows[0][0].encode(), np.uint8)
     parts = list(pm.cuts(data, np.array([0, len(data)]), 700))
     assert len(parts) > 10 and all(pm.BREAK[data[high - 1]] for *_, high in parts[:-1])
-    joined = [w.phrase(k, 1) for *_, low, high in parts for w in [pm.PieceWords(data[low:high], np.array([0, high - low]))] for k in range(len(w.hashes))]
+    joined = []
+    for *_, low, high in parts:
+        words = pm.PieceWords(data[low:high], np.array([0, high - low]))
+        joined += words.phrases(np.arange(len(words.hashes)), 1).to_pylist()
     whole = pm.PieceWords(data, np.array([0, len(data)]))
-    assert joined == [whole.phrase(k, 1) for k in range(len(whole.hashes))]
+    assert joined == whole.phrases(np.arange(len(whole.hashes)), 1).to_pylist()
     assert mined(spark, rows) == brute_phrases(rows)
 
 
@@ -94,10 +97,31 @@ def test_scores_pass_64_bits(spark):
     assert score == 1000000 * a * a // (l * r)
 
 
+def test_phrases_of_rows_that_move_between_tasks(spark, monkeypatch):
+    class Moving:
+        """A task number that no two calls share."""
+
+        def partitionId(self):
+            return random.SystemRandom().randrange(1 << 20)
+
+    class Context:
+        get = staticmethod(Moving)
+
+    monkeypatch.setattr(pm, "TaskContext", Context)
+    rows = random_texts(5, 150)
+    assert mined(spark, rows) == brute_phrases(rows)
+
+
+def test_planes_round_trip():
+    keys = np.sort(np.random.default_rng(0).integers(0, 2**48, 1000, dtype=np.uint64))
+    assert (pm.from_planes(pm.to_planes(keys, 6), 6) == keys).all()
+    assert len(pm.from_planes(pm.to_planes(keys[:0], 8), 8)) == 0
+
+
 def test_lowered_supports_leave_no_gap(spark):
     rows = spark.createDataFrame([("en", 0, 70), ("en", 1, 25), ("en", 2, 5), ("de", 1, 9)], "lang string, shard int, n long")
     least = pm.supports(rows, 10)
-    bucket = {r.lang: r.h for r in rows.selectExpr("lang", "xxhash64(lang) & 4095 as h").distinct().collect()}
+    bucket = {r.lang: r.h for r in rows.selectExpr("lang", "xxhash64(lang) & 63 as h").distinct().collect()}
     assert [least[4 * bucket["en"] + s] for s in range(3)] == [7, 3, 1]
     assert least[4 * bucket["de"] + 1] == 10
 
