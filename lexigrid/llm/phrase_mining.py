@@ -140,6 +140,20 @@ def places(keys: np.ndarray) -> np.ndarray:
     return mix(keys) >> np.uint64(64 - BITS)
 
 
+class SharedBitmap:
+    """A bitmap that travels to the workers compressed, and is unpacked once a worker."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    @staticmethod
+    def unpack(raw: bytes) -> "SharedBitmap":
+        return SharedBitmap(np.frombuffer(zlib.decompress(raw), np.uint8))
+
+    def __reduce__(self):
+        return SharedBitmap.unpack, (zlib.compress(self.bits.tobytes(), 1),)
+
+
 def held(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     at = places(keys)
     return bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & np.uint8(1) == 1
@@ -283,7 +297,7 @@ def grown_counts(rows: DataFrame, size: int, below, buckets: int) -> DataFrame:
                 for k in range(2, size + 1):
                     good = np.zeros(len(words.hashes) + 1, bool)
                     good[at] = held(
-                        below[k - 2].value, local_keys(phrase_keys(phrases, langs[at]), langs[at], shard[at])
+                        below[k - 2].value.bits, local_keys(phrase_keys(phrases, langs[at]), langs[at], shard[at])
                     )
                     on = good[at] & good[at + 1] & words.joined[at + k - 2]
                     phrases, at = longer(phrases[on], at[on], words, k), at[on]
@@ -376,7 +390,7 @@ def exact_counts(rows: DataFrame, candidates, most: int, support: int, buckets:
         tally = Tally(buckets, FULL)
         for batch in batches:
             for words, langs, _, _ in text_slices(batch):
-                for _, _, keys in held_phrases(candidates.value, words, langs, most):
+                for _, _, keys in held_phrases(candidates.value.bits, words, langs, most):
                     yield from tally.add(keys)
         yield from tally.add(np.zeros(0, np.uint64), 0)
 
@@ -402,14 +416,14 @@ def spelled(rows: DataFrame, counts: DataFrame, candidates, most: int, by_task:
             task = batch.column(1).to_numpy().astype(np.uint64) if by_task else np.uint64(0)
             set_bits(maps[0], batch.column(0).to_numpy().view(np.uint64) + task * ODD)
 
-    asked = rows.sparkSession.sparkContext.broadcast(bitmaps(counts.select("key", "task"), mark, 1)[0])
+    asked = rows.sparkSession.sparkContext.broadcast(SharedBitmap(bitmaps(counts.select("key", "task"), mark, 1)[0]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = np.uint64(TaskContext.get().partitionId() if by_task else 0) * ODD
         for batch in batches:
             for words, langs, _, a in text_slices(batch):
-                for size, at, keys in held_phrases(candidates.value, words, langs, most):
-                    on = held(asked.value, keys + task)
+                for size, at, keys in held_phrases(candidates.value.bits, words, langs, most):
+                    on = held(asked.value.bits, keys + task)
                     key, first = np.unique(keys[on], return_index=True)
                     first = at[on][first]
                     yield pa.RecordBatch.from_arrays(
@@ -436,8 +450,8 @@ def frequent_phrases(
         counts = word_counts(rows, buckets) if size == 1 else grown_counts(rows, size, shared, buckets)
         here, also = frequent_bitmaps(counts, least)
         anywhere |= also
-        shared.append(context.broadcast(here))
-    candidates = context.broadcast(anywhere)
+        shared.append(context.broadcast(SharedBitmap(here)))
+    candidates = context.broadcast(SharedBitmap(anywhere))
     counts = stored(exact_counts(rows, candidates, most, support, buckets), "key-counts")
     found = stored(counts.drop("task").join(spelled(rows, counts, candidates, most, True), "key"), "phrase-counts")
     # a table whose rows come in other tasks the second time leaves phrases unspelled
