@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexigrid.functions.tokens import SEARCH, WORD_BREAK, Analyzer
+from lexigrid.operators.vocabulary import write_keys, write_terms
 
 BUCKETS = 64
 
@@ -124,6 +125,9 @@ class Corpus:
     analyzer: Analyzer = dataclass_field(default=SEARCH)
     written_stats: DataFrame | None = None
     buckets: int | None = None
+    terms: DataFrame | None = None
+    keys: DataFrame | None = None
+    norms: DataFrame | None = None
 
     @classmethod
     def analyze(
@@ -193,11 +197,39 @@ def save_index(corpus: Corpus, path: str, tokens_per_bucket: int = 4_000_000) ->
     )
     buckets = max(8, -(-(total or 0) // tokens_per_bucket))
     write_postings(postings, f"{path}/postings", buckets, salts=1 + (n or 0) // tokens_per_bucket)
+    written = spark.read.parquet(f"{path}/postings")
+    write_terms(written, f"{path}/terms")
+    terms = spark.read.parquet(f"{path}/terms")
+    write_keys(terms, f"{path}/keys")
+    write_norms(written, terms, spark.read.parquet(f"{path}/stats"), f"{path}/norms")
+
+
+def postings_of(corpus: Corpus, terms: list[str]) -> DataFrame:
+    """The postings of named terms; of a saved index only their buckets are read."""
+    rows = corpus.occurrences.where(F.col("term").isin(*terms))
+    if corpus.buckets:
+        wanted = [F.pmod(F.xxhash64(F.lit(t)), F.lit(corpus.buckets)).cast("int") for t in terms]
+        rows = rows.where(F.col("bucket").isin(*wanted))
+    return rows.select("key", "field", "term", "tf", "dl")
+
+
+def write_norms(postings: DataFrame, terms: DataFrame, stats: DataFrame, path: str) -> None:
+    """(key, field, norm): the length of each document's vector of tf * ln(N / df).
+
+    A term of a third of all documents is one row of ``terms`` and many rows of postings, a
+    skewed join that adaptive execution splits.
+    """
+    rarity = terms.join(stats, "field").select(
+        "bucket", "field", "term", F.log(F.col("n") / F.col("df")).alias("rarity")
+    )
+    weights = postings.select("bucket", "field", "term", "key", "tf").join(rarity, ["bucket", "field", "term"])
+    weight = F.col("tf") * F.col("rarity")
+    weights.groupBy("key", "field").agg(F.sqrt(F.sum(weight * weight)).alias("norm")).write.parquet(path)
 
 
 def load_index(docs: DataFrame, key: str, path: str, analyzer: Analyzer = SEARCH) -> Corpus:
-    """A corpus over a saved index: no text is analysed.  Queries on named terms read only
-    their buckets; those on prefixes, patterns or spellings read all."""
+    """A corpus over a saved index: no text is analysed.  Queries read the buckets of their
+    terms; the dictionary tells the terms of prefixes, patterns and spellings."""
     spark = docs.sparkSession
     postings = spark.read.parquet(f"{path}/postings")
     one = postings.select("buckets").first()
@@ -209,4 +241,7 @@ def load_index(docs: DataFrame, key: str, path: str, analyzer: Analyzer = SEARCH
         analyzer,
         spark.read.parquet(f"{path}/stats"),
         one.buckets if one else 1,
+        spark.read.parquet(f"{path}/terms"),
+        spark.read.parquet(f"{path}/keys"),
+        spark.read.parquet(f"{path}/norms"),
     )

@@ -2,9 +2,9 @@
 
 A whole query tree is one ``groupBy(key)`` of the occurrences: every text clause turns into
 its conditional aggregates, and the tree above them is a boolean expression over that row.
-Over a saved index only the buckets of the named terms are read; scores read them a second
-time for the document frequencies, unless Spark reuses the first shuffle.  Clauses on document columns are
-predicates, so Catalyst pushes them to the scan.
+Over a saved index only the buckets of the terms are read.  Prefixes, patterns and spellings
+are tested on the distinct terms of its dictionary first, and document frequencies come from
+there too.  Clauses on document columns are predicates, so Catalyst pushes them to the scan.
 """
 
 from __future__ import annotations
@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexigrid.functions.tokens import check_pattern
+from lexigrid.operators import vocabulary as vc
 from lexigrid.operators.postings import Corpus
 from lexigrid.operators.ranking import bm25_weight, idf
+from lexigrid.session import stored
 
 # Spellings of true and false in typed term text.
 TRUE_WORDS = ["true", "t", "1", "yes", "y"]
@@ -51,6 +53,10 @@ class TextQuery(Query):
         """The terms the query can match, or none if only a look at the terms tells."""
         return None
 
+    def candidates(self, corpus: Corpus) -> DataFrame:
+        """(field, term, bucket, df) of the dictionary's terms that the slots may accept."""
+        return corpus.terms
+
 
 @dataclass(frozen=True)
 class All(ColumnQuery):
@@ -176,8 +182,9 @@ class PhrasePrefix(Phrase):
         prefix = self.terms[-1].lower()
         if self.max_expansions is None:
             return [*head, on(self.field) & F.col("term").startswith(prefix)]
+        source = corpus.occurrences if corpus.terms is None else corpus.terms
         expansions = (
-            corpus.occurrences.where(on(self.field) & F.col("term").startswith(prefix))
+            source.where(on(self.field) & F.col("term").startswith(prefix))
             .select("term")
             .distinct()
             .orderBy("term")
@@ -212,6 +219,11 @@ class Fuzzy(TermSet):
     def slots(self, corpus: Corpus) -> list[Column]:
         return [on(self.field) & within(F.col("term"), self.text.lower(), self.distance, self.transpositions)]
 
+    def candidates(self, corpus: Corpus) -> DataFrame:
+        if corpus.keys is None or self.distance > vc.DELETIONS:
+            return corpus.terms
+        return vc.near_terms(corpus.keys, self.text.lower())
+
 
 @dataclass(frozen=True)
 class Wildcard(TermSet):
@@ -226,6 +238,12 @@ class Wildcard(TermSet):
         body = "".join(meaning.get(part) or re.escape(part) for part in parts if part)
         return [on(self.field) & F.col("term").rlike(f"^(?:{body})$")]
 
+    def candidates(self, corpus: Corpus) -> DataFrame:
+        grams = vc.fixed_grams(vc.wildcard_parts(self.pattern))
+        if corpus.keys is None or not grams:
+            return corpus.terms
+        return vc.holding_grams(corpus.keys, grams)
+
 
 @dataclass(frozen=True)
 class Regex(TermSet):
@@ -370,6 +388,8 @@ class _Plan:
     corpus: Corpus
     conditions: list[Column] = dataclass_field(default_factory=list)
     words: list[list[str] | None] = dataclass_field(default_factory=list)
+    sought: list[tuple[TextQuery, Column]] = dataclass_field(default_factory=list)
+    counted: dict[str, tuple[str, str]] = dataclass_field(default_factory=dict)
     aggregates: dict[str, Column] = dataclass_field(default_factory=dict)
     frequencies: dict[str, Column] = dataclass_field(default_factory=dict)
     predicates: dict[str, Column] = dataclass_field(default_factory=dict)
@@ -400,6 +420,14 @@ class _Plan:
 
     def _slots(self, query: TextQuery) -> list[Column]:
         conditions = query.slots(self.corpus)
+        if self.corpus.terms is not None:
+            # tested on the dictionary; a posting carries the numbers of the tests its term passed
+            first = len(self.sought)
+            self.sought += [(query, c) for c in conditions]
+            numbers = range(first, len(self.sought))
+            conditions = [F.array_contains(F.col("passed"), F.lit(i)) for i in numbers]
+            if query.words() is not None:
+                conditions = query.slots(self.corpus)
         self.conditions.extend(conditions)
         self.words.append(query.words())
         return conditions
@@ -408,19 +436,27 @@ class _Plan:
         conditions = self._slots(query)
         if isinstance(query, Term):
             self.aggregates[number] = F.sum(F.when(conditions[0], F.col("tf")).otherwise(0))
-            self.frequencies[number] = F.count_if(F.col(number) > 0)
+            self._count(number, query.field, query.words()[0], F.count_if(F.col(number) > 0))
             tf, names = F.coalesce(F.col(number), F.lit(0)), [number]
         else:
             names = [f"{number}_{i}" for i in range(len(conditions))]
             starts = []
             for i, (name, condition) in enumerate(zip(names, conditions)):
                 self.aggregates[name] = F.flatten(F.collect_list(F.when(condition, F.col("positions"))))
-                self.frequencies[name] = F.count_if(F.size(name) > 0)
+                known_word = query.words()[i] if query.words() else None
+                self._count(name, query.field, known_word, F.count_if(F.size(name) > 0))
                 starts.append(F.transform(F.col(name), functools.partial(_back, i)) if i else F.col(name))
             tf = F.coalesce(F.size(functools.reduce(F.array_intersect, starts)), F.lit(0))
         self.aggregates[f"dl_{query.field}"] = F.max(F.when(on(query.field), F.col("dl")))
         return tf, names
 
+    def _count(self, number: str, field: str, word: str | None, seen: Column) -> None:
+        """Where the document frequency of a slot comes from: the dictionary, or the postings."""
+        if word is not None and self.corpus.terms is not None:
+            self.counted[number] = field, word
+        else:
+            self.frequencies[number] = seen
+
     def _bm25(self, field: str, tf: Column, names: list[str]) -> Column:
         self.scored_fields.add(field)
         total, mean = F.col(f"coll_{field}")["n"], F.col(f"coll_{field}")["avgdl"]
@@ -489,21 +525,62 @@ def _rows(plan: _Plan, alone: bool) -> DataFrame:
         words = sorted({w for some in plan.words for w in some})
         wanted = [F.pmod(F.xxhash64(F.lit(w)), F.lit(corpus.buckets)).cast("int") for w in words]
         occurrences = occurrences.where(F.col("bucket").isin(*wanted))
+    elif plan.sought:
+        occurrences = _found_postings(plan)
     grouped = (
         occurrences.where(functools.reduce(operator.or_, plan.conditions))
         .groupBy("key")
         .agg(*[a.alias(n) for n, a in plan.aggregates.items()])
     )
     rows = docs.join(grouped, "key", "left") if plan.predicates or alone else grouped
-    if plan.scored and plan.frequencies:
-        counts = grouped.agg(
-            F.struct(*[c.alias(n) for n, c in plan.frequencies.items()]).alias("found")
-        )
+    if plan.scored and (plan.frequencies or plan.counted):
+        parts = []
+        if plan.frequencies:
+            seen = grouped.agg(F.struct(*[c.alias(n) for n, c in plan.frequencies.items()]).alias("f"))
+            parts += [seen.scalar()[n].alias(n) for n in plan.frequencies]
+        if plan.counted:
+            held = corpus.terms.where(
+                functools.reduce(operator.or_, [on(f) & (F.col("term") == w) for f, w in set(plan.counted.values())])
+            ).agg(
+                F.struct(
+                    *[
+                        F.coalesce(F.max(F.when(on(f) & (F.col("term") == w), F.col("df"))), F.lit(0)).alias(n)
+                        for n, (f, w) in plan.counted.items()
+                    ]
+                ).alias("f")
+            )
+            parts += [held.scalar()[n].alias(n) for n in plan.counted]
+        counts = F.struct(*parts)
         stats = {f"coll_{name}": corpus.stats_row(name) for name in sorted(plan.scored_fields)}
-        rows = rows.withColumns({"found": counts.scalar(), **stats})
+        rows = rows.withColumns({"found": counts, **stats})
     return rows
 
 
+MOST_BUCKETS = 1000
+
+
+def _found_postings(plan: _Plan) -> DataFrame:
+    """The postings of the terms that pass a test, with the numbers of the tests they pass.
+
+    Tests run on distinct terms.  The found terms are written, so that Spark knows their size,
+    and joined to the postings; their buckets, up to ``MOST_BUCKETS`` of them, prune the scan.
+    """
+    corpus, parts = plan.corpus, []
+    for number, (query, test) in enumerate(plan.sought):
+        rows = query.candidates(corpus).where(test)
+        parts.append(rows.select("bucket", "field", "term", F.lit(number).alias("number")))
+    found = stored(
+        functools.reduce(DataFrame.unionByName, parts)
+        .groupBy("bucket", "field", "term").agg(F.collect_set("number").alias("passed")),
+        "found-terms",
+    )
+    buckets = [r.bucket for r in found.select("bucket").distinct().limit(MOST_BUCKETS + 1).collect()]
+    postings = corpus.occurrences
+    if len(buckets) <= MOST_BUCKETS:
+        postings = postings.where(F.col("bucket").isin(*buckets))
+    return postings.join(found, ["bucket", "field", "term"])
+
+
 def column_filter(docs: DataFrame, query: Query) -> Column:
     """A tree of column queries as one predicate, which the scan can take over."""
     plan = _Plan(Corpus(docs, "", docs, docs), scored=False)

@@ -25,23 +25,34 @@ def bm25_weight(tf: Column, dl: Column, avgdl: Column, k1: float = K1, b: float
 
 
 def tfidf(
-    postings: DataFrame, stats: DataFrame, n_docs: Column, terms: list[str], normalize: bool = True
+    postings: DataFrame,
+    stats: DataFrame,
+    n_docs: Column,
+    terms: list[str],
+    normalize: bool = True,
+    norms: DataFrame | None = None,
 ) -> DataFrame:
     """(key, score): sum of tf * ln(N / df) over the terms, of documents that hold one.
 
-    Normalised scores are divided by the length of the document's weight vector, which takes
-    the postings of all its terms.
+    Normalised scores are divided by the length of the document's weight vector.  A saved index
+    has these as ``norms`` (key, norm), so only the postings of the terms are read; without
+    them they take the postings of all terms.
     """
     wanted = F.col("term").isin(*terms)
-    if not normalize:
-        postings = postings.where(wanted)
+    if not normalize or norms is not None:
+        weighted = postings.where(wanted).join(stats.where(wanted), ["field", "term"])
+        found = weighted.groupBy("key").agg(F.sum(F.col("tf") * F.log(n_docs / F.col("df"))).alias("score"))
+        if not normalize:
+            return found
+        score = F.when(F.col("norm") > 0, F.col("score") / F.col("norm")).otherwise(0.0)
+        return found.join(norms.groupBy("key").agg(F.sqrt(F.sum(F.col("norm") * F.col("norm"))).alias("norm")), "key").select(
+            "key", score.alias("score")
+        )
     weighted = postings.join(stats, ["field", "term"]).withColumn(
         "w", F.col("tf") * F.log(n_docs / F.col("df"))
     )
-    total = F.sum(F.when(wanted, F.col("w")))
-    if normalize:
-        norm = F.sqrt(F.sum(F.col("w") * F.col("w")))
-        total = F.when(norm > 0, total / norm).otherwise(0.0)
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")))
+    total = F.when(norm > 0, F.sum(F.when(wanted, F.col("w"))) / norm).otherwise(0.0)
     found = weighted.groupBy("key").agg(total.alias("score"), F.bool_or(wanted).alias("found"))
     return found.where("found").select("key", "score")
 

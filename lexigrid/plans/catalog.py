@@ -39,17 +39,25 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
-_indexes: dict[tuple[str, str], str] = {}
+_indexes: dict[tuple, str] = {}
+
+
+def version(df: DataFrame) -> tuple:
+    """Tells one state of a table's files from another; no column is read."""
+    file = F.xxhash64("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+    files = df.select(file.alias("file")).distinct()
+    return tuple(files.agg(F.count(F.lit(1)), F.sum(F.col("file").cast("decimal(20,0)"))).first())
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> Corpus:
-    """The documents with their saved index, which a session writes once for each folder."""
-    place = spark.sparkContext.applicationId, sf_dir
+    """The documents with their saved index, which a session writes once for each state of them."""
+    docs = documents(spark, sf_dir)
+    place = spark.sparkContext.applicationId, sf_dir, version(docs)
     if place not in _indexes:
         path = shared_folder(spark, "index")
-        save_index(Corpus.analyze(documents(spark, sf_dir), "doc_id", {"text": "text"}), path)
+        save_index(Corpus.analyze(docs, "doc_id", {"text": "text"}), path)
         _indexes[place] = path
-    return load_index(documents(spark, sf_dir), "doc_id", _indexes[place])
+    return load_index(docs, "doc_id", _indexes[place])
 
 
 def stored_postings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from lexigrid.operators import facets as fc
 from lexigrid.operators import postings as ps
 from lexigrid.operators import queries as q
 from lexigrid.operators import ranking as rk
+from lexigrid.operators import vocabulary as vc
 from lexigrid.plans.catalog import (
     SQL_STATS,
     SQL_TOKENS,
@@ -285,7 +286,7 @@ def more_like_this(spark, d):
     seeds = ps.build_postings(ps.token_table(table(spark, d, "benchmark"), "item_id", {"text": "text"}))
     seeds = seeds.select(F.col("key").alias("seed"), "field", "term", "tf")
     similar = rk.more_like_this(
-        seeds, index, ps.term_stats(index), *docs.stats("text"), k=5, min_tf=1, min_length=3
+        seeds, index, docs.terms.select("field", "term", "df", "cf"), *docs.stats("text"), k=5, min_tf=1, min_length=3
     )
     return similar.select(
         F.col("seed").alias("item_id"),
@@ -448,16 +449,9 @@ def fallback_search(spark, d):
 )
 def suggest_prefix(spark, d):
     """Best five completions of each prefix of at least two bytes."""
-    prefixes = [p for p in ("th", "ein", "ver", "éa", "x") if len(p.encode()) >= 2]
-    tokens = corpus(spark, d).occurrences
-    fitting = F.array_compact(F.array(*[F.when(F.col("term").startswith(p), F.lit(p)) for p in prefixes]))
-    rows = tokens.where(F.size(fitting) > 0).select("term", "key").distinct()
-    df = rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    named = df.select(F.explode(fitting).alias("prefix"), "term", "df")
-    ranked = named.select("prefix", F.col("term").alias("key"), F.col("df").alias("score"))
-    return rk.top_k(ranked, 5, by="prefix").select(
-        "prefix", F.col("key").alias("term"), F.col("score").alias("df"), "rank"
-    )
+    asked = spark.createDataFrame([("th",), ("ein",), ("ver",), ("éa",), ("x",)], "prefix string")
+    asked = asked.where(F.octet_length("prefix") >= 2)
+    return vc.completions(corpus(spark, d).terms, asked, 5).select("prefix", "term", "df", "rank")
 
 
 @plan(

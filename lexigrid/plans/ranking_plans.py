@@ -51,11 +51,13 @@ def bm25(spark, d):
     WHERE term IN ('thing', 'with', 'from', 'tion') GROUP BY doc_id""",
 )
 def tfidf(spark, d):
-    index = stored_postings(spark, d)
-    n_docs, _ = corpus(spark, d).stats("text")
+    """Raw sums, and sums over the documents' stored norms."""
+    docs = corpus(spark, d)
+    n_docs, _ = docs.stats("text")
     terms = ["thing", "with", "from", "tion"]
-    raw = rk.tfidf(index, ps.term_stats(index), n_docs, terms, normalize=False).withColumnRenamed("score", "raw")
-    normal = rk.tfidf(index, ps.term_stats(index), n_docs, terms)
+    index = ps.postings_of(docs, terms)
+    raw = rk.tfidf(index, docs.terms, n_docs, terms, normalize=False).withColumnRenamed("score", "raw")
+    normal = rk.tfidf(index, docs.terms, n_docs, terms, norms=docs.norms)
     return raw.join(normal, "key").select(
         F.col("key").alias("doc_id"), F.round("raw", 6).alias("raw"), F.round("score", 6).alias("score")
     )

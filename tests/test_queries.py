@@ -279,3 +279,121 @@ def test_patterns_of_the_engine(index):
     assert {r.key for r in q.match(index, q.Regex("title", r"\p{L}+k")).collect()} == {1}
     with pytest.raises(ValueError):
         q.match(index, q.Regex("title", "(?P<a>b)ook"))
+
+
+def words_of(n, seed=3):
+    import random
+
+    draw = random.Random(seed)
+    return sorted({"".join(draw.choice("abcdé") for _ in range(draw.randint(1, 9))) for _ in range(n)})
+
+
+def alignment(a, b):
+    """Optimal string alignment distance, by the table."""
+    rows = [[i + j if not i * j else 0 for j in range(len(b) + 1)] for i in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            rows[i][j] = min(rows[i - 1][j] + 1, rows[i][j - 1] + 1, rows[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                rows[i][j] = min(rows[i][j], rows[i - 2][j - 2] + 1)
+    return rows[-1][-1]
+
+
+@pytest.fixture(scope="module")
+def vocabulary(spark):
+    """An index with one document a word, its words, and the folder."""
+    words = words_of(900)
+    docs = spark.createDataFrame([(k, w + " common") for k, w in enumerate(words)], "id long, title string")
+    path = shared_folder(spark, "index")
+    save_index(Corpus.analyze(docs, "id", {"title": "title"}), path, tokens_per_bucket=40)
+    return load_index(docs, "id", path), words
+
+
+@pytest.mark.parametrize("word", ["abcde", "a", "cab", "ébédabcde", "ddddddddd", "bacdcbeé"])
+@pytest.mark.parametrize("distance", [0, 1, 2, 3])
+def test_spellings_by_deletion_keys(vocabulary, word, distance):
+    saved, words = vocabulary
+    found = {words[r.key] for r in q.match(saved, q.Fuzzy("title", word, distance), scored=False).collect()}
+    assert found - {"common"} == {w for w in words if alignment(w, word) <= distance}
+
+
+@pytest.mark.parametrize("pattern", ["a*", "*cd*", "ab?de", "*abc", "c*a*b", "?", "abc", "*", "d?*éa*", "b*bb?"])
+def test_wildcards_by_trigrams(vocabulary, pattern):
+    import fnmatch
+
+    saved, words = vocabulary
+    found = {words[r.key] for r in q.match(saved, q.Wildcard("title", pattern), scored=False).collect()}
+    expected = {w for w in words if fnmatch.fnmatchcase(w, pattern) or fnmatch.fnmatchcase("common", pattern)}
+    assert found == expected
+
+
+def test_deletion_keys_of_the_engine(spark):
+    from lexigrid.operators import vocabulary as vc
+
+    words = [*words_of(50), "zz", "a", "abcdefghij"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    for r in df.select("w", vc.deletion_keys(F.col("w")).alias("k"), vc.gram_keys(F.col("w")).alias("g")).collect():
+        assert sorted(r.k) == vc.deletions(r.w)
+        assert sorted(r.g) == vc.fixed_grams([r.w])
+
+
+def test_patterns_read_the_buckets_of_found_terms(vocabulary):
+    saved, words = vocabulary
+    everything = saved.occurrences.select(F.input_file_name()).distinct().count()
+    word = max(words, key=len)
+    for query in (
+        q.Fuzzy("title", word, 1), q.Wildcard("title", word[:4] + "*" + word[-1]), q.Prefix("title", word[:5]),
+        q.Regex("title", word[:-1] + "."),
+    ):
+        plan = q.match(saved, query, scored=False)
+        assert 0 < len({r.key for r in plan.collect()}) < 20
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        read = text.split("PartitionFilters: [")
+        assert any("bucket" in part.split("DataFilters")[0] for part in read[1:]), text
+    assert everything > 20
+
+
+def test_patterns_beside_words_and_phrases(vocabulary):
+    saved, words = vocabulary
+    plain = Corpus.analyze(saved.docs, "id", {"title": "title"})
+    query = q.Bool(
+        must=(q.Term("title", "common"), q.Bool(should=(q.Prefix("title", "ab"), q.Fuzzy("title", "dace", 1)))),
+        should=(q.Phrase("title", (words[3], "common")), q.PhrasePrefix("title", (words[5], "com"), 3)),
+        must_not=(q.Wildcard("title", "*e"),),
+    )
+    left, right = ({r.key: round(r.score, 9) for r in q.match(c, query).collect()} for c in (saved, plain))
+    assert left == right and len(left) > 5
+
+
+def test_stored_norms(vocabulary):
+    saved, words = vocabulary
+    n, _ = saved.stats("title")
+    terms = [words[0], words[7], "common"]
+    from lexigrid.operators.postings import postings_of
+
+    rows = saved.occurrences.select("key", "field", "term", "tf", "dl")
+    slow = {r.key: round(r.score, 9) for r in rk.tfidf(rows, term_stats(rows), n, terms).collect()}
+    fast = rk.tfidf(postings_of(saved, terms), saved.terms, n, terms, norms=saved.norms)
+    assert {r.key: round(r.score, 9) for r in fast.collect()} == slow and len(slow) == len(words)
+
+
+def test_completions(vocabulary, spark):
+    from lexigrid.operators import vocabulary as vc
+
+    saved, words = vocabulary
+    asked = ["a", "ab", "é", "common", "zz", "abcdabcdabcd", "", "a"]
+    found = vc.completions(saved.terms, spark.createDataFrame([(p,) for p in asked], "prefix string"), 4).collect()
+    every = [*words, "common"]
+    expected = {(p, t) for p in asked if p for t in sorted(w for w in every if w.startswith(p))[:4]}
+    assert {(r.prefix, r.term) for r in found} == expected and all(r.rank <= 4 for r in found)
+
+
+def test_changed_tables_are_indexed_again(spark):
+    from lexigrid.plans import catalog
+
+    folder = shared_folder(spark, "tables")
+    for text in ("one word", "other words here"):
+        df = spark.createDataFrame([(1, text, "en", "s", 8)], "doc_id long, text string, lang string, source string, n_chars long")
+        df.write.mode("overwrite").parquet(f"{folder}/documents.parquet")
+        found = q.match(catalog.corpus(spark, folder), q.Term("text", "word")).count()
+        assert found == (text == "one word")
