@@ -97,7 +97,7 @@ def write_keys(terms: DataFrame, path: str) -> None:
 def with_keys(keys: DataFrame, kind: str, values: list[str]) -> DataFrame:
     """The rows of some keys, from their folders; equalities reach the scan one by one."""
     one = keys.select("slots").first()
-    slots = {F.pmod(F.xxhash64(F.lit(v)), F.lit(one.slots if one else 1)).cast("int") for v in values}
+    slots = [F.pmod(F.xxhash64(F.lit(v)), F.lit(one.slots if one else 1)).cast("int") for v in values]
     equal = functools.reduce(operator.or_, [F.col("key") == v for v in values])
     return keys.where(F.col("slot").isin(*slots) & (F.col("kind") == kind) & equal)
 

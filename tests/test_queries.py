@@ -305,7 +305,7 @@ def vocabulary(spark):
     words = words_of(900)
     docs = spark.createDataFrame([(k, w + " common") for k, w in enumerate(words)], "id long, title string")
     path = shared_folder(spark, "index")
-    save_index(Corpus.analyze(docs, "id", {"title": "title"}), path, tokens_per_bucket=40)
+    save_index(Corpus.analyze(docs, "id", {"title": "title"}), path, tokens_per_bucket=120)
     return load_index(docs, "id", path), words
 
 
