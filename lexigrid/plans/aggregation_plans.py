@@ -342,38 +342,36 @@ def collector_aggregate(spark, d):
 @plan(
     "activity_report",
     f"""
-    {date_sql('hourly_activity', "strftime(ts, '%H')", 'events')}
-    UNION ALL {date_sql('daily_activity', "dayname(ts)", 'events')}
-    UNION ALL {terms_sql('action_types', 'event_type', 'events', 15)}
-    UNION ALL {terms_sql('browsers', 'user_id', 'events', 10)}
-    UNION ALL {histogram_sql('session_duration', 'value * 10', 'events', 300.0)}""",
+    {date_sql('by_hour', "strftime(ts, '%H')", 'events')}
+    UNION ALL {date_sql('by_weekday', "dayname(ts)", 'events')}
+    UNION ALL {terms_sql('top_event_type', 'event_type', 'events', 4)}
+    UNION ALL {terms_sql('top_user_id', 'user_id', 'events', 12)}
+    UNION ALL {histogram_sql('by_duration', 'value * 10', 'events', 120.0)}""",
 )
 def activity_report(spark, d):
     events = table(spark, d, "events").withColumn("seconds", F.col("value") * 10)
-    return ag.aggregate(events, ag.activity_request("ts", "event_type", "user_id", "seconds"))
+    return ag.aggregate(events, ag.activity_request("ts", "seconds", 120.0, {"event_type": 4, "user_id": 12}))
 
 
-PRODUCTS = "(SELECT p_type, (p_retailprice - 900) * 7 AS price, p_size // 10 AS rating FROM part)"
+PRODUCTS = "(SELECT p_type, p_retailprice AS price, p_size AS size FROM part)"
 
 
 @plan(
     "product_analytics",
     f"""
-    {terms_sql('categories', 'p_type', PRODUCTS, 20, {'avg_price': 'avg(price)', 'avg_rating': 'avg(rating)'})}
-    UNION ALL {histogram_sql('price_histogram', 'price', PRODUCTS, 25.0)}
-    UNION ALL {terms_sql('rating_distribution', 'rating', PRODUCTS, 10)}
-    UNION ALL {range_sql('price_ranges', 'price', PRODUCTS, [('budget', '{0} < 25'), ('mid_range', '{0} >= 25 AND {0} < 100'),
-                         ('premium', '{0} >= 100 AND {0} < 500'), ('luxury', '{0} >= 500')])}
-    UNION ALL {long_sql("", "''", PRODUCTS, {"price_stats.count": "count(price)", "price_stats.min": "min(price)",
-               "price_stats.max": "max(price)", "price_stats.avg": "avg(price)", "price_stats.sum": "sum(price)"})}""",
+    {terms_sql('groups', 'p_type', PRODUCTS, 3, {'mean_price': 'avg(price)', 'mean_size': 'avg(size)'})}
+    UNION ALL {histogram_sql('price_steps', 'price', PRODUCTS, 12.5)}
+    UNION ALL {range_sql('size_bands', 'size', PRODUCTS, [('*-5.0', '{0} < 5'), ('5.0-20.0', '{0} >= 5 AND {0} < 20'),
+                         ('20.0-45.0', '{0} >= 20 AND {0} < 45'), ('45.0-*', '{0} >= 45')])}
+    UNION ALL {long_sql("", "''", PRODUCTS, {f"{m}_summary.{p}": f"{f}({m})" for m in ("price", "size")
+               for p, f in (("count", "count"), ("min", "min"), ("max", "max"), ("avg", "avg"), ("sum", "sum"))})}""",
 )
 def product_analytics(spark, d):
     part = table(spark, d, "part").select(
-        "p_type",
-        ((F.col("p_retailprice") - 900) * 7).alias("price"),
-        F.floor(F.col("p_size") / 10).alias("rating"),
+        "p_type", F.col("p_retailprice").alias("price"), F.col("p_size").alias("size")
     )
-    return rounded(ag.aggregate(part, ag.product_request("p_type", "price", "rating")))
+    request = ag.band_request("p_type", ["price", "size"], {"size": [5, 20, 45]}, {"price": 12.5}, 3)
+    return rounded(ag.aggregate(part, request))
 
 
 @plan(
@@ -434,15 +432,15 @@ def facet_top_k(spark, d):
 @plan(
     "facet_count_path",
     """
-    SELECT '/' || b || '/' || t AS path, (SELECT count(*) FROM part WHERE p_brand = b AND p_type = t) AS count
-    FROM (SELECT DISTINCT p_brand AS b FROM part), (SELECT DISTINCT p_type AS t FROM part UNION ALL SELECT 'NONE') x(t)""",
+    WITH asked AS (
+        SELECT DISTINCT '/' || p_brand || '/' || p_type AS path FROM part
+        UNION SELECT DISTINCT '/' || p_brand || '/NONE' FROM part)
+    SELECT path, (SELECT count(*) FROM part WHERE '/' || p_brand || '/' || p_type = path) AS count FROM asked""",
 )
 def facet_count_path(spark, d):
-    """Counts of every brand and type path, with paths that no part has."""
+    """Counts of asked paths: those of the parts, and one of each brand that no part has."""
     part = table(spark, d, "part")
-    kinds = part.select(F.col("p_type").alias("kind")).where("kind IS NOT NULL").distinct()
-    kinds = kinds.unionByName(part.sparkSession.range(1).select(F.lit("NONE").alias("kind")))
-    pairs = part.select("p_brand").distinct().crossJoin(kinds)
-    paths = pairs.select(F.concat(F.lit("/"), "p_brand", F.lit("/"), "kind").alias("path"))
+    kinds = part.select("p_brand", F.explode(F.array(F.col("p_type"), F.lit("NONE"))).alias("kind"))
+    paths = kinds.select(F.concat(F.lit("/"), "p_brand", F.lit("/"), "kind").alias("path"))
     counts = fc.facet_counts(part_facets(spark, d), "p_partkey", "facet")
-    return fc.count_paths(counts, paths)
+    return fc.count_paths(counts, paths.where("path IS NOT NULL").distinct())

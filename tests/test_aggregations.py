@@ -130,3 +130,150 @@ def test_facet_paths_are_not_gathered_in_one_row(spark):
     paths = PLANS["facet_count_path"].build(spark, "/root/testdata/sf0.001")
     assert "collect_set" not in paths._jdf.queryExecution().toString()
     assert paths.where("count = 0").count() > 0
+
+
+def counted_reads(df, spark):
+    """The rows, and how many of them were read so far."""
+    read = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(run, df.schema), read
+
+
+DEEP = {
+    "total": {"sum": {"field": "v"}},
+    "far": {"max": {"field": "w", "missing": 99.0}},
+    "bands": {
+        "range": {"field": "v", "ranges": [(None, 40), (20, 70, "middle"), (90, None)]},
+        "aggs": {
+            "kinds": {
+                "terms": {"field": "k", "size": 2, "order": {"mean": "desc"}},
+                "aggs": {"mean": {"avg": {"field": "w"}}, "steps": {"histogram": {"field": "w", "interval": 5}}},
+            },
+            "n": {"value_count": {"field": "w"}},
+        },
+    },
+    "kinds": {
+        "terms": {"field": "k", "size": 3},
+        "aggs": {
+            "bands": {"range": {"field": "v", "ranges": [(None, 50), (30, None)]}, "aggs": {"s": {"stats": {"field": "w"}}}},
+            "steps": {
+                "histogram": {"field": "v", "interval": 25, "min_doc_count": 0},
+                "aggs": {"groups": {"terms": {"field": "g", "missing": "none", "size": 2}}},
+            },
+        },
+    },
+}
+
+
+def brute_buckets(rows, request, path=(), bucket=()):
+    """The same answer by loops over rows."""
+    import math
+
+    out = {}
+    agg, label = ">".join(path), "|".join(bucket)
+    for name, node in request.items():
+        kind = ag.kind_of(node)
+        settings = node[kind]
+        values = [r[settings["field"]] for r in rows]
+        values = [settings.get("missing") if x is None else x for x in values]
+        nested = node.get("aggs", {})
+        if kind in ag.METRICS:
+            held = [x for x in values if x is not None]
+            many = {"count": len(held), "sum": sum(held) if held else None, "min": min(held, default=None), "max": max(held, default=None)}
+            many["avg"] = many["sum"] / len(held) if held else None
+            if kind == "stats":
+                out.update({(agg, label, f"{name}.{p}"): many[p] for p in many})
+            else:
+                out[agg, label, name] = many["count" if kind == "value_count" else kind]
+            continue
+        groups = {}
+        for row, value in zip(rows, values):
+            if value is None:
+                continue
+            if kind == "range":
+                keys = [ag.range_bounds(x)[0] for x in settings["ranges"] if (ag.range_bounds(x)[1] is None or value >= ag.range_bounds(x)[1]) and (ag.range_bounds(x)[2] is None or value < ag.range_bounds(x)[2])]
+            else:
+                keys = [str(value)] if kind == "terms" else [math.floor(value / settings["interval"])]
+            for key in keys:
+                groups.setdefault(key, []).append(row)
+        here = (*path, name)
+        if kind == "range":
+            groups = {ag.range_bounds(x)[0]: groups.get(ag.range_bounds(x)[0], []) for x in settings["ranges"]}
+        if kind == "histogram" and settings.get("min_doc_count", 1) == 0 and groups:
+            groups = {k: groups.get(k, []) for k in range(min(groups), max(groups) + 1)}
+        if kind == "terms":
+            (by, _), = settings.get("order", {"_count": "desc"}).items()
+            def place(key):
+                if by == "_count":
+                    return -len(groups[key]), key
+                held = [r[nested[by]["avg"]["field"]] for r in groups[key]]
+                held = [x for x in held if x is not None]
+                return -(sum(held) / len(held)), key
+            kept = sorted(groups, key=place)[: settings["size"]]
+            if len(rows) or not path:
+                other = sum(len(v) for k, v in groups.items() if k not in kept)
+                if groups:
+                    out[">".join(here), label, "sum_other_doc_count"] = other
+            groups = {k: groups[k] for k in kept}
+        for key, inside in groups.items():
+            text = str(float(key * settings["interval"])) if kind == "histogram" else key
+            out[">".join(here), "|".join((*bucket, text)), "doc_count"] = len(inside)
+            metrics = {n: x for n, x in nested.items() if ag.kind_of(x) in ag.METRICS}
+            deeper = {n: x for n, x in nested.items() if ag.kind_of(x) not in ag.METRICS}
+            out.update(brute_buckets(inside, metrics, here, (*bucket, text)))
+            out.update(brute_buckets(inside, deeper, here, (*bucket, text)))
+    return out
+
+
+def test_any_request_reads_the_rows_once(spark):
+    import random
+
+    draw = random.Random(1)
+    rows = [
+        {"k": draw.choice(["x", "y", "z", "u", None]), "v": draw.choice([None, draw.randint(0, 99)]), "w": draw.uniform(0, 20), "g": draw.choice(["a", "b", None])}
+        for _ in range(400)
+    ]
+    df = spark.createDataFrame(rows, "k string, v long, w double, g string").repartition(3)
+    counted, read = counted_reads(df, spark)
+    found = run(counted, DEEP)
+    assert read.value == 400
+    expected = brute_buckets(rows, DEEP)
+    numbers = lambda d: {k: None if v is None else round(v, 6) for k, v in d.items()}
+    # a metric of an empty range bucket has no row to fold
+    assert {k: v for k, v in numbers(found).items() if v is not None} == {
+        k: v for k, v in numbers(expected).items() if v is not None
+    }
+
+
+def test_a_request_over_no_rows(spark):
+    df = spark.createDataFrame([], "k string, v long, w double, g string")
+    found = run(df, DEEP)
+    assert found["", "", "total"] is None and found["bands", "middle", "doc_count"] == 0
+    assert not any(a == "kinds" and b for a, b, _ in found)
+
+
+def test_date_buckets_are_counted_before_they_are_made(products):
+    def asked(**interval):
+        return {"d": {"date_histogram": {"field": "published_date", "min_doc_count": 0, **interval}}}
+
+    with pytest.raises(Exception, match="more than"):
+        run(products, asked(fixed_interval="1s"))
+    ten_years = products.selectExpr("timestampadd(YEAR, int(id * 2), published_date) as published_date")
+    found = buckets(ten_years, asked(calendar_interval="month", format="yyyy-MM"), "d")
+    assert len(found) > 110 and sum(found.values()) == 6
+    quarters = buckets(ten_years, asked(calendar_interval="quarter"), "d")
+    assert all(k[5:7] in ("01", "04", "07", "10") for k in quarters) and sum(quarters.values()) == 6
+    days = buckets(products, asked(fixed_interval="36h"), "d")
+    assert sum(days.values()) == 6 and 0 in days.values()
+
+
+def test_requests_by_arguments():
+    request = ag.band_request("c", ["p"], {"p": [1, 2]}, {"p": 5.0}, 7)
+    assert [ag.range_bounds(r)[0] for r in request["p_bands"]["range"]["ranges"]] == ["*-1.0", "1.0-2.0", "2.0-*"]
+    ag.validate(request, ["c", "p"])
+    ag.validate(ag.activity_request("t", "d", 60, {"u": 3}), ["t", "d", "u"])
