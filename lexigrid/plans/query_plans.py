@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexigrid.functions import tokens as tk
 from lexigrid.operators import facets as fc
+from lexigrid.operators import fallback as fb
 from lexigrid.operators import postings as ps
 from lexigrid.operators import queries as q
 from lexigrid.operators import ranking as rk
@@ -14,6 +15,7 @@ from lexigrid.operators import vocabulary as vc
 from lexigrid.plans.catalog import (
     SQL_STATS,
     SQL_TOKENS,
+    WORDS,
     corpus,
     documents,
     plan,
@@ -385,55 +387,50 @@ def filtered_search(spark, d):
     )
 
 
-def fallback_tiers(text: str) -> list[tuple[str, q.Query]]:
-    words = text.split()
-    return [
-        ("phrase", q.phrase("text", words)),
-        ("and", q.all_terms("text", text)),
-        ("or", q.any_terms("text", text)),
-        ("fuzzy", q.Bool(should=tuple(q.Fuzzy("text", w, 2, transpositions=False) for w in words))),
-    ]
-
-
 FALLBACK_TEXTS = {
     "found as phrase": "of thing",
     "found by all words": "thing with of from",
     "found by any word": "thing qqqqqqqqqq",
-    "found by spelling": "thethher",
+    "found by spelling": "thethher qqqqqqqqqq",
     "found nowhere": "qqqqqqqqqqqq",
+    "no words": " ,",
 }
+FALLBACK_ROWS = ", ".join(f"('{name}', '{text}')" for name, text in FALLBACK_TEXTS.items())
 
 
-def fallback_sql() -> str:
-    """Every strategy of every text, then the first that found something."""
-    tried = []
-    for name, text in FALLBACK_TEXTS.items():
-        words = [f"line LIKE '% {w} %'" for w in text.split()]
-        near = " OR ".join(f"levenshtein({ASCII_TERM}, '{w}') <= 2" for w in text.split())
-        steps = {
-            "phrase": f"SELECT doc_id FROM lines WHERE line LIKE '% {text} %'",
-            "and": f"SELECT doc_id FROM lines WHERE {' AND '.join(words)}",
-            "or": f"SELECT doc_id FROM lines WHERE {' OR '.join(words)}",
-            "fuzzy": f"SELECT DISTINCT doc_id FROM toks WHERE {near}",
-        }
-        tried += [
-            f"SELECT '{name}' AS query_id, {tier} AS tier, '{strategy}' AS strategy, doc_id FROM ({sql})"
-            for tier, (strategy, sql) in enumerate(steps.items())
-        ]
-    return f"""
+@plan(
+    "fallback_search",
+    rf"""
     WITH {SQL_TOKENS},
     lines AS (SELECT doc_id, ' ' || string_agg(term, ' ' ORDER BY pos) || ' ' AS line FROM toks GROUP BY doc_id),
-    tried AS ({' UNION ALL '.join(tried)}),
+    asked AS (
+        SELECT * FROM (VALUES {FALLBACK_ROWS}) q(query_id, text)
+        UNION ALL SELECT 'passage ' || item_id, text FROM benchmark),
+    split AS (SELECT query_id, list_filter({WORDS}, lambda w: w <> '' AND octet_length(encode(w)) < 40) AS words FROM asked),
+    need AS (SELECT query_id, words, array_to_string(words, ' ') AS phrase, len(list_distinct(words)) AS n FROM split WHERE len(words) > 0),
+    single AS (SELECT DISTINCT query_id, unnest(words) AS term FROM need),
+    held AS (SELECT query_id, doc_id, count(*) AS n FROM single JOIN (SELECT DISTINCT doc_id, term FROM toks) USING (term) GROUP BY 1, 2),
+    whole AS (SELECT query_id, doc_id FROM held JOIN need USING (query_id, n)),
+    lost AS (SELECT query_id, term FROM single WHERE query_id NOT IN (SELECT query_id FROM held)),
+    near AS (SELECT DISTINCT w.term AS word, v.term FROM (SELECT DISTINCT term FROM lost) w,
+             (SELECT DISTINCT term FROM toks) v WHERE levenshtein({ASCII_TERM.replace('term', 'v.term')}, {ASCII_TERM.replace('term', 'w.term')}) <= 2),
+    tried AS (
+        SELECT query_id, 0 AS tier, 'phrase' AS strategy, doc_id FROM whole JOIN need USING (query_id) JOIN lines USING (doc_id)
+        WHERE contains(line, ' ' || phrase || ' ')
+        UNION ALL SELECT query_id, 1, 'and', doc_id FROM whole
+        UNION ALL SELECT query_id, 2, 'or', doc_id FROM held
+        UNION ALL SELECT DISTINCT query_id, 3, 'fuzzy', doc_id FROM lost JOIN near ON lost.term = near.word JOIN toks ON toks.term = near.term),
     first AS (SELECT query_id, min(tier) AS tier FROM tried GROUP BY query_id)
     SELECT query_id, strategy, count(*) AS n_hits, sum(doc_id)::BIGINT AS id_sum
-    FROM tried JOIN first USING (query_id, tier) GROUP BY 1, 2"""
-
-
-@plan("fallback_search", fallback_sql())
+    FROM tried JOIN first USING (query_id, tier) GROUP BY 1, 2""",
+)
 def fallback_search(spark, d):
-    """First strategy with hits for each query; all queries in one pass."""
-    tiers = {name: fallback_tiers(text) for name, text in FALLBACK_TEXTS.items()}
-    found = q.first_non_empty(corpus(spark, d), tiers)
+    """First strategy with hits for all passages, and for texts that reach each strategy."""
+    passages = table(spark, d, "benchmark")
+    asked = passages.select(F.concat(F.lit("passage "), "item_id").alias("query_id"), "text").unionByName(
+        spark.createDataFrame(list(FALLBACK_TEXTS.items()), "query_id string, text string")
+    )
+    found = fb.fallback_search(corpus(spark, d), asked, "text")
     return found.groupBy("query_id", "strategy").agg(
         F.count(F.lit(1)).alias("n_hits"), F.sum("key").alias("id_sum")
     )

@@ -397,3 +397,42 @@ def test_changed_tables_are_indexed_again(spark):
         df.write.mode("overwrite").parquet(f"{folder}/documents.parquet")
         found = q.match(catalog.corpus(spark, folder), q.Term("text", "word")).count()
         assert found == (text == "one word")
+
+
+def test_fallback_of_a_table(vocabulary, spark):
+    """The rounds give what the same strategies as query objects give."""
+    from lexigrid.operators.fallback import fallback_search
+
+    saved, words = vocabulary
+    texts = {
+        "phrase": f"{words[4]} Common", "twice": "common common", "and": f"common {words[9]}", "or": f"{words[11]} {words[12]} zzz",
+        "fuzzy": max(words, key=len) + "xx qqqqqqq", "one": words[20], "none": "qqqqqqqq", "empty": " ", "null": None,
+    }
+    asked = spark.createDataFrame(list(texts.items()), "query_id string, text string")
+    found = {}
+    for r in fallback_search(saved, asked, "title").collect():
+        found.setdefault(r.query_id, {})[r.strategy, r.key] = round(r.score, 9)
+    for name, text in texts.items():
+        split = (text or "").lower().split()
+        tiers = [] if not split else [
+            ("phrase", q.phrase("title", split)), ("and", q.all_terms("title", text.lower())), ("or", q.any_terms("title", text.lower())),
+            ("fuzzy", q.Bool(should=tuple(q.Fuzzy("title", w, 2, transpositions=False) for w in split))),
+        ]
+        expected = {}
+        for strategy, query in tiers:
+            expected = {(strategy, r.key): round(r.score, 9) for r in q.match(saved, query).collect()}
+            if expected:
+                break
+        assert found.get(name, {}) == expected, name
+    assert {next(iter(v))[0] for v in found.values()} == {"phrase", "and", "or", "fuzzy"}
+
+
+def test_fallback_plans_do_not_grow_with_the_queries(vocabulary, spark):
+    from lexigrid.operators.fallback import fallback_search
+
+    saved, words = vocabulary
+    sizes = []
+    for n in (3, 300):
+        asked = spark.createDataFrame([(str(k), words[k]) for k in range(n)], "query_id string, text string")
+        sizes.append(len(fallback_search(saved, asked, "title")._jdf.queryExecution().optimizedPlan().toString()))
+    assert abs(sizes[0] - sizes[1]) < 200
