@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrid.llm.registry import query, table
+from lexigrid.llm.registry import query, set_aside, table
 from lexigrid.session import stored
 
 NAME, NUMBER, UNIT = "", "", ""
@@ -251,7 +251,15 @@ def bare(word: Column) -> Column:
 def decontaminate(
     docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()
 ) -> DataFrame:
-    """``docs`` without those that hold a leaked item; all columns stay."""
+    """``docs`` without those that hold a leaked item; all columns stay, whatever their
+    names (``set_aside``).  A null text holds no item and its rows stay, null keys too; rows equal
+    in key and text go together; very long texts are read whole; an empty table stays empty."""
+    return set_aside(docs, (key, text), lambda d: _decontaminate(d, items, key, text, settings))
+
+
+def _decontaminate(
+    docs: DataFrame, items: DataFrame, key: str, text: str, settings: Settings
+) -> DataFrame:
     leaks = find_leaks(docs, items, key, text, settings).select(
         F.col(key).alias("key_"), F.col("text_hash").alias("hash_")
     ).distinct()

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrid.llm.registry import query, table
+from lexigrid.llm.registry import query, set_aside, table
 from lexigrid.session import stored
 
 SPACES = "[\\x20\\x09-\\x0D]+"
@@ -94,8 +94,15 @@ def dedup_lines(
     one with the smallest (key, text hash, position), so that no text is lost altogether.
     Lines are compared with white space folded; lines without words always stay.  A null
     text stays null with no lines; a null site is a site of its own; rows equal in key and
-    text get the same result; other columns pass through; an empty table stays empty.
+    text get the same result; other columns pass through, whatever their names
+    (``set_aside``); an empty table stays empty.
     """
+    return set_aside(docs, (key, text, site), lambda d: _dedup_lines(d, key, text, site, rule))
+
+
+def _dedup_lines(
+    docs: DataFrame, key: str, text: str, site: str, rule: Spread
+) -> DataFrame:
     lines = stored(line_table(docs, key, text, site), "lines")
     found = boilerplate(lines, key, rule)
     place = F.struct(key, "text_hash", "pos")
@@ -155,6 +162,6 @@ def dedup_lines(
     """,
 )
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(table(spark, sf_dir, "documents")).select(
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select(
         "doc_id", "n_lines", "n_removed", "words_removed", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5")
     )

@@ -10,6 +10,7 @@ from functools import wraps
 
 import lexigrid
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -48,5 +49,38 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+#: Columns that operators meet under their own names; no operator uses these for its own ends.
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def set_aside(docs: DataFrame, needed: tuple[str, ...], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work`` on ``docs``, whose columns beyond the usual and the needed ones it meets as one
+    struct, so that their names cannot clash with its own.
+
+    They come back in their places with their values.  A column that ``work`` adds under the
+    name of one of them gets underscores behind its name.
+    """
+    known = {c.lower() for c in (*DOCUMENT, *needed)}
+    others = [c for c in docs.columns if c.lower() not in known]
+    if not others:
+        return work(docs)
+    name = "others"
+    while name in known:
+        name += "_"
+    held = [F.col(f"`{c}`") for c in docs.columns if c not in others]
+    packed = docs.select(*held, F.struct(*[F.col(f"`{c}`") for c in others]).alias(name))
+    out = work(packed)
+    taken, added = {c.lower() for c in docs.columns}, []
+    for column in out.columns:
+        if column not in packed.columns:
+            free = column
+            while free.lower() in taken:
+                free += "_"
+            taken.add(free.lower())
+            added.append(F.col(f"`{column}`").alias(free))
+    back = [F.col(name)[c].alias(c) if c in others else F.col(f"`{c}`") for c in docs.columns]
+    return out.select(*back, *added)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

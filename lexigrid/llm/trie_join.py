@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexigrid.llm.components import components
-from lexigrid.llm.registry import query, table
+from lexigrid.llm.registry import query, set_aside, table
 from lexigrid.llm.textbatch import batch_words, windows
 from lexigrid.session import stored
 
@@ -552,7 +552,12 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
     Texts without words are in no class, and their rows stay.  A key stands for a document:
     rows with the key that stays and a text of its class all stay, and so do null keys.
+    Columns pass through, whatever their names (``set_aside``); an empty table stays empty.
     """
+    return set_aside(docs, (key, text), lambda d: _keep_one(d, key, text))
+
+
+def _keep_one(docs: DataFrame, key: str, text: str) -> DataFrame:
     classes = ngram_classes(docs, key, text)
     copies = classes.where(F.col(key) != F.col("component_id")).select(
         F.col(key).alias("key_"), F.col("text_hash").alias("hash_")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrid.llm.registry import query, table
+from lexigrid.llm.registry import query, set_aside, table
 from lexigrid.session import stored
 
 WORD = re.compile(r"[^\W_]+")
@@ -241,8 +241,14 @@ def score_toxicity(
 
     A null or empty text has the score of a text without any known term.  Several labels of a
     document count as the highest.  Repeated rows get equal scores; other columns pass
-    through; an empty table stays empty.
+    through, whatever their names (``set_aside``); an empty table stays empty.
     """
+    return set_aside(docs, (key, text), lambda d: _score_toxicity(d, labels, key, text, settings))
+
+
+def _score_toxicity(
+    docs: DataFrame, labels: DataFrame, key: str, text: str, settings: Settings
+) -> DataFrame:
     weights, constant = train(docs, labels, key, text, settings)
     known = frozenset(weights)
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from lexigrid.llm.line_dedup import dedup_lines
 from lexigrid.llm.weak_toxicity import score_toxicity
 from lexigrid.session import stored
 
@@ -101,3 +102,37 @@ def test_odd_documents(spark):
                 assert out.columns == docs.columns and out.count() <= most
             docs = out
         assert {r.doc_id for r in docs.collect()} == ({1, 2, 3, None} if most else set())
+
+
+#: Names that the stages use for themselves.
+OWN = [
+    "score", "predicted", "text_", "toxic_", "n_lines", "n_removed", "words_removed", "words_before", "gone_", "key_",
+    "hash_", "cut_", "first", "pos", "text_hash", "text_hash_", "site", "h1", "h2", "key", "n", "set_id", "slots", "root",
+    "component_id", "n_shingles", "item_id", "others",
+]
+
+
+@pytest.mark.parametrize("number", range(4))
+def test_clashing_columns_keep_their_values(spark, number):
+    own = OWN
+    rows = [
+        (1, "some plain text that stays as it is in every stage", "en", "a", 1, *[f"{c} 1" for c in own]),
+        (2, "word " * 30_000 + "end", "de", "b", 2, *[f"{c} 2" for c in own]),
+        (3, None, None, None, None, *[None for c in own]),
+        (3, None, None, None, None, *[None for c in own]),
+    ]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in own)
+    )
+    out = corpus_pipeline.STAGES[number][1](spark, docs, SF_DIR)
+    assert out.columns == docs.columns
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, docs.collect()))
+
+
+def test_results_beside_columns_of_their_names(spark):
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    docs = spark.createDataFrame([(1, "plain words", 7, "x")], "doc_id long, text string, predicted long, n_lines string")
+    (scored,) = score_toxicity(docs, labels).collect()
+    assert scored.predicted == 7 and scored.predicted_ == 0 and 0 <= scored.score <= 1
+    (cleaned,) = dedup_lines(docs.withColumn("source", F.lit("s"))).collect()
+    assert cleaned.n_lines == "x" and cleaned.n_lines_ == 1
