@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lexigrid.plans.catalog import SQL_TOKENS, plan, table
+from lexigrid.plans.catalog import SQL_TOKENS, corpus, plan, table
 from lexigrid.plans.log_plans import SQL_SEARCHES
-from lexigrid.session import shared_folder
+from lexigrid.session import shared_folder, stored
 from lexigrid.sources import schema as sc
 from lexigrid.streaming import jobs
 
@@ -80,7 +80,8 @@ def stream_alert_match(spark, d):
     stream = jobs.read_stream(spark, d, docs.schema, "documents.parquet")
     queries = table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     root = shared_folder(spark, "stream-alerts")
-    matches = jobs.match_alerts(stream, jobs.alert_rules(queries), "doc_id", "text")
-    jobs.stream_alerts(matches, root).awaitTermination()
-    found = spark.read.schema("query_id bigint, key bigint").parquet(f"{root}/alerts")
+    rules = stored(jobs.alert_rules(queries), "alert-rules")
+    lead = stored(jobs.leads(rules, corpus(spark, d).terms.where("field = 'text'")), "alert-leads")
+    jobs.stream_alerts(stream, rules, lead, "doc_id", "text", root).awaitTermination()
+    found = spark.read.schema("query_id bigint, key bigint, batch int").parquet(f"{root}/alerts")
     return found.select(F.col("query_id").alias("item_id"), F.col("key").alias("doc_id"))

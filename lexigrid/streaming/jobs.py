@@ -132,34 +132,69 @@ def latest_windows(spark: SparkSession, root: str) -> DataFrame:
 
 
 def alert_rules(queries: DataFrame, analyzer: Analyzer = SEARCH) -> DataFrame:
-    """Stored AND queries (query_id, text) as (query_id, terms, lead).
+    """Stored AND queries (query_id, text) as an inverted index: (query_id, term, n), one row a
+    distinct term, with the number of the query's terms.  Queries without terms match nothing."""
+    terms = F.array_distinct(analyzer.tokens(F.col("text")))
+    rules = queries.select("query_id", terms.alias("terms"))
+    return rules.select("query_id", F.explode("terms").alias("term"), F.size("terms").alias("n"))
+
 
-    The longest term leads: it is the likeliest to be rare, and only documents that hold it
-    are compared with the rest of the query.
+def leads(rules: DataFrame, frequencies: DataFrame, rows_per_task: int = 20_000) -> DataFrame:
+    """(query_id, n, term, salts): each rule's rarest term, by ``frequencies`` (term, df).
+
+    A term without a frequency is the rarest; ties go to the longer term, then by name.  A
+    lead is dealt to so many salts that one has about ``rows_per_task`` of its pairs of rules
+    and documents; most have one.
     """
-    terms = F.array_distinct(analyzer.tokens(F.col("text")))
-    longest = F.array_max(F.transform("terms", lambda t: F.struct(F.length(t), t.alias("t"))))
-    rules = queries.select("query_id", terms.alias("terms")).where(F.size("terms") > 0)
-    return rules.select("query_id", "terms", longest["t"].alias("lead"))
+    known = rules.join(frequencies.select("term", "df"), "term", "left")
+    place = F.struct(F.coalesce("df", F.lit(0)).alias("df"), (-F.length("term")).alias("shortness"), "term")
+    lead = known.groupBy("query_id", "n").agg(F.min(place).alias("lead"))
+    lead = lead.select("query_id", "n", "lead.term", "lead.df")
+    pairs = lead.groupBy("term").agg((F.count(F.lit(1)) * F.greatest(F.max("df"), F.lit(1))).alias("pairs"))
+    salts = F.ceil(F.col("pairs") / rows_per_task).cast("int")
+    return lead.drop("df").join(pairs.select("term", salts.alias("salts")), "term")
 
 
-def match_alerts(docs: DataFrame, rules: DataFrame, key: str, text: str, analyzer: Analyzer = SEARCH) -> DataFrame:
+def document_terms(docs: DataFrame, key: str, text: str, analyzer: Analyzer = SEARCH) -> DataFrame:
+    """(key, term) of the distinct terms of each document; a narrow step."""
+    return docs.select(F.col(key).alias("key"), F.explode(F.array_distinct(analyzer.tokens(F.col(text)))).alias("term"))
+
+
+def match_alerts(terms: DataFrame, rules: DataFrame, lead: DataFrame) -> DataFrame:
     """(query_id, key) of stored queries all of whose terms a document holds.
 
-    A stream-static join on the lead term; the test of the other terms happens inside the
-    row, so nothing is grouped and no state is kept.
+    ``terms`` is (key, term) with each pair once.  Only documents with a rule's lead are looked
+    at.  A hot lead's documents are dealt to its salts, of which each has the rule; the other
+    terms are joined by (key, term) and counted.  No row carries a document's words.
     """
-    words = docs.select(F.col(key).alias("key"), F.array_distinct(analyzer.tokens(F.col(text))).alias("words"))
-    rows = words.select("key", "words", F.explode("words").alias("lead"))
-    hits = rows.join(rules, "lead").where(F.size(F.array_except("terms", "words")) == 0)
-    return hits.select("query_id", "key")
+    hot = lead.select("term", "salts").distinct()
+    held = terms.join(hot, "term").withColumn("salt", F.pmod(F.xxhash64("key"), F.col("salts")))
+    dealt = lead.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - F.lit(1).cast("bigint"))))
+    proposed = held.select("key", "term", "salt").join(dealt, ["term", "salt"]).select("key", "query_id", "n")
+    several = proposed.where("n > 1").join(rules.select("query_id", "term"), "query_id")
+    counted = several.join(terms, ["key", "term"]).groupBy("query_id", "key").agg(F.count(F.lit(1)).alias("found"), F.max("n").alias("n"))
+    return proposed.where("n = 1").select("query_id", "key").unionByName(
+        counted.where("found = n").select("query_id", "key")
+    )
 
 
-def stream_alerts(matches: DataFrame, root: str) -> StreamingQuery:
+def stream_alerts(
+    docs: DataFrame, rules: DataFrame, lead: DataFrame, key: str, text: str, root: str, analyzer: Analyzer = SEARCH
+) -> StreamingQuery:
+    """Alerts of every batch of arriving documents, one folder a batch.
+
+    A batch's terms are written once for the joins; a batch that is run again overwrites its
+    own folders.  Keys are unique within a batch, or equal keys count as one document.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark, place = batch.sparkSession, f"{root}/terms/batch={number}"
+        document_terms(batch, key, text, analyzer).distinct().write.mode("overwrite").parquet(place)
+        found = match_alerts(spark.read.parquet(place), rules, lead)
+        found.write.mode("overwrite").parquet(f"{root}/alerts/batch={number}")
+
     return (
-        matches.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", f"{root}/alerts")
+        docs.writeStream.foreachBatch(write)
         .option("checkpointLocation", f"{root}/progress")
         .trigger(availableNow=True)
         .start()
