@@ -164,21 +164,41 @@ def shard_summary(hits: DataFrame) -> DataFrame:
     )
 
 
+def salt_counts(pairs: DataFrame, by: list[str], pairs_per_task: int) -> DataFrame:
+    """(by, salts): over how many tasks a key's pairs are spread, from (by, df) rows, one for
+    each query that asks for the key.  A key whose pairs fit one task has one salt."""
+    total = F.count(F.lit(1)) * F.max("df")
+    salts = F.greatest(F.ceil(total / pairs_per_task), F.lit(1)).cast("bigint")
+    return pairs.groupBy(*by).agg(salts.alias("salts"))
+
+
+def salted(rows: DataFrame, salts: DataFrame, by: list[str]) -> DataFrame:
+    """The rows of the keys in ``salts``, each dealt to one of its key's salts."""
+    return rows.join(salts, by).withColumn("salt", F.pmod(F.xxhash64("key"), F.col("salts"))).drop("salts")
+
+
+def spread(rows: DataFrame, salts: DataFrame, by: list[str]) -> DataFrame:
+    """The rows once for each salt of their key."""
+    every = F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)
+    return rows.join(salts, by).withColumn("salt", F.explode(every)).drop("salts")
+
+
 def batch_search(
     queries: DataFrame,
     postings: DataFrame,
     n_docs: Column,
     avgdl: Column,
     k: int = 10,
-    salts: int = 8,
+    stats: DataFrame | None = None,
+    pairs_per_task: int = 1_000_000,
 ) -> DataFrame:
     """(query_id, key, score, rank) for a table of (query_id, term) AND queries.
 
     Only the rarest term of a query proposes documents; its other terms are looked up by
     (key, term).  Proposals are thus bounded by the shortest postings list of each query,
     and no term needs its whole list paired with every query that holds it.  Equal term
-    sets are searched once.  The rarest-term join is salted, since even a rarest term can
-    be a frequent one.
+    sets are searched once.  Even a rarest term can be a frequent one; its join is spread over
+    as many salts as its pairs need.  ``stats`` (term, df) of a saved index spares the count.
     """
     sets = (
         queries.groupBy("query_id")
@@ -188,22 +208,19 @@ def batch_search(
         "words", F.explode(F.split("words", " ")).alias("term")
     )
     wanted = postings.join(distinct.select("term").distinct(), "term", "left_semi")
-    df = wanted.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    df = wanted.groupBy("term").agg(F.count(F.lit(1)).alias("df")) if stats is None else stats.select("term", "df")
     known = distinct.join(df, "term", "left").groupBy("words").agg(
         F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "term")).alias("rarest"),
         F.count(F.lit(1)).alias("n_terms"),
         F.collect_list(F.struct("term", "df")).alias("terms"),
     )
-    salted = wanted.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(salts)))
-    drivers = known.where(F.col("rarest.df") > 0).select(
-        "words",
-        "n_terms",
-        "terms",
-        F.col("rarest.term").alias("term"),
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")).alias("salt"),
-    )
-    proposals = drivers.join(salted.select("term", "salt", "key"), ["term", "salt"]).select(
-        "words", "n_terms", "key", F.explode("terms").alias("t")
+    known = stored(known, "batch-queries")
+    drivers = known.where(F.col("rarest.df") > 0).select("words", "n_terms", "terms", F.col("rarest.term").alias("term"), F.col("rarest.df").alias("df"))
+    salts = salt_counts(drivers, ["term"], pairs_per_task)
+    proposals = (
+        spread(drivers.drop("df"), salts, ["term"])
+        .join(salted(wanted.select("term", "key"), salts, ["term"]), ["term", "salt"])
+        .select("words", "n_terms", "key", F.explode("terms").alias("t"))
     )
     checked = proposals.select("words", "n_terms", "key", "t.term", "t.df").join(
         wanted.select("key", "term", "tf", "dl"), ["key", "term"]
@@ -233,15 +250,12 @@ def more_like_this(
     max_length: int | None = None,
     boost: float = 1.0,
     hot_share: float = 0.1,
-    direct_pairs: int = 20_000_000,
-    salts: int = 8,
+    pairs_per_task: int = 1_000_000,
 ) -> DataFrame:
     """(seed, key, score, rank) for a table of seed postings (seed, field, term, tf).
 
-    The best ``max_terms`` terms of a seed by tf * idf make an OR query.  Document
-    frequencies tell how many (seed, document) contributions that makes; up to
-    ``direct_pairs`` they are simply added up.  Beyond it, terms held by more than
-    ``hot_share`` of the documents are not paired with every seed that holds them:
+    The best ``max_terms`` terms of a seed by tf * idf make an OR query.  Terms held by more
+    than ``hot_share`` of the documents are not paired with every seed that holds them:
 
     * the other terms propose documents; those that hot terms could still lift to the k-th
       best proposal look up the seed's hot terms;
@@ -250,7 +264,8 @@ def more_like_this(
     * remaining seeds share one ranking per set of hot terms.  Its best k are enough: every
       document behind them has k documents ahead of it whose full scores are no lower.
 
-    Both ways give the exact top k.
+    The result is the exact top k, whatever the share.  Joins on a term are spread over as many
+    salts as its pairs need.
     """
     picked = seeds.join(stats, ["field", "term"]).where(
         (F.col("tf") >= min_tf)
@@ -278,20 +293,12 @@ def more_like_this(
     )
     chosen = stored(chosen, "seed-terms")
     weight = F.col("idf") * bm25_weight(F.col("tf"), F.col("dl"), avgdl)
-    postings = postings.join(chosen.select("field", "term").distinct(), ["field", "term"], "left_semi")
-    salted = postings.select(
-        "key", "field", "term", "tf", "dl", F.pmod(F.xxhash64("key"), F.lit(salts)).alias("salt")
-    )
+    term = ["field", "term"]
+    salts = stored(salt_counts(chosen, term, pairs_per_task), "seed-salts")
+    postings = postings.join(salts.select(*term), term, "left_semi").select("key", *term, "tf", "dl")
 
     def pair_up(terms: DataFrame) -> DataFrame:
-        every_salt = F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")
-        spread = terms.withColumn("salt", F.explode(every_salt))
-        return spread.join(salted, ["field", "term", "salt"]).withColumn("w", weight)
-
-    contributions = chosen.agg(F.sum("df")).first()[0] or 0
-    if contributions <= direct_pairs:
-        added = pair_up(chosen).groupBy("seed", "key").agg(F.sum("w").alias("score"))
-        return top_k(added, k, by="seed")
+        return spread(terms, salts, term).join(salted(postings, salts, term), [*term, "salt"]).withColumn("w", weight)
 
     cold = chosen.where(~F.col("hot"))
     hot = (

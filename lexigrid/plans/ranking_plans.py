@@ -195,7 +195,7 @@ def batch_search(spark, d):
     """All passages and user turns as AND queries over all documents in one job."""
     docs = corpus(spark, d)
     index = stored_postings(spark, d)
-    found = rk.batch_search(query_table(spark, d), index, *docs.stats("text"), k=10)
+    found = rk.batch_search(query_table(spark, d), index, *docs.stats("text"), k=10, stats=docs.terms)
     return found.select(
         "query_id", F.col("key").alias("doc_id"), "rank", F.round("score", 6).alias("score")
     )

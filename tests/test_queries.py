@@ -197,10 +197,23 @@ def test_batch_search_against_brute_force(spark):
     table = spark.createDataFrame([(i, t) for i, ts in queries.items() for t in ts], "query_id string, term string")
     postings = build_postings(token_table(df, "id", {"text": "text"}))
     found = {}
-    for r in rk.batch_search(table, postings, *corpus.stats("text"), k=5).orderBy("rank").collect():
-        found.setdefault(r.query_id, []).append(r.key)
-    for name, terms in queries.items():
-        assert found.get(name, []) == brute_force(docs, terms, 5, need_all=True), name
+    for options in ({}, {"pairs_per_task": 9}, {"stats": term_stats(postings)}):
+        found.clear()
+        for r in rk.batch_search(table, postings, *corpus.stats("text"), k=5, **options).orderBy("rank").collect():
+            found.setdefault(r.query_id, []).append(r.key)
+        for name, terms in queries.items():
+            assert found.get(name, []) == brute_force(docs, terms, 5, need_all=True), name
+
+
+def test_only_hot_terms_are_salted(spark):
+    rows = spark.createDataFrame([("hot", 5000)] * 3 + [("cold", 10)], "term string, df long")
+    salts = rk.salt_counts(rows, ["term"], 1000)
+    assert {r.term: r.salts for r in salts.collect()} == {"hot": 15, "cold": 1}
+    postings = spark.range(900).selectExpr("id as key", "if(id % 3 = 0, 'hot', 'cold') as term")
+    dealt = rk.salted(postings, salts, ["term"]).groupBy("term", "salt").count().collect()
+    hot = [r["count"] for r in dealt if r.term == "hot"]
+    assert len(hot) == 15 and sum(hot) == 300 and max(hot) < 60
+    assert [r["count"] for r in dealt if r.term == "cold"] == [600]
 
 
 def test_more_like_this(spark):
@@ -210,11 +223,11 @@ def test_more_like_this(spark):
     seeds = {1: ["the", "w1"], 2: ["the", "of"], 3: ["w2", "w3", "of"], 4: ["the"], 5: ["nowhere"]}
     table = spark.createDataFrame([(i, "text", t, 1) for i, ts in seeds.items() for t in ts], "seed long, field string, term string, tf long")
     postings = build_postings(token_table(df, "id", {"text": "text"}))
-    for hot_share, direct in ((0.0, 0), (0.2, 0), (1.0, 0), (0.1, 1000)):
+    for hot_share, pairs in ((0.0, 10), (0.2, 1_000_000), (1.0, 7), (0.1, 1000)):
         found = {}
         similar = rk.more_like_this(
             table, postings, term_stats(postings), *corpus.stats("text"), k=4, min_df=1, min_tf=1, hot_share=hot_share,
-            direct_pairs=direct,
+            pairs_per_task=pairs,
         )
         for r in similar.orderBy("rank").collect():
             found.setdefault(r.seed, []).append(r.key)
