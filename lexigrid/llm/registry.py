@@ -57,8 +57,8 @@ def set_aside(docs: DataFrame, needed: tuple[str, ...], work: Callable[[DataFram
     """``work`` on ``docs``, whose columns beyond the usual and the needed ones it meets as one
     struct, so that their names cannot clash with its own.
 
-    They come back in their places with their values.  A column that ``work`` adds under the
-    name of one of them gets underscores behind its name.
+    They come back in their places with their values.  One under whose name ``work`` adds a
+    column gets underscores behind its name.
     """
     known = {c.lower() for c in (*DOCUMENT, *needed)}
     others = [c for c in docs.columns if c.lower() not in known]
@@ -70,16 +70,20 @@ def set_aside(docs: DataFrame, needed: tuple[str, ...], work: Callable[[DataFram
     held = [F.col(f"`{c}`") for c in docs.columns if c not in others]
     packed = docs.select(*held, F.struct(*[F.col(f"`{c}`") for c in others]).alias(name))
     out = work(packed)
-    taken, added = {c.lower() for c in docs.columns}, []
-    for column in out.columns:
-        if column not in packed.columns:
-            free = column
+    added = [c for c in out.columns if c not in packed.columns]
+    taken = {c.lower() for c in added} | {c.lower() for c in docs.columns}
+    back = []
+    for column in docs.columns:
+        if column not in others:
+            back.append(F.col(f"`{column}`"))
+            continue
+        free = column
+        if column.lower() in {c.lower() for c in added}:
             while free.lower() in taken:
                 free += "_"
             taken.add(free.lower())
-            added.append(F.col(f"`{column}`").alias(free))
-    back = [F.col(name)[c].alias(c) if c in others else F.col(f"`{c}`") for c in docs.columns]
-    return out.select(*back, *added)
+        back.append(F.col(name)[column].alias(free))
+    return out.select(*back, *[F.col(f"`{c}`") for c in added])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

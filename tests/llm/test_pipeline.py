@@ -133,6 +133,6 @@ def test_results_beside_columns_of_their_names(spark):
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
     docs = spark.createDataFrame([(1, "plain words", 7, "x")], "doc_id long, text string, predicted long, n_lines string")
     (scored,) = score_toxicity(docs, labels).collect()
-    assert scored.predicted == 7 and scored.predicted_ == 0 and 0 <= scored.score <= 1
+    assert scored.predicted_ == 7 and scored.predicted == 0 and 0 <= scored.score <= 1
     (cleaned,) = dedup_lines(docs.withColumn("source", F.lit("s"))).collect()
-    assert cleaned.n_lines == "x" and cleaned.n_lines_ == 1
+    assert cleaned.n_lines_ == "x" and cleaned.n_lines == 1
