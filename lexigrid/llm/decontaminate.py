@@ -27,6 +27,10 @@ UNITS = (
     "seconds|minutes|hours|days|weeks|months|years|mph|km/h|m/s|hz|khz|mhz|ghz|w|kw|mw|v|a|j|kj|kcal|cal|"
     "°c|°f|percent|dollars|euros|cents|kb|mb|gb|tb"
 )
+# What a figure or a capitalised word begins with is looked for first: it is rarer and cheaper
+# to test than what may not stand before it.
+AT_FIGURE = r"(?=[-+$€£\p{Nd}])(?<![\p{L}\p{N}])"
+AT_NAME = r"(?=\p{Lu})(?<![\p{L}\p{N}'’-])"
 FIGURE = r"[-+]?[$€£]?\p{Nd}[\p{Nd}.,:/]*%?"
 CAPITALISED = r"\p{Lu}['’]?\p{L}?\p{Ll}[\p{L}'’-]*"
 SPACES = r"[\x20\x09-\x0D]+"
@@ -52,7 +56,7 @@ def folded(text: Column, named: bool) -> Column:
     """The text; in the view with names, a run of capitalised words is one word."""
     if not named:
         return text
-    return F.regexp_replace(text, rf"(?<![\p{{L}}\p{{N}}'’-])({CAPITALISED}){SPACES}(?={CAPITALISED})", f"$1{JOIN}")
+    return F.regexp_replace(text, rf"{AT_NAME}({CAPITALISED}){SPACES}(?={CAPITALISED})", f"$1{JOIN}")
 
 
 def template(text: Column, named: bool) -> Column:
@@ -62,12 +66,12 @@ def template(text: Column, named: bool) -> Column:
     are not names.
     """
     united = F.regexp_replace(
-        folded(text, named), rf"(?i)(?<![\p{{L}}\p{{N}}]){FIGURE}(\s?)(?:{UNITS})(?![\p{{L}}\p{{N}}])", f"{NUMBER}$1{UNIT}"
+        folded(text, named), rf"(?i){AT_FIGURE}{FIGURE}(\s?)(?:{UNITS})(?![\p{{L}}\p{{N}}])", f"{NUMBER}$1{UNIT}"
     )
-    counted = F.regexp_replace(united, rf"(?<![\p{{L}}\p{{N}}]){FIGURE}", NUMBER)
+    counted = F.regexp_replace(united, rf"{AT_FIGURE}{FIGURE}", NUMBER)
     if named:
         counted = F.regexp_replace(
-            counted, rf"(?<![\p{{L}}\p{{N}}'’-]){CAPITALISED}(?:{JOIN}{CAPITALISED})*", NAME
+            counted, rf"{AT_NAME}{CAPITALISED}(?:{JOIN}{CAPITALISED})*", NAME
         )
     plain = F.regexp_replace(F.lower(counted), rf"[^\p{{L}}\p{{N}}{NAME}-{UNIT}\s]+", "")
     return F.filter(F.split(plain, SPACES), lambda w: w != "")
@@ -78,22 +82,43 @@ def raw_words(text: Column, named: bool) -> Column:
     return F.filter(F.split(folded(text, named), SPACES), lambda w: w.rlike(rf"[\p{{L}}\p{{N}}{NAME}-{UNIT}]"))
 
 
-def views(rows: DataFrame, columns: list[Column | str], of) -> DataFrame:
-    """``columns`` and ``of(named)`` of all rows, once for each view."""
-    parts = [rows.select(*columns, F.lit(named).alias("named"), *of(named)) for named in (True, False)]
-    return parts[0].unionByName(parts[1])
+def views(rows: DataFrame, columns: list[str], of) -> DataFrame:
+    """``columns`` and the fields ``of(named)`` of each row, once for each view.
 
+    Both views come out of one generator: conditions on them stay above it, so that no text
+    is templated again for a condition, and the rows are read once.
+    """
+    both = F.array(*(F.struct(F.lit(named).alias("named"), *of(named)) for named in (True, False)))
+    return rows.select(*columns, F.explode(both).alias("view_")).select(*columns, "view_.*")
 
-def window_hashes(words: Column, width: int) -> Column:
-    """A hash of each run of ``width`` words; none if there are fewer."""
-    n = F.size(words)
-    return F.when(
-        n >= width,
-        F.transform(
-            F.sequence(F.lit(1), n - (width - 1)),
-            lambda i: F.xxhash64(F.slice(words, i, width), F.lit(width), F.col("named")),
-        ),
-    ).otherwise(F.array().cast("array<bigint>"))
+
+def with_windows(worded: DataFrame, widths: list[int]) -> DataFrame:
+    """``worded`` with the hashes of all runs of each width, ``w_<width>``, in place of words.
+
+    Words are hashed once.  Runs of two, four, eight... words are hashes of two halves, and a
+    run of any width is one of the two longest such runs that cover it.  Runs that the end of
+    the text cuts off are sliced away; fewer words than the width have none.
+    """
+    halves = [1]
+    while 2 * halves[-1] < max(widths):
+        halves.append(2 * halves[-1])
+    kept = [c for c in worded.columns if c != "words"]
+    rows = worded.select(*kept, F.transform("words", lambda w: F.xxhash64(w, F.col("named"))).alias("run_1"))
+    for half in halves[:-1]:
+        rows = rows.withColumn(f"run_{2 * half}", paired(f"run_{half}", half, 2 * half))
+    out = []
+    for width in widths:
+        half = max([h for h in halves if h < width], default=1)
+        out.append(paired(f"run_{half}", width - half, width).alias(f"w_{width}"))
+    return rows.select(*kept, F.size("run_1").alias("n_words"), *out)
+
+
+def paired(runs: str, shift: int, width: int) -> Column:
+    """Hashes of each run and the one ``shift`` places on, with the width they cover."""
+    n = F.size("run_1") - (width - 1)
+    later = F.slice(runs, shift + 1, F.greatest(n, F.lit(0)))
+    first = F.slice(runs, 1, F.greatest(n, F.lit(0)))
+    return F.zip_with(first, later, lambda a, b: F.xxhash64(a, b, F.lit(width)))
 
 
 def item_windows(items: DataFrame, settings: Settings) -> DataFrame:
@@ -103,21 +128,17 @@ def item_windows(items: DataFrame, settings: Settings) -> DataFrame:
     worded = views(items, ["item_id"], lambda named: [template(F.col("text"), named).alias("words")]).where(
         F.size("words") >= settings.fewest
     )
-    width = F.least(F.size("words"), F.lit(settings.width))
-    sliced = worded.select(
-        "item_id", "named",
-        width.alias("width"),
-        F.posexplode(
-            F.transform(
-                F.sequence(F.lit(1), F.size("words") - width + 1),
-                lambda i: F.struct(
-                    F.xxhash64(F.slice("words", i, width), width, F.col("named")).alias("window"),
-                    F.size(F.filter(F.slice("words", i, width), lambda w: ~w.rlike(f"[{NAME}-{UNIT}]"))).alias("literal"),
-                ),
-            )
-        ).alias("ipos", "at"),
-    ).where(~F.col("named") | (4 * F.col("at.literal") >= F.col("width")))
-    distinct = sliced.groupBy("item_id", "named", "width", F.col("at.window").alias("window")).agg(F.min("ipos").alias("ipos"))
+    literal = worded.select("*", F.transform("words", lambda w: (~w.rlike(f"[{NAME}-{UNIT}]")).cast("int")).alias("literal"))
+    widths = list(range(min(settings.fewest, settings.width), settings.width + 1))
+    hashed = with_windows(literal, widths).withColumn("width", F.least("n_words", F.lit(settings.width)))
+    runs = F.coalesce(*(F.when(F.col("width") == w, F.col(f"w_{w}")) for w in widths))
+    sliced = hashed.select(
+        "item_id", "named", "width", "literal", F.posexplode(runs).alias("ipos", "window")
+    ).where(
+        ~F.col("named")
+        | (4 * F.aggregate(F.slice("literal", F.col("ipos") + 1, F.col("width")), F.lit(0), lambda a, x: a + x) >= F.col("width"))
+    )
+    distinct = sliced.groupBy("item_id", "named", "width", "window").agg(F.min("ipos").alias("ipos"))
     counts = distinct.groupBy("item_id", "named").agg(F.count("*").alias("n_windows"))
     return distinct.join(counts, ["item_id", "named"])
 
@@ -155,15 +176,15 @@ def find_leaks(
     if not widths:
         widths = [settings.width]
     worded = views(
-        docs, [F.col(key), F.xxhash64(F.col(text)).alias("text_hash")],
+        docs.select(key, text, F.xxhash64(F.col(text)).alias("text_hash")), [key, "text_hash"],
         lambda named: [template(F.col(text), named).alias("words")],
     ).where(F.size("words") >= settings.fewest)
-    spans = None
-    for width in widths:
-        part = worded.select(
-            key, "text_hash", "named", F.posexplode(window_hashes(F.col("words"), width)).alias("dpos", "window")
-        )
-        spans = part if spans is None else spans.unionByName(part)
+    # outer generators, as a plain one has Spark work out its input twice to leave out empty ones
+    spans = (
+        with_windows(worded, widths)
+        .select(key, "text_hash", "named", F.explode_outer(F.array(*(f"w_{w}" for w in widths))).alias("runs"))
+        .select(key, "text_hash", "named", F.posexplode_outer("runs").alias("dpos", "window"))
+    )
     group = [key, "text_hash", "item_id", "named", "line"]
     matched = (
         spans.join(windows, ["window", "named"])
