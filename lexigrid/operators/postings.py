@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field as dataclass_field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrid.functions.tokens import SEARCH, WORD_BREAK, Analyzer
+from lexigrid.functions.tokens import SEARCH, Analyzer
 from lexigrid.operators.vocabulary import write_keys, write_terms
 
 BUCKETS = 64
@@ -39,26 +39,67 @@ def token_table(
     )
 
 
-def token_offsets(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, pos, term, start, end) with character offsets, end exclusive.
+def with_running_sums(rows: DataFrame, numbers: str, out: str, width: int = 16, levels: int = 4) -> DataFrame:
+    """``rows`` with the sums up to and with each of ``numbers``, an array, as ``out``.
 
-    Each match carries the gap before its word, so starts are running lengths over one
-    document's matches.
+    Sums are folded inside the row, no row meets another.  A fold copies the sums it has with
+    each new one, so it runs over chunks of ``width`` numbers, over the chunks' sums in the
+    same way, and ``levels`` deep: the work stays in proportion to the numbers.
     """
-    pieces = docs.select(
-        F.col(key).alias("key"),
-        F.posexplode(
-            F.regexp_extract_all(F.col(text), F.lit(r"[^\p{L}\p{N}]*[\p{L}\p{N}]+"), F.lit(0))
-        ).alias("pos", "piece"),
+    if levels == 1:
+        return rows.withColumn(out, folded_sums(F.col(numbers)))
+    chunks, totals, before = f"{out}_{levels}_chunks", f"{out}_{levels}_totals", f"{out}_{levels}_before"
+    starts = F.sequence(F.lit(1), F.greatest(F.size(numbers), F.lit(1)), F.lit(width))
+    rows = rows.withColumn(chunks, F.transform(starts, lambda at: folded_sums(F.slice(numbers, at, width))))
+    rows = rows.withColumn(totals, F.transform(chunks, lambda c: F.coalesce(F.get(c, F.size(c) - 1), F.lit(0).cast("long"))))
+    rows = with_running_sums(rows, totals, before, width, levels - 1)
+    later = F.zip_with(
+        chunks,
+        F.concat(F.array(F.lit(0).cast("long")), F.slice(before, 1, F.size(before) - 1)),
+        lambda chunk, sum_before: F.transform(chunk, lambda n: n + sum_before),
     )
-    upto = Window.partitionBy("key").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    ends = pieces.withColumn("end", F.sum(F.length("piece")).over(upto))
-    term = F.regexp_replace("piece", "^" + WORD_BREAK, "")
-    return ends.select("key", "pos", term.alias("term"), "end").select(
-        "key", "pos", "term", (F.col("end") - F.length("term")).alias("start"), "end"
+    return rows.withColumn(out, F.flatten(later)).drop(chunks, totals, before)
+
+
+def folded_sums(numbers: Column) -> Column:
+    last = lambda sums: F.coalesce(F.get(sums, F.size(sums) - 1), F.lit(0).cast("long"))
+    return F.aggregate(
+        numbers, F.array().cast("array<bigint>"), lambda sums, n: F.concat(sums, F.array(last(sums) + n))
     )
 
 
+def offset_spans(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, text, spans): the tokens of each text as (term, start, end), in order.
+
+    Offsets are in characters, the end exclusive; a null text or one without words has no
+    spans.  Each match carries the gap before its word, so ends are running lengths.
+    """
+    none = F.array().cast("array<string>")
+    matches = lambda pattern: F.coalesce(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)), none)
+    # out of a generator, so that the text is matched once, however often the pieces are read
+    found = docs.select(
+        F.col(key).alias("key"), F.col(text).alias("text"),
+        F.explode(F.array(F.struct(
+            matches(r"[\p{L}\p{N}]+").alias("terms"), matches(r"[^\p{L}\p{N}]*[\p{L}\p{N}]+").alias("pieces")
+        ))).alias("f"),
+    )
+    sized = found.select("key", "text", "f.terms", F.transform("f.pieces", lambda p: F.length(p).cast("long")).alias("sizes"))
+
+    def span(term: Column, end: Column) -> Column:
+        return F.struct(term.alias("term"), (end - F.length(term)).alias("start"), end.alias("end"))
+
+    # out of a generator again: conditions on the spans would work the sums out anew below it
+    spans = F.array(F.struct(F.zip_with("terms", "ends", span).alias("spans")))
+    ends = with_running_sums(sized, "sizes", "ends").select("key", "text", F.explode(spans).alias("s"))
+    return ends.select("key", "text", "s.spans")
+
+
+def token_offsets(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, pos, term, start, end), one row per token of ``offset_spans``; a narrow step."""
+    rows = offset_spans(docs, key, text).select("key", F.posexplode_outer("spans").alias("pos", "span"))
+    return rows.where(F.col("pos").isNotNull()).select("key", "pos", "span.*")
+
+
 def pretokenized(docs: DataFrame, key: Column, tokens: Column) -> DataFrame:
     """Ready token arrays as a token table; position is the array index."""
     return docs.select(key.alias("key"), F.posexplode(tokens).alias("pos", "term"))

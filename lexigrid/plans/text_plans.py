@@ -170,13 +170,20 @@ def analyze_language(spark, d):
 )
 def tokens_with_offsets(spark, d):
     docs = documents(spark, d)
-    spans = ps.token_offsets(docs, "doc_id", "text").join(docs.select(F.col("doc_id").alias("key"), "text"), "key")
-    said = F.substring(F.col("text"), F.col("start").cast("int") + 1, F.col("end").cast("int") - F.col("start").cast("int"))
-    return spans.groupBy(F.col("key").alias("doc_id")).agg(
-        F.count(F.lit(1)).alias("n_tokens"),
-        F.sum("start").alias("start_sum"),
-        F.sum("end").alias("end_sum"),
-        F.count_if(said != F.col("term")).alias("wrong"),
+    spans = ps.offset_spans(docs, "doc_id", "text").where(F.size("spans") > 0)
+    total = lambda of: F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + of(s))
+    # characters are split out once a text: substring() would walk it from its start for each token
+    said = lambda chars, s: F.array_join(F.slice(chars, s["start"].cast("int") + 1, F.length(s["term"])), "")
+    wrong = F.transform(
+        F.array(F.split("text", "")),
+        lambda chars: total(lambda s: (said(chars, s) != s["term"]).cast("long")),
+    )
+    return spans.select(
+        F.col("key").alias("doc_id"),
+        F.size("spans").cast("long").alias("n_tokens"),
+        total(lambda s: s["start"]).alias("start_sum"),
+        total(lambda s: s["end"]).alias("end_sum"),
+        F.get(wrong, F.lit(0)).alias("wrong"),
     )
 
 

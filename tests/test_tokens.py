@@ -75,6 +75,17 @@ def test_offsets(spark):
     assert [(r.term, r.start, r.end) for r in rows] == [("Hé", 0, 2), ("llo", 4, 7), ("wörld", 9, 14)]
 
 
+def test_offsets_of_long_texts_stay_in_the_row(spark):
+    long = "".join(f"w{i}," + " " * (i % 3) for i in range(9000))  # more than three levels of 16 tokens
+    df = spark.createDataFrame([(1, long), (2, None), (3, ""), (4, " ., "), (5, "a"), (5, "a")], "id long, t string")
+    found = ps.token_offsets(df, "id", "t")
+    rows = sorted((r.key, r.pos, r.term, r.start, r.end) for r in found.collect())
+    words = [(1, i, m.group(), m.start(), m.end()) for i, m in enumerate(re.finditer(r"\w+", long))]
+    assert rows == words + [(5, 0, "a", 0, 1)] * 2
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+
+
 def test_query_terms(spark):
     assert tokens_of(spark, "Hello, the World and hello", tk.query_terms) == ["hello", "world"]
 
