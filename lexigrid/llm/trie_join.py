@@ -35,7 +35,6 @@ TOKEN_MASK = np.int64((1 << TOKEN_BITS) - 1)
 BLOCK = 1024  # sets of a part of a branch
 LOAD = 1 << 20  # shingles of a part
 LONG = LOAD // 16  # a set of more shingles is in no part: its pairs are streamed
-FEW = 24  # so many sets are compared pair by pair sooner than by a trie
 
 
 def need(a, b):
@@ -312,9 +311,9 @@ def block_links(members: list[tuple], local: bool, sketch: np.ndarray) -> list[t
     """Links between the sets of a block, enough of them to join all that any links join.
 
     A member is (set_id, root, side, sorted shingle hashes).  Members of equal root are joined
-    already.  Two sides of a split block are paired with each other, or all if ``local``.  A
-    few sets are compared one by one, more by a walk through their trie, where whole sets
-    stand in the global order and the overlap at a set's end is exact.
+    already.  Two sides of a split block are paired with each other, or all if ``local``.  The
+    sets are compared by a walk through their trie, where whole sets stand in the global order
+    and the overlap at a set's end is exact.
     """
     joined: dict[int, int] = {}
 
@@ -334,14 +333,7 @@ def block_links(members: list[tuple], local: bool, sketch: np.ndarray) -> list[t
             joined[a] = b
             out.append((x[0], y[0]))
 
-    if len(members) <= FEW:
-        for j, y in enumerate(members):
-            for x in members[:j]:
-                if find(x[1]) == find(y[1]) or (not local and x[2] == y[2]):
-                    continue
-                if 100 * len(x[3]) >= SHARE * len(y[3]):
-                    if len(np.intersect1d(x[3], y[3], assume_unique=True)) >= need(len(x[3]), len(y[3])):
-                        link(x, y)
+    if len(members) < 2:
         return out
     every = np.unique(np.concatenate([m[3] for m in members]))
     number = np.empty(len(every), np.int64)

@@ -138,7 +138,6 @@ def test_classes_against_brute_force(spark, monkeypatch):
 def test_the_walk_joins_what_links_join(seed, n, edits, local):
     rng = np.random.default_rng(seed)
     sketch = rng.integers(1, 5, 1 << trie_join.SKETCH_BITS)
-    trie_join.FEW = int(rng.choice([3, 24]))
     texts = near_copies(seed, n, edits, 40)
     sets = [np.unique(np.array([hash(s) & ((1 << 64) - 1) for s in shingles(t)], np.uint64)) for t in texts]
     members = [(k, k % 5 if k % 3 else k, k % 2, s) for k, s in enumerate(sets)]
