@@ -35,6 +35,7 @@ TOKEN_MASK = np.int64((1 << TOKEN_BITS) - 1)
 BLOCK = 1024  # sets of a part of a branch
 LOAD = 1 << 20  # shingles of a part
 LONG = LOAD // 16  # a set of more shingles is in no part: its pairs are streamed
+ROWS = 256  # rows of a batch that are Python objects at a time
 
 
 def need(a, b):
@@ -358,12 +359,13 @@ def groups_of(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[t
     """Runs of rows that are equal in their first ``width`` columns; a run is of bounded size."""
     now, rows = None, []
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            if row[:width] != now:
-                if rows:
-                    yield now, rows
-                now, rows = row[:width], []
-            rows.append(row[width:])
+        for at in range(0, batch.num_rows, ROWS):
+            for row in zip(*(c.to_pylist() for c in batch.slice(at, ROWS).columns)):
+                if row[:width] != now:
+                    if rows:
+                        yield now, rows
+                    now, rows = row[:width], []
+                rows.append(row[width:])
     if rows:
         yield now, rows
 
