@@ -83,7 +83,7 @@ def test_percentiles_of_skewed_values(spark):
     )
     values = df.toPandas()
     percents = [0.0, 1.0, 33.0, 50.0, 99.9, 100.0]
-    for accuracy in (10_000, 200):  # small groups are ranked whole, large ones by brackets
+    for accuracy in (10_000, 200):
         rows = exact_percentiles(df, ["g"], F.col("v"), percents, accuracy).collect()
         for row in rows:
             expected = numpy.percentile(values[values.g == row.g].v, percents)
@@ -92,6 +92,44 @@ def test_percentiles_of_skewed_values(spark):
         assert [p.value for p in row.p] == pytest.approx(list(numpy.percentile(values.v, percents)))
 
 
+def test_percentiles_of_odd_groups(spark):
+    import numpy
+
+    nan = float("nan")
+    given = {
+        "one": [4.0], "two": [1.0, 2.0], "same": [3.0] * 500, None: [float(i * i % 97) for i in range(300)],
+        "wide": [10.0 ** (i % 600 - 300) for i in range(4000)], "signs": [-0.0, 0.0, -1.0, 1.0, -5e-324],
+        "few_nan": [1.0, 2.0, nan], "nulls": [None, None],
+    }
+    df = spark.createDataFrame([(g, v) for g, values in given.items() for v in values], "g string, v double")
+    percents = [0.0, 2.5, 50.0, 97.5, 100.0]
+    for accuracy in (10_000, 50):
+        found = {r.g: [p.value for p in r.p] for r in exact_percentiles(df, ["g"], F.col("v"), percents, accuracy).collect()}
+        assert set(found) == set(given) - {"nulls"}
+        assert numpy.isnan(found.pop("few_nan")[-1])
+        for g, values in found.items():
+            assert values == pytest.approx(list(numpy.percentile(given[g], percents)), rel=1e-9), g
+    assert exact_percentiles(df.where("false"), [], F.col("v"), percents).count() == 0
+
+
+def test_third_scan_reads_a_small_part(spark):
+    from lexigrid.operators.percentiles import wanted_zones
+
+    df = spark.range(200_000).select((F.col("id") * 7919 % 200_003).cast("double").alias("v"))
+    wide = F.sum(F.col("hi") - F.col("lo")).alias("wide")
+    (row,) = wanted_zones(df, [], [1.0, 50.0, 99.0], 1000).agg(wide, F.count("*").alias("n")).collect()
+    assert row.n == 3 and row.wide < 3 * 200_003 * (5 / 1000) * (4 / 256)
+
+
+def test_rank_errors(spark):
+    from lexigrid.operators.percentiles import rank_errors
+
+    df = spark.range(50_000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 1009).cast("double").alias("v"))
+    rows = rank_errors(df, F.col("v"), [0.0, 10.0, 50.0, 100.0], 100).collect()
+    assert [r.total for r in rows] == [33_333] * 4 and max(r.error for r in rows) <= 0.01
+    assert rank_errors(df.where("false"), F.col("v"), [50.0]).count() == 0
+
+
 def test_nested(products):
     request = {
         "c": {
