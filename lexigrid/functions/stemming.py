@@ -2,7 +2,8 @@
 
 Spark has no stemmer, so this is the one text step that runs in Python: an Arrow batch
 function over token arrays.  Words repeat heavily, so each worker keeps the stems it has
-worked out and a repeated word costs one lookup.  Nothing is shuffled for it.
+worked out and a repeated word costs one lookup.  Nothing is shuffled for it.  Four languages
+are functions here; those of ``stem_rules`` are data.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexigrid.functions.stopwords import LANGUAGES
+from lexigrid.functions import stem_rules
+from lexigrid.functions.stopwords import LANGUAGES, language_name
 
 # The published suffix rules of the English, German, Spanish and French stemmers.
 EN_VOWELS = "aeiouy"
@@ -390,19 +392,34 @@ def _french(word: str) -> str:
     return word.lower()
 
 
-STEMMERS = {"english": _english, "german": _german, "spanish": _spanish, "french": _french}
+STEMMERS = {
+    "english": _english, "german": _german, "spanish": _spanish, "french": _french,
+    **{name: rules.stem for name, rules in stem_rules.RULES.items()},
+}
 
 
 def supported_languages() -> list[str]:
     return sorted(STEMMERS)
 
 
+def stemmer_name(language: str) -> str:
+    """Full name of a language, or an error if it has no rules."""
+    name = language_name(language)
+    if name not in STEMMERS:
+        raise ValueError(f"no stemmer for {name}; there are {', '.join(supported_languages())}")
+    return name
+
+
 KNOWN: dict[tuple[str, str], str] = {}
 KNOWN_LIMIT = 1_000_000
 
 
 def stem_word(word: str, language: str) -> str:
-    """Stem of one lower-case word; a language without rules keeps the word."""
+    """Stem of one lower-case word.
+
+    The language may come from a row, so one without rules keeps the word; where a query names
+    it, ``stemmer_name`` is an error first.
+    """
     stem = KNOWN.get((word, language))
     if stem is None:
         rule = STEMMERS.get(LANGUAGES.get(language, language))
@@ -425,6 +442,7 @@ def _stem_arrays(tokens: pd.Series, language: pd.Series) -> pd.Series:
 
 # The rules travel with the function, so workers need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(stem_rules)
 
 
 def stem_tokens(tokens: Column, language: Column) -> Column:

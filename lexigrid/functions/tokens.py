@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrid.functions.stemming import stem_tokens
+from lexigrid.functions.stemming import stem_tokens, stemmer_name
 from lexigrid.functions.stopwords import LANGUAGES, language_name, stop_words
 
 # What separates words, and what counts as blank.
@@ -114,7 +114,8 @@ class Analyzer:
     """A tokenizer plus filters applied in the fixed order lower, stop, stem, long.
 
     ``stop`` and ``stem`` name a language, or ``"row"`` to take it from the language
-    column given at use.
+    column given at use.  A named language without a stemmer is an error; rows of one keep
+    their words.
     """
 
     base: str = "simple"
@@ -127,6 +128,10 @@ class Analyzer:
     max_gram: int = 3
     prefix_only: bool = False
 
+    def __post_init__(self):
+        if self.stem not in (None, "row"):
+            stemmer_name(self.stem)
+
     def _base(self, text: Column) -> Column:
         if self.base == "simple":
             return simple_tokens(text)

@@ -34,6 +34,7 @@ def wanted_zones(rows: DataFrame, groups: list[str], percents: list[float], accu
     begins the zone of the lower one and ``before`` counts the rows below that.  ``low`` and
     ``high`` are the values of the ranks as far as they are known already.
     """
+    steps = ", ".join(f"{i / INNER}D" for i in range(INNER + 1))
     margin = 2.0 / accuracy
     cuts = [min(max(p / 100 + side, 0.0), 1.0) for side in (-margin, margin) for p in percents]
     each, k = range(len(cuts)), len(percents)
@@ -50,7 +51,7 @@ def wanted_zones(rows: DataFrame, groups: list[str], percents: list[float], accu
             F.count(F.lit(1)).alias("n"),
             F.min("v").alias("least"),
             F.max("v").alias("most"),
-            F.percentile_approx("near", [i / INNER for i in range(INNER + 1)], max(accuracy, 16 * INNER)).alias("inner"),
+            F.expr(f"percentile_approx(near, array({steps}), {max(accuracy, 16 * INNER)})").alias("inner"),
         )
     )
     group = Window.partitionBy(*groups)

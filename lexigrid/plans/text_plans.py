@@ -115,6 +115,41 @@ def filter_stem(spark, d):
     )
 
 
+SWEDISH_MAIN = (
+    "a|arna|erna|heterna|orna|ad|e|ade|ande|arne|are|aste|en|anden|aren|heten|ern|ar|er|heter|or|as|arnas|"
+    "ernas|ornas|es|ades|andes|ens|arens|hetens|erns|at|andet|het|ast|s"
+)
+
+
+@plan(
+    "filter_stem_swedish",
+    f"""
+    WITH {SQL_TOKENS},
+    words AS (
+        SELECT term, count(*) AS n, greatest(3, CASE WHEN regexp_matches(term, '[aeiouyäåö][^aeiouyäåö]')
+            THEN length(regexp_extract(term, '^[^aeiouyäåö]*[aeiouyäåö]+[^aeiouyäåö]')) ELSE length(term) END) AS r1
+        FROM numbered GROUP BY term),
+    ended AS (SELECT *, regexp_extract(substr(term, r1 + 1), '({SWEDISH_MAIN})$') AS ending FROM words),
+    cut AS (
+        SELECT term, n, r1, CASE
+            WHEN ending = 's' AND NOT regexp_matches(term, '[bcdfghjklmnoprtvy]s$') THEN term
+            ELSE left(term, length(term) - length(ending)) END AS w FROM ended),
+    single AS (
+        SELECT term, n, r1, CASE WHEN regexp_matches(substr(w, r1 + 1), '(dd|gd|nn|dt|gt|kt|tt)$')
+            THEN left(w, length(w) - 1) ELSE w END AS w FROM cut),
+    last AS (SELECT *, regexp_extract(substr(w, r1 + 1), '(lig|ig|els|löst|fullt)$') AS ending FROM single)
+    SELECT stem, sum(n)::BIGINT AS n, count(*) AS forms FROM (
+        SELECT n, left(w, length(w) - CASE WHEN ending IN ('löst', 'fullt') THEN 1 ELSE length(ending) END) AS stem
+        FROM last) GROUP BY stem""",
+)
+def filter_stem_swedish(spark, d):
+    """Word forms behind each stem by one language's rules, over all distinct words."""
+    words = documents(spark, d).select(F.explode(tk.simple_tokens(F.lower("text"))).alias("term"))
+    counted = words.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    stems = counted.withColumn("stem", tk.stem_tokens(F.array("term"), F.lit("swedish"))[0])
+    return stems.groupBy("stem").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("forms"))
+
+
 @plan(
     "filter_long",
     f"""

@@ -116,6 +116,45 @@ def test_stems(word, language, stem):
     assert stem_word(word, language) == stem
 
 
+@pytest.mark.parametrize(
+    "word, language, stem",
+    [
+        ("jaktkarlarne", "sv", "jaktkarl"), ("klokhet", "sv", "klok"), ("jämförelse", "sv", "jämför"), ("kloster", "sv", "klost"), ("händelser", "sv", "händ"), ("hjälplöst", "sv", "hjälplös"),
+        ("havnemyndigheter", "no", "havnemynd"), ("havneinspektørene", "no", "havneinspektør"), ("opning", "no", "opning"), ("havnens", "no", "havn"),
+        ("undersøgelse", "da", "undersøg"), ("indtage", "da", "indtag"), ("underste", "da", "underst"), ("indvendende", "da", "indvend"), ("kærligheden", "da", "kær"),
+        ("lichaam", "nl", "licham"), ("lichamelijk", "nl", "licham"), ("lichamelijkheden", "nl", "licham"), ("opgingen", "nl", "opging"), ("opheffing", "nl", "opheff"), ("opgaven", "nl", "opgav"), ("brandbare", "nl", "brandbar"), ("yoghurt", "nl", "yoghurt"),
+        ("abbandonata", "it", "abbandon"), ("abbandonerà", "it", "abbandon"), ("pronto", "it", "pront"), ("pronunciamento", "it", "pronunc"), ("pronunciarle", "it", "pronunc"), ("amichevole", "it", "amichevol"), ("quando", "it", "quand"),
+        ("chilena", "pt", "chilen"), ("quilométricas", "pt", "quilométr"), ("boataria", "pt", "boat"), ("chocolates", "pt", "chocolat"), ("chegaram", "pt", "cheg"), ("nação", "pt", "naçã"), ("organizações", "pt", "organiz"),
+        ("вавиловка", "ru", "вавиловк"), ("важничал", "ru", "важнича"), ("важный", "ru", "важн"), ("падающего", "ru", "пада"), ("красивейший", "ru", "красив"), ("возможность", "ru", "возможн"), ("ёлка", "ru", "елк"),
+    ],
+)
+def test_stems_by_rules(word, language, stem):
+    assert stem_word(word, language) == stem
+
+
+def test_no_word_breaks_a_rule():
+    from hypothesis import given, strategies
+    from lexigrid.functions.stem_rules import RULES
+
+    letters = strategies.text("abcdeghiklnorstuvyzàèéãõåäöøæавеийлмнстьюяё", max_size=14)
+
+    @given(letters, strategies.sampled_from(sorted(RULES)))
+    def check(word, language):
+        stem = RULES[language].stem(word)
+        assert len(stem) <= len(word) + 2 and (stem or not word)
+
+    check()
+
+
+def test_named_language_without_stemmer(spark):
+    for make in (lambda: tk.preset("turkish_stem"), lambda: tk.Analyzer(stem="ta"), lambda: tk.Analyzer(stem="klingon")):
+        with pytest.raises(ValueError):
+            make()
+    df = spark.createDataFrame([("kitaplar hundarna", "tr"), ("hundarna", "sv"), ("hunde", None)], "text string, lang string")
+    found = df.select(tk.Analyzer(stem="row").tokens(F.col("text"), F.col("lang")).alias("t")).collect()
+    assert [r.t for r in found] == [["kitaplar", "hundarna"], ["hund"], ["hunde"]]
+
+
 def test_index_round_trip(spark, guides):
     from lexigrid.session import shared_folder
 
