@@ -49,15 +49,21 @@ def version(df: DataFrame) -> tuple:
     return tuple(files.agg(F.count(F.lit(1)), F.sum(F.col("file").cast("decimal(20,0)"))).first())
 
 
-def corpus(spark: SparkSession, sf_dir: str) -> Corpus:
-    """The documents with their saved index, which a session writes once for each state of them."""
-    docs = documents(spark, sf_dir)
-    place = spark.sparkContext.applicationId, sf_dir, version(docs)
+def index_path(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Corpus]) -> str:
+    """Where the index ``name`` is, which a session writes once for each state of the documents."""
+    place = spark.sparkContext.applicationId, sf_dir, name, version(documents(spark, sf_dir))
     if place not in _indexes:
-        path = shared_folder(spark, "index")
-        save_index(Corpus.analyze(docs, "doc_id", {"text": "text"}), path)
+        path = shared_folder(spark, name)
+        save_index(build(), path)
         _indexes[place] = path
-    return load_index(docs, "doc_id", _indexes[place])
+    return _indexes[place]
+
+
+def corpus(spark: SparkSession, sf_dir: str) -> Corpus:
+    """The documents with their saved index."""
+    docs = documents(spark, sf_dir)
+    path = index_path(spark, sf_dir, "index", lambda: Corpus.analyze(docs, "doc_id", {"text": "text"}))
+    return load_index(docs, "doc_id", path)
 
 
 def stored_postings(spark: SparkSession, sf_dir: str) -> DataFrame:

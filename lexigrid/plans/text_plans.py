@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from lexigrid.functions import tokens as tk
 from lexigrid.functions.stopwords import stop_words
+from lexigrid.operators import multilingual as ml
 from lexigrid.operators import postings as ps
-from lexigrid.plans.catalog import SQL_TOKENS, documents, plan, table
+from lexigrid.plans.catalog import SQL_TOKENS, documents, index_path, plan, sql_bm25, table
 
 
 def digest(df: DataFrame, tokens: Column) -> DataFrame:
@@ -318,6 +319,39 @@ def multilingual_fields(spark, d):
     )
 
 
+@plan(
+    "search_multilingual",
+    f"""
+    WITH {SQL_TOKENS},
+    f AS (
+        SELECT CASE WHEN lang IN ('en', 'de', 'fr') THEN 'content_' || lang ELSE 'content_other' END AS field,
+               doc_id, term
+        FROM toks WHERE lang NOT IN ('en', 'de', 'fr') OR lang IS NULL OR NOT ({SQL_IS_STOP})),
+    lens AS (SELECT field, doc_id, count(*) AS dl FROM f GROUP BY ALL),
+    coll AS (
+        SELECT field, sum(dl) / (SELECT count(*) FROM documents) AS avgdl,
+               (SELECT count(*) FROM documents) AS n FROM lens GROUP BY field),
+    asked(query, field, term) AS (VALUES
+        ('german', 'content_de', 'ber'), ('german', 'content_de', 'keit'),
+        ('french', 'content_fr', 'aux'), ('french', 'content_fr', 'tion'),
+        ('spanish', 'content_other', 'que'), ('spanish', 'content_other', 'ciónes')),
+    found AS (
+        SELECT query, field, doc_id, term, count(*) AS tf FROM f JOIN asked USING (field, term) GROUP BY ALL),
+    dfs AS (SELECT field, term, count(DISTINCT doc_id) AS df FROM f GROUP BY ALL)
+    SELECT query, doc_id, round(sum({sql_bm25("tf", "df")}), 6) AS score
+    FROM found JOIN dfs USING (field, term) JOIN lens USING (field, doc_id) JOIN coll USING (field)
+    GROUP BY query, doc_id""",
+)
+def search_multilingual(spark, d):
+    """Each query in the field of its language; Spanish has none here and goes to the others."""
+    fields = ml.LanguageFields(["en", "de", "fr"], stem=False)
+    docs = documents(spark, d)
+    path = index_path(spark, d, "language-fields", lambda: fields.analyze(docs, "doc_id", "text", "lang"))
+    asked = {"german": ("der Ber, Keit", "de"), "french": ("le aux TION", "fr"), "spanish": ("que ciónes", "es")}
+    found = fields.search(fields.load(docs, "doc_id", path), asked)
+    return found.select(F.col("query_id").alias("query"), F.col("key").alias("doc_id"), F.round("score", 6).alias("score"))
+
+
 @plan(
     "normalize_cjk",
     r"""
