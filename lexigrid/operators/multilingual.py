@@ -42,12 +42,12 @@ class LanguageFields:
 
     def analyze(self, docs: DataFrame, key: str, text: str, lang: str) -> Corpus:
         """A corpus to search or to save; a narrow step.  Lengths are 0 in the other fields."""
-        analysed = docs.select(
+        # out of generators, so that a text is analysed once, however often its words are read
+        sized = docs.select(
             F.col(key).alias("key"),
             self.field(F.col(lang)).alias("field"),
-            self.slots(F.col(text), F.col(lang)).alias("slots"),
-        )
-        sized = analysed.withColumn("dl", F.size(F.array_compact("slots")))
+            F.explode(F.array(self.slots(F.col(text), F.col(lang)))).alias("slots"),
+        ).select("*", F.explode(F.array(F.size(F.array_compact("slots")))).alias("dl"))
         rows = sized.select("key", "field", "dl", F.posexplode("slots").alias("pos", "term"))
         occurrences = rows.where(F.col("term").isNotNull()).select(
             "key", "field", "term", F.lit(1).alias("tf"), F.array("pos").alias("positions"), "dl"
