@@ -110,20 +110,18 @@ class Shard:
         self.first = np.cumsum([0] + [len(t) for t in terms])
         flat_terms, flat_docs = np.concatenate(terms), np.concatenate(docs)
         flat_weights = np.concatenate(weights)
-        self.by_text = flat_terms, flat_weights
+        self.by_text = flat_terms
         order = np.argsort(flat_terms, kind="stable")
         self.terms, self.docs, self.weights = flat_terms[order], flat_docs[order], flat_weights[order]
 
-    def neighbours(self, seed: int, query_terms: int = 24) -> np.ndarray:
-        """Unused texts, best BM25 score first; the query is the seed's heaviest terms.  Equal
-        scores, none included, keep the order of the shard."""
-        a, b = self.first[seed], self.first[seed + 1]
-        terms, weights = self.by_text[0][a:b], self.by_text[1][a:b]
-        chosen = terms[np.argsort(-weights, kind="stable")[:query_terms]]
-        scores = np.zeros(len(self.texts))
+    def neighbours(self, seed: int) -> np.ndarray:
+        """Unused texts, best BM25 score first; the query is all ids of the seed.  Equal scores,
+        none included, keep the order of the shard."""
+        chosen = self.by_text[self.first[seed] : self.first[seed + 1]]
         starts, ends = np.searchsorted(self.terms, chosen), np.searchsorted(self.terms, chosen, side="right")
-        for s, e in zip(starts, ends):
-            scores[self.docs[s:e]] += self.weights[s:e]
+        sizes = ends - starts
+        at = np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+        scores = np.bincount(self.docs[at], self.weights[at], len(self.texts))
         left = np.flatnonzero(self.alive)
         return left[np.argsort(-scores[left], kind="stable")]
 
