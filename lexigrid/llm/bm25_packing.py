@@ -1,7 +1,7 @@
 """Packing by lexical retrieval: a window is a seed text and its nearest unused neighbours.
 
 Texts are cut at the window size; whole windows are sequences already.  The remainders are
-dealt into shards of a bounded number of texts.  Each shard holds a BM25 inverted index over
+ordered by content and cut into shards of a bounded number of texts.  Each shard holds a BM25 inverted index over
 subword ids, with document frequencies of all remainders; the neighbours that it returns for
 a seed fill the seed's window, and the last one is cut where the window ends.
 """
@@ -27,6 +27,7 @@ WINDOW = 2048
 VOCABULARY = 49408
 END = 1
 K1, B = 1.2, 0.75
+SKETCH, CODE_BITS = 32, 16
 
 
 def crc(ids: np.ndarray) -> int:
@@ -94,6 +95,58 @@ def document_frequencies(units: DataFrame) -> np.ndarray:
     return out
 
 
+def sketches(texts: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
+    """Each text's BM25-weighted ids, projected on ``SKETCH`` fixed random directions, length 1."""
+    directions = np.random.default_rng(SKETCH).standard_normal((VOCABULARY, SKETCH), np.float32)
+    out = np.zeros((len(texts), SKETCH))
+    for k, ids in enumerate(texts):
+        term, tf = np.unique(ids, return_counts=True)
+        out[k] = (idf[term] * tf / (tf + K1)).astype(np.float32) @ directions[term]
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+
+
+def principal_directions(units: DataFrame, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The mean of all sketches and the ``CODE_BITS`` directions in which they vary most.
+
+    Moments are sums of whole numbers, so they do not depend on the order of the rows.
+    """
+    size = SKETCH + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        moments = np.zeros((size, size), np.int64)
+        for batch in batches:
+            rows = np.rint(sketches([np.frombuffer(i.as_buffer(), "<u2") for i in batch.column(0)], idf) * 1024)
+            rows = np.column_stack([np.ones(len(rows)), rows]).astype(np.int64)
+            moments += rows.T @ rows
+        yield pa.RecordBatch.from_pydict({"cell": np.arange(size * size), "part": moments.ravel()})
+
+    sums = units.select("ids").mapInArrow(run, "cell long, part long").groupBy("cell").agg(F.sum("part").alias("part"))
+    moments = np.zeros(size * size)
+    for row in sums.collect():  # (SKETCH + 1) ** 2 rows
+        moments[row.cell] = row.part
+    moments = moments.reshape(size, size) / max(1.0, moments[0])
+    mean = moments[0, 1:]
+    _, vectors = np.linalg.eigh(moments[1:, 1:] - np.outer(mean, mean))
+    return mean / 1024, vectors[:, ::-1][:, :CODE_BITS]
+
+
+def by_content(units: DataFrame, idf: np.ndarray) -> DataFrame:
+    """The remainders with ``code``, which is near for texts of like ids: one bit for each
+    principal direction, the strongest first."""
+    mean, axes = principal_directions(units, idf)
+    kept = ["unit", "doc_id", "start", "length", "doc_tokens", "ids"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [np.frombuffer(i.as_buffer(), "<u2") for i in batch.column("ids")]
+            bits = (sketches(texts, idf) - mean) @ axes > 0
+            code = bits @ (1 << np.arange(CODE_BITS)[::-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(code, pa.int64())], names=[*kept, "code"])
+
+    schema = "unit long, doc_id long, start long, length long, doc_tokens long, ids binary, code long"
+    return units.select(*kept).mapInArrow(run, schema)
+
+
 class Shard:
     """An inverted index over the texts of a shard, and which of them are still unused."""
 
@@ -183,28 +236,27 @@ def pack(
                 for text, start, ids in window:
                     doc, base, _, tokens, _ = rows[text]
                     kept = ids.tobytes() if with_ids else None
-                    out.append((doc, base + start, len(ids), crc(ids), tokens, (shard << 32) + number, offset, kept))
+                    out.append((doc, base + start, len(ids), crc(ids), tokens, (shard << 20) + number, offset, kept))
                     offset += len(ids)
             return pa.RecordBatch.from_arrays(
                 [pa.array(list(c), f.type) for c, f in zip(zip(*out), schema)], schema=schema
             )
 
-        now, rows = None, []
+        shard, rows = TaskContext.get().partitionId() << 20, []
         for batch in batches:
-            for shard, *row in zip(*(c.to_pylist() for c in batch.columns)):
-                if shard != now and rows:
-                    yield fill(now, rows)
-                    rows = []
-                now = shard
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
                 rows.append(row)
+                if len(rows) == 2 * shard_units:
+                    yield fill(shard, rows)
+                    shard, rows = shard + 1, []
         if rows:
-            yield fill(now, rows)
+            yield fill(shard, rows)
 
     packed = (
-        units.withColumn("shard", F.pmod(F.xxhash64("unit"), F.lit(n_shards)))
-        .repartition("shard")
-        .sortWithinPartitions("shard", "unit")
-        .select("shard", "doc_id", "start", "length", "doc_tokens", "ids")
+        by_content(units, idf)
+        .repartitionByRange(n_shards, "code", "unit")
+        .sortWithinPartitions("code", "unit")
+        .select("doc_id", "start", "length", "doc_tokens", "ids")
         .mapInArrow(run, PIECES)
     )
     whole = pieces.where(F.col("unit").isNull()).select(

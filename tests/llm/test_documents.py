@@ -306,6 +306,27 @@ def test_neighbours_come_by_score():
     assert order == want and order[0] == 13
 
 
+def test_texts_of_like_ids_get_near_codes(spark):
+    rng = np.random.default_rng(9)
+    rows, topic = [], {}
+    for k in range(400):
+        topic[k] = k * 7 % 4
+        ids = np.concatenate([rng.integers(topic[k] * 300, topic[k] * 300 + 300, 60), rng.integers(2000, 2200, 40)])
+        rows.append((k, k, 0, len(ids), len(ids), bytearray(ids.astype("<u2").tobytes())))
+    schema = "unit long, doc_id long, start long, length long, doc_tokens long, ids binary"
+    units = spark.createDataFrame(rows + [(400, 400, 0, 1, 1, bytearray(b"\x01\x00"))], schema)
+    held = bm25_packing.document_frequencies(units)
+    idf = np.log1p((401 - held + 0.5) / (held + 0.5))
+    found = {r.unit: r.code for r in bm25_packing.by_content(units.repartition(5), idf).collect()}
+    assert len(found) == 401 and found == {r.unit: r.code for r in bm25_packing.by_content(units.repartition(2), idf).collect()}
+
+    def purity(order):
+        shards = np.array_split(list(order), 8)
+        return np.mean([max(Counter(topic[k] for k in shard).values()) / len(shard) for shard in shards])
+
+    assert purity(sorted(topic, key=lambda k: (found[k], k))) > 1.5 * purity(rng.permutation(400))
+
+
 # ---- toxicity ----------------------------------------------------------------------------
 
 
