@@ -20,12 +20,15 @@ from lexigrid.sources.schema import SearchSchema, validate
 def read_stream(
     spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet", files_per_batch: int = 100
 ) -> DataFrame:
-    """New Parquet files of a folder as a stream."""
+    """New Parquet files of a folder as a stream.
+
+    What ``pattern`` names may be files or folders of files, as a table written by several
+    tasks is.  Braces make a plain name a pattern too: a stream's path is a folder otherwise.
+    """
     return (
         spark.readStream.schema(schema)
-        .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(folder)
+        .parquet(f"{folder.rstrip('/')}/{{{pattern}}}")
     )
 
 

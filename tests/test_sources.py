@@ -1,3 +1,6 @@
+import os
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -152,6 +155,20 @@ def test_stream_ingest_keeps_the_latest_document(spark):
     assert terms == {"new", "text", "stay"}
 
 
+def test_stream_of_a_table_that_is_a_file_or_a_folder(spark):
+    """A table's name may be one file or a folder of part files; other tables stay out."""
+    root = shared_folder(spark, "tables")
+    rows = spark.range(10).repartition(3)
+    rows.write.parquet(f"{root}/folder.parquet")
+    rows.coalesce(1).write.parquet(f"{root}/parts")
+    part = next(p for p in os.listdir(f"{root}/parts") if p.endswith(".parquet"))
+    shutil.copy(f"{root}/parts/{part}", f"{root}/file.parquet")
+    for name in ("folder.parquet", "file.parquet"):
+        seen, to = jobs.read_stream(spark, root, rows.schema, name), shared_folder(spark, "seen")
+        seen.writeStream.option("checkpointLocation", f"{to}/p").trigger(availableNow=True).start(f"{to}/rows").awaitTermination()
+        assert sorted(r.id for r in spark.read.parquet(f"{to}/rows").collect()) == list(range(10))
+
+
 def test_a_key_twice_in_a_batch(spark):
     folder, root = shared_folder(spark, "in"), shared_folder(spark, "out")
     declared = sc.SearchSchema((sc.Field("id", "u64"), sc.Field("t", "text"), sc.Field("at", "u64")))
