@@ -71,7 +71,8 @@ def template(text: Column, named: bool) -> Column:
     counted = F.regexp_replace(united, rf"{AT_FIGURE}{FIGURE}", NUMBER)
     if named:
         counted = F.regexp_replace(
-            counted, rf"{AT_NAME}{CAPITALISED}(?:{JOIN}{CAPITALISED})*", NAME
+            # possessive: Java matches it in a loop, a greedy one takes a stack frame for each word
+            counted, rf"{AT_NAME}{CAPITALISED}(?:{JOIN}{CAPITALISED})*+", NAME
         )
     plain = F.regexp_replace(F.lower(counted), rf"[^\p{{L}}\p{{N}}{NAME}-{UNIT}\s]+", "")
     return F.filter(F.split(plain, SPACES), lambda w: w != "")

@@ -396,6 +396,13 @@ def test_leaks_and_slots(spark):
     assert decontaminate.find_leaks(frame(spark, rows), items.limit(0)).count() == 0
 
 
+def test_a_run_of_many_names(spark):
+    """A list of thousands of names is one word to the named view, and no deep recursion."""
+    rows = [(1, "Seen by " + "Anna " * 20_000 + "today. " + ITEM), (2, "Anna " * 20_000)]
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(frame(spark, rows), items).collect()} == {(1, 1)}
+
+
 def test_leaks_of_the_table_against_brute_force(spark):
     def plain(text):
         return re.sub(r"[^\w\s]", "", text.lower()).split()
