@@ -115,8 +115,10 @@ def near_spellings(corpus: Corpus, words: DataFrame, field: str, distance: int)
     here = F.col("field") == field
     asked = words.select(F.col("term").alias("word")).distinct()
     asked = asked.select("word", F.explode(vc.deletion_keys(F.col("word"))).alias("key"))
-    keys = corpus.keys.where(here & (F.col("kind") == "d")).select("key", "term", "bucket")
-    near = asked.join(keys, "key").select("word", "term", "bucket").distinct()
+    keys = corpus.keys.where(here & (F.col("kind") == "d")).select("key", F.col("term").alias("head"))
+    heads = asked.join(keys, "key").select("word", "head").distinct()
+    terms = corpus.terms.where(here).select("term", "bucket", vc.first_letters(F.col("term")).alias("head"))
+    near = heads.join(terms, "head").select("word", "term", "bucket")
     near = stored(near.where(F.levenshtein("word", "term", distance) >= 0), "near-terms")
     postings = corpus.occurrences.where(here).select("bucket", "term", "key")
     hits = words.withColumnRenamed("term", "word").join(near, "word").join(postings, ["bucket", "term"])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexigrid.functions.stemming import stemmer_name
 from lexigrid.functions.stopwords import language_name
 from lexigrid.functions.tokens import Analyzer
-from lexigrid.operators.postings import Corpus, load_index
+from lexigrid.operators.postings import Corpus, Streams, exploded, load_index
 from lexigrid.operators.queries import Bool, Nothing, Query, Term, match_many
 
 OTHER = "other"
@@ -43,19 +43,22 @@ class LanguageFields:
     def analyze(self, docs: DataFrame, key: str, text: str, lang: str) -> Corpus:
         """A corpus to search or to save; a narrow step.  Lengths are 0 in the other fields."""
         # out of generators, so that a text is analysed once, however often its words are read
-        sized = docs.select(
-            F.col(key).alias("key"),
-            self.field(F.col(lang)).alias("field"),
-            F.explode(F.array(self.slots(F.col(text), F.col(lang)))).alias("slots"),
-        ).select("*", F.explode(F.array(F.size(F.array_compact("slots")))).alias("dl"))
-        rows = sized.select("key", "field", "dl", F.posexplode("slots").alias("pos", "term"))
-        occurrences = rows.where(F.col("term").isNotNull()).select(
+        def analyse(rows: DataFrame) -> DataFrame:
+            return rows.select(
+                F.col(key).alias("key"),
+                self.field(F.col(lang)).alias("field"),
+                F.explode(F.array(self.slots(F.col(text), F.col(lang)))).alias("slots"),
+            ).select("*", F.explode(F.array(F.size(F.array_compact("slots")))).alias("dl"))
+
+        sized = analyse(docs)
+        occurrences = exploded(sized).select(
             "key", "field", "term", F.lit(1).alias("tf"), F.array("pos").alias("positions"), "dl"
         )
         lengths = sized.select(
             "key", *[F.when(F.col("field") == name, F.col("dl")).otherwise(0).alias(name) for name in self.names()]
         )
-        return Corpus(docs, key, occurrences, lengths, self.analyzer)
+        streams = Streams(docs.select(*dict.fromkeys([key, text, lang])), key, analyse)
+        return Corpus(docs, key, occurrences, lengths, self.analyzer, streams=streams)
 
     def load(self, docs: DataFrame, key: str, path: str) -> Corpus:
         return load_index(docs, key, path, self.analyzer)

@@ -222,7 +222,7 @@ class Fuzzy(TermSet):
     def candidates(self, corpus: Corpus) -> DataFrame:
         if corpus.keys is None or self.distance > vc.DELETIONS:
             return corpus.terms
-        return vc.near_terms(corpus.keys, self.text.lower())
+        return vc.near_terms(corpus.keys, corpus.terms, self.text.lower())
 
 
 @dataclass(frozen=True)

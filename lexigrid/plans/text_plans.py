@@ -254,7 +254,7 @@ def pretokenized(spark, d):
 )
 def build_postings(spark, d):
     """Statistics over the full inverted index, positions and lengths included."""
-    index = ps.build_postings(ps.token_table(documents(spark, d), "doc_id", {"text": "text"}))
+    index = ps.build_postings(ps.token_streams(documents(spark, d), "doc_id", {"text": "text"}))
     return index.groupBy("term").agg(
         F.count(F.lit(1)).alias("df"),
         F.sum("tf").alias("cf"),

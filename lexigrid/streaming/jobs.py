@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lexigrid.functions.tokens import SEARCH, Analyzer
-from lexigrid.operators.postings import build_postings, token_table
+from lexigrid.operators.postings import build_postings, token_streams
 from lexigrid.sources.schema import SearchSchema, validate
 
 
@@ -63,7 +63,7 @@ def stream_ingest(
         # Index what was written: a replayed source can then not differ between the two.
         stored = batch.sparkSession.read.parquet(f"{root}/docs/batch={number}")
         good = stored.where(F.col("verdict") == "accepted")
-        index = build_postings(token_table(good, key, {text: text}, analyzer))
+        index = build_postings(token_streams(good, key, {text: text}, analyzer))
         index.write.mode("overwrite").parquet(f"{root}/postings/batch={number}")
 
     return (

@@ -12,6 +12,7 @@ from lexigrid.operators.postings import (
     load_index,
     save_index,
     term_stats,
+    token_streams,
     token_table,
 )
 from lexigrid.session import shared_folder
@@ -449,3 +450,45 @@ def test_fallback_plans_do_not_grow_with_the_queries(vocabulary, spark):
         asked = spark.createDataFrame([(str(k), words[k]) for k in range(n)], "query_id string, text string")
         sizes.append(len(fallback_search(saved, asked, "title")._jdf.queryExecution().optimizedPlan().toString()))
     assert abs(sizes[0] - sizes[1]) < 200
+
+
+REPEATED = [(1, "b a b", None), (2, "c", "x c"), (2, "a c a", "x"), (None, "n m", ""), (None, "n", None), (3, None, None), (4, "", "y y y")]
+
+
+def test_postings_inside_the_row_are_those_of_the_tokens(spark):
+    """Keys of several documents and null keys are one document, as when tokens are grouped."""
+    docs = spark.createDataFrame(REPEATED, "id long, t string, u string")
+    for rows in (docs, docs.where("id <> 2"), docs.limit(0)):
+        fields = {"t": "t", "u": "u"}
+        got = build_postings(token_streams(rows, "id", fields))
+        want = build_postings(token_table(rows, "id", fields))
+        assert got.dtypes == want.dtypes
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_no_token_is_shuffled_for_postings(spark):
+    docs = spark.createDataFrame([(1, "b a b"), (2, "a")], "id long, t string")
+    plan = build_postings(token_streams(docs, "id", {"t": "t"}))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan
+
+
+def test_many_small_buckets_share_tasks_and_files(spark):
+    docs = spark.createDataFrame([(k, " ".join(f"w{k}x{i}" for i in range(10))) for k in range(100)], "id long, t string")
+    path = shared_folder(spark, "index")
+    save_index(Corpus.analyze(docs, "id", {"t": "t"}), path, tokens_per_bucket=1)
+    saved = load_index(docs, "id", path)
+    assert saved.buckets == 1000
+    assert saved.occurrences.count() == 1000
+    assert len(saved.occurrences.inputFiles()) == saved.occurrences.select("bucket").distinct().count()
+    assert [r.key for r in q.match(saved, q.Term("t", "w7x3")).collect()] == [7]
+
+
+def test_deletion_keys_stand_once_for_the_same_first_letters(spark):
+    docs = spark.createDataFrame([(k, f"letter{k}") for k in range(50)], "id long, t string")
+    path = shared_folder(spark, "index")
+    save_index(Corpus.analyze(docs, "id", {"t": "t"}), path)
+    saved = load_index(docs, "id", path)
+    keys = saved.keys.where("kind = 'd'")
+    assert keys.count() == keys.select("key").distinct().count() < 30
+    found = {r.key for r in q.match(saved, q.Fuzzy("t", "lettre7", 1), scored=False).collect()}
+    assert found == {7}
