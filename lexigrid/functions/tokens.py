@@ -52,29 +52,18 @@ def ngram_tokens(text: Column, min_gram: int, max_gram: int, prefix_only: bool =
     """Character n-grams ordered by start then length."""
     if min_gram < 1 or min_gram > max_gram:
         raise ValueError("need 1 <= min_gram <= max_gram")
-    # Characters are split out once and grams are slices of them: substring() would walk the
-    # text from its start for every gram.
-    grams = F.flatten(
-        F.transform(
-            F.array(F.split(text, "")),
-            lambda chars: F.flatten(
-                F.transform(
-                    F.sequence(
-                        F.lit(1),
-                        F.lit(1) if prefix_only else F.greatest(F.size(chars) - min_gram + 1, F.lit(1)),
-                    ),
-                    lambda start: F.transform(
-                        F.sequence(F.lit(min_gram), F.lit(max_gram)),
-                        lambda n: F.when(
-                            start + n - 1 <= F.size(chars),
-                            F.array_join(F.slice(chars, start, n), ""),
-                        ),
-                    ),
-                )
-            ),
-        )
-    )
-    return F.coalesce(F.array_compact(grams), no_tokens())
+    # One pass of the pattern steps over each character and looks ahead for its longest gram; the
+    # shorter grams are beginnings of that.
+    longest = F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{min_gram},{max_gram}}}))."), F.lit(1))
+    if prefix_only:
+        longest = F.slice(longest, 1, 1)
+    if min_gram == 1:
+        longest = F.when(text == "", F.array(F.lit(""))).otherwise(longest)  # one empty gram
+    if min_gram == max_gram:
+        return F.coalesce(longest, no_tokens())
+    lengths = lambda gram: F.sequence(F.least(F.lit(min_gram), F.length(gram)), F.length(gram))
+    grams = F.transform(longest, lambda gram: F.transform(lengths(gram), lambda n: F.left(gram, n)))
+    return F.coalesce(F.flatten(grams), no_tokens())
 
 
 def raw_tokens(text: Column) -> Column:
