@@ -40,6 +40,8 @@ def wanted_zones(rows: DataFrame, groups: list[str], percents: list[float], accu
     each, k = range(len(cuts)), len(percents)
     sketch = rows.groupBy(*groups).agg(F.percentile_approx("v", cuts, accuracy).alias("cuts"))
     edges = sketch.select(*groups, F.struct(*[F.get("cuts", F.lit(i)).alias(f"at{i}") for i in each]).alias("edges"))
+    if groups:  # written, so that their size is known and few groups do not shuffle all rows into few tasks
+        edges = stored(edges, "edges")
     v, edge = F.col("v"), [F.col(f"edges.at{i}") for i in each]
     zone = functools.reduce(operator.add, [(v > e).cast("int") + (v >= e).cast("int") for e in edge])
     near = any_of([(v > edge[i]) & (v < edge[k + i]) for i in range(k)])
@@ -155,7 +157,8 @@ def rank_errors(df: DataFrame, value: Column, percents: list[float], accuracy: i
     value, 0 where the value holds the rank.  No rows, no percentiles.
     """
     rows = df.select(value.cast("double").alias("v")).where(F.col("v").isNotNull())
-    sketch = rows.agg(F.percentile_approx("v", [p / 100 for p in percents], accuracy).alias("edges"))
+    # partial sketches add their errors when they are merged, so each is finer than the promise
+    sketch = rows.agg(F.percentile_approx("v", [p / 100 for p in percents], 4 * accuracy).alias("edges"))
     v, edge, each = F.col("v"), F.col("edges"), range(len(percents))
     counts = with_group_row(rows, sketch, [], "edges").agg(
         F.first("edges").alias("edges"),

@@ -315,3 +315,12 @@ def test_requests_by_arguments():
     assert [ag.range_bounds(r)[0] for r in request["p_bands"]["range"]["ranges"]] == ["*-1.0", "1.0-2.0", "2.0-*"]
     ag.validate(request, ["c", "p"])
     ag.validate(ag.activity_request("t", "d", 60, {"u": 3}), ["t", "d", "u"])
+
+
+def test_few_groups_do_not_shuffle_all_rows(spark):
+    """The sketches of the groups are joined by broadcast, so a group is not one task's rows."""
+    from lexigrid.operators import percentiles as pc
+
+    rows = spark.range(2000).selectExpr("id % 3 as g", "cast(id as double) as v")
+    plan = pc.wanted_zones(rows, ["g"], [50.0], 1000)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
