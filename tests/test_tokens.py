@@ -165,3 +165,52 @@ def test_index_round_trip(spark, guides):
     assert sorted((r.key, r.tf) for r in found.collect()) == [(1, 1), (2, 1), (3, 1)]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[.*bucket#\d+ = ", plan)
+
+
+def test_stems_of_rows_with_nulls_and_languages(spark):
+    from lexigrid.functions.stemming import stem_word
+
+    rows = [
+        (1, ["running", None, "häuser", "running"], "en"), (2, ["häuser", "running"], "de"), (3, None, "en"),
+        (4, [], None), (5, ["running", "a"], None), (6, [None], "xx"), (7, ["runs"], "en"),
+    ]
+    df = spark.createDataFrame(rows, "id long, t array<string>, lang string")
+    stemmed = df.select("id", tk.stem_tokens(F.col("t"), F.col("lang")).alias("s"))
+    got = {r.id: r.s for r in stemmed.collect()}
+    assert got == {
+        k: None if t is None else [None if w is None else stem_word(w, lang or "none") for w in t] for k, t, lang in rows
+    }
+    assert stemmed.where("false").collect() == []
+
+
+def test_stemming_keeps_batches_in_arrow(spark):
+    """Python holds the distinct words of a batch, not a string object a token."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from lexigrid.functions import stemming
+
+    tokens = pa.array([["running", "houses", "walked"] * 200] * 1000, pa.list_(pa.string()))
+    language = pa.array(["en"] * 1000)
+    tracemalloc.start()
+    stemmed = stemming._stem_arrays.func(tokens, language)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert stemmed[999].as_py()[:3] == [stemming.stem_word(w, "en") for w in ("running", "houses", "walked")]
+    assert peak < 40 * 600_000  # numpy's few numbers a token; Python strings and lists took 60 bytes and more
+
+
+def test_grams_of_odd_texts(spark):
+    grams = lambda text, *sizes: tokens_of(spark, text, lambda c: tk.ngram_tokens(c, *sizes))
+    assert grams("a\n😀漢", 2, 3) == ["a\n", "a\n😀", "\n😀", "\n😀漢", "😀漢"]
+    assert grams("a\n😀漢", 3, 3) == ["a\n😀", "\n😀漢"]
+    assert grams("", 2, 3) == [] and grams(None, 3, 3) == [] and grams("", 1, 2) == [""]
+
+
+def test_grams_of_parts_are_counted_where_the_parts_are(spark):
+    """One exchange of parts and one of counted grams; no row a gram is shuffled."""
+    from lexigrid.plans import PLANS
+
+    plan = PLANS["tokenize_ngram"].build(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2 and "REPARTITION_BY_NUM" in plan
