@@ -167,7 +167,8 @@ def row_postings(slots: DataFrame) -> DataFrame:
         size = F.coalesce(F.get("starts", number + 1), F.size("terms")) - at
         return F.struct(F.get("terms", at).alias("term"), F.slice("places", at + 1, size).alias("positions"))
 
-    runs = cut.select("key", "field", "dl", F.inline(F.transform("starts", run)))
+    # outer, as a plain one has Spark work out its input twice to leave out empty ones
+    runs = cut.select("key", "field", "dl", F.inline_outer(F.transform("starts", run)))
     return runs.select("key", "field", "term", F.size("positions").cast("bigint").alias("tf"), "positions", "dl")
 
 

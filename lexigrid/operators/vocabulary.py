@@ -86,7 +86,7 @@ def write_keys(terms: DataFrame, path: str) -> None:
     first letters of all terms, which then stand in the place of the term."""
     n_terms = terms.count()
     grams = terms.repartition(-(-n_terms // TERMS_PER_TASK) or 1, "term").select(
-        F.explode(gram_keys(F.col("term"))).alias("key"), "field", "term", "bucket", "df"
+        F.explode_outer(gram_keys(F.col("term"))).alias("key"), "field", "term", "bucket", "df"
     )
     # a gram's rows stay where its terms are: each file is sorted, so a look-up skips most of it
     grams.sortWithinPartitions("key").withColumn("slots", F.lit(1)).withColumn("slot", F.lit(0)).write.mode(
@@ -98,7 +98,7 @@ def write_keys(terms: DataFrame, path: str) -> None:
     slot = F.pmod(F.xxhash64("key"), F.lit(slots)).cast("int")
     none = F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("bigint").alias("df")
     (
-        heads.select(F.explode(deletion_keys(F.col("term"))).alias("key"), "field", "term")
+        heads.select(F.explode_outer(deletion_keys(F.col("term"))).alias("key"), "field", "term")
         .repartitionById(slots, slot).sortWithinPartitions("key")
         .select("*", *none, F.lit(slots).alias("slots"), slot.alias("slot"))
         .write.mode("errorifexists").partitionBy("slots", "slot").parquet(f"{path}/kind=d")

@@ -28,6 +28,8 @@ def digest_sql(tokens: str) -> str:
         FROM (SELECT doc_id, {tokens} AS t FROM documents)"""
 
 
+PARTS_PER_TASK = 20_000
+
 SQL_SIMPLE = r"list_filter(string_split_regex({}, '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '')"
 SQL_EMAIL = r"[A-Za-z0-9._-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]+"
 
@@ -59,7 +61,10 @@ def tokenize_regex(spark, d):
     GROUP BY 1""",
 )
 def tokenize_ngram(spark, d):
-    part = table(spark, d, "part")
+    part = table(spark, d, "part").select("p_partkey", "p_name")
+    # a part's grams are counted in one task, and a task has a bounded share of the parts
+    tasks = max(spark.sparkContext.defaultParallelism, -(-part.count() // PARTS_PER_TASK))
+    part = part.repartition(tasks, "p_partkey")
     grams = part.select("p_partkey", F.explode(tk.ngram_tokens(F.col("p_name"), 2, 4)).alias("gram"))
     per_part = grams.groupBy("gram", "p_partkey").agg(F.count(F.lit(1)).alias("n"))
     return per_part.groupBy("gram").agg(
@@ -306,14 +311,17 @@ def compare_analyzers(spark, d):
 )
 def multilingual_fields(spark, d):
     """One field per language under its own stop words, one raw field for all."""
-    docs = documents(spark, d)
-    own = tk.Analyzer(stop="row").tokens(F.col("text"), F.col("lang"))
-    fields = F.array(
-        F.struct(F.concat(F.lit("content_"), F.col("lang")).alias("field"), own.alias("t")),
-        F.struct(F.lit("content_raw").alias("field"), tk.simple_tokens(F.lower("text")).alias("t")),
-    )
-    rows = docs.select("doc_id", F.inline(fields)).select("doc_id", "field", F.explode("t").alias("term"))
-    per_doc = rows.groupBy("field", "term", "doc_id").agg(F.count(F.lit(1)).alias("tf"))
+    docs = documents(spark, d).select("doc_id", "text", "lang")
+
+    def analyse(rows: DataFrame) -> DataFrame:
+        own = tk.Analyzer(stop="row").tokens(F.col("text"), F.col("lang"))
+        fields = F.array(
+            F.struct(F.concat(F.lit("content_"), F.col("lang")).alias("field"), own.alias("slots")),
+            F.struct(F.lit("content_raw").alias("field"), tk.simple_tokens(F.lower("text")).alias("slots")),
+        )
+        return rows.select(F.col("doc_id").alias("key"), F.inline(fields)).withColumn("dl", F.size("slots"))
+
+    per_doc = ps.build_postings(ps.Streams(docs, "doc_id", analyse))
     return per_doc.groupBy("field", "term").agg(
         F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf")
     )
