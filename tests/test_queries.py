@@ -492,3 +492,21 @@ def test_deletion_keys_stand_once_for_the_same_first_letters(spark):
     assert keys.count() == keys.select("key").distinct().count() < 30
     found = {r.key for r in q.match(saved, q.Fuzzy("t", "lettre7", 1), scored=False).collect()}
     assert found == {7}
+
+
+def test_batch_proposals_are_checked_for_a_second_term_before_all_others(spark):
+    """A set of terms is a number and a proposal one row; only documents with both of the rarest
+    terms are looked up for the others."""
+    long = " ".join(f"w{i}" for i in range(40))
+    texts = [(k, f"rare{k % 2} common") for k in range(60)] + [(90, long + " rare0 next"), (91, long + " rare0"), (92, "solo"), (93, "next rare0")]
+    docs = spark.createDataFrame(texts, "id long, text string")
+    corpus = Corpus.analyze(docs, "id", {"text": "text"})
+    postings = build_postings(token_table(docs, "id", {"text": "text"}))
+    asked = {"a": (long + " rare0 next").split(), "b": ["solo"], "c": ["rare0", "next"], "d": ["rare0", "nowhere"], "e": ["next", "rare0"]}
+    queries = spark.createDataFrame([(n, t) for n, terms in asked.items() for t in terms], "query_id string, term string")
+    found = rk.batch_search(queries, postings, *corpus.stats("text"), k=10)
+    want = {(n, k) for n, terms in asked.items() for k, text in texts if set(terms) <= set(text.split())}
+    assert {(r.query_id, r.key) for r in found.collect()} == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    semi = [line for line in plan.splitlines() if "Join LeftSemi" in line]
+    assert any("next" in line for line in semi)
