@@ -35,6 +35,7 @@ TOKEN_MASK = np.int64((1 << TOKEN_BITS) - 1)
 BLOCK = 1024  # sets of a part of a branch
 LOAD = 1 << 20  # shingles of a part
 LONG = LOAD // 16  # a set of more shingles is in no part: its pairs are streamed
+PATH = 128  # tokens of a node of a trie, 255 at most
 ROWS = 256  # rows of a batch that are Python objects at a time
 
 
@@ -237,67 +238,128 @@ def compare(pairs: DataFrame, sets: DataFrame, docs: DataFrame, key: str, text:
 
 
 class Trie:
-    """Ordered sets as a trie, level by level.
+    """Ordered sets as a trie, level by level.  A path without branches or ends is one node of
+    up to ``PATH`` tokens, so a level is a step over many places of the order.
 
-    ``levels`` has, for each node of a level, its token and parent and, over the sets below
-    it, the most tokens still to come, the smallest size and the highest number; ``leaf`` says
-    which sets end at which nodes.  Sets are numbered by size, the smallest first.
+    ``levels`` has, for each node of a level, its parent, its tokens (a span of ``flat``) and,
+    over the sets below it, the most tokens still to come, the smallest size and the highest
+    number; ``leaf`` says which sets end at which nodes.  Sets are numbered by size, the
+    smallest first.
     """
 
     def __init__(self, lists: list[np.ndarray], sizes: np.ndarray):
-        self.flat, self.first, self.sizes = np.concatenate(lists), np.cumsum(sizes) - sizes, sizes
-        self.node, self.alive = np.zeros(len(lists), np.int64), np.arange(len(lists))
+        self.flat = np.concatenate(lists)
+        first = np.cumsum(sizes) - sizes
+        # nodes, the root first: where in the order each ends, the node above, one set below and,
+        # over all sets below, their greatest and smallest size and highest number
+        end, parent, some, most, least, last = nodes = [0], [0], [0], [0], [1 << 62], [-1]
+        at, path, before = np.zeros(len(lists), np.int64), [0], lists[0][:0]  # path: of the set added last
+
+        def add(depth: int, k: int) -> None:
+            for column, value in zip(nodes, (depth, path[-1], k, 0, 1 << 62, -1)):
+                column.append(value)
+            path.append(len(end) - 1)
+
+        def leave(depth: int) -> None:
+            """Nodes of the path below ``depth`` are complete; one that reaches past it is split."""
+            while end[path[-1]] > depth:
+                child = path.pop()
+                if end[path[-1]] < depth:
+                    add(depth, some[child])
+                top = parent[child] = path[-1]
+                most[top], least[top] = max(most[top], most[child]), min(least[top], least[child])
+                last[top] = max(last[top], last[child])
+
+        for k in sorted(range(len(lists)), key=lambda k: lists[k].astype(">u4").tobytes()):
+            here, n = lists[k], int(sizes[k])
+            size = min(len(before), n)
+            differ = np.flatnonzero(before[:size] != here[:size])
+            shared = int(differ[0]) if len(differ) else size
+            leave(shared)
+            if n > shared:
+                add(n, k)
+            at[k] = top = path[-1]
+            most[top], least[top], last[top] = max(most[top], n), min(least[top], n), max(last[top], k)
+            before = here
+        leave(0)
+        end, parent = np.array(end), np.array(parent)
+        begin = end[parent]
+        pieces = -(-(end - begin) // PATH)
+        # nodes cut into pieces: each node is its last one, and the first hangs on the parent's last
+        stop = np.cumsum(pieces + (end == 0)) - 1
+        owner = np.repeat(np.arange(len(end)), pieces + (end == 0))
+        number = np.arange(len(owner)) - (stop - pieces + 1)[owner]
+        number[0] = 0
+        low = begin[owner] + PATH * number
+        high = np.minimum(low + PATH, end[owner])
+        up = np.where(number > 0, np.arange(len(owner)) - 1, stop[parent][owner])
+        depth = np.zeros(len(end), np.int64)
+        for k in np.argsort(end, kind="stable")[1:].tolist():
+            depth[k] = depth[parent[k]] + pieces[k]
+        level = depth[owner] - (pieces[owner] - 1 - number)
+        level[0] = 0
+        most, least, last = (np.array(c)[owner] for c in (most, least, last))
+        start = first[np.array(some)][owner] + low
         self.levels, self.leaf = [], []
-
-    def grow(self) -> None:
-        """The next level.  Walks that end early leave the rest of the trie unbuilt."""
-        depth = len(self.leaf)
-        done = self.sizes[self.alive] == depth
-        self.leaf.append((self.alive[done], self.node[self.alive[done]]))
-        self.alive = alive = self.alive[~done]
-        if not len(alive):
-            return
-        # a sort by parent first, so a parent's children stand together
-        pairs, inverse = np.unique(self.node[alive] << 32 | self.flat[self.first[alive] + depth], return_inverse=True)
-        self.node[alive] = inverse
-        most, last = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
-        least = np.full(len(pairs), np.iinfo(np.int64).max)
-        np.maximum.at(most, inverse, self.sizes[alive] - depth - 1)
-        np.maximum.at(last, inverse, alive)
-        np.minimum.at(least, inverse, self.sizes[alive])
-        self.levels.append((pairs & ((1 << 32) - 1), pairs >> 32, most, least, last))
+        by_level = np.argsort(level, kind="stable")
+        bounds = np.searchsorted(level[by_level], np.arange(level.max() + 2))
+        ends_at = stop[at]
+        by_leaf = np.argsort(level[ends_at], kind="stable")
+        leaf_bounds = np.searchsorted(level[ends_at][by_leaf], np.arange(level.max() + 2))
+        place = np.zeros(len(owner), np.int64)
+        for d in range(len(bounds) - 1):
+            nodes = by_level[bounds[d] : bounds[d + 1]]
+            nodes = nodes[np.argsort(place[up[nodes]], kind="stable")]
+            above = place[up[nodes]]
+            place[nodes] = np.arange(len(nodes))
+            if d:
+                self.levels.append(
+                    (above, start[nodes], (high - low)[nodes], (most - high)[nodes], least[nodes], last[nodes])
+                )
+            sets = by_leaf[leaf_bounds[d] : leaf_bounds[d + 1]]
+            sets = sets[np.argsort(place[ends_at[sets]], kind="stable")]
+            self.leaf.append((sets, place[ends_at[sets]]))
 
     def walk(
         self, has: np.ndarray, sizes: np.ndarray, numbers: np.ndarray
     ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(probe, set, overlap) of the later sets that no bound rules out.
 
-        ``has``: probes by tokens, 1 where held.  The overlap of a path is worked out once for
+        ``has``: tokens by probes, 1 where held.  The overlap of a path is worked out once for
         all sets below it.  A node goes, with its subtree, if the overlap and the most tokens
         still to come below miss the least overlap that any set below needs, or if all sets
         below stand before the probe.
         """
-        probe, node, overlap = np.arange(len(has)), np.zeros(len(has), np.int64), np.zeros(len(has), np.int64)
-        depth = 0
-        while True:
-            if depth == len(self.leaf):
-                self.grow()
-            ends, at = self.leaf[depth]
-            if len(ends) and len(probe):
-                order = np.argsort(at, kind="stable")
-                which, child = below(at[order], node)
-                later = ends[order][child] > numbers[probe[which]]
+        probe = np.arange(has.shape[1])
+        node, overlap = np.zeros(len(probe), np.int64), np.zeros(len(probe), np.int64)
+        for depth, (ends, at) in enumerate(self.leaf):
+            if len(ends):
+                which, child = below(at, node)
+                later = ends[child] > numbers[probe[which]]
                 if later.any():
-                    yield probe[which][later], ends[order][child][later], overlap[which][later]
-            if depth == len(self.levels) or not len(probe):
+                    yield probe[which][later], ends[child][later], overlap[which][later]
+            if depth == len(self.levels):
                 return
-            token, parent, most, least, last = self.levels[depth]
+            parent, start, length, most, least, last = self.levels[depth]
             which, child = below(parent, node)
-            probe = probe[which]
-            overlap = overlap[which] + has[probe, token[child]]
-            live = (overlap + most[child] >= need(sizes[probe], least[child])) & (last[child] > numbers[probe])
+            probe, overlap = probe[which], overlap[which]
+            # what a node's tokens could add at best rules out most nodes before they are read
+            live = (overlap + most[child] + length[child] >= need(sizes[probe], least[child])) & (last[child] > numbers[probe])
+            probe, child, overlap = probe[live], child[live], overlap[live]
+            if not len(probe):
+                return
+            wanted = np.zeros(len(parent), bool)
+            wanted[child] = True
+            wanted = np.flatnonzero(wanted)
+            size = length[wanted]
+            stop = np.cumsum(size)
+            tokens = self.flat[np.arange(stop[-1]) + np.repeat(start[wanted] - (stop - size), size)]
+            held = np.add.reduceat(has[tokens], stop - size, axis=0, dtype=np.uint8)  # at most PATH
+            overlap = overlap + held[np.searchsorted(wanted, child), probe]
+            live = overlap + most[child] >= need(sizes[probe], least[child])
             probe, node, overlap = probe[live], child[live], overlap[live]
-            depth += 1
+            if not len(probe):
+                return
 
 
 def below(parents: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -344,9 +406,9 @@ def block_links(members: list[tuple], local: bool, sketch: np.ndarray) -> list[t
     step = max(1, min(64, 16_000_000 // max(1, len(every))))
     for a in range(0, len(members), step):
         b = min(len(members), a + step)
-        has = np.zeros((b - a, len(every)), np.uint8)
+        has = np.zeros((len(every), b - a), np.uint8)
         for k in range(a, b):
-            has[k - a, lists[k]] = 1
+            has[lists[k], k - a] = 1
         for probe, other, common in trie.walk(has, sizes[a:b], np.arange(a, b)):
             linked = common >= need(sizes[probe + a], sizes[other])
             for i, j in zip((probe[linked] + a).tolist(), other[linked].tolist()):

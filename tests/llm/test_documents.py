@@ -162,6 +162,19 @@ def test_the_walk_joins_what_links_join(seed, n, edits, local):
     assert groups(got) == groups(links)
 
 
+def test_a_long_path_of_the_trie_is_few_nodes():
+    """Two sets that part after 1000 tokens took a level for each token; overlaps stay exact."""
+    lists = [np.arange(2000), np.append(np.arange(1000), np.arange(2000, 3100)), np.arange(1, 2200)]
+    sizes = np.array([len(x) for x in lists])
+    trie = trie_join.Trie(lists, sizes)
+    has = np.zeros((3100, 3), np.uint8)
+    for k, x in enumerate(lists):
+        has[x, k] = 1
+    found = {(int(p), int(s)): int(o) for part in trie.walk(has, sizes, np.arange(3)) for p, s, o in zip(*part)}
+    assert found[0, 2] == 1999 and all(o == len(np.intersect1d(lists[p], lists[s])) for (p, s), o in found.items())
+    assert len(trie.levels) <= 2200 // trie_join.PATH + 2
+
+
 def test_blocks_are_bounded_by_shingles(spark, monkeypatch):
     sets = [(7, k, 20_000, 0, k) for k in range(400)] + [(8, k, 50, 0, k) for k in range(400)]
     rooted = spark.createDataFrame(sets, "token long, set_id long, n long, pos long, root long")
