@@ -36,6 +36,7 @@ CAPITALISED = r"\p{Lu}['’]?\p{L}?\p{Ll}[\p{L}'’-]*"
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+MARKS = 26  # 2 ** MARKS bits tell texts apart that need not be fetched
 DRIFT = 16  # words that a copy may have more or fewer than the item, to be judged as one
 
 
@@ -65,10 +66,17 @@ def template(text: Column, named: bool) -> Column:
     A name is a run of capitalised words, which may begin a sentence; words in capitals alone
     are not names.
     """
-    united = F.regexp_replace(
-        folded(text, named), rf"(?i){AT_FIGURE}{FIGURE}(\s?)(?:{UNITS})(?![\p{{L}}\p{{N}}])", f"{NUMBER}$1{UNIT}"
+    figured = F.regexp_replace(folded(text, named), rf"{AT_FIGURE}{FIGURE}", NUMBER)
+    # most texts have no figure, which is seen without a regular expression; a lambda's argument
+    # is worked out once
+    united = F.transform(
+        F.array(figured),
+        lambda t: F.when(
+            F.contains(t, F.lit(NUMBER)),
+            F.regexp_replace(t, rf"(?i){NUMBER}(\s?)(?:{UNITS})(?![\p{{L}}\p{{N}}])", f"{NUMBER}$1{UNIT}"),
+        ).otherwise(t),
     )
-    counted = F.regexp_replace(united, rf"{AT_FIGURE}{FIGURE}", NUMBER)
+    counted = F.get(united, F.lit(0))
     if named:
         counted = F.regexp_replace(
             # possessive: Java matches it in a loop, a greedy one takes a stack frame for each word
@@ -96,30 +104,28 @@ def views(rows: DataFrame, columns: list[str], of) -> DataFrame:
 def with_windows(worded: DataFrame, widths: list[int]) -> DataFrame:
     """``worded`` with the hashes of all runs of each width, ``w_<width>``, in place of words.
 
-    Words are hashed once.  Runs of two, four, eight... words are hashes of two halves, and a
-    run of any width is one of the two longest such runs that cover it.  Runs that the end of
-    the text cuts off are sliced away; fewer words than the width have none.
+    Words are hashed once, then runs of three, from which a run of any greater width is put
+    together in one step.  Fewer words than the width have no run.
     """
-    halves = [1]
-    while 2 * halves[-1] < max(widths):
-        halves.append(2 * halves[-1])
     kept = [c for c in worded.columns if c != "words"]
     rows = worded.select(*kept, F.transform("words", lambda w: F.xxhash64(w, F.col("named"))).alias("run_1"))
-    for half in halves[:-1]:
-        rows = rows.withColumn(f"run_{2 * half}", paired(f"run_{half}", half, 2 * half))
+    rows = rows.select("*", runs("run_1", [0, 1, 2], 3).alias("run_3"))
     out = []
     for width in widths:
-        half = max([h for h in halves if h < width], default=1)
-        out.append(paired(f"run_{half}", width - half, width).alias(f"w_{width}"))
+        if width < 3:
+            made = runs("run_1", list(range(width)), width)
+        else:
+            made = runs("run_3", [*range(0, width - 3, 3), width - 3], width)
+        out.append(made.alias(f"w_{width}"))
     return rows.select(*kept, F.size("run_1").alias("n_words"), *out)
 
 
-def paired(runs: str, shift: int, width: int) -> Column:
-    """Hashes of each run and the one ``shift`` places on, with the width they cover."""
-    n = F.size("run_1") - (width - 1)
-    later = F.slice(runs, shift + 1, F.greatest(n, F.lit(0)))
-    first = F.slice(runs, 1, F.greatest(n, F.lit(0)))
-    return F.zip_with(first, later, lambda a, b: F.xxhash64(a, b, F.lit(width)))
+def runs(parts: str, shifts: list[int], width: int) -> Column:
+    """Hashes of each run of ``width`` words, from those of its parts at ``shifts``."""
+    first = F.slice(parts, 1, F.greatest(F.size("run_1") - (width - 1), F.lit(0)))
+    return F.transform(
+        first, lambda part, at: F.xxhash64(part, *(F.get(parts, at + k) for k in shifts[1:]), F.lit(width))
+    )
 
 
 def item_windows(items: DataFrame, settings: Settings) -> DataFrame:
@@ -158,6 +164,23 @@ def alignments(shift: Column) -> Column:
     return F.array(F.lit("all"), F.concat(F.lit("at:"), shift.cast("string")), *near)
 
 
+def maybe_in(rows: DataFrame, hashes: DataFrame, name: str) -> DataFrame:
+    """``rows`` whose hash ``name`` is in ``hashes``, and few others, so that a join behind it does
+    not shuffle the rest.  A bitmap of 2**``MARKS`` bits (8 MB) is all that is broadcast."""
+    bits = F.lit(1 << 15)  # of a piece: Spark's bitmaps have 4 KB
+    mark = F.pmod(F.col(name), F.lit(1 << MARKS))
+    pieces = hashes.select(F.floor(mark / bits).alias("piece_"), F.pmod(mark, bits).alias("bit_")).groupBy("piece_").agg(
+        F.bitmap_construct_agg("bit_").alias("marks_")
+    )
+    bit = F.pmod(mark, bits).cast("int")
+    byte = F.conv(F.hex(F.substring("marks_", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    kept = [F.col(c) for c in rows.columns]
+    return (
+        rows.join(F.broadcast(pieces), F.floor(mark / bits) == F.col("piece_"))
+        .where(F.getbit(byte, F.pmod(bit, F.lit(8))) == 1).select(*kept)
+    )
+
+
 def find_leaks(
     docs: DataFrame,
     items: DataFrame,
@@ -225,9 +248,10 @@ def find_leaks(
     )
     # each text is split once a view, however many slots it has
     wanted = slots.groupBy("text_hash", "named").agg(F.collect_set("d").alias("places"))
+    hashes = slots.select("text_hash").distinct()
     texts = (
-        docs.select(F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text_"))
-        .join(slots.select("text_hash").distinct(), "text_hash").dropDuplicates(["text_hash"])
+        maybe_in(docs.select(F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text_")), hashes, "text_hash")
+        .join(hashes, "text_hash").dropDuplicates(["text_hash"])
     )
     said = (
         texts.join(wanted, "text_hash")

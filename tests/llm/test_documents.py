@@ -76,6 +76,24 @@ def test_subword_ids_are_the_tokenizers(text):
     assert known.encode(text.replace("\ud800", "")).tolist() == known.whole(text.replace("\ud800", "")).tolist()
 
 
+def test_words_once_known_stay_known(monkeypatch):
+    """Half a million words filled the memory, which was then cleared and learned again."""
+    known = subwords.SubwordIds(public_tokenizers.path("word_bpe_49k.json"))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [a + b + c + d for a in letters for b in letters for c in letters for d in letters]
+    texts = [" ".join(words[k : k + 50_000]) for k in range(0, len(words), 50_000)]
+    first = [known.encode(t) for t in texts]
+    monkeypatch.setattr(known, "learn", None)
+    assert all((known.encode(t) == ids).all() for t, ids in zip(texts, first))
+    assert (first[0] == known.whole(texts[0])).all()
+
+
+def test_a_full_memory_of_words_starts_anew():
+    known = subwords.SubwordIds(public_tokenizers.path("word_bpe_49k.json"), most=6)
+    for text in ("one two three", "four five, five", "one six seven eight nine ten eleven", "two İstanbul 中文 's one", ""):
+        assert (known.encode(text) == known.whole(text)).all()
+
+
 # ---- near copies -------------------------------------------------------------------------
 
 
@@ -409,6 +427,22 @@ def test_leaks_and_slots(spark):
     assert decontaminate.find_leaks(frame(spark, rows), items.limit(0)).count() == 0
 
 
+def test_the_bitmap_keeps_all_wanted_hashes_and_few_others(spark):
+    """Texts with slots were found by a join that shuffled all texts."""
+    rows = spark.range(20_000).select(F.xxhash64("id").alias("hash"), "id").unionByName(spark.createDataFrame([(None, 7)], "hash long, id long"))
+    wanted = rows.where("id % 100 = 0").select("hash")
+    got = [r.id for r in decontaminate.maybe_in(rows, wanted, "hash").collect()]
+    assert set(range(0, 20_000, 100)) <= set(got) and len(got) < 250
+    assert decontaminate.maybe_in(rows, wanted.limit(0), "hash").count() == 0
+
+
+def test_figures_and_units_of_a_template(spark):
+    n, u = decontaminate.NUMBER, decontaminate.UNIT
+    df = spark.createDataFrame([("5km-7 for 5 Min, 12:30/h 5%s 3.5 m.7 x5 km",), ("no figure",), (None,)], "text string")
+    got = [r.t for r in df.select(decontaminate.template(F.col("text"), False).alias("t")).collect()]
+    assert got == [[n + u + n, "for", n, u, n + u, n + u, n, u + n, "x5", "km"], ["no", "figure"], None]
+
+
 def test_a_run_of_many_names(spark):
     """A list of thousands of names is one word to the named view, and no deep recursion."""
     rows = [(1, "Seen by " + "Anna " * 20_000 + "today. " + ITEM), (2, "Anna " * 20_000)]
