@@ -22,69 +22,86 @@ PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[^\W{FIGURES}_]+|[{FIGURES}]|(?:[^
 
 
 class SubwordIds:
-    """Ids of texts as 16-bit arrays.  About ``most`` words and parts of words are remembered."""
+    """Ids of texts as 16-bit arrays.  About ``most`` words are remembered, by their hashes."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 3_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for piece, number in vocabulary.items():
             self.ends[number] = piece.endswith("</w>")
+        self.forget()
+
+    def forget(self) -> None:
+        """Known words: sorted hashes, and where the ids of each begin in ``ids`` and how many
+        they are."""
+        self.known, self.first, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.ids, self.filled = np.zeros(1 << 16, "<u2"), 0
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2")
 
-    def learn_parts(self, parts: list[str]) -> None:
-        ids = self.whole(" ".join(parts))
-        bounds = np.flatnonzero(self.ends[ids]) + 1
-        if len(bounds) == len(parts):
-            packed, at = ids.tobytes(), 0
-            for part, end in zip(parts, (2 * bounds).tolist()):
-                self.parts[part] = packed[at:end]
-                at = end
-        else:
-            for part in parts:
-                self.parts[part] = self.whole(part).tobytes()
-
-    def learn(self, words: list[bytes]) -> None:
-        texts = [w.decode("utf-8", "replace") for w in words]
-        split = [None if UNUSUAL.search(t) else PARTS.findall(t.lower()) for t in texts]
-        if len(self.words) + len(words) > self.most:
-            self.words.clear()
-        if len(self.parts) > self.most:
-            self.parts.clear()
-        new = set().union(*(p for p in split if p)).difference(self.parts)
-        if new:
-            self.learn_parts(sorted(new))
-        for word, text, parts in zip(words, texts, split):
-            if parts is None:
-                self.words[word] = self.whole(text).tobytes()
-            else:
-                self.words[word] = b"".join([self.parts[p] for p in parts])
+    def spelled(self, words: list[str]) -> list[np.ndarray]:
+        """The ids of each of some words, whose texts are encoded in one call."""
+        usual = [k for k, w in enumerate(words) if not UNUSUAL.search(w)]
+        text = " ".join([words[k] for k in usual]).lower()
+        sizes = np.array([len(words[k].lower()) + 1 for k in usual], np.int64)
+        parts = np.searchsorted(np.cumsum(sizes), [m.start() for m in PARTS.finditer(text)], side="right")
+        n_parts = np.bincount(parts, minlength=len(usual))
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u2")
+        ends = np.append(0, np.flatnonzero(self.ends[ids]) + 1)
+        out: list = [None] * len(words)
+        if len(ends) - 1 == n_parts.sum():
+            bounds = ends[np.append(0, np.cumsum(n_parts))].tolist()
+            for k, a, b in zip(usual, bounds, bounds[1:]):
+                out[k] = ids[a:b]
+        return [self.whole(w) if found is None else found for w, found in zip(words, out)]
+
+    def learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        """Remember new words; ``hashes`` are sorted."""
+        found = self.spelled(words)
+        size = np.array([len(f) for f in found], np.int32)
+        flat = np.concatenate([*found, np.zeros(0, "<u2")])
+        stop = self.filled + len(flat)
+        if stop > len(self.ids):
+            grown = np.zeros(2 * stop, "<u2")
+            grown[: self.filled] = self.ids[: self.filled]
+            self.ids = grown
+        self.ids[self.filled : stop] = flat
+        first = self.filled + np.cumsum(size) - size
+        self.filled = stop
+        order = np.argsort(np.concatenate([self.known, hashes]), kind="stable")  # merges two sorted runs
+        self.known = np.concatenate([self.known, hashes])[order]
+        self.first = np.concatenate([self.first, first])[order]
+        self.size = np.concatenate([self.size, size])[order]
 
     def encode_words(self, words: Words) -> list[np.ndarray]:
         """The ids of each of the texts."""
         distinct, at, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
-        data = words.data.tobytes()
-        spelled = [data[a:b] for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist())]
-        new = [w for w in spelled if w not in self.words]
-        if new:
-            before = len(self.words)
-            self.learn(new)
-            if len(self.words) < before + len(new):  # the memory was cleared
-                self.learn([w for w in spelled if w not in self.words])
-        packed = [self.words[w] for w in spelled]
-        size = np.array([len(p) for p in packed], np.int64) // 2
-        flat = np.frombuffer(b"".join(packed), "<u2")
-        first = np.cumsum(size) - size
-        times = size[inverse] if len(inverse) else np.zeros(0, np.int64)
+        for _ in range(2):
+            place = np.searchsorted(self.known, distinct)
+            new = np.ones(len(distinct), bool)
+            inside = place < len(self.known)
+            new[inside] = self.known[place[inside]] != distinct[inside]
+            if not new.any():
+                break
+            if len(self.known) and len(self.known) + new.sum() > self.most:
+                self.forget()
+                new[:] = True
+            data = words.data
+            spelled = [
+                data[a:b].tobytes().decode("utf-8", "replace")
+                for a, b in zip(words.starts[at[new]].tolist(), words.ends[at[new]].tolist())
+            ]
+            self.learn(distinct[new], spelled)
+        size = self.size[place].astype(np.int64) if len(distinct) else np.zeros(0, np.int64)
+        times = size[inverse]
         end = np.cumsum(times)
-        source = np.arange(int(times.sum())) + np.repeat(first[inverse] - (end - times), times)
-        ids, bounds = flat[source], np.append(0, end)[words.first]
+        total = int(end[-1]) if len(end) else 0
+        source = np.arange(total) + np.repeat(self.first[place][inverse] - (end - times), times)
+        ids, bounds = self.ids[source], np.append(0, end)[words.first]
         return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
