@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -77,14 +78,33 @@ def tokenize(docs: DataFrame, key: str, text: str, tokenizer: str, with_ids: boo
     return docs.selectExpr(f"cast(`{key}` as long) as doc_id", f"`{text}` as text").mapInArrow(run, TOKENIZED)
 
 
+def term_counts(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct ids of each text, ascending, how often each stands there, and where each text begins.
+
+    One sort serves up to 65,536 texts.
+    """
+    terms, times, first = [], [], [np.zeros(1, np.int64)]
+    for a in range(0, len(texts), 1 << 16):
+        some = texts[a : a + (1 << 16)]
+        keys = np.repeat(np.arange(len(some), dtype=np.uint32) << np.uint32(16), [len(t) for t in some])
+        keys |= np.concatenate(some)
+        keys.sort()
+        begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+        times.append(np.diff(np.append(begins, len(keys))))
+        terms.append((keys[begins] & np.uint32(0xFFFF)).astype(np.int64))
+        held = np.bincount(keys[begins] >> np.uint32(16), minlength=len(some))
+        first.append(first[-1][-1] + np.cumsum(held))
+    return np.concatenate([*terms, np.zeros(0, np.int64)]), np.concatenate([*times, np.zeros(0, np.int64)]), np.concatenate(first)
+
+
 def document_frequencies(units: DataFrame) -> np.ndarray:
     """How many remainders hold each id: one vector of the vocabulary's size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros(VOCABULARY, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                found[np.unique(np.frombuffer(ids.as_buffer(), "<u2"))] += 1
+            terms, _, _ = term_counts([np.frombuffer(i.as_buffer(), "<u2") for i in batch.column(0)])
+            found += np.bincount(terms, minlength=VOCABULARY)
         held = np.flatnonzero(found)
         yield pa.RecordBatch.from_pydict({"id": held, "df": found[held]})
 
@@ -95,13 +115,19 @@ def document_frequencies(units: DataFrame) -> np.ndarray:
     return out
 
 
+@cache
+def directions_of_ids() -> np.ndarray:
+    return np.random.default_rng(SKETCH).standard_normal((VOCABULARY, SKETCH), np.float32)
+
+
 def sketches(texts: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
     """Each text's BM25-weighted ids, projected on ``SKETCH`` fixed random directions, length 1."""
-    directions = np.random.default_rng(SKETCH).standard_normal((VOCABULARY, SKETCH), np.float32)
+    directions = directions_of_ids()
     out = np.zeros((len(texts), SKETCH))
-    for k, ids in enumerate(texts):
-        term, tf = np.unique(ids, return_counts=True)
-        out[k] = (idf[term] * tf / (tf + K1)).astype(np.float32) @ directions[term]
+    terms, tf, first = term_counts(texts)
+    weights = (idf[terms] * tf / (tf + K1)).astype(np.float32)
+    for k, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
+        out[k] = weights[a:b] @ directions[terms[a:b]]
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
 
 
@@ -154,28 +180,35 @@ class Shard:
         self.texts = texts
         self.used = np.zeros(len(texts), np.int64)
         self.alive = np.ones(len(texts), bool)
-        terms, docs, weights = [], [], []
-        for d, ids in enumerate(texts):
-            term, tf = np.unique(ids, return_counts=True)
-            terms.append(term)
-            docs.append(np.full(len(term), d))
-            weights.append(idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean)))
-        self.first = np.cumsum([0] + [len(t) for t in terms])
-        flat_terms, flat_docs = np.concatenate(terms), np.concatenate(docs)
-        flat_weights = np.concatenate(weights)
-        self.by_text = flat_terms
-        order = np.argsort(flat_terms, kind="stable")
-        self.terms, self.docs, self.weights = flat_terms[order], flat_docs[order], flat_weights[order]
+        terms, tf, self.first = term_counts(texts)
+        held = np.diff(self.first)
+        docs, size = np.repeat(np.arange(len(texts)), held), np.repeat([len(t) for t in texts], held)
+        weights = idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size / mean))
+        self.by_text = terms
+        order = np.argsort(terms, kind="stable")
+        self.index(terms[order], docs[order], weights[order], len(texts))
+
+    def index(self, terms: np.ndarray, docs: np.ndarray, weights: np.ndarray, held: int) -> None:
+        """Postings in the order of their terms; ``held`` texts have some."""
+        self.terms, self.docs, self.weights, self.held = terms, docs, weights, held
+        self.begins = np.append(0, np.cumsum(np.bincount(terms, minlength=VOCABULARY)))
+
+    def forget_used(self) -> None:
+        """Postings of used texts go: they score for nothing."""
+        kept = self.alive[self.docs]
+        self.index(self.terms[kept], self.docs[kept], self.weights[kept], int(self.alive.sum()))
 
     def neighbours(self, seed: int) -> np.ndarray:
         """Unused texts, best BM25 score first; the query is all ids of the seed.  Equal scores,
         none included, keep the order of the shard."""
+        left = np.flatnonzero(self.alive)
+        if 4 * len(left) < 3 * self.held:
+            self.forget_used()
         chosen = self.by_text[self.first[seed] : self.first[seed + 1]]
-        starts, ends = np.searchsorted(self.terms, chosen), np.searchsorted(self.terms, chosen, side="right")
-        sizes = ends - starts
+        starts = self.begins[chosen]
+        sizes = self.begins[chosen + 1] - starts
         at = np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
         scores = np.bincount(self.docs[at], self.weights[at], len(self.texts))
-        left = np.flatnonzero(self.alive)
         return left[np.argsort(-scores[left], kind="stable")]
 
     def take(self, text: int, room: int) -> tuple[int, np.ndarray]:

@@ -76,7 +76,9 @@ class Words:
         self.first = np.searchsorted(self.starts, offsets)
         up, down = powers(n + 1)
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(BYTE_CODES[data] * up[:n], out=sums[1:])
+        codes = BYTE_CODES[data]
+        codes *= up[:n]
+        np.cumsum(codes, out=sums[1:])
         size = (self.ends - self.starts).astype(np.uint64)
         self.hashes = mix((sums[self.ends] - sums[self.starts]) * down[self.starts] + size)
 

@@ -94,6 +94,15 @@ def test_a_full_memory_of_words_starts_anew():
         assert (known.encode(text) == known.whole(text)).all()
 
 
+def test_new_plain_words_do_not_call_the_tokenizer(monkeypatch):
+    """Each new word was a Python string that the tokenizer encoded."""
+    known = subwords.SubwordIds(public_tokenizers.path("word_bpe_49k.json"))
+    text = "Brandneue Wörter, éclairs!! 12,5 % queèèréle### <b> Ÿ" + " " + "ab" * 16
+    want = known.whole(text)
+    monkeypatch.setattr(known, "spelled", None)
+    assert known.encode(text).tolist() == want.tolist()
+
+
 # ---- near copies -------------------------------------------------------------------------
 
 
@@ -337,6 +346,18 @@ def test_neighbours_come_by_score():
     assert order == want and order[0] == 13
 
 
+def test_postings_of_used_texts_go():
+    """Each seed was compared with all texts of its shard, used ones too."""
+    rng = np.random.default_rng(6)
+    texts = [rng.integers(0, 60, 30).astype("<u2") for _ in range(40)]
+    shard = bm25_packing.Shard(texts, np.ones(bm25_packing.VOCABULARY), 30.0)
+    want = shard.neighbours(0)
+    for text in range(1, 31):
+        shard.take(text, 30)
+    assert shard.neighbours(0).tolist() == [k for k in want if k == 0 or k > 30]
+    assert set(shard.docs.tolist()) == {0, *range(31, 40)}
+
+
 def test_texts_of_like_ids_get_near_codes(spark):
     rng = np.random.default_rng(9)
     rows, topic = [], {}
