@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,31 +13,51 @@ from lexigrid.session import stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Hang each node's larger (or its smaller) neighbours on its smallest neighbour."""
+    """Hang each node's larger (or its smaller) neighbours on its smallest neighbour.
+
+    The edges of a node come in the order of its neighbours, the smallest first, so one shuffle
+    a star is enough, and the rows pass one by one however many a node has.  An edge may come
+    out several times; its copies stand side by side in the next star and go there.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node, least, neighbour = None, None, None  # of the last row
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            u, v = (c.to_numpy() for c in batch.columns)
+            begins = np.append(node is None or u[0] != node, u[1:] != u[:-1])
+            again = np.append(not begins[0] and v[0] == neighbour, ~begins[1:] & (v[1:] == v[:-1]))
+            smallest = np.minimum(u, v) if large else v
+            starts = np.flatnonzero(begins)
+            m = np.repeat(np.append(least if least is not None else 0, smallest[starts]), np.diff(np.concatenate([[0], starts, [len(u)]])))
+            node, least, neighbour = u[-1], m[-1], v[-1]
+            if large:
+                moved = ~again & (v > u) & (v != m)
+                found = v[moved], m[moved]
+            else:
+                moved = ~again & (v != m)
+                found = np.concatenate([v[moved], u[begins]]), np.concatenate([m[moved], m[begins]])
+            if len(found[0]):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["u", "v"])
+
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     seen = both if large else both.where("v < u")
-    least = seen.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    hung = seen.join(least, "u")
-    if large:
-        moved = hung.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        moved = hung.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            least.where("u <> m").select("u", F.col("m").alias("v"))
-        )
-    return moved.where("u <> v").distinct()
+    return seen.repartition("u").sortWithinPartitions("u", "v").mapInArrow(run, "u long, v long")
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node of ``links`` (u, v); the root is the smallest node.  Rounds
-    go on until no link moves; each is written, so that lost executors cost one round."""
-    edges = stored(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "links")
+    go on until no link moves; each is written, so that lost executors cost one round.  A round
+    is two shuffles."""
+    edges = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
     before = None
     while True:
+        edges = stored(_star(_star(edges, large=True), large=False), "links")
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if tuple(state) == before or state[0] == 0:
             break
         before = tuple(state)
-        edges = stored(_star(_star(edges, large=True), large=False), "links")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )

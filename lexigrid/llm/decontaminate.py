@@ -164,9 +164,10 @@ def alignments(shift: Column) -> Column:
     return F.array(F.lit("all"), F.concat(F.lit("at:"), shift.cast("string")), *near)
 
 
-def maybe_in(rows: DataFrame, hashes: DataFrame, name: str) -> DataFrame:
-    """``rows`` whose hash ``name`` is in ``hashes``, and few others, so that a join behind it does
-    not shuffle the rest.  A bitmap of 2**``MARKS`` bits (8 MB) is all that is broadcast."""
+def marked(rows: DataFrame, hashes: DataFrame, name: str, how: str) -> DataFrame:
+    """``rows`` with ``maybe_``, true where the hash ``name`` is in ``hashes`` and for few others;
+    not true or, if ``how`` is inner, no row elsewhere.  A bitmap of 2**``MARKS`` bits (8 MB) is all
+    that is broadcast."""
     bits = F.lit(1 << 15)  # of a piece: Spark's bitmaps have 4 KB
     mark = F.pmod(F.col(name), F.lit(1 << MARKS))
     pieces = hashes.select(F.floor(mark / bits).alias("piece_"), F.pmod(mark, bits).alias("bit_")).groupBy("piece_").agg(
@@ -175,10 +176,15 @@ def maybe_in(rows: DataFrame, hashes: DataFrame, name: str) -> DataFrame:
     bit = F.pmod(mark, bits).cast("int")
     byte = F.conv(F.hex(F.substring("marks_", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     kept = [F.col(c) for c in rows.columns]
-    return (
-        rows.join(F.broadcast(pieces), F.floor(mark / bits) == F.col("piece_"))
-        .where(F.getbit(byte, F.pmod(bit, F.lit(8))) == 1).select(*kept)
-    )
+    return rows.join(F.broadcast(pieces), F.floor(mark / bits) == F.col("piece_"), how).select(
+        *kept, F.coalesce(F.getbit(byte, F.pmod(bit, F.lit(8))) == 1, F.lit(False)).alias("maybe_")
+    )
+
+
+def maybe_in(rows: DataFrame, hashes: DataFrame, name: str) -> DataFrame:
+    """``rows`` whose hash ``name`` is in ``hashes``, and few others, so that a join behind it does
+    not shuffle the rest."""
+    return marked(rows, hashes, name, "inner").where("maybe_").drop("maybe_")
 
 
 def find_leaks(

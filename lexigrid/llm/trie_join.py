@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexigrid.llm.components import components
+from lexigrid.llm.decontaminate import marked
 from lexigrid.llm.registry import query, set_aside, table
 from lexigrid.llm.textbatch import batch_words, windows
 from lexigrid.session import stored
@@ -615,11 +616,19 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
 def _keep_one(docs: DataFrame, key: str, text: str) -> DataFrame:
     classes = ngram_classes(docs, key, text)
-    copies = classes.where(F.col(key) != F.col("component_id")).select(
-        F.col(key).alias("key_"), F.col("text_hash").alias("hash_")
-    ).distinct()
-    on = (F.col(key) == F.col("key_")) & (F.xxhash64(F.col(text)) == F.col("hash_"))
-    return docs.join(copies, on, "left_anti")
+    copies = stored(
+        classes.where(F.col(key) != F.col("component_id"))
+        .select(F.col(key).alias("key_"), F.col("text_hash").alias("hash_")).distinct(),
+        "copies",
+    )
+    # only rows that may be copies are shuffled
+    rows = marked(
+        docs.withColumn("text_hash_", F.xxhash64(F.col(text))), copies.select(F.col("hash_").alias("text_hash_")),
+        "text_hash_", "left",
+    )
+    on = (F.col(key) == F.col("key_")) & (F.col("text_hash_") == F.col("hash_"))
+    kept = rows.where("maybe_").join(copies, on, "left_anti")
+    return rows.where(~F.col("maybe_")).unionByName(kept).select(*docs.columns)
 
 
 @query("op2_trie_jaccard_join")

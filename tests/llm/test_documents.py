@@ -219,6 +219,17 @@ def test_components_of_a_long_path(spark):
     assert {r.node: r.root for r in rows} == {**{k: 1 for k in range(1, 61)}, 100: 100, 101: 100}
 
 
+@pytest.mark.parametrize("large", [True, False])
+def test_a_star_is_one_shuffle(spark, large):
+    """Aggregations and joins shuffled the edges six times a round."""
+    edges = spark.createDataFrame([(3, 1), (3, 2), (9, 3), (3, 1), (7, 6)], "u long, v long")
+    star = components._star(edges, large)
+    plan = star._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Join" not in plan and "Aggregate" not in plan
+    want = {(9, 1), (7, 6), (3, 1)} if large else {(2, 1), (3, 1), (9, 3), (7, 6)}
+    assert want <= {tuple(r) for r in star.collect()}
+
+
 # ---- lines -------------------------------------------------------------------------------
 
 
@@ -457,6 +468,15 @@ def test_the_bitmap_keeps_all_wanted_hashes_and_few_others(spark):
     assert decontaminate.maybe_in(rows, wanted.limit(0), "hash").count() == 0
 
 
+def test_rows_beside_the_bitmap_are_marked_and_stay(spark):
+    """Dropping copies shuffled the texts that have none, too."""
+    rows = spark.range(2_000).select(F.xxhash64("id").alias("hash"), "id").unionByName(spark.createDataFrame([(None, 7)], "hash long, id long"))
+    wanted = rows.where("id % 100 = 0").select("hash")
+    got = decontaminate.marked(rows, wanted, "hash", "left").collect()
+    assert sorted(r.id for r in got) == sorted([*range(2_000), 7]) and all(r.maybe_ for r in got if r.id % 100 == 0)
+    assert sum(r.maybe_ for r in got) < 40 and not any(r.maybe_ for r in decontaminate.marked(rows, wanted.limit(0), "hash", "left").collect())
+
+
 def test_figures_and_units_of_a_template(spark):
     n, u = decontaminate.NUMBER, decontaminate.UNIT
     df = spark.createDataFrame([("5km-7 for 5 Min, 12:30/h 5%s 3.5 m.7 x5 km",), ("no figure",), (None,)], "text string")
