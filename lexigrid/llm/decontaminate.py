@@ -101,31 +101,25 @@ def views(rows: DataFrame, columns: list[str], of) -> DataFrame:
     return rows.select(*columns, F.explode(both).alias("view_")).select(*columns, "view_.*")
 
 
-def with_windows(worded: DataFrame, widths: list[int]) -> DataFrame:
-    """``worded`` with the hashes of all runs of each width, ``w_<width>``, in place of words.
+def with_windows(worded: DataFrame, columns: list[str], pos: str, widths: list[int]) -> DataFrame:
+    """(columns, ``pos``, width, window) of each run of ``width`` words of each row: its hash, for
+    every one of the widths.
 
-    Words are hashed once, then runs of three, from which a run of any greater width is put
-    together in one step.  Fewer words than the width have no run.
+    A row of words is one row a word first, whose run is hashed from the array beside it, all in
+    compiled code; a function of an array's elements is interpreted.  Fewer words than the width
+    have no run.
     """
-    kept = [c for c in worded.columns if c != "words"]
-    rows = worded.select(*kept, F.transform("words", lambda w: F.xxhash64(w, F.col("named"))).alias("run_1"))
-    rows = rows.select("*", runs("run_1", [0, 1, 2], 3).alias("run_3"))
-    out = []
-    for width in widths:
-        if width < 3:
-            made = runs("run_1", list(range(width)), width)
-        else:
-            made = runs("run_3", [*range(0, width - 3, 3), width - 3], width)
-        out.append(made.alias(f"w_{width}"))
-    return rows.select(*kept, F.size("run_1").alias("n_words"), *out)
-
-
-def runs(parts: str, shifts: list[int], width: int) -> Column:
-    """Hashes of each run of ``width`` words, from those of its parts at ``shifts``."""
-    first = F.slice(parts, 1, F.greatest(F.size("run_1") - (width - 1), F.lit(0)))
-    return F.transform(
-        first, lambda part, at: F.xxhash64(part, *(F.get(parts, at + k) for k in shifts[1:]), F.lit(width))
-    )
+    placed = worded.select(*columns, "words", F.size("words").alias("n_words"), F.posexplode("words").alias(pos, "word_"))
+    of = [
+        F.struct(F.lit(w).alias("width"), F.xxhash64(
+            *(F.get("words", F.col(pos) + k) for k in range(w)), F.col("named"), F.lit(w)).alias("window"))
+        for w in widths
+    ]
+    if len(of) == 1:
+        fitting = placed.where(F.col(pos) + widths[0] <= F.col("n_words")).withColumn("run_", of[0])
+    else:
+        fitting = placed.withColumn("run_", F.explode(F.array(*of))).where(F.col(pos) + F.col("run_.width") <= F.col("n_words"))
+    return fitting.select(*columns, pos, "run_.*")
 
 
 def item_windows(items: DataFrame, settings: Settings) -> DataFrame:
@@ -137,11 +131,10 @@ def item_windows(items: DataFrame, settings: Settings) -> DataFrame:
     )
     literal = worded.select("*", F.transform("words", lambda w: (~w.rlike(f"[{NAME}-{UNIT}]")).cast("int")).alias("literal"))
     widths = list(range(min(settings.fewest, settings.width), settings.width + 1))
-    hashed = with_windows(literal, widths).withColumn("width", F.least("n_words", F.lit(settings.width)))
-    runs = F.coalesce(*(F.when(F.col("width") == w, F.col(f"w_{w}")) for w in widths))
-    sliced = hashed.select(
-        "item_id", "named", "width", "literal", F.posexplode(runs).alias("ipos", "window")
-    ).where(
+    hashed = with_windows(literal, ["item_id", "named", "literal"], "ipos", widths).where(
+        F.col("width") == F.least(F.size("literal"), F.lit(settings.width))
+    )
+    sliced = hashed.where(
         ~F.col("named")
         | (4 * F.aggregate(F.slice("literal", F.col("ipos") + 1, F.col("width")), F.lit(0), lambda a, x: a + x) >= F.col("width"))
     )
@@ -209,11 +202,8 @@ def find_leaks(
         docs.select(key, text, F.xxhash64(F.col(text)).alias("text_hash")), [key, "text_hash"],
         lambda named: [template(F.col(text), named).alias("words")],
     ).where(F.size("words") >= settings.fewest)
-    # outer generators, as a plain one has Spark work out its input twice to leave out empty ones
-    spans = (
-        with_windows(worded, widths)
-        .select(key, "text_hash", "named", F.explode_outer(F.array(*(f"w_{w}" for w in widths))).alias("runs"))
-        .select(key, "text_hash", "named", F.posexplode_outer("runs").alias("dpos", "window"))
+    spans = with_windows(worded, [key, "text_hash", "named"], "dpos", widths).select(
+        key, "text_hash", "named", "dpos", "window"
     )
     group = [key, "text_hash", "item_id", "named", "line"]
     matched = (
