@@ -26,6 +26,8 @@ LATIN = 0x250
 LETTER, FIGURE, MARK, ODD = 0, 1, 2, 3
 PLACES = 64  # bytes of a part whose pairs are merged here
 NEVER = np.int64(1) << 40
+SLOTS = 1 << 20
+SIZE_BITS = 31
 
 
 def latin_kinds() -> tuple[np.ndarray, np.ndarray]:
@@ -133,9 +135,11 @@ class SubwordIds:
 
     def forget(self) -> None:
         """Known words: sorted hashes, and where the ids of each begin in ``ids`` and how many
-        they are."""
+        they are.  The word last met of each slot is found without a search."""
         self.known, self.first, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.ids, self.filled = np.zeros(1 << 16, "<u2"), 0
+        self.slot_hash = np.arange(SLOTS, dtype=np.uint64) ^ np.uint64(1)  # hashes of other slots
+        self.slot_span = np.zeros(SLOTS, np.int64)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2")
@@ -211,13 +215,15 @@ class SubwordIds:
         self.first = np.concatenate([self.first, first])[order]
         self.size = np.concatenate([self.size, size.astype(np.int32)])[order]
 
-    def encode_words(self, words: Words) -> list[np.ndarray]:
-        """The ids of each of the texts."""
-        order = np.argsort(words.hashes)  # which one of equal words comes first does not matter
-        ordered = words.hashes[order]
+    def spans(self, words: Words, at: np.ndarray) -> np.ndarray:
+        """Where the ids of the words at some places begin, and how many they are, in one number;
+        new words are learned."""
+        hashes = words.hashes[at]
+        order = np.argsort(hashes)  # which one of equal words comes first does not matter
+        ordered = hashes[order]
         begins = np.ones(len(order), bool)
         begins[1:] = ordered[1:] != ordered[:-1]
-        distinct, at = ordered[begins], order[begins]
+        distinct, at = ordered[begins], at[order[begins]]
         inverse = np.empty(len(order), np.int64)
         inverse[order] = np.cumsum(begins) - 1
         for _ in range(2):
@@ -231,11 +237,26 @@ class SubwordIds:
                 self.forget()
                 new[:] = True
             self.learn(distinct[new], words.data, words.starts[at[new]], words.ends[at[new]])
-        size = self.size[place].astype(np.int64) if len(distinct) else np.zeros(0, np.int64)
-        times = size[inverse]
+        return (self.first[place] << SIZE_BITS | self.size[place])[inverse]
+
+    def encode_words(self, words: Words) -> list[np.ndarray]:
+        """The ids of each of the texts."""
+        hashes = words.hashes
+        slot = (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+        span = self.slot_span[slot]
+        missed = np.flatnonzero(self.slot_hash[slot] != hashes)
+        if len(missed):
+            memory = self.slot_hash
+            span[missed] = self.spans(words, missed)
+            if self.slot_hash is not memory:  # it was forgotten, and the other words with it
+                missed = np.arange(len(hashes))
+                span = self.spans(words, missed)
+            self.slot_hash[slot[missed]] = hashes[missed]
+            self.slot_span[slot[missed]] = span[missed]
+        times = span & (1 << SIZE_BITS) - 1
         end = np.cumsum(times)
         total = int(end[-1]) if len(end) else 0
-        source = np.arange(total) + np.repeat(self.first[place][inverse] - (end - times), times)
+        source = np.arange(total) + np.repeat((span >> SIZE_BITS) - (end - times), times)
         ids, bounds = self.ids[source], np.append(0, end)[words.first]
         return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
