@@ -510,3 +510,37 @@ def test_batch_proposals_are_checked_for_a_second_term_before_all_others(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     semi = [line for line in plan.splitlines() if "Join LeftSemi" in line]
     assert any("next" in line for line in semi)
+
+
+def test_batch_search_has_one_row_a_document_for_all_terms(spark):
+    """A proposal meets its document's terms in one row; none becomes a row for each term."""
+    import random
+
+    rng = random.Random(8)
+    words = [f"v{i}" for i in range(12)] + ["of"] * 6
+    docs = {k: [rng.choice(words) for _ in range(rng.randint(1, 40))] for k in range(150)}
+    df = spark.createDataFrame([(k, " ".join(w)) for k, w in docs.items()] + [(None, "of v1 v2 v3")], "id long, text string")
+    path = shared_folder(spark, "index")
+    save_index(Corpus.analyze(df, "id", {"text": "text"}), path)
+    corpus = load_index(df, "id", path)
+    asked = {f"q{n}": sorted({rng.choice(words) for _ in range(rng.randint(1, 7))}) for n in range(40)}
+    queries = spark.createDataFrame([(n, t) for n, ts in asked.items() for t in ts], "query_id string, term string")
+    found = rk.batch_search(queries, corpus.occurrences, *corpus.stats("text"), k=7, stats=corpus.terms)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [key" in plan and "n_found" not in plan and "inline(terms" not in plan
+    got = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.key, round(r.score, 6)))
+    n = len(docs) + 1
+    every = [set(w) for w in docs.values()] + [{"of", "v1", "v2", "v3"}]
+    mean = (sum(map(len, docs.values())) + 4) / n
+    for name, terms in asked.items():
+        want = []
+        for k, w in docs.items():
+            if set(terms) <= set(w):
+                score = 0.0
+                for t in terms:
+                    held, tf = sum(t in e for e in every), w.count(t)
+                    score += math.log(1 + (n - held + 0.5) / (held + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(w) / mean))
+                want.append((-round(score, 9), k, round(score, 6)))
+        assert got.get(name, []) == [(k, s) for _, k, s in sorted(want)[:7]], name
